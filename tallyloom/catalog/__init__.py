@@ -7,4 +7,4 @@ __all__ = ["QUERIES", "SQL", "load"]
 
 def load() -> None:
     """Import the modules that register queries."""
-    from tallyloom.catalog import panels  # noqa: F401
+    from tallyloom.catalog import cleaning, groups, joins, panels  # noqa: F401

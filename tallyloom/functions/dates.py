@@ -98,15 +98,17 @@ def days_in_month(day: Column) -> Column:
     return F.day(F.last_day(day))
 
 
-def month_shares(start: Column) -> Column:
-    """A period's parts as ``array<struct<day date, share double>>``, one per month touched."""
-    left_in_month = days_in_month(start) - F.day(start) + 1
-    share = F.least(F.lit(1.0), left_in_month / F.lit(PERIOD_DAYS))
+def month_parts(start: Column) -> Column:
+    """A period's parts as ``array<struct<day date, days int, share double>>``, one per month.
+
+    ``day`` lies in the month, ``days`` of the period fall into it, ``share`` is that over 14.
+    """
     end = F.date_add(start, PERIOD_DAYS - 1)
+    here = F.least(F.lit(PERIOD_DAYS), days_in_month(start) - F.day(start) + 1)
 
-    def part(day, amount):
-        return F.struct(day.alias("day"), amount.alias("share"))
+    def part(day, days):
+        return F.struct(day.alias("day"), days.alias("days"), (days / F.lit(PERIOD_DAYS)).alias("share"))
 
-    return F.when(
-        F.month(start) == F.month(end), F.array(part(start, share))
-    ).otherwise(F.array(part(start, share), part(end, F.lit(1.0) - share)))
+    return F.when(F.month(start) == F.month(end), F.array(part(start, here))).otherwise(
+        F.array(part(start, here), part(end, F.lit(PERIOD_DAYS) - here))
+    )

@@ -103,8 +103,3 @@ def with_constant(df: DataFrame, column: str, value) -> DataFrame:
 def ratio(numerator: Column, denominator: Column) -> Column:
     """Division whose zero denominator gives null rather than an error."""
     return F.try_divide(numerator, denominator)
-
-
-def money(value: Column) -> Column:
-    """Exact type for sums, so totals do not depend on row order."""
-    return value.cast("decimal(18,4)")

@@ -53,9 +53,9 @@ def group_to_json(
 ) -> DataFrame:
     """Rows per key as a JSON array of records, nulls written out, in ``order``.
 
-    Returns ``(key, part, out)``. A key of at most ``part_rows`` rows is one text with part
-    0. A larger one is split over consecutive parts by the numeric ``order``, so no task
-    gathers an unbounded group and no row is lost.
+    Returns ``(key, part, parts, out)``. A key of at most ``part_rows`` rows is one text, part 0
+    of 1. A larger one is split over consecutive parts by the numeric ``order``, so no task
+    gathers an unbounded group and no row is lost; ``parts`` is the number planned.
     """
     rows = df.where(F.col(key).isNotNull())
     span = F.col("_hi") - F.col("_lo") + 1
@@ -66,15 +66,19 @@ def group_to_json(
         .select(
             "_key",
             "_lo",
+            F.ceil(F.col("_n") / part_rows).alias("_parts"),
             (span / F.ceil(F.col("_n") / part_rows)).alias("_step"),
         )
     )
-    placed = rows.join(large, F.col(key) == F.col("_key"), "left").withColumn(
-        "_part", F.coalesce(F.floor((F.col(order) - F.col("_lo")) / F.col("_step")), F.lit(0))
+    placed = rows.join(large, F.col(key) == F.col("_key"), "left").withColumns(
+        {
+            "_part": F.coalesce(F.floor((F.col(order) - F.col("_lo")) / F.col("_step")), F.lit(0)),
+            "_parts": F.coalesce("_parts", F.lit(1)),
+        }
     )
     record = F.struct(F.col(order).alias("_order"), F.struct(*columns).alias("_record"))
     packed = F.transform(F.array_sort(F.collect_list(record)), lambda r: r["_record"])
-    return placed.groupBy(key, F.col("_part").alias("part")).agg(
+    return placed.groupBy(key, F.col("_part").alias("part"), F.col("_parts").alias("parts")).agg(
         F.to_json(packed, {"ignoreNullFields": "false"}).alias(out)
     )
 
@@ -85,7 +89,7 @@ def count_by(df: DataFrame, *keys: str, out: str = "n") -> DataFrame:
 
 def groups_per_key(df: DataFrame, key: str, item: str, out: str = "n") -> DataFrame:
     """Number of distinct items per key."""
-    return df.groupBy(key, item).agg().groupBy(key).agg(F.count("*").alias(out))
+    return df.select(key, item).distinct().groupBy(key).agg(F.count("*").alias(out))
 
 
 def majority(counts: DataFrame, key: str, item: str, n: str) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.functions.dates import PERIOD_DAYS, days_in_month, month_shares, month_text
-from tallyloom.operators.cleaning import money
+from tallyloom.functions.dates import PERIOD_DAYS, days_in_month, month_parts, month_text
 
 
 def unpivot_months(
@@ -31,18 +30,22 @@ def periods_to_months(
 ) -> DataFrame:
     """Share every period's measures out over the months it touches and add them up.
 
-    ``fte`` is a rate, so its share is scaled by period days / days in the month. Sums run on
-    decimals, hence do not depend on row order; nulls are left out of a sum.
+    ``fte`` is a rate, so its share is scaled by period days / days in the month. The sums run
+    over decimal amount x whole days and are divided once at the end: exact, and independent of
+    row order. Nulls are left out of a sum; a null start has no months.
     """
-    parts = df.withColumn("_part", F.explode(month_shares(F.col(start))))
-    day, share = F.col("_part.day"), F.col("_part.share")
-    amounts = [money(F.col(m) * share).alias(m) for m in measures]
-    if fte:
-        amounts.append(
-            money(F.col(fte) * share * (F.lit(PERIOD_DAYS) / days_in_month(day))).alias(fte)
-        )
-    long = parts.select(*keys, month_text(day).alias("month"), *amounts)
+    parts = df.withColumn("_part", F.explode(month_parts(F.col(start))))
+    day, days = F.col("_part.day"), F.col("_part.days").cast("decimal(2,0)")
     names = measures + ([fte] if fte else [])
-    return long.groupBy(*keys, "month").agg(
-        *[F.sum(m).cast("double").alias(m) for m in names]
+    long = parts.select(
+        *keys,
+        F.trunc(day, "month").alias("_month"),
+        *[(F.col(m).cast("decimal(24,8)") * days).alias(m) for m in names],
+    )
+    totals = long.groupBy(*keys, "_month").agg(*[F.sum(m).cast("double").alias(m) for m in names])
+    return totals.select(
+        *keys,
+        month_text(F.col("_month")).alias("month"),
+        *[(F.col(m) / F.lit(float(PERIOD_DAYS))).alias(m) for m in measures],
+        *([(F.col(fte) / days_in_month(F.col("_month"))).alias(fte)] if fte else []),
     )
