@@ -7,4 +7,4 @@ __all__ = ["QUERIES", "SQL", "load"]
 
 def load() -> None:
     """Import the modules that register queries."""
-    from tallyloom.catalog import cleaning, grids, groups, idents, io, joins, panels, scalars  # noqa: F401
+    from tallyloom.catalog import cleaning, grids, groups, idents, io, jobs, joins, panels, scalars  # noqa: F401

@@ -61,6 +61,12 @@ SELECT file, sheet, row, col, value, table_no FROM part JOIN n USING (file, shee
 @query("tables_by_rows", f"WITH {EVENT_ROWS_SQL}, {islands_sql('row', 'col <= 5')}")
 def tables_by_rows(t):
     """Stacked tables parted by blank rows; the note in column J is not looked at."""
+    return g.tables_by_rows(event_rows(t), "A:F")
+
+
+@query("tables_by_rows_chunked", f"WITH {EVENT_ROWS_SQL}, {islands_sql('row', 'col <= 5')}")
+def tables_by_rows_chunked(t):
+    """The same on the path taken for sheets too large for one task."""
     return g.tables_by_rows(event_rows(t), "A:F", chunk=128)
 
 
@@ -91,7 +97,7 @@ grid AS (SELECT 'g' || CAST(event_id // 900 AS VARCHAR) AS file, 'S1' AS sheet,
 @query("tables_by_columns", f"WITH {EVENT_COLUMNS_SQL}, {islands_sql('col', 'row <= 1')}")
 def tables_by_columns(t):
     """Side-by-side tables parted by blank columns, looking at rows 1 and 2."""
-    return g.tables_by_columns(event_columns(t), "1:2", chunk=64)
+    return g.tables_by_columns(event_columns(t), "1:2")
 
 
 @query(
@@ -140,21 +146,26 @@ grid AS (SELECT 'h' || CAST(event_id // 100 AS VARCHAR) AS file, 'S1' AS sheet,
 """
 
 
-@query(
-    "table_at",
-    f"""WITH {WIDE_SQL},
+TABLE_AT_SQL = f"""WITH {WIDE_SQL},
 heads AS (SELECT DISTINCT file, col FROM grid WHERE row IN (4, 5) AND col >= 1),
 hr AS (SELECT file, count(*) AS w FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY col) AS rn FROM heads) WHERE col = rn GROUP BY file),
 wide AS (SELECT grid.* FROM grid JOIN hr USING (file) WHERE row >= 4 AND col >= 1 AND col < 1 + w),
 rr AS (SELECT file, count(*) AS h FROM (SELECT *, row_number() OVER (PARTITION BY file ORDER BY row) AS rn FROM (SELECT DISTINCT file, row FROM wide)) WHERE row = rn + 3 GROUP BY file)
 SELECT file, sheet, row, col, value FROM wide JOIN rr USING (file) WHERE row < 4 + h
-""",
-)
+"""
+
+
+@query("table_at", TABLE_AT_SQL)
 def table_at(t):
     """Table from B5: right edge by header and first data row, bottom by the columns found."""
     return g.table_at(wide_grid(t), "B5")
 
 
+@query("table_at_chunked", TABLE_AT_SQL)
+def table_at_chunked(t):
+    return g.table_at(wide_grid(t), "B5", chunk=16)
+
+
 @query(
     "find_cell",
     f"WITH {WIDE_SQL}, f AS (SELECT file, sheet, min((col, row)) AS spot FROM grid WHERE value = 'view3' AND row >= 4 AND col >= 2 GROUP BY ALL) SELECT file, sheet, spot[1] AS col, spot[2] AS row FROM f",
@@ -292,14 +303,20 @@ span AS (SELECT file, block_no, min(row) FILTER (WHERE kind = 's') AS first_row,
 """
 
 
-@query(
-    "blocks_between",
-    f"""WITH {BLOCKS_SQL}
+BLOCK_ROWS_SQL = f"""WITH {BLOCKS_SQL}
 SELECT r.file, sheet, block_no, r.row, CAST(event_id AS VARCHAR) AS value FROM r JOIN span ON r.file = span.file
-  AND r.row >= first_row + 1 AND r.row < end_row - 1""",
-)
+  AND r.row >= first_row + 1 AND r.row < end_row - 1"""
+
+
+@query("blocks_between", BLOCK_ROWS_SQL)
 def blocks_between(t):
     """Rows of the repeated blocks without the first row and the last before the end."""
+    rows = g.blocks_between(event_blocks(t), "PAY PERIOD", "TOTAL", skip_head=1, skip_tail=1)
+    return rows.where("col = 2").drop("col")
+
+
+@query("blocks_between_chunked", BLOCK_ROWS_SQL)
+def blocks_between_chunked(t):
     rows = g.blocks_between(event_blocks(t), "PAY PERIOD", "TOTAL", skip_head=1, skip_tail=1, chunk=128)
     return rows.where("col = 2").drop("col")
 
@@ -335,9 +352,7 @@ def customer_outline(t):
     return regions.unionByName(nations).unionByName(people)
 
 
-@query(
-    "outline_path",
-    """
+OUTLINE_SQL = """
 WITH o AS (SELECT r_regionkey AS region, 0::BIGINT AS row, 0 AS indent, r_name AS name FROM region
   UNION ALL SELECT n_regionkey, (n_nationkey + 1) * 1000000000::BIGINT, 1, n_name FROM nation
   UNION ALL SELECT n_regionkey, (n_nationkey + 1) * 1000000000::BIGINT + c_custkey + 1, CASE WHEN c_custkey % 5 = 0 THEN 5 ELSE 2 END, c_name
@@ -349,12 +364,19 @@ a AS (SELECT *, last_value(CASE WHEN depth = 1 THEN name END IGNORE NULLS) OVER
   last_value(CASE WHEN depth = 5 THEN name END IGNORE NULLS) OVER w AS a5, last_value(CASE WHEN depth = 6 THEN name END IGNORE NULLS) OVER w AS a6
   FROM d WINDOW w AS (PARTITION BY region ORDER BY row ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
 SELECT region, line_num, name, array_to_string(list_slice([a1, a2, a3, a4, a5, a6], 1, depth), '|') AS tree FROM a
-""",
-)
+"""
+
+
+@query("outline_path", OUTLINE_SQL)
 def outline_path(t):
     """Tree paths; blank and check rows are skipped, names trimmed."""
-    lines = skip_rows(customer_outline(t))
-    paths = outline_to_path(lines, ["region"], levels=6, chunk=500_000_000)
+    paths = outline_to_path(skip_rows(customer_outline(t)), ["region"], levels=6)
+    return paths.select("region", "line_num", "name", "tree")
+
+
+@query("outline_path_chunked", OUTLINE_SQL)
+def outline_path_chunked(t):
+    paths = outline_to_path(skip_rows(customer_outline(t)), ["region"], levels=6, chunk=STEP // 2)
     return paths.select("region", "line_num", "name", "tree")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from tallyloom.session import configure
 
@@ -32,11 +33,19 @@ def query(name: str, sql: str | None = None):
 
 
 class Tables:
-    """The driver's parquet tables, read by attribute."""
+    """The driver's parquet tables, read by attribute.
+
+    A file's schema is looked up once per process, so later reads plan without a Spark job.
+    """
+
+    _schemas: dict[str, StructType] = {}
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        path = f"{self.root}/{name}.parquet"
+        if path not in self._schemas:
+            self._schemas[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[path]).parquet(path)

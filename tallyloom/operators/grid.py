@@ -1,10 +1,10 @@
 """Tables inside spreadsheets.
 
 The input is a cell grid ``(file, sheet, row, col, value, indent)``, 0-based, with blank cells
-absent or null. Every operator works on all sheets of all files in one job. Runs of non-blank
-rows or columns are found by comparing each position with its predecessor in a grouped count
-(a position and its successor are emitted and met on the exact position), and numbered with
-chunked running sums, so one huge sheet does not end up in one task.
+absent or null. Every operator works on all sheets of all files in one job. Sheets of
+ordinary size are scanned with one window per sheet. If a sheet is too large for one task
+(``running.chunk_for``), runs of non-blank rows or columns are found by meeting each position
+with its predecessor in a grouped count, and numbered with chunked running sums.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.functions.a1 import cell_address, in_columns, in_rows
-from tallyloom.operators.running import CHUNK, running
+from tallyloom.functions.a1 import cell_address, column_index, in_columns, in_rows
+from tallyloom.operators.running import AUTO, chunk_for, running
 
 SHEET = ["file", "sheet"]
 CELL = "file string, sheet string, row int, col int, value string, indent int"
@@ -105,23 +106,31 @@ def next_position(cells: DataFrame, axis: str, lines: str, start: int = 0, find_
     )
 
 
-def _islands(cells: DataFrame, axis: str, limit: int | None, chunk: int) -> DataFrame:
+def _islands(cells: DataFrame, axis: str, limit: int | None, chunk: int | None) -> DataFrame:
     """Number the runs of used positions along ``axis`` and keep the cells inside them."""
-    used = filled(cells).select(*SHEET, axis).distinct()
+    data = filled(cells)
+    size = chunk_for(data, SHEET, chunk)
+    if size is None:
+        # Cells sorted by position: one that lies two or more behind the cell before it starts a run.
+        gap = F.col(axis) - F.lag(axis).over(W.partitionBy(*SHEET).orderBy(axis))
+        marked = data.withColumn("_start", F.when(gap <= 1, 0).otherwise(1))
+        numbered = running(marked, SHEET, axis, sums={"table_no": F.col("_start")}).drop("_start")
+        return numbered.where(F.col("table_no") <= limit) if limit else numbered
+    used = data.select(*SHEET, axis).distinct()
     starts = run_edges(used, SHEET, axis).where("starts").select(*SHEET, axis, F.lit(1).alias("_start"))
     numbered = running(
         used.join(starts, [*SHEET, axis], "left"),
         SHEET,
         axis,
         sums={"table_no": F.coalesce("_start", F.lit(0))},
-        chunk=chunk,
+        chunk=size,
     ).drop("_start")
     if limit:
         numbered = numbered.where(F.col("table_no") <= limit)
-    return filled(cells).join(numbered, [*SHEET, axis])
+    return data.join(numbered, [*SHEET, axis])
 
 
-def tables_by_columns(cells: DataFrame, rows: str, limit: int | None = None, chunk: int = CHUNK) -> DataFrame:
+def tables_by_columns(cells: DataFrame, rows: str, limit: int | None = None, chunk: int | None = AUTO) -> DataFrame:
     """Split side-by-side tables at blank columns, looking at the given rows only.
 
     Adds ``table_no`` from 1, left to right.
@@ -130,7 +139,7 @@ def tables_by_columns(cells: DataFrame, rows: str, limit: int | None = None, chu
 
 
 def tables_by_rows(
-    cells: DataFrame, cols: str, start: int = 0, limit: int | None = None, chunk: int = CHUNK
+    cells: DataFrame, cols: str, start: int = 0, limit: int | None = None, chunk: int | None = AUTO
 ) -> DataFrame:
     """Split stacked tables at blank rows, looking at the given columns only.
 
@@ -140,17 +149,25 @@ def tables_by_rows(
     return _islands(part, "row", limit, chunk)
 
 
-def _leading_run(positions: DataFrame, at: str, start: int) -> DataFrame:
-    """End (exclusive) of the run that begins exactly at ``start``, per sheet; absent if blank."""
-    here = positions.where(F.col(at) >= start)
-    edges = run_edges(here, SHEET, at)
-    return edges.groupBy(*SHEET).agg(
+def _in_leading_run(cells: DataFrame, at: str, start: int, size: int | None) -> DataFrame:
+    """The cells whose position lies in the unbroken run that begins exactly at ``start``.
+
+    Cells lie at or behind ``start``. The run may be empty.
+    """
+    if size is None:
+        place = F.dense_rank().over(W.partitionBy(*SHEET).orderBy(at))
+        return cells.withColumn("_place", place).where(
+            F.col(at) == F.col("_place") + (start - 1)
+        ).drop("_place")
+    edges = run_edges(cells.select(*SHEET, at).distinct(), SHEET, at)
+    ends = edges.groupBy(*SHEET).agg(
         F.min(F.when(F.col("ends"), F.col(at))).alias("_end"),
         F.bool_or(F.col("starts") & (F.col(at) == start)).alias("_begins"),
     ).where("_begins").select(*SHEET, "_end")
+    return cells.join(ends, SHEET).where(F.col(at) < F.col("_end")).drop("_end")
 
 
-def table_at(cells: DataFrame, start: str, header: bool = True) -> DataFrame:
+def table_at(cells: DataFrame, start: str, header: bool = True, chunk: int | None = AUTO) -> DataFrame:
     """The table whose top left corner is ``start``.
 
     Its right edge is the first column blank in both the header and the first data row, its
@@ -159,14 +176,11 @@ def table_at(cells: DataFrame, start: str, header: bool = True) -> DataFrame:
     top, left = cell_address(start)
     first_data = top + 1 if header else top
     data = filled(cells).where((F.col("row") >= top) & (F.col("col") >= left))
-    heads = data.where(F.col("row").isin(top, first_data)).select(*SHEET, "col").distinct()
-    wide = data.join(_leading_run(heads, "col", left).withColumnRenamed("_end", "_right"), SHEET).where(
-        F.col("col") < F.col("_right")
-    ).drop("_right")
-    rows = wide.select(*SHEET, "row").distinct()
-    return wide.join(_leading_run(rows, "row", top).withColumnRenamed("_end", "_bottom"), SHEET).where(
-        F.col("row") < F.col("_bottom")
-    ).drop("_bottom")
+    size = chunk_for(data, SHEET, chunk)
+    heads = _in_leading_run(data.where(F.col("row").isin(top, first_data)), "col", left, size)
+    edge = heads.groupBy(*SHEET).agg(F.max("col").alias("_right"))
+    wide = data.join(edge, SHEET).where(F.col("col") <= F.col("_right")).drop("_right")
+    return _in_leading_run(wide, "row", top, size)
 
 
 def header_names(cells: DataFrame, by: list[str] = SHEET) -> DataFrame:
@@ -246,7 +260,7 @@ def first_and_last_column(cells: DataFrame, by: list[str] = SHEET) -> DataFrame:
 
 
 def block_spans(
-    cells: DataFrame, start: str, end: str, start_from: str = "A", end_from: str = "B", chunk: int = CHUNK
+    cells: DataFrame, start: str, end: str, start_from: str = "A", end_from: str = "B", chunk: int | None = AUTO
 ) -> DataFrame:
     """Repeated blocks ``(sheet keys, block_no, first_row, end_row)`` between two marker texts.
 
@@ -255,24 +269,24 @@ def block_spans(
     of its ``*_from`` column. ``end_row`` is null for a block that is never closed.
     """
 
-    def markers(text: str, spec: str, kind: str) -> DataFrame:
-        hits = filled(cells).where(
-            (F.lower("value") == text.lower()) & (F.col("col") >= cell_address(f"{spec}1")[1])
-        )
-        lead = hits.groupBy(*SHEET).agg(F.min("col").alias("_lead"))
-        return (
-            hits.join(lead, SHEET).where(F.col("col") == F.col("_lead"))
-            .select(*SHEET, "row", F.lit(kind).alias("kind"))
-        )
-
+    hits = filled(cells).select(
+        *SHEET,
+        "row",
+        "col",
+        F.when((F.lower("value") == start.lower()) & (F.col("col") >= column_index(start_from)), "s")
+        .when((F.lower("value") == end.lower()) & (F.col("col") >= column_index(end_from)), "e")
+        .alias("kind"),
+    ).where(F.col("kind").isNotNull())
+    lead = hits.groupBy(*SHEET, "kind").agg(F.min("col").alias("col"))
     # On one row the start comes before the end.
-    both = markers(start, start_from, "s").unionByName(markers(end, end_from, "e")).withColumn(
+    marks = hits.join(lead, [*SHEET, "kind", "col"], "left_semi").withColumn(
         "at", F.col("row").cast("bigint") * 2 + (F.col("kind") == "e").cast("int")
     )
-    after = running(both, SHEET, "at", lasts={"prior": F.col("kind")}, chunk=chunk, inclusive=False)
+    size = chunk_for(marks, SHEET, chunk)
+    after = running(marks, SHEET, "at", lasts={"prior": F.col("kind")}, chunk=size, inclusive=False)
     turns = after.where(F.col("kind") != F.coalesce("prior", F.lit("e")))
     numbered = running(
-        turns, SHEET, "at", sums={"block_no": (F.col("kind") == "s").cast("int")}, chunk=chunk
+        turns, SHEET, "at", sums={"block_no": (F.col("kind") == "s").cast("int")}, chunk=size
     )
     return numbered.groupBy(*SHEET, "block_no").agg(
         F.min(F.when(F.col("kind") == "s", F.col("row"))).alias("first_row"),
@@ -288,32 +302,28 @@ def blocks_between(
     skip_tail: int = 2,
     start_from: str = "A",
     end_from: str = "B",
-    chunk: int = CHUNK,
+    chunk: int | None = AUTO,
 ) -> DataFrame:
     """Cells of the repeated blocks, without head rows and the last rows before the end marker.
 
-    Adds ``block_no``. Rows are matched to blocks by a running block count over the sheet's
-    distinct rows, never by a range join.
+    Adds ``block_no``. Each row finds its block by carrying the last block's span downwards,
+    never by a range join.
     """
-    spans = block_spans(cells, start, end, start_from, end_from, chunk)
-    rows = filled(cells).select(*SHEET, "row").distinct()
-    opened = spans.select(*SHEET, F.col("first_row").alias("row"), F.lit(1).alias("_open"))
+    data = filled(cells)
+    spans = block_spans(data, start, end, start_from, end_from, chunk).select(
+        *SHEET, F.col("first_row").alias("row"), F.struct("block_no", "first_row", "end_row").alias("_opens")
+    )
     placed = running(
-        rows.join(opened, [*SHEET, "row"], "left"),
+        data.join(spans, [*SHEET, "row"], "left"),
         SHEET,
         "row",
-        sums={"block_no": F.coalesce("_open", F.lit(0))},
-        chunk=chunk,
-    ).drop("_open")
-    kept = (
-        placed.join(spans, [*SHEET, "block_no"])
-        .where(
-            (F.col("row") >= F.col("first_row") + skip_head)
-            & (F.col("row") < F.col("end_row") - skip_tail)
-        )
-        .select(*SHEET, "row", "block_no")
+        lasts={"_span": F.col("_opens")},
+        chunk=chunk_for(data, SHEET, chunk),
     )
-    return filled(cells).join(kept, [*SHEET, "row"])
+    return placed.where(
+        (F.col("row") >= F.col("_span.first_row") + skip_head)
+        & (F.col("row") < F.col("_span.end_row") - skip_tail)
+    ).select(*cells.columns, F.col("_span.block_no").alias("block_no"))
 
 
 def block_heads(cells: DataFrame, spans: DataFrame, values: Mapping[str, tuple[int, int]]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.running import CHUNK, chunked, running
+from tallyloom.operators.running import AUTO, chunk_for, running
 
 
 def insert_heading(
@@ -40,9 +40,11 @@ def skip_rows(df: DataFrame, name: str = "name", prefix: str = "Check -") -> Dat
     return df.withColumn(name, text).where((F.col(name) != "") & ~F.col(name).startswith(prefix))
 
 
-def line_numbers(df: DataFrame, keys: list[str], row: str = "row", out: str = "line_num", chunk: int = CHUNK) -> DataFrame:
+def line_numbers(
+    df: DataFrame, keys: list[str], row: str = "row", out: str = "line_num", chunk: int | None = AUTO
+) -> DataFrame:
     """1-based number over the kept rows of each key."""
-    return running(df, keys, row, sums={out: F.lit(1)}, chunk=chunk)
+    return running(df, keys, row, sums={out: F.lit(1)}, chunk=chunk_for(df, keys, chunk))
 
 
 def outline_to_path(
@@ -53,7 +55,7 @@ def outline_to_path(
     name: str = "name",
     levels: int = 16,
     out: str = "tree",
-    chunk: int = CHUNK,
+    chunk: int | None = AUTO,
 ) -> DataFrame:
     """Indented list to ``a|b|c`` paths, with line numbers.
 
@@ -61,12 +63,14 @@ def outline_to_path(
     least(n, n + 1 + running minimum of (indent - n)) with n the line number. Each ancestor is the
     last earlier name at its depth. ``levels`` bounds the depth; a deeper row raises.
     """
-    numbered = line_numbers(chunked(df, row, chunk), keys, row, "line_num")
+    size = chunk_for(df, keys, chunk)
+    numbered = line_numbers(df, keys, row, "line_num", size)
     floor = running(
         numbered,
         keys,
         row,
         mins={"_low": F.col(indent) - F.col("line_num")},
+        chunk=size,
     )
     depth = F.least(F.col("line_num"), F.col("line_num") + 1 + F.col("_low"))
     deep = floor.withColumn("_depth", depth).withColumn(
@@ -76,6 +80,6 @@ def outline_to_path(
         ),
     )
     names = {f"_a{k}": F.when(F.col("_depth") == k, F.col(name)) for k in range(1, levels + 1)}
-    filled = running(deep, keys, row, lasts=names)
+    filled = running(deep, keys, row, lasts=names, chunk=size)
     steps = F.slice(F.array(*[F.col(f"_a{k}") for k in range(1, levels + 1)]), 1, F.col("_depth").cast("int"))
     return filled.select(*df.columns, "line_num", F.concat_ws("|", steps).alias(out))

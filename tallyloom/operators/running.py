@@ -1,9 +1,10 @@
-"""Running aggregates along a position, without one task per group.
+"""Running aggregates along a position.
 
-A plain window over a key sends that key's rows to a single task. Here positions are cut
-into chunks: chunk totals (small, combined before the shuffle) are scanned per key, and the
-rows are scanned per (key, chunk) on top of their chunk's carry. A sheet, file or person
-holding a third of all rows is spread over as many tasks as it has chunks.
+A window over a key puts that key's rows into one task. That is right for sheets and files of
+ordinary size, and wrong for one that holds a third of all rows. ``chunk_for`` therefore counts
+the rows per key first. Where a key is too large, positions are cut into chunks: chunk totals
+(small, combined before the shuffle) are scanned per key, and the rows per (key, chunk) on top of
+their chunk's carry, so the key is spread over as many tasks as it has chunks.
 """
 
 from __future__ import annotations
@@ -14,12 +15,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.session import cut_lineage
+
+AUTO = -1
 CHUNK = 100_000
+WINDOW_ROWS = 2_000_000
+
 
+def chunk_for(df: DataFrame, keys: list[str], chunk: int | None = AUTO) -> int | None:
+    """None if a window per key will do, else the chunk size. ``AUTO`` decides by counting.
 
-def chunked(df: DataFrame, position: str, size: int = CHUNK) -> DataFrame:
-    """Add the chunk number, so consecutive ``running`` calls share one shuffle of the rows."""
-    return df.withColumn("_chunk", F.floor(F.col(position) / size))
+    The count is one aggregate over the key columns; a single number reaches the driver.
+    """
+    if chunk != AUTO:
+        return chunk
+    largest = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return CHUNK if largest and largest > WINDOW_ROWS else None
 
 
 def running(
@@ -29,18 +40,30 @@ def running(
     sums: Mapping[str, Column] = {},
     mins: Mapping[str, Column] = {},
     lasts: Mapping[str, Column] = {},
-    chunk: int = CHUNK,
+    chunk: int | None = None,
     inclusive: bool = True,
 ) -> DataFrame:
     """Add running sums, minima and last non-null values up to each row.
 
-    ``position`` is numeric and unique per key; keys are not null. ``inclusive=False`` leaves
-    the row itself out. A frame that is ``chunked`` already keeps its chunks and partitioning.
+    ``position`` is numeric; keys are not null. Rows with equal positions must carry equal
+    values, or be absent. ``inclusive=False`` leaves the row itself out. Without ``chunk`` it is
+    a plain window per key; with it the input is checkpointed once, for both scans to read.
     """
     values = {**sums, **mins, **lasts}
-    base = df if "_chunk" in df.columns else chunked(df, position, chunk)
-    work = base.withColumns({f"_v_{n}": c for n, c in values.items()})
+    rows = (W.unboundedPreceding, 0 if inclusive else -1)
+    if chunk is None:
+        inside = W.partitionBy(*keys).orderBy(position).rowsBetween(*rows)
+        return df.withColumns(
+            {n: F.coalesce(F.sum(c).over(inside), F.lit(0)) for n, c in sums.items()}
+            | {n: F.min(c).over(inside) for n, c in mins.items()}
+            | {n: F.last(c, ignorenulls=True).over(inside) for n, c in lasts.items()}
+        )
 
+    work = cut_lineage(
+        df.withColumns({f"_v_{n}": c for n, c in values.items()}).withColumn(
+            "_chunk", F.floor(F.col(position) / chunk)
+        )
+    )
     totals = [F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums]
     totals += [F.min(f"_v_{n}").alias(f"_t_{n}") for n in mins]
     totals += [
@@ -55,10 +78,7 @@ def running(
         *[F.min(f"_t_{n}").over(before).alias(f"_b_{n}") for n in mins],
         *[F.last(f"_t_{n}", ignorenulls=True).over(before).alias(f"_b_{n}") for n in lasts],
     )
-
-    inside = W.partitionBy(*keys, "_chunk").orderBy(position).rowsBetween(
-        W.unboundedPreceding, 0 if inclusive else -1
-    )
+    inside = W.partitionBy(*keys, "_chunk").orderBy(position).rowsBetween(*rows)
     joined = work.join(carry, [*keys, "_chunk"], "left")
     out = {}
     for n in sums:

@@ -68,17 +68,17 @@ HOURS_COLUMNS = {
 }
 HOURS_ANCHOR = "Department Number"
 HOURS_SUBHEADERS = [2, 3, 4, 6]
-HOURS_REQUIRED = [
-    "Regular Hours",
-    "CALLBK - CALLBACK",
-    "DBLTME - DOUBLETIME",
-    "OT_1.5 - OVERTIME",
-    "Total Productive Hours",
-    "Total Non-Productive Hours",
-    "Total Productive/Non-Productive Hours",
-    "Total Dollars",
-    "Total FTE",
-]
+HOURS_REQUIRED = {
+    "Regular Hours": "reg_hrs",
+    "CALLBK - CALLBACK": "callback_hrs",
+    "DBLTME - DOUBLETIME": "double_hrs",
+    "OT_1.5 - OVERTIME": "ot_hrs",
+    "Total Productive Hours": "prod_hrs",
+    "Total Non-Productive Hours": "nonprod_hrs",
+    "Total Productive/Non-Productive Hours": "total_hrs",
+    "Total Dollars": "total_amt",
+    "Total FTE": "total_fte",
+}
 HOURS_FILE = r"(?i)PP#(\d+) (\d+) "
 BALANCE_FILE = r"^\((\d+)\)\s*(\w+)\s*(\d{4})\s"
 BALANCE_PERIOD = r"^(\d{4})\s*-\s*(\w+)"
@@ -246,28 +246,22 @@ def historical_hours(
 def current_hours(cells: DataFrame, aliases: DataFrame, canonical: DataFrame) -> DataFrame:
     """Hours and pay by period, one workbook per period; the period is in the file name."""
     header = grid.merge_subheader(cells, HOURS_ANCHOR, HOURS_SUBHEADERS)
-    require_none(require_headers(header, HOURS_REQUIRED, SHEET), "required columns not found")
+    require_none(require_headers(header, list(HOURS_REQUIRED), SHEET), "required columns not found")
     tops = header.select(*SHEET, F.col("top").alias("_first")).distinct()
     body = filled(cells).join(tops, SHEET).where(F.col("row") >= F.col("_first") + 2).drop("_first")
-    names = ["Department Name", *HOURS_REQUIRED]
-    rows = grid.promote_header(body, names, header=header.drop("top"), skip=0)
-    renamed = _numbers(rows, HOURS_REQUIRED).select(
-        *SHEET,
-        F.col("Department Name").alias("dept"),
-        F.col("Regular Hours").alias("reg_hrs"),
-        (F.col("DBLTME - DOUBLETIME") + F.col("`OT_1.5 - OVERTIME`")).alias("overtime_hrs"),
-        F.col("Total Productive Hours").alias("prod_hrs"),
-        F.col("Total Non-Productive Hours").alias("nonprod_hrs"),
-        F.col("Total Productive/Non-Productive Hours").alias("total_hrs"),
-        F.col("Total Dollars").alias("total_amt"),
-        F.col("Total FTE").alias("total_fte"),
-        F.format_string(
-            "%s-%02d",
-            F.regexp_extract("file", HOURS_FILE, 2),
-            F.regexp_extract("file", HOURS_FILE, 1).cast("int"),
-        ).alias("pay_period"),
+    names = {"Department Name": "dept", **HOURS_REQUIRED}
+    rows = grid.promote_header(body, list(names), header=header.drop("top"), skip=0)
+    typed = _numbers(rows.withColumnsRenamed(names), list(HOURS_REQUIRED.values())).withColumns(
+        {
+            "overtime_hrs": F.col("double_hrs") + F.col("ot_hrs"),
+            "pay_period": F.format_string(
+                "%s-%02d",
+                F.regexp_extract("file", HOURS_FILE, 2),
+                F.regexp_extract("file", HOURS_FILE, 1).cast("int"),
+            ),
+        }
     )
-    return _period_hours(renamed, aliases, canonical)
+    return _period_hours(typed, aliases, canonical)
 
 
 def _period_hours(rows: DataFrame, aliases: DataFrame, canonical: DataFrame) -> DataFrame:

@@ -25,6 +25,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
+    """A session on this machine, for tests and timings."""
+    builder = (
+        SparkSession.builder.master(f"local[{cores}]")
+        .appName("tallyloom")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", memory)
+        .config("spark.sql.shuffle.partitions", "8")
+        # Recording the Python call site of every column costs more than planning the query.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+    )
+    for name, value in SQL_SETTINGS.items():
+        builder = builder.config(name, value)
+    return builder.getOrCreate()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir``.
 
