@@ -275,7 +275,7 @@ def merge_subheader(t):
     header = g.merge_subheader(grid, "Department Number", [2])
     bad = require_headers(header, names, g.SHEET).select(*g.SHEET, F.size("missing").alias("missing"))
     body = grid.where(F.col("row") >= 4)
-    rows = g.promote_header(body, names, header=header.drop("top"), skip=0)
+    rows = g.promote_header(body, names, header=header.drop("top"))
     return rows.join(bad, g.SHEET, "left").fillna({"missing": 0})
 
 

@@ -10,11 +10,19 @@ from tallyloom.operators.lookups import priority_union
 from tallyloom.plans import clinical, finance
 from tallyloom.plans.panels import panel_job
 from tallyloom.plans.persons import person_job
+from tallyloom.session import scratch_path
 from tallyloom.sources import csv, layouts
 
 DAY = "1990-01-01"
 
 
+def stored(df, t, label):
+    """Cells kept as a table, as a workbook import leaves them."""
+    path = scratch_path(t.spark, label)
+    df.write.parquet(path)
+    return t.spark.read.schema(df.schema).parquet(path)
+
+
 def text_of(column):
     return F.col(column).cast("string")
 
@@ -412,7 +420,7 @@ def historical_volumes(t):
     odd = F.col("year") % 2 == 1
     top = place(heads.withColumn("row", F.lit(0)), {3: F.when(odd, text_of("year")), 4: F.when(~odd, text_of("year"))})
     second = place(heads.withColumn("row", F.lit(1)), {0: F.lit("id"), 1: F.lit("name"), 2: F.lit("unit"), **{n + 2: F.lit(f"month {n}") for n in range(1, 13)}})
-    return finance.historical_volumes(grid.unionByName(top).unionByName(second))
+    return finance.historical_volumes(stored(grid.unionByName(top).unionByName(second), t, "volumes"))
 
 
 @query("current_volumes", VOLUME_SQL)
@@ -428,7 +436,7 @@ def current_volumes(t):
     titles = {0: F.lit("ID"), 1: F.lit("Name"), 2: F.lit("Unit"), **{n + 2: F.lit(f"month {n}") for n in range(1, 13)}}
     body = cells(rows, {0: F.col("id"), 1: F.col("name"), 2: F.col("unit"), **{n + 2: F.col(f"m{n}") for n in range(1, 13)}})
     note = cells(heads.withColumn("row", F.lit(60)), {0: F.lit("a note below the table")})
-    return finance.current_volumes(body.unionByName(cells(heads, titles)).unionByName(note))
+    return finance.current_volumes(stored(body.unionByName(cells(heads, titles)).unionByName(note), t, "volumes"))
 
 
 def _by_file():
@@ -460,7 +468,8 @@ def historical_budget(t):
     units = cells(rows.withColumn("row", F.col("row") - 4), {17: F.col("id"), 18: F.lit("m"), 19: F.when(F.col("p_partkey") % 4 != 1, text_of("p_partkey"))})
     sheets = {"Budget": budget.unionByName(below), "Goals": goals.unionByName(filler).unionByName(titles), "UOS": units}
     grid = [df.withColumn("sheet", F.lit(n)) for n, df in sheets.items()]
-    return finance.historical_budget(grid[0].unionByName(grid[1]).unionByName(grid[2]), "Budget", "Goals", "UOS", 2024)
+    sheets = stored(grid[0].unionByName(grid[1]).unionByName(grid[2]), t, "budget")
+    return finance.historical_budget(sheets, "Budget", "Goals", "UOS", 2024)
 
 
 @query(
@@ -515,7 +524,7 @@ def contracted_hours(t):
     heads = cells(rows.select("file").distinct().withColumn("row", F.lit(1)), {i: F.lit(x) for i, x in enumerate(titles)})
     even = F.substring("file", 2, 20).cast("bigint") % 2 == 0
     sheets = grid.unionByName(heads).withColumn("sheet", F.when(even, "2024 DATA").otherwise("NOTES"))
-    return finance.contracted_hours(sheets, *alias_tables(t))
+    return finance.contracted_hours(stored(sheets, t, "contracted"), *alias_tables(t))
 
 
 @query(
@@ -548,7 +557,7 @@ def income_statement(t):
     title = cells(heads.withColumn("row", F.col("top")), {0: F.lit("Ledger Account"), 1: F.lit("Cost Center")})
     month = F.concat(F.lit("Month to Date: "), F.lpad((F.col("number") % 12 + 1).cast("string"), 2, "0"), F.lit("/2024"))
     above = cells(heads.withColumn("row", F.col("top") - 1), {4: month})
-    return finance.income_statement(body.unionByName(title).unionByName(above), *alias_tables(t))
+    return finance.income_statement(stored(body.unionByName(title).unionByName(above), t, "income"), *alias_tables(t))
 
 
 PERIOD_SQL = """CAST(DATE '2022-12-17' + CAST(14 * ceil(date_diff('day', DATE '2023-01-06', make_date({y}, 1, 1)) / 14.0) AS INTEGER) + CAST(14 * ({n} - 1) AS INTEGER) AS DATE)"""
@@ -596,7 +605,7 @@ def historical_hours(t):
         .unionByName(line(24, {1: F.lit("Lab"), 2: F.lit("9999")}))
         .unionByName(line(26, {1: F.lit("Total"), 2: F.lit("9999")}))
     )
-    return shown(finance.historical_hours(grid, 2023, *alias_tables(t)), "start_date")
+    return shown(finance.historical_hours(stored(grid, t, "hours"), 2023, *alias_tables(t)), "start_date")
 
 
 CURRENT_HOURS_SQL = f"""
@@ -628,7 +637,7 @@ def current_hour_grid(t):
     moved = body.unionByName(top).unionByName(below).join(files, "file").withColumn("col", F.col("col") + F.col("shift")).drop("shift")
     lead = cells(files.where("shift = 1").withColumn("row", F.lit(3)), {0: F.lit("Period")})
     title = cells(files.withColumn("row", F.lit(0)), {0: F.lit("Payroll report")})
-    return moved.unionByName(lead).unionByName(title)
+    return stored(moved.unionByName(lead).unionByName(title), t, "hours")
 
 
 @query("current_hours", f"WITH {CURRENT_HOURS_SQL} SELECT * EXCLUDE (st), strftime(st, '%Y-%m-%d') AS start_date FROM c")
@@ -690,7 +699,7 @@ def balance_job(t):
         .unionByName(fixed(7, 0, {0: F.lit("Net Patient Accounts Receivable"), 1: F.lit("1")}))
         .unionByName(fixed(8, 2, {0: F.lit("First"), 1: F.lit("2")}))
     )
-    return finance.balance_sheet(grid, levels=4)
+    return finance.balance_sheet(stored(grid, t, "balance"), levels=4)
 
 
 @query(

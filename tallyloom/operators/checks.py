@@ -61,6 +61,14 @@ def unresolved_report(df: DataFrame, ident: str, by: str, ignore: list[str] = ()
     return rows.groupBy(by).agg(F.count("*").alias("rows"))
 
 
+def resolved(value: Column, message: str) -> Column:
+    """``value``, or an error naming the problem where it is null.
+
+    The check runs within the job that uses the column, so the input is not read twice.
+    """
+    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit(message)))
+
+
 def require_none(bad: DataFrame, message: str, show: int = 5) -> None:
     """Raise if any row is left, quoting a few."""
     rows = bad.limit(show).collect()

@@ -183,24 +183,38 @@ def table_at(cells: DataFrame, start: str, header: bool = True, chunk: int | Non
     return _in_leading_run(wide, "row", top, size)
 
 
-def header_names(cells: DataFrame, by: list[str] = SHEET) -> DataFrame:
-    """``(by, col, name)`` from the first row of each table; a repeated name keeps its first column."""
-    top = cells.groupBy(*by).agg(F.min("row").alias("_top"))
-    heads = filled(cells).join(top, by).where(F.col("row") == F.col("_top"))
+def header_names(cells: DataFrame, by: list[str] = SHEET, header_row: int | None = None) -> DataFrame:
+    """``(by, col, name)`` from the header row; a repeated name keeps its first column.
+
+    Without ``header_row`` it is the first row of each table.
+    """
+    if header_row is None:
+        top = cells.groupBy(*by).agg(F.min("row").alias("_top"))
+        heads = filled(cells).join(top, by).where(F.col("row") == F.col("_top"))
+    else:
+        heads = filled(cells).where(F.col("row") == header_row)
     return heads.groupBy(*by, F.col("value").alias("name")).agg(F.min("col").alias("col"))
 
 
 def promote_header(
-    cells: DataFrame, names: list[str], by: list[str] = SHEET, header: DataFrame | None = None, skip: int = 1
+    cells: DataFrame,
+    names: list[str],
+    by: list[str] = SHEET,
+    header: DataFrame | None = None,
+    header_row: int | None = None,
 ) -> DataFrame:
-    """First row becomes the column names: one output row per data row with the known ``names``.
+    """Header row becomes the column names: one output row per data row with the known ``names``.
 
-    ``header(by, col, name)`` overrides the names read from the first row; ``skip`` is the
-    number of header rows to leave out.
+    With a ``header(by, col, name)`` the cells are the data rows only. Otherwise the names come
+    from ``header_row``, or from the first row of each table, and the rows below are the data.
     """
-    head = header_names(cells, by) if header is None else header
-    top = cells.groupBy(*by).agg(F.min("row").alias("_top"))
-    body = filled(cells).join(top, by).where(F.col("row") >= F.col("_top") + skip)
+    if header is not None:
+        body, head = filled(cells), header
+    elif header_row is not None:
+        body, head = filled(cells).where(F.col("row") > header_row), header_names(cells, by, header_row)
+    else:
+        top = cells.groupBy(*by).agg(F.min("row").alias("_top"))
+        body, head = filled(cells).join(top, by).where(F.col("row") > F.col("_top")), header_names(cells, by)
     named = body.join(head.where(F.col("name").isin(names)), [*by, "col"], "left")
     return named.groupBy(*by, "row").agg(
         *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
@@ -303,18 +317,22 @@ def blocks_between(
     start_from: str = "A",
     end_from: str = "B",
     chunk: int | None = AUTO,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """Cells of the repeated blocks, without head rows and the last rows before the end marker.
 
+    ``spans`` are the ``block_spans`` if they are known already.
+
     Adds ``block_no``. Each row finds its block by carrying the last block's span downwards,
     never by a range join.
     """
     data = filled(cells)
-    spans = block_spans(data, start, end, start_from, end_from, chunk).select(
+    found = block_spans(data, start, end, start_from, end_from, chunk) if spans is None else spans
+    opens = found.select(
         *SHEET, F.col("first_row").alias("row"), F.struct("block_no", "first_row", "end_row").alias("_opens")
     )
     placed = running(
-        data.join(spans, [*SHEET, "row"], "left"),
+        data.join(opens, [*SHEET, "row"], "left"),
         SHEET,
         "row",
         lasts={"_span": F.col("_opens")},

@@ -39,7 +39,7 @@ def resolve_collisions(
     """``(ident, source)`` with ids unique within the new ones and against ``existing``.
 
     Every loser is hashed again with the attempt number until none is left. Each round is
-    checkpointed; running out of attempts raises rather than leave a duplicate.
+    kept as a table; running out of attempts raises rather than leave a duplicate.
     ``first`` replaces the first-attempt id (tests force collisions with it).
     """
     start = attempt_id(F.col(source), salt, 0) if first is None else first

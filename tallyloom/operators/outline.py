@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tallyloom.operators.running import AUTO, chunk_for, running
 
 
-def insert_heading(
-    df: DataFrame,
+def heading_rows(
+    lines: DataFrame,
     after: str,
     heading: str,
     keys: list[str],
@@ -18,19 +18,31 @@ def insert_heading(
     indent: str = "indent",
     heading_indent: int = 1,
 ) -> DataFrame:
-    """Add a heading below the first row called ``after`` whose next row is indented.
-
-    The heading sits at row + 0.5, so ``row`` comes back as a double. Once per key.
-    """
-    named = df.where(F.col(name) == after).select(*keys, F.col(row).alias("_row"))
-    below = df.where(F.col(indent) > 0).select(*keys, (F.col(row) - 1).alias("_row"))
+    """``(keys, row, name, indent)`` of a heading below the first row called ``after`` whose next
+    row is indented. It sits at row + 0.5, once per key at most."""
+    named = lines.where(F.col(name) == after).select(*keys, F.col(row).alias("_row"))
+    below = lines.where(F.col(indent) > 0).select(*keys, (F.col(row) - 1).alias("_row"))
     first = named.join(below, [*keys, "_row"], "left_semi").groupBy(*keys).agg(F.min("_row").alias("_row"))
-    added = first.select(
+    return first.select(
         *keys,
         (F.col("_row") + 0.5).alias(row),
         F.lit(heading).alias(name),
         F.lit(heading_indent).cast("int").alias(indent),
     )
+
+
+def insert_heading(
+    df: DataFrame,
+    after: str,
+    heading: str,
+    keys: list[str],
+    name: str = "name",
+    row: str = "row",
+    indent: str = "indent",
+    heading_indent: int = 1,
+) -> DataFrame:
+    """Add the heading of ``heading_rows``; ``row`` comes back as a double."""
+    added = heading_rows(df, after, heading, keys, name, row, indent, heading_indent)
     return df.withColumn(row, F.col(row).cast("double")).unionByName(added, allowMissingColumns=True)
 
 

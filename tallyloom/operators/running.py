@@ -47,7 +47,7 @@ def running(
 
     ``position`` is numeric; keys are not null. Rows with equal positions must carry equal
     values, or be absent. ``inclusive=False`` leaves the row itself out. Without ``chunk`` it is
-    a plain window per key; with it the input is checkpointed once, for both scans to read.
+    a plain window per key; with it the input is kept as a table once, for both scans to read.
     """
     values = {**sums, **mins, **lasts}
     rows = (W.unboundedPreceding, 0 if inclusive else -1)

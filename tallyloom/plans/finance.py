@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.a1 import cell_address, column_index
 from tallyloom.functions.dates import lenient_date, month_text, period_start
 from tallyloom.operators import grid
-from tallyloom.operators.checks import content_check, require_headers, require_none
+from tallyloom.operators.checks import require_headers, require_none, resolved
 from tallyloom.operators.cleaning import (
     conform,
     drop_null_keys,
@@ -24,8 +24,10 @@ from tallyloom.operators.cleaning import (
 from tallyloom.operators.groups import top_rows
 from tallyloom.operators.grid import SHEET, by_position, filled
 from tallyloom.operators.lookups import resolve_alias
-from tallyloom.operators.outline import insert_heading, outline_to_path, skip_rows
+from tallyloom.operators.outline import heading_rows, outline_to_path, skip_rows
 from tallyloom.operators.periods import periods_to_months, unpivot_months
+from tallyloom.operators.running import chunk_for
+from tallyloom.session import cut_lineage
 from tallyloom.sources import layouts
 
 MONTHS = [f"m{n}" for n in range(1, 13)]
@@ -106,27 +108,33 @@ def _units(table: DataFrame) -> DataFrame:
 
 def historical_volumes(cells: DataFrame, rows: str = "1:70") -> DataFrame:
     """Side-by-side tables, one per year; only the first has a unit column."""
-    tables = grid.tables_by_columns(cells, rows)
     key = [*SHEET, "table_no"]
-    first, others = tables.where("table_no = 1"), tables.where("table_no > 1")
-    units = _units(grid.drop_columns_at(first, [], key))
-    flat = grid.drop_columns_at(first, [2], key).unionByName(grid.drop_columns_at(others, [], key))
+    # Read for the left edges, the years, the units and the data: kept once.
+    tables = cut_lineage(grid.tables_by_columns(cells, rows).drop("indent"))
+    left = tables.groupBy(*key).agg(F.min("col").alias("_left"))
+    placed = tables.join(left, key).withColumn("col", F.col("col") - F.col("_left")).drop("_left")
+    units = _units(placed.where("table_no = 1"))
+    first = F.col("table_no") == 1
+    flat = placed.where(~(first & (F.col("col") == 2))).withColumn(
+        "col", F.col("col") - (first & (F.col("col") > 2)).cast("int")
+    )
     top = int(rows.partition(":")[0]) - 1
     years = (
         flat.where((F.col("row") == top) & F.col("col").isin(2, 3))
         .groupBy(*key)
         .agg(F.min_by("value", "col").cast("double").cast("int").alias("year"))
     )
-    tables_only = flat.select(*key).distinct()
-    require_none(tables_only.join(years, key, "left_anti"), "volume tables without a year")
     names = {0: "dept_id", 1: "dept_name"} | {n + 1: m for n, m in enumerate(MONTHS, start=1)}
-    data = by_position(flat.where(F.col("row") >= top + 2), names, key).join(years, key)
-    return _volume_rows(data, units)
+    data = by_position(flat.where(F.col("row") >= top + 2), names, key).join(years, key, "left")
+    return _volume_rows(
+        data.withColumn("year", resolved(F.col("year"), "a volume table has no year")), units
+    )
 
 
 def current_volumes(cells: DataFrame) -> DataFrame:
     """One table per workbook from A1: id, name, unit, twelve months; the year is in the file name."""
-    table = grid.table_at(cells, "A1").where(F.col("row") > 0)
+    # Read for the units and for the data.
+    table = cut_lineage(grid.table_at(cells, "A1").where(F.col("row") > 0))
     names = {0: "dept_id", 1: "dept_name"} | {n + 2: m for n, m in enumerate(MONTHS, start=1)}
     year = F.regexp_extract("file", r"(\d{4})", 1).cast("int")
     return _volume_rows(by_position(table, names).withColumn("year", year), _units(table))
@@ -144,8 +152,10 @@ def historical_budget(
     """Budget table joined with goal hours per unit and last year's units of service."""
     main = grid.tables_by_rows(cells.where(F.col("sheet") == budget_sheet), "A:J", start=6, limit=1)
     rows = by_position(main, BUDGET_HISTORICAL, ["file"])
+    hours = cells.where(F.col("sheet") == hours_sheet)
     goals = grid.promote_header(
-        grid.table_at(cells.where(F.col("sheet") == hours_sheet), "A2"), ["ID", "GOAL"], ["file"]
+        grid.table_at(hours, "A2").where(F.col("row") > 1), ["ID", "GOAL"], SHEET,
+        grid.header_names(hours, header_row=1),
     ).select("file", F.col("ID").alias("dept_id"), F.col("GOAL").cast("double").alias("budget_prod_hrs_per_uos"))
     uos = grid.first_and_last_column(
         grid.table_at(cells.where(F.col("sheet") == uos_sheet), "R3", header=False), ["file"]
@@ -183,18 +193,22 @@ def current_budget(cells: DataFrame) -> DataFrame:
 def contracted_hours(cells: DataFrame, aliases: DataFrame, canonical: DataFrame) -> DataFrame:
     """Contracted hours by month of the end date, else of the invoice date; unknown units raise."""
     sheets = grid.select_sheets(cells, CONTRACTED_SHEETS)
-    rows = grid.promote_header(grid.table_at(sheets, "A2"), list(CONTRACTED_HEADERS))
+    header = grid.header_names(sheets, header_row=1)
+    table = grid.table_at(sheets, "A2").where(F.col("row") > 1)
+    rows = grid.promote_header(table, list(CONTRACTED_HEADERS), header=header)
     named = rows.withColumnsRenamed(CONTRACTED_HEADERS).withColumn(
         "month", month_text(lenient_date(F.col("date_end"), F.col("invoice_date")))
     )
     known = resolve_alias(named, "cost_center", aliases, canonical, "fail")
     hours = [n for n in CONTRACTED_HEADERS.values() if n.endswith("_hrs")]
     kept = drop_zero(drop_null_keys(_numbers(known, hours), ["name", "total_hrs"]), "total_hrs")
-    require_none(
-        kept.where(F.col("month").isNull() | F.col("dept_id").isNull()).select("file", "cost_center", "month"),
-        "contracted hours without month or cost center",
+    checked = kept.withColumns(
+        {
+            "month": resolved(F.col("month"), "contracted hours without a month"),
+            "dept_id": resolved(F.col("dept_id"), "contracted hours of an unknown cost center"),
+        }
     )
-    return conform(kept, layouts.CONTRACTED)
+    return conform(checked, layouts.CONTRACTED)
 
 
 def income_rows(cells: DataFrame) -> DataFrame:
@@ -211,7 +225,7 @@ def income_rows(cells: DataFrame) -> DataFrame:
             F.concat(part("caption", INCOME_MONTH, 2), F.lit("-"), F.lpad(part("caption", INCOME_MONTH, 1), 2, "0")),
         ),
     )
-    require_none(months.where(F.col("month").isNull()).select(*SHEET, "caption"), "no month above the table")
+    months = months.withColumn("month", resolved(F.col("month"), "no month above the table"))
     body = filled(cells).join(months.drop("caption"), SHEET).where(F.col("row") > F.col("top"))
     return by_position(body, INCOME_COLUMNS, [*SHEET, "month"])
 
@@ -230,10 +244,11 @@ def historical_hours(
     """Hours and pay by period from repeated blocks; departments without an id are dropped."""
     columns = {column_index(k): v for k, v in HOURS_COLUMNS.items()}
     used = cells.where(F.col("col").isin(list(columns)))
-    spans = grid.block_spans(used, "PAY PERIOD", "TOTAL")
-    require_none(spans.where(F.col("end_row").isNull()).select(*SHEET, "block_no"), "block without an end")
+    # Small, read three times and checked at once: kept rather than found again.
+    spans = cut_lineage(grid.block_spans(used, "PAY PERIOD", "TOTAL"))
+    require_none(spans.where(F.col("end_row").isNull()), "block without an end")
     heads = grid.block_heads(used, spans, {"period_no": (1, 0)})
-    body = grid.blocks_between(used, "PAY PERIOD", "TOTAL", skip_head=4, skip_tail=2)
+    body = grid.blocks_between(used, "PAY PERIOD", "TOTAL", skip_head=4, skip_tail=2, spans=spans)
     key = [*SHEET, "block_no"]
     rows = by_position(body, columns, key).join(heads, key)
     period = F.format_string("%d-%02d", F.lit(year), F.col("period_no").cast("double").cast("int"))
@@ -245,12 +260,13 @@ def historical_hours(
 
 def current_hours(cells: DataFrame, aliases: DataFrame, canonical: DataFrame) -> DataFrame:
     """Hours and pay by period, one workbook per period; the period is in the file name."""
-    header = grid.merge_subheader(cells, HOURS_ANCHOR, HOURS_SUBHEADERS)
+    # One row per column of a workbook; kept for the check, the names and the first data row.
+    header = cut_lineage(grid.merge_subheader(cells, HOURS_ANCHOR, HOURS_SUBHEADERS))
     require_none(require_headers(header, list(HOURS_REQUIRED), SHEET), "required columns not found")
     tops = header.select(*SHEET, F.col("top").alias("_first")).distinct()
     body = filled(cells).join(tops, SHEET).where(F.col("row") >= F.col("_first") + 2).drop("_first")
     names = {"Department Name": "dept", **HOURS_REQUIRED}
-    rows = grid.promote_header(body, list(names), header=header.drop("top"), skip=0)
+    rows = grid.promote_header(body, list(names), header=header.drop("top"))
     typed = _numbers(rows.withColumnsRenamed(names), list(HOURS_REQUIRED.values())).withColumns(
         {
             "overtime_hrs": F.col("double_hrs") + F.col("ot_hrs"),
@@ -283,19 +299,21 @@ def balance_months(cells: DataFrame) -> DataFrame:
     named = F.concat_ws("-", part("file", BALANCE_FILE, 3), F.lower(part("file", BALANCE_FILE, 2)))
     inside = F.concat_ws("-", part("period", BALANCE_PERIOD, 1), F.lower(part("period", BALANCE_PERIOD, 2)))
     readable = F.col("file").rlike(BALANCE_FILE) & F.col("period").rlike(BALANCE_PERIOD)
-    require_none(
-        content_check(sheets, F.when(readable, named), F.when(readable, inside)).select("file", "period"),
-        "file name and period cell differ",
-    )
     day = F.to_date(F.initcap(F.regexp_replace(named, "-", " ")), "yyyy MMM")
-    return sheets.select(*SHEET, month_text(day).alias("month"))
+    agreed = F.when(readable & (named == inside), month_text(day))
+    return sheets.select(*SHEET, resolved(agreed, "file name and period cell differ").alias("month"))
 
 
 def balance_sheet(cells: DataFrame, levels: int = 16) -> DataFrame:
     """Balance sheet lines with the path of headings they stand under."""
     months = balance_months(cells)
+    body = cells.where(F.col("row") >= BALANCE_FIRST_ROW - 1).select(
+        *SHEET, F.col("row").cast("double").alias("row"), "col", "value", "indent"
+    )
+    accounts = body.where(F.col("col") == 0)
+    heading = heading_rows(accounts, BALANCE_AFTER, BALANCE_HEADING, SHEET, name="value")
     rows = (
-        cells.where(F.col("row") >= BALANCE_FIRST_ROW - 1)
+        body.unionByName(heading.withColumn("col", F.lit(0)))
         .groupBy(*SHEET, "row")
         .agg(
             *[
@@ -305,9 +323,9 @@ def balance_sheet(cells: DataFrame, levels: int = 16) -> DataFrame:
             F.coalesce(F.max(F.when(F.col("col") == 0, F.col("indent"))), F.lit(0)).alias("indent"),
         )
     )
-    headed = insert_heading(rows, BALANCE_AFTER, BALANCE_HEADING, SHEET, name="ledger_acct")
-    lines = skip_rows(headed, "ledger_acct")
-    paths = outline_to_path(lines, SHEET, name="ledger_acct", levels=levels)
+    # A sheet has fewer rows than cells, so its cells tell whether one window will do.
+    size = chunk_for(body, SHEET)
+    paths = outline_to_path(skip_rows(rows, "ledger_acct"), SHEET, name="ledger_acct", levels=levels, chunk=size)
     return conform(paths.join(months, SHEET), layouts.BALANCE)
 
 

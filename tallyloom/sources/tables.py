@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from tallyloom.contracts import contract
 from tallyloom.operators.cleaning import conform
 from tallyloom.operators.groups import top_rows
+from tallyloom.session import cut_lineage
 
 META = contract(string="dataset", timestamp="modified")
 SOURCES_META = contract(string="source", timestamp="modified")
@@ -35,12 +36,13 @@ def upsert(
 ) -> DataFrame:
     """Insert or update by key; of several updates the last under ``order`` wins.
 
-    Only the updates are ranked. Target rows pass an anti join on the key, so a small batch
-    merges into a large table without shuffling it once Spark can broadcast the batch's keys.
+    Only the updates are ranked, and kept once: they are read for their keys and for their rows.
+    Target rows pass an anti join on the key, so a small batch merges into a large table without
+    shuffling it once Spark can broadcast the batch's keys.
     """
     keys = [key] if isinstance(key, str) else list(key)
     latest_first = [(F.col(o) if isinstance(o, str) else o).desc() for o in order]
-    latest = top_rows(updates, keys, latest_first).select(*target.columns)
+    latest = cut_lineage(top_rows(updates, keys, latest_first).select(*target.columns))
     return target.join(latest.select(*keys), keys, "left_anti").select(*target.columns).unionByName(latest)
 
 
