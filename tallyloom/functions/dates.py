@@ -41,8 +41,14 @@ def clock(ts: Column) -> Column:
 
 
 def lenient_date(*candidates: Column) -> Column:
-    """First candidate that reads as month/day/year; junk gives null."""
-    return F.coalesce(*[F.try_to_date(c, "M/d/yyyy") for c in candidates])
+    """First candidate that reads as month/day/year; junk gives null.
+
+    The shape is tested first, as a failed parse costs an exception per row.
+    """
+    shape = r"^\d{1,2}/\d{1,2}/\d{4}$"
+    return F.coalesce(
+        *[F.when(c.rlike(shape), F.try_to_date(c, "M/d/yyyy")) for c in candidates]
+    )
 
 
 def month_text(day: Column) -> Column:

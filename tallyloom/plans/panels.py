@@ -106,11 +106,13 @@ def location_rules(visits: DataFrame, as_of) -> DataFrame:
         F.count_if(in_year & F.col("is_peds")).alias("year_peds"),
         (F.count_if(in_15_months & F.col("is_peds")) == 0).alias("no_recent_peds"),
     )
-    # With three visits in the last year these are also its last three.
+    # With three visits in the last year these are also its last three. The order ends with
+    # every column the facts read, so both branches need the same columns and Spark runs the
+    # exchanges below them (a join that makes the visits, say) once.
     three = last_k(
-        recent.select("person_id", "visit_order", "is_peds"),
+        recent.select("person_id", "visit_order", "is_peds", "is_well", "visit_at"),
         ["person_id"],
-        [F.col("visit_order").desc(), F.col("is_peds").desc()],
+        [F.col(c).desc() for c in ["visit_order", "is_peds", "is_well", "visit_at"]],
         F.col("is_peds"),
     )
     rule = (

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,7 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
+def local_session(cores: int | str = "*", memory: str = "8g", **settings: str) -> SparkSession:
     """A session on this machine, for tests and timings."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -36,7 +37,7 @@ def local_session(cores: int | str = "*", memory: str = "8g") -> SparkSession:
         # Recording the Python call site of every column costs more than planning the query.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
-    for name, value in SQL_SETTINGS.items():
+    for name, value in {**SQL_SETTINGS, **settings}.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
 
@@ -52,9 +53,12 @@ def shared_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="tallyloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_dir()
+
+
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="tallyloom-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
