@@ -111,8 +111,8 @@ def person_portal(t):
 
 @query(
     "person_lists",
-    f"""WITH {PERSON_SQL}, c AS (SELECT source_id, count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM o WHERE o_orderkey % 3 = 0 GROUP BY source_id HAVING count(*) > 4),
-x AS (SELECT person_id, o_orderkey, CAST(floor((o_orderkey - lo) / ((hi - lo + 1) / ceil(n / 4.0))) AS BIGINT) AS part FROM o JOIN c USING (source_id) JOIN kept USING (source_id) WHERE o_orderkey % 3 = 0)
+    f"""WITH {PERSON_SQL}, r AS (SELECT source_id, o_orderkey, count(*) OVER (PARTITION BY source_id) AS n, (row_number() OVER (PARTITION BY source_id ORDER BY o_orderkey) - 1) // 4 AS part FROM o WHERE o_orderkey % 3 = 0),
+x AS (SELECT person_id, o_orderkey, part FROM r JOIN kept USING (source_id) WHERE n > 4)
 SELECT person_id, part, '[' || string_agg('"I' || CAST(o_orderkey % 100 AS VARCHAR) || '"', ',' ORDER BY o_orderkey) || ']' AS icds FROM x GROUP BY ALL""",
 )
 def person_long_lists(t):
@@ -394,8 +394,8 @@ SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS dept_id, 'Supplier ' || CAST(l_suppk
 @query("historical_volumes", VOLUME_SQL)
 def historical_volumes(t):
     """Fifty departments per sheet, years side by side, units in the first table only."""
-    base = t.spark.range(1995, 2002).select(F.col("id").cast("int").alias("year"))
-    rows = t.lineitem.select("l_suppkey").distinct().crossJoin(F.broadcast(base)).join(monthly(t), ["l_suppkey", "year"], "left").select(
+    years = F.explode(F.sequence(F.lit(1995), F.lit(2001))).alias("year")
+    rows = t.lineitem.select("l_suppkey").distinct().select("l_suppkey", years).join(monthly(t), ["l_suppkey", "year"], "left").select(
         F.concat(F.lit("v"), F.floor(F.col("l_suppkey") / 50).cast("string")).alias("file"), (F.col("l_suppkey") % 50 + 2).cast("int").alias("row"), "*"
     )
     first = F.col("year") == 1995

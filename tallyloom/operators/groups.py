@@ -11,6 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyloom.operators.running import CHUNK, running
+from tallyloom.session import cut_lineage
+
 
 def _columns(names: list[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
@@ -54,30 +57,31 @@ def group_to_json(
     """Rows per key as a JSON array of records, nulls written out, in ``order``.
 
     Returns ``(key, part, parts, out)``. A key of at most ``part_rows`` rows is one text, part 0
-    of 1. A larger one is split over consecutive parts by the numeric ``order``, so no task
-    gathers an unbounded group and no row is lost; ``parts`` is the number planned.
+    of 1. A larger one is split into consecutive parts of ``part_rows`` rows, so no task gathers
+    an unbounded group and no row is lost. The rows per key are counted first; without a large
+    key the plan is a single aggregate. ``order`` is numeric and unique per key.
     """
-    rows = df.where(F.col(key).isNotNull())
-    span = F.col("_hi") - F.col("_lo") + 1
-    large = (
-        rows.groupBy(F.col(key).alias("_key"))
-        .agg(F.count("*").alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        .where(F.col("_n") > part_rows)
-        .select(
-            "_key",
-            "_lo",
-            F.ceil(F.col("_n") / part_rows).alias("_parts"),
-            (span / F.ceil(F.col("_n") / part_rows)).alias("_step"),
+    rows = df.where(F.col(key).isNotNull()).select(key, order, F.struct(*columns).alias("_record"))
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"))
+    whole = {"_part": F.lit(0).cast("bigint"), "_parts": F.lit(1).cast("bigint")}
+    if sizes.where(F.col("_n") > part_rows).isEmpty():
+        placed = rows.withColumns(whole)
+    else:
+        large = cut_lineage(sizes.where(F.col("_n") > part_rows))
+        ranked = running(
+            rows.join(large, key), [key], order, sums={"_rank": F.lit(1)}, chunk=CHUNK
+        ).withColumns(
+            {
+                "_part": F.floor((F.col("_rank") - 1) / part_rows),
+                "_parts": F.ceil(F.col("_n") / part_rows),
+            }
         )
-    )
-    placed = rows.join(large, F.col(key) == F.col("_key"), "left").withColumns(
-        {
-            "_part": F.coalesce(F.floor((F.col(order) - F.col("_lo")) / F.col("_step")), F.lit(0)),
-            "_parts": F.coalesce("_parts", F.lit(1)),
-        }
-    )
-    record = F.struct(F.col(order).alias("_order"), F.struct(*columns).alias("_record"))
-    packed = F.transform(F.array_sort(F.collect_list(record)), lambda r: r["_record"])
+        placed = (
+            rows.join(large, key, "left_anti").withColumns(whole)
+            .unionByName(ranked.drop("_rank", "_n"))
+        )
+    entry = F.struct(F.col(order).alias("_order"), "_record")
+    packed = F.transform(F.array_sort(F.collect_list(entry)), lambda r: r["_record"])
     return placed.groupBy(key, F.col("_part").alias("part"), F.col("_parts").alias("parts")).agg(
         F.to_json(packed, {"ignoreNullFields": "false"}).alias(out)
     )

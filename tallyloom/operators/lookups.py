@@ -1,8 +1,8 @@
 """Equi-joins, lookups and alias resolution.
 
-No hint forces a broadcast. Small lookup sides are broadcast by Spark from their
-measured size (statically or at run time under AQE); larger ones are shuffled, and
-AQE splits the partitions of hot keys.
+Tables read from files are broadcast by Spark when their measured size allows; larger ones
+are shuffled, and AQE splits the partitions of hot keys. Lookup tables handed in by the caller
+have no size Spark knows, so ``if_small`` counts them before it asks for a broadcast.
 """
 
 from __future__ import annotations
@@ -16,6 +16,15 @@ from pyspark.sql import types as T
 from tallyloom.operators.groups import dedupe_first
 
 
+BROADCAST_ROWS = 100_000
+
+
+def if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast the table if it has at most ``rows`` rows, else leave the join to shuffle."""
+    few = table.limit(rows + 1).count() <= rows
+    return F.broadcast(table) if few else table
+
+
 def lookup(df: DataFrame, table: DataFrame, on: str | list[str]) -> DataFrame:
     """Left join; rows without a match keep nulls."""
     return df.join(table, on, "left")
@@ -100,10 +109,10 @@ def resolve_alias(
     folded = aliases.groupBy(F.lower("alias").alias("_alias")).agg(F.max_by("id", wins).alias("_id"))
     names = canonical.groupBy(F.col("id").alias("_cid")).agg(F.max("name").alias("_name"))
     how = "inner" if on_miss == "drop" else "left"
-    found = df.join(folded, F.lower(F.col(column)) == F.col("_alias"), how)
+    found = df.join(if_small(folded), F.lower(F.col(column)) == F.col("_alias"), how)
     own = F.col(column) if on_miss == "keep" else F.lit(None).cast("string")
     found = found.withColumn(id_out, F.coalesce("_id", own))
-    found = found.join(names, F.col(id_out) == F.col("_cid"), "left")
+    found = found.join(if_small(names), F.col(id_out) == F.col("_cid"), "left")
     fallback = F.col(id_out) if on_miss == "keep" else F.lit(None).cast("string")
     return found.withColumn(name_out, F.coalesce("_name", fallback)).drop(
         "_alias", "_id", "_cid", "_name"

@@ -66,8 +66,12 @@ def read_named(
     keep_order: bool = False,
     multiline: bool = False,
 ) -> DataFrame:
-    """Header-driven read: keep the layout's columns, cast, rename (``renames`` maps header to name)."""
-    raw = require_columns(_options(spark.read, multiline).csv(path), layout.fieldNames(), str(path))
+    """Header-driven read: keep the layout's columns, cast, rename (``renames`` maps header to name).
+
+    All files of one call share a header; a file with another one raises.
+    """
+    reader = _options(spark.read, multiline).option("enforceSchema", False)
+    raw = require_columns(reader.csv(path), layout.fieldNames(), str(path))
     raw = with_file_order(raw) if keep_order else raw
     typed = _finish(_blank_to_null(raw, layout.fieldNames()), layout, keep_order)
     return typed.withColumnsRenamed(dict(renames))
@@ -92,12 +96,13 @@ def read_preamble(
     heads = (
         lines.where(F.col("_block") == 0)
         .groupBy(F.col("_file").alias("_f"))
-        .agg(F.min("_line").alias("_first"))
+        .agg(F.min("_line").alias("_first"), F.count("*").alias("_lines"))
     )
     # Ids are consecutive within a split, so the data begins a fixed number of ids later.
-    body = lines.join(heads, F.col("_file") == F.col("_f")).where(
-        (F.col("_block") > 0) | (F.col("_line") > F.col("_first") + skip)
+    behind_header = F.when(F.col("_lines") > skip, F.col("_line") > F.col("_first") + skip).otherwise(
+        F.raise_error(F.lit("preamble longer than the file's first split"))
     )
+    body = lines.join(heads, F.col("_file") == F.col("_f")).where((F.col("_block") > 0) | behind_header)
     fields = ", ".join(f"_c{i} string" for i in range(width))
     parsed = body.where(F.trim("value") != "").select(
         *FILE_ORDER, F.from_csv("value", fields, {"escape": '"'}).alias("_r")

@@ -59,11 +59,6 @@ def test_range_and_sample(frame):
     assert [r["n"] for r in g.sample_first(df, ["n"], 2).collect()] == [1, 2]
 
 
-def executed(df):
-    df.collect()
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_hot_keys_are_reduced_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     top = df.transform(lambda d: g.top_rows(d, ["k"], [F.col("id").desc()], 3))
