@@ -16,11 +16,17 @@ from tallyloom.sources import csv, layouts
 DAY = "1990-01-01"
 
 
+_WORKBOOKS: dict[tuple[str, str], str] = {}
+
+
 def stored(df, t, label):
-    """Cells kept as a table, as a workbook import leaves them."""
-    path = scratch_path(t.spark, label)
-    df.write.parquet(path)
-    return t.spark.read.schema(df.schema).parquet(path)
+    """Cells kept as a table, as a workbook import leaves them; made once per process."""
+    key = (t.root, label)
+    if key not in _WORKBOOKS:
+        path = scratch_path(t.spark, label)
+        df.write.parquet(path)
+        _WORKBOOKS[key] = path
+    return t.spark.read.schema(df.schema).parquet(_WORKBOOKS[key])
 
 
 def text_of(column):
@@ -436,7 +442,7 @@ def current_volumes(t):
     titles = {0: F.lit("ID"), 1: F.lit("Name"), 2: F.lit("Unit"), **{n + 2: F.lit(f"month {n}") for n in range(1, 13)}}
     body = cells(rows, {0: F.col("id"), 1: F.col("name"), 2: F.col("unit"), **{n + 2: F.col(f"m{n}") for n in range(1, 13)}})
     note = cells(heads.withColumn("row", F.lit(60)), {0: F.lit("a note below the table")})
-    return finance.current_volumes(stored(body.unionByName(cells(heads, titles)).unionByName(note), t, "volumes"))
+    return finance.current_volumes(stored(body.unionByName(cells(heads, titles)).unionByName(note), t, "current_volumes"))
 
 
 def _by_file():
@@ -468,7 +474,7 @@ def historical_budget(t):
     units = cells(rows.withColumn("row", F.col("row") - 4), {17: F.col("id"), 18: F.lit("m"), 19: F.when(F.col("p_partkey") % 4 != 1, text_of("p_partkey"))})
     sheets = {"Budget": budget.unionByName(below), "Goals": goals.unionByName(filler).unionByName(titles), "UOS": units}
     grid = [df.withColumn("sheet", F.lit(n)) for n, df in sheets.items()]
-    sheets = stored(grid[0].unionByName(grid[1]).unionByName(grid[2]), t, "budget")
+    sheets = stored(grid[0].unionByName(grid[1]).unionByName(grid[2]), t, "historical_budget")
     return finance.historical_budget(sheets, "Budget", "Goals", "UOS", 2024)
 
 
@@ -637,7 +643,7 @@ def current_hour_grid(t):
     moved = body.unionByName(top).unionByName(below).join(files, "file").withColumn("col", F.col("col") + F.col("shift")).drop("shift")
     lead = cells(files.where("shift = 1").withColumn("row", F.lit(3)), {0: F.lit("Period")})
     title = cells(files.withColumn("row", F.lit(0)), {0: F.lit("Payroll report")})
-    return stored(moved.unionByName(lead).unionByName(title), t, "hours")
+    return stored(moved.unionByName(lead).unionByName(title), t, "current_hours")
 
 
 @query("current_hours", f"WITH {CURRENT_HOURS_SQL} SELECT * EXCLUDE (st), strftime(st, '%Y-%m-%d') AS start_date FROM c")

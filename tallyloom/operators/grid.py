@@ -111,10 +111,14 @@ def _islands(cells: DataFrame, axis: str, limit: int | None, chunk: int | None)
     data = filled(cells)
     size = chunk_for(data, SHEET, chunk)
     if size is None:
-        # Cells sorted by position: one that lies two or more behind the cell before it starts a run.
-        gap = F.col(axis) - F.lag(axis).over(W.partitionBy(*SHEET).orderBy(axis))
-        marked = data.withColumn("_start", F.when(gap <= 1, 0).otherwise(1))
-        numbered = running(marked, SHEET, axis, sums={"table_no": F.col("_start")}).drop("_start")
+        # A cell two or more behind the cell before it starts a run. The sum takes in all cells at
+        # its position, so it does not matter which of them is marked.
+        along = W.partitionBy(*SHEET).orderBy(axis)
+        gap = F.col(axis) - F.lag(axis).over(along)
+        so_far = along.rangeBetween(W.unboundedPreceding, W.currentRow)
+        numbered = data.withColumn("_start", F.when(gap <= 1, 0).otherwise(1)).withColumn(
+            "table_no", F.sum("_start").over(so_far)
+        ).drop("_start")
         return numbered.where(F.col("table_no") <= limit) if limit else numbered
     used = data.select(*SHEET, axis).distinct()
     starts = run_edges(used, SHEET, axis).where("starts").select(*SHEET, axis, F.lit(1).alias("_start"))

@@ -19,9 +19,10 @@ from tallyloom.operators.groups import dedupe_first
 BROADCAST_ROWS = 100_000
 
 
-def if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast the table if it has at most ``rows`` rows, else leave the join to shuffle."""
-    few = table.limit(rows + 1).count() <= rows
+def if_small(table: DataFrame, source: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``table``, made from ``source`` with no more rows, if the source has at most
+    ``rows`` of them; else leave the join to shuffle."""
+    few = source.limit(rows + 1).count() <= rows
     return F.broadcast(table) if few else table
 
 
@@ -109,10 +110,10 @@ def resolve_alias(
     folded = aliases.groupBy(F.lower("alias").alias("_alias")).agg(F.max_by("id", wins).alias("_id"))
     names = canonical.groupBy(F.col("id").alias("_cid")).agg(F.max("name").alias("_name"))
     how = "inner" if on_miss == "drop" else "left"
-    found = df.join(if_small(folded), F.lower(F.col(column)) == F.col("_alias"), how)
+    found = df.join(if_small(folded, aliases), F.lower(F.col(column)) == F.col("_alias"), how)
     own = F.col(column) if on_miss == "keep" else F.lit(None).cast("string")
     found = found.withColumn(id_out, F.coalesce("_id", own))
-    found = found.join(if_small(names), F.col(id_out) == F.col("_cid"), "left")
+    found = found.join(if_small(names, canonical), F.col(id_out) == F.col("_cid"), "left")
     fallback = F.col(id_out) if on_miss == "keep" else F.lit(None).cast("string")
     return found.withColumn(name_out, F.coalesce("_name", fallback)).drop(
         "_alias", "_id", "_cid", "_name"

@@ -25,6 +25,12 @@ def test_aliases(frame, tables, on_miss, wanted):
     assert rows(j.resolve_alias(df, "dept", *tables, on_miss)) == sorted(wanted, key=repr)
 
 
+def test_broadcast_only_when_small(frame):
+    table = frame("k int", (1,), (2,), (3,))
+    plan = lambda df: df._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" in plan(j.if_small(table, table, 3)) and "ResolvedHint" not in plan(j.if_small(table, table, 2))
+
+
 def test_alias_last_wins(frame, tables):
     aliases = frame("alias string, id string, seq int", ("lab", "D9", 1), ("LAB", "D2", 2))
     df = frame("dept string", ("Lab",))
