@@ -53,7 +53,7 @@ def hash_ids(t):
     "hash_texts",
     """
 SELECT doc_id, list_reduce(list_prepend(2166136261::BIGINT,
-  list_transform(range(1, octet_length(encode(text)) + 1), lambda i: CAST('0x' || substr(hex(encode(text)), (2 * i - 1)::BIGINT, 2) AS BIGINT))),
+  list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda c: CAST('0x' || c AS BIGINT))),
   lambda h, b: (xor(h, b) * 16777619) & 4294967295) AS plain FROM documents
 """,
 )
