@@ -286,8 +286,11 @@ def _period_hours(rows: DataFrame, aliases: DataFrame, canonical: DataFrame) ->
 
 
 def hours_by_month(by_period: DataFrame) -> DataFrame:
-    """Bi-weekly hours and pay shared out to calendar months."""
-    return periods_to_months(by_period, ["dept_id", "dept_name"], HOURS, "total_fte")
+    """Bi-weekly hours and pay shared out to calendar months; a period without a start raises."""
+    placed = by_period.withColumn(
+        "start_date", resolved(F.col("start_date"), "a pay period has no start date")
+    )
+    return periods_to_months(placed, ["dept_id", "dept_name"], HOURS, "total_fte")
 
 
 def balance_months(cells: DataFrame) -> DataFrame:

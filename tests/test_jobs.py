@@ -229,6 +229,8 @@ def test_current_hours_and_months(grid, names):
     assert rows(by_month, "dept_id", "month", "reg_hrs", "total_amt") == [("D1", "2024-01", 80.0, 1400.0), ("D1", "2024-02", 80.0, 1400.0)]
     fte = {r["month"]: r["total_fte"] for r in by_month.collect()}
     assert abs(fte["2024-01"] - 2 * 1.4 * 0.5 * 14 / 31) < 1e-12 and abs(fte["2024-02"] - 2 * 1.4 * 0.5 * 14 / 29) < 1e-12
+    with pytest.raises(Exception, match="no start date"):
+        finance.hours_by_month(got.withColumn("start_date", F.lit(None).cast("date"))).collect()
     with pytest.raises(ValueError, match="required columns"):
         finance.current_hours(grid(["title"], first[:-1], second, body, file="PP#3 2024 Payroll.xlsx"), *names)
 

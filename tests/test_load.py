@@ -88,3 +88,61 @@ def test_charges_merge_file_by_file(spark, world):
     assert load.load_fees(spark, src, "extra.csv") is None
     with pytest.raises(ValueError, match="no charges"):
         load.load_charges(spark, str(world / "log1" / "meta" / "_SUCCESS"), None, first, ids, "salt")
+
+
+def test_finance_load(spark, frame, grid, tmp_path):
+    twelve = lambda start: [str(start + n) for n in range(12)]
+    sheet = [
+        [None, None, None, "2023", *[None] * 15, "2024"],
+        ["Id", "Name", "Unit", *"JFMAMJJASOND", "Total", None, "Id", "Name", *"JFMAMJJASOND", "Total"],
+        ["D1", "icu", "Days", *twelve(1), "78", None, "D1", "icu", *twelve(11), "198"],
+    ]
+    blank = [[None]] * 6
+    current = [["ID", "Name", "Unit", *"JFMAMJJASOND"], ["D2", "lab", "Tests", *twelve(5)]]
+    name = "(02) Feb 2025 Dashboard.xlsx"
+    hours = [
+        ["Department Number", "Department Name", "x", None, None, "y", None, "Total Productive Hours", "Total Non-Productive Hours", "Total Productive/Non-Productive Hours", "Total Dollars", "Total FTE"],
+        [None, None, "Regular Hours", "CALLBK - CALLBACK", "DBLTME - DOUBLETIME", "z", "OT_1.5 - OVERTIME"],
+        ["1", "icu", "80", "1", "2", "3", "4", "70", "10", "80", "1400", "1.4"],
+    ]
+    old = lambda *v: [*v[:4], None, None, v[4], *[None] * 5, v[5], v[6], *[None] * 11, v[7], None, v[8]]
+    balance = "(01) Jan 2024 Balance Sheet.xlsx"
+    grids = {
+        "historical_workbook": grid(*sheet, sheet="Volumes 24").unionByName(grid(*sheet, sheet="UOS 24"))
+        .unionByName(grid(*blank, ["D1", "icu", "2", "x", "x", "100", "50", None, "30"], sheet="Budget"))
+        .unionByName(grid(["t"], ["ID", "GOAL"], ["D1", "2.5"], sheet="Goals")),
+        "workbooks": grid(*current, file=f"/data/{name}", sheet="Volumes").unionByName(grid(*current, file=f"/data/{name}", sheet="UOS"))
+        .unionByName(grid(*blank, ["1/31/2025", "D2", "lab", "2", None, None, None, "9", "100", "50", "8", None, "30"], file=f"/data/{name}", sheet="Budget")),
+        "historical_hours": grid(["PAY PERIOD"], ["3"], ["h"], ["h"], old("1", "ICU", "8", "2", "10", "1", "11", "99.5", "1"), ["s"], ["s"], [None, "TOTAL"]),
+        "hours": grid(*hours, file="/data/PP#3 2024 Payroll.xlsx"),
+        "contracted_hours": grid(["title"], ["Traveler Name", "Cost Center", "Date End", "Total Hours"], ["a", "icu", "1/31/2024", "8"], sheet="2024 DATA"),
+        "income_statements": grid([None, None, None, None, "Month to Date: 3/2024"], ["Ledger Account", "Cost Center"], ["A1", "icu", "x", "y", "1.5"]),
+        "balance_sheets": frame(
+            "file string, sheet string, row int, col int, value string, indent int",
+            (f"/data/{balance}", "S", 2, 1, "2024 - Jan", 0), (f"/data/{balance}", "S", 7, 0, "Assets", 0), (f"/data/{balance}", "S", 7, 1, "5", 0),
+        ),
+    }
+    paths = {kind: str(tmp_path / "grids" / kind) for kind in grids}
+    for kind, df in grids.items():
+        df.write.parquet(paths[kind])
+    put(tmp_path, "misc.csv", "m,n,v", "2024-01,visits,7")
+    put(tmp_path, "aged.csv", "d,a,t,n", "2024-01-31 00:00:00,0-30,1.5,2")
+    aliases = frame("alias string, id string", ("ICU", "D1"), ("Lab", "D2"))
+    canonical = frame("id string, name string", ("D1", "Intensive Care"), ("D2", "Laboratory"))
+    sheets = {"volumes": "Volumes", "uos": "UOS", "budget": "Budget", "hours_per_volume": "Goals", "historical_volumes": "Volumes 24", "historical_uos": "UOS 24"}
+    out = str(tmp_path / "out")
+    load.load_finance(
+        spark, paths, {"misc_volumes": str(tmp_path / "misc.csv"), "aged_receivables": str(tmp_path / "aged.csv")},
+        out, aliases, canonical, 2024, sheets, 2022,
+    )
+    read = lambda table, *cols: rows(tables.read_table(spark, f"{out}/{table}"), *cols)
+    volumes = tables.read_table(spark, f"{out}/volumes")
+    assert rows(volumes.groupBy(volumes.month.substr(1, 4).alias("y"), "unit").count()) == [("2023", "Days", 12), ("2024", "Days", 12), ("2025", "Tests", 12)]
+    assert read("uos", "month", "volume")[12] == ("2024-01", 11.0)
+    assert read("budget", "dept_id", "year", "budget_uos", "budget_prod_hrs_per_uos") == [("D1", 2024, 198.0, 2.5), ("D2", 2025, 8.0, 12.5)]
+    assert read("hours_by_period", "pay_period", "reg_hrs") == [("2022-03", 8.0), ("2024-03", 80.0)]
+    assert [r[0] for r in read("hours", "month")] == ["2022-01", "2024-01"]
+    assert read("contracted_hours", "name", "month") == [("a", "2024-01")]
+    assert read("income_statement", "ledger_acct", "actual") == [("A1", 1.5)]
+    assert read("balance_sheet", "tree", "actual") == [("Assets", 5.0)]
+    assert read("misc_volumes") == [("2024-01", "visits", 7)] and read("aged_receivables", "date", "total") == [("2024-01-31", 1.5)]
