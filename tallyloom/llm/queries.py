@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyloom.llm.decontamination import decontaminate, n_hit
+from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.token_counts import token_counts
 from tallyloom.session import configure
 
@@ -33,3 +36,24 @@ def query(fn):
 @query
 def op8_token_counts(t):
     return token_counts(t.documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op3_simhash_near_dedup(t):
+    found = near_duplicates(t.documents, shingle=3, radius=3)
+    bits = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select("doc_id", bits, "component_id")
+
+
+@query
+def op9_benchmark_decontamination(t):
+    found = decontaminate(t.documents, t.benchmark, width=10, slop=2, near_terms=3)
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        n_hit(F.col("spans")).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("items") > 0).alias("contaminated"),
+        F.size("near").cast("long").alias("n_near_items"),
+    )
