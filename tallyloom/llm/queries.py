@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.decontamination import decontaminate, n_hit
+from tallyloom.llm.quality_classifier import quality_scores, train
+from tallyloom.llm.quality_rules import quality_rules
+from tallyloom.llm.quality_rules import train as fit_lines
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.token_counts import token_counts
 from tallyloom.session import configure
@@ -57,3 +60,13 @@ def op9_benchmark_decontamination(t):
         (F.size("items") > 0).alias("contaminated"),
         F.size("near").cast("long").alias("n_near_items"),
     )
+
+
+@query
+def op1_quality_classifier(t):
+    return quality_scores(t.documents, train(t.documents, t.labels, fit_rows=6000), threshold=0.7)
+
+
+@query
+def op10_quality_rules(t):
+    return quality_rules(t.documents, fit_lines(t.documents, t.labels, fit_rows=2000))
