@@ -14,6 +14,8 @@ from tallyloom.llm.quality_rules import quality_rules
 from tallyloom.llm.quality_rules import train as fit_lines
 from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.token_counts import token_counts
+from tallyloom.llm.toxicity import toxicity
+from tallyloom.llm.toxicity import train as fit_examples
 from tallyloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +72,9 @@ def op1_quality_classifier(t):
 @query
 def op10_quality_rules(t):
     return quality_rules(t.documents, fit_lines(t.documents, t.labels, fit_rows=2000))
+
+
+@query
+def op7_toxicity(t):
+    index = fit_examples(t.documents, t.labels, fit_rows=6000, least_z=4.0, k=21)
+    return toxicity(t.documents, index, threshold=0.7).drop("evidence")
