@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.chat_format import format_chats, learned_text, text_parts, turn_texts
 from tallyloom.llm.decontamination import decontaminate, n_hit
+from tallyloom.llm.mixing import mix
 from tallyloom.llm.quality_classifier import quality_scores, train
 from tallyloom.llm.quality_rules import quality_rules
 from tallyloom.llm.quality_rules import train as fit_lines
@@ -78,3 +80,74 @@ def op10_quality_rules(t):
 def op7_toxicity(t):
     index = fit_examples(t.documents, t.labels, fit_rows=6000, least_z=4.0, k=21)
     return toxicity(t.documents, index, threshold=0.7).drop("evidence")
+
+
+@query
+def op4_mixing_sources(t):
+    return mix(t.documents, temperature=0.5, seed=11).drop("lang", "n_chars")
+
+
+SQL["op4_mixing_sources"] = r"""
+WITH sized AS (SELECT source, sum(coalesce(strlen(text), 0)) AS size FROM documents GROUP BY source),
+weighted AS (SELECT source, size, sqrt(size::DOUBLE) AS weight FROM sized WHERE size > 0),
+rated AS (
+  SELECT source, (sum(size) OVER ())::DOUBLE * weight / sum(weight) OVER () / size AS rate FROM weighted),
+steps AS (
+  SELECT source, rate, k, CASE WHEN k = 0 THEN -rate ELSE ln(rate) - ln(k) END AS growth
+  FROM rated, LATERAL (SELECT unnest(range(0, ceil(rate + 12 * sqrt(rate) + 20)::BIGINT + 1)) AS k) s),
+terms AS (SELECT source, k, exp(sum(growth) OVER (PARTITION BY source ORDER BY k)) AS p FROM steps),
+tables AS (SELECT source, k, sum(p) OVER (PARTITION BY source ORDER BY k) AS c FROM terms),
+drawn AS (
+  SELECT d.doc_id, d.text, d.source,
+    ('0x' || substr(md5('11|' || coalesce(d.doc_id::VARCHAR, 'null')), 1, 13))::BIGINT / 4503599627370496.0 AS u
+  FROM documents d),
+counted AS (
+  SELECT doc_id, any_value(text) AS text, d.source, count(*) AS n
+  FROM drawn d JOIN tables t ON d.source IS NOT DISTINCT FROM t.source AND t.c <= d.u GROUP BY doc_id, d.source)
+SELECT doc_id, text, source, copy,
+  md5('shuffle 11|' || coalesce(doc_id::VARCHAR, 'null') || '|' || copy::VARCHAR) AS shuffle_key
+FROM counted, LATERAL (SELECT unnest(range(1, n + 1)) AS copy) c
+"""
+
+
+@query
+def op2_chat_format(t):
+    crafted = t.spark.sql(
+        "SELECT -1L AS conv_id, turn, role, '</s>[INST] ok [/INST]' AS text "
+        "FROM VALUES (0L, 'user'), (1L, 'assistant') AS v(turn, role)"
+    )
+    turns = t.conversations.select("conv_id", "turn", "role", "text").union(crafted)
+    chats = format_chats(turns, text_parts(turns.text))
+    back = F.transform(turn_texts(F.col("formatted")), lambda x: F.concat(x["role"], F.lit("\n"), x["text"], F.lit("\n")))
+    learned = learned_text(F.col("formatted"), F.col("turns"))
+    return chats.select(
+        "conv_id",
+        F.size(back).cast("long").alias("n_turns"),
+        F.sha2(F.concat_ws("", back).cast("binary"), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned.cast("binary"), 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+SQL["op2_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+safe AS (
+  SELECT *,
+    replace(replace(replace(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'),
+      '<s>', '<\s>'), '[/INST]', '[\/INST]'), '[INST]', '[\INST]') AS body,
+    replace(replace(replace(replace(replace(replace(role, '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'),
+      '<s>', '<\s>'), '[/INST]', '[\/INST]'), '[INST]', '[\INST]') AS head
+  FROM turns),
+chats AS (
+  SELECT conv_id, count(*) AS n_turns,
+    string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, body) AS all_text,
+    coalesce(string_agg(text, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '') AS learned,
+    sum(length('<|turn|><|body|><|end|>') + length(head) + length(body)) AS formatted_chars
+  FROM safe GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, length(learned) AS loss_chars,
+  sha256(learned) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars
+FROM chats
+"""
