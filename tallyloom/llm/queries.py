@@ -18,6 +18,7 @@ from tallyloom.llm.simhash import near_duplicates
 from tallyloom.llm.token_counts import token_counts
 from tallyloom.llm.toxicity import toxicity
 from tallyloom.llm.toxicity import train as fit_examples
+from tallyloom.llm.url_filters import filter_urls, host_of, path_of, patterns_of
 from tallyloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +152,73 @@ SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, length(learned) AS lo
   sha256(learned) AS loss_sha256, formatted_chars::BIGINT AS formatted_chars
 FROM chats
 """
+
+
+def hashed(what, *parts):
+    """A number below 2**28 from some columns, which SQL can make as well."""
+    digest = F.md5(F.concat_ws("|", F.lit(what), *parts).cast("binary"))
+    return F.conv(F.substring(digest, 1, 7), 16, 10).cast("long")
+
+
+@query
+def op5_url_filters(t):
+    """Captures get a fetch time of their id; every second pattern of the pages has been on a list."""
+    start, days = 1_577_836_800, 1500  # 2020-01-01
+    fetched = F.timestamp_seconds(start + F.pmod(hashed("fetch", F.col("page_id").cast("string")), F.lit(days * 86_400)))
+    captures = t.pages.select("page_id", "url", fetched.alias("fetch_time"))
+    covering = patterns_of(host_of(F.col("url")), path_of(F.col("url")), 3)
+    patterns = t.pages.select(F.explode(covering).alias("pattern")).distinct()
+    dated = patterns.select("pattern", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("n"))
+    number = lambda what: hashed(what, "pattern", F.col("n").cast("string"))
+    entries = dated.where(F.pmod(hashed("listed", "pattern"), F.lit(2)) == 0).select(
+        "pattern",
+        F.element_at(F.array(*map(F.lit, ("ads", "adult", "spam"))), (number("list") % 3 + 1).cast("int")).alias("list"),
+        F.element_at(F.array(*map(F.lit, ("block", "allow", "remove"))), (number("action") % 3 + 1).cast("int")).alias("action"),
+        F.date_from_unix_date((F.lit(start // 86_400) + number("day") % days).cast("int")).alias("day"),
+    )
+    found = filter_urls(captures, entries, depth=3, bucket_days=64)
+    return found.withColumn("lists", F.array_join("lists", ","))
+
+
+SQL["op5_url_filters"] = r"""
+WITH captures AS (
+  SELECT page_id, url,
+    make_timestamp((1577836800 + ('0x' || substr(md5('fetch|' || page_id::VARCHAR), 1, 7))::BIGINT % (1500 * 86400)) * 1000000)
+      AS fetch_time,
+    lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#\\]*)', 1)) AS host,
+    list_filter(string_split(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#\\]*([^?#]*)', 1), '/'),
+      lambda s: s <> '') AS segments
+  FROM pages),
+keyed AS (
+  SELECT *, unnest(list_concat(
+    list_transform(range(1, greatest(len(string_split(host, '.')) - 1, 1) + 1),
+      lambda i: array_to_string(list_slice(string_split(host, '.'), i, len(string_split(host, '.'))), '.')),
+    list_transform(range(1, least(len(segments), 3) + 1),
+      lambda n: host || '/' || array_to_string(list_slice(segments, 1, n), '/')))) AS key
+  FROM captures),
+patterns AS (SELECT DISTINCT key AS pattern FROM keyed),
+entries AS (
+  SELECT pattern, n,
+    ['ads', 'adult', 'spam'][('0x' || substr(md5('list|' || pattern || '|' || n::VARCHAR), 1, 7))::BIGINT % 3 + 1] AS list,
+    ('0x' || substr(md5('action|' || pattern || '|' || n::VARCHAR), 1, 7))::BIGINT % 3 AS action,
+    DATE '2020-01-01' + (('0x' || substr(md5('day|' || pattern || '|' || n::VARCHAR), 1, 7))::BIGINT % 1500)::INTEGER AS day
+  FROM patterns, LATERAL (SELECT unnest([1, 2, 3, 4]) AS n) x
+  WHERE ('0x' || substr(md5('listed|' || pattern), 1, 7))::BIGINT % 2 = 0),
+daily AS (
+  SELECT pattern, list, day, min(action) AS action  -- block is 0, allow 1, remove 2
+  FROM entries GROUP BY ALL),
+spans AS (
+  SELECT *, lead(day) OVER (PARTITION BY pattern, list ORDER BY day) AS until FROM daily),
+active AS (
+  SELECT k.page_id, s.pattern, s.list, s.action, s.day
+  FROM keyed k JOIN spans s ON k.key = s.pattern AND s.action < 2 AND k.fetch_time::DATE >= s.day
+    AND (s.until IS NULL OR k.fetch_time::DATE < s.until)),
+answers AS (
+  SELECT page_id, pattern, action, array_to_string(list_sort(list(DISTINCT list)), ',') AS lists, max(day) AS since,
+    row_number() OVER (PARTITION BY page_id
+      ORDER BY contains(pattern, '/') DESC, length(pattern) DESC, pattern DESC, action) AS place
+  FROM active GROUP BY page_id, pattern, action)
+SELECT c.page_id, c.url, c.fetch_time, c.host,
+  CASE WHEN a.action = 0 THEN 'block' ELSE 'allow' END AS verdict, a.pattern, coalesce(a.lists, '') AS lists, a.since
+FROM captures c LEFT JOIN answers a ON c.page_id = a.page_id AND a.place = 1
+"""
