@@ -1,21 +1,84 @@
-"""The corpus pipeline: documents through the operators of ``tallyloom.llm``, stage by stage."""
+"""The corpus pipeline: documents through the operators of ``tallyloom.llm``, stage by stage.
+
+Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept. All but the
+last return the columns of ``documents``. Decisions are joined back by id: a row goes if its id is
+decided against, and null ids are compared like any other value. Repeated rows therefore share one
+decision, except in near-dedup, which keeps one of them.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
 
+from tallyloom.llm import decontamination, mixing, quality_rules, simhash, toxicity
 from tallyloom.session import configure, cut_lineage
 
-STAGES: list = []
 
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _without(docs: DataFrame, decided: DataFrame, against: Column) -> DataFrame:
+    """Rows of ``docs`` whose id has no decision against it."""
+    gone = decided.where(against).select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("_gone")), "left_anti")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules keep."""
+    field = quality_rules.train(docs, _table(spark, sf_dir, "labels"))
+    return _without(docs, quality_rules.quality_rules(docs, field), ~F.col("kept"))
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not toxic."""
+    index = toxicity.train(docs, _table(spark, sf_dir, "labels"), fold=None)
+    return _without(docs, toxicity.toxicity(docs, index, fold=None), F.col("predicted") == 1)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: the one with the smallest id.
+
+    Which row stays is settled on ids alone, with partial minima per group; texts are moved once,
+    when the ids that stay are joined back. Rows that repeat that id are then one.
+    """
+    configure(spark)
+    found = simhash.near_duplicates(docs)
+    stays = found.groupBy("component").agg(F.min("doc_id").alias("_stays")).select("_stays").distinct()
+    kept = docs.join(stays, docs.doc_id.eqNullSafe(F.col("_stays")), "left_semi")
+    same_id = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), *[c for c in docs.columns if c != "doc_id"])
+    return kept.withColumn("_n", F.row_number().over(same_id)).where("_n = 1").drop("_n")
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    found = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
+    return _without(docs, found, F.size("items") > 0)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The copies of documents that make up the mix, shuffled."""
+    configure(spark)
+    return mixing.mix(docs, temperature=0.5, seed=11)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("toxicity", toxic),
+    ("simhash near-dedup", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("mixing sources", mixed),
+]
+
+#: Trained models and bit distances of all pairs are beyond SQL; tests hold the rows against loops.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are kept as a table for the next."""
-    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = cut_lineage(docs)
-    return docs
+    docs = _table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = cut_lineage(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.chat_format import format_chats, learned_text, text_parts, turn_texts
 from tallyloom.llm.decontamination import decontaminate, n_hit
+from tallyloom.llm.license_scan import scan_licences
+from tallyloom.llm.license_scan import train as fit_licences
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.quality_classifier import quality_scores, train
 from tallyloom.llm.quality_rules import quality_rules
@@ -222,3 +224,17 @@ SELECT c.page_id, c.url, c.fetch_time, c.host,
   CASE WHEN a.action = 0 THEN 'block' ELSE 'allow' END AS verdict, a.pattern, coalesce(a.lists, '') AS lists, a.since
 FROM captures c LEFT JOIN answers a ON c.page_id = a.page_id AND a.place = 1
 """
+
+
+@query
+def op6_license_scan(t):
+    found = scan_licences(t.documents, fit_licences(t.documents, sample_rows=4000))
+    confirmed = F.filter("findings", lambda f: f["confirmed"])
+    return found.select(
+        "doc_id",
+        "n_paragraphs",
+        F.size("findings").cast("long").alias("n_predicted"),
+        F.size(confirmed).cast("long").alias("n_confirmed"),
+        F.array_join(F.array_sort(F.array_distinct(confirmed["family"])), ",").alias("families"),
+        F.transform(confirmed, lambda f: f["paragraph"]).cast("string").alias("paragraphs"),
+    )
