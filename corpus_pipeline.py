@@ -1,14 +1,12 @@
 """The corpus pipeline: documents through the operators of ``tallyloom.llm``, stage by stage.
 
 Every stage takes ``(spark, docs, sf_dir)`` and works on all rows its predecessor kept. All but the
-last return the columns of ``documents``. Decisions are joined back by id: a row goes if its id is
-decided against, and null ids are compared like any other value. Repeated rows therefore share one
-decision, except in near-dedup, which keeps one of them.
+last return the columns of ``documents``, whatever else those may be named.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,42 +18,39 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _without(docs: DataFrame, decided: DataFrame, against: Column) -> DataFrame:
-    """Rows of ``docs`` whose id has no decision against it."""
-    gone = decided.where(against).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(F.col("_gone")), "left_anti")
-
-
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
-    field = quality_rules.train(docs, _table(spark, sf_dir, "labels"))
-    return _without(docs, quality_rules.quality_rules(docs, field), ~F.col("kept"))
+    """Documents that the quality rules keep; each row is judged alone."""
+    return quality_rules.keep_good(docs, quality_rules.train(docs, _table(spark, sf_dir, "labels")))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic."""
-    index = toxicity.train(docs, _table(spark, sf_dir, "labels"), fold=None)
-    return _without(docs, toxicity.toxicity(docs, index, fold=None), F.col("predicted") == 1)
+    """Documents that are not toxic; each row is judged alone."""
+    return toxicity.keep_harmless(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Which row stays is settled on ids alone, with partial minima per group; texts are moved once,
-    when the ids that stay are joined back. Rows that repeat that id are then one.
+    Which id stays is settled on ids alone, with partial minima per group; texts are moved once,
+    when the ids that stay are joined back. Rows that repeat an id are one document if they are in
+    one group. If they are in several (one id for different texts), each text stays once.
     """
     configure(spark)
     found = simhash.near_duplicates(docs)
-    stays = found.groupBy("component").agg(F.min("doc_id").alias("_stays")).select("_stays").distinct()
-    kept = docs.join(stays, docs.doc_id.eqNullSafe(F.col("_stays")), "left_semi")
-    same_id = W.partitionBy("doc_id").orderBy(F.xxhash64("text"), *[c for c in docs.columns if c != "doc_id"])
-    return kept.withColumn("_n", F.row_number().over(same_id)).where("_n = 1").drop("_n")
+    stays = found.groupBy("component").agg(F.min("doc_id").alias("id")).groupBy("id").agg(F.count("*").alias("groups"))
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs.doc_id.alias("own"))
+    kept = rows.join(stays, F.col("own").eqNullSafe(F.col("id")))
+    text = F.when(F.col("groups") > 1, F.col("row.text"))
+    order = [F.col("row")[c] for c in docs.columns]
+    first = F.row_number().over(W.partitionBy("own", text).orderBy(*order))
+    return kept.withColumn("place", first).where("place = 1").select("row.*")
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs."""
+    """Documents in which no window of a benchmark item occurs; rows of one id go or stay together."""
     found = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    return _without(docs, found, F.size("items") > 0)
+    gone = found.where(F.size("items") > 0).select(F.col("doc_id").alias("id")).distinct()
+    return docs.join(gone, docs.doc_id.eqNullSafe(gone.id), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ID, TEXT = "_id", "_text"
@@ -42,3 +42,23 @@ def map_texts(
     schema = f"`{id_col}` {id_type}, {fields}"
     names = [f.name for f in df.sparkSession.createDataFrame([], schema).schema]
     return source.mapInArrow(run, schema)
+
+
+def text_column(
+    df: DataFrame, text_col: str, fields: str, start: Callable[[], Callable[[list[bytes | None]], list]]
+) -> Column:
+    """``fields`` (DDL) of each whole text as one struct column, for filters on whole rows.
+
+    The other columns of a row wait in the JVM, so nothing is joined back and no id is needed.
+    """
+    schema = df.sparkSession.createDataFrame([], fields).schema
+    names = [f.name for f in schema]
+
+    @F.arrow_udf(schema)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        of = start()
+        for batch in batches:
+            columns = of(batch.to_pylist()) if len(batch) else [pa.array([]) for _ in names]
+            yield pa.StructArray.from_arrays(columns, names)
+
+    return run(df[text_col].cast("string").cast("binary"))

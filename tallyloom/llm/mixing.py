@@ -103,12 +103,17 @@ def mix(
     if entries <= BROADCAST_ENTRIES:
         tables = F.broadcast(tables)
     # Drawn below the join, so that the hash is made once a row and not once a table entry.
-    drawn = docs.drop("copy", "shuffle_key").withColumn("_u", uniform(seed, docs[id_col]))
-    counted = drawn.join(tables, docs[source_col].eqNullSafe(F.col("_source"))).withColumn(
-        "_n", F.size(F.filter("_cdf", lambda c: c <= F.col("_u")))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns if c not in ("copy", "shuffle_key")]).alias("_doc"),
+        docs[id_col].alias("_id"),
+        docs[source_col].alias("_of"),
+        uniform(seed, docs[id_col]).alias("_u"),
     )
-    copies = counted.where("_n > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n").cast("long"))))
-    out = copies.drop("_source", "_cdf", "_u", "_n")
-    names = [F.coalesce(c.cast("string"), F.lit("null")) for c in (out[id_col], out["copy"])]
+    counted = rows.join(tables, F.col("_of").eqNullSafe(F.col("_source"))).select(
+        "_doc", "_id", F.size(F.filter("_cdf", lambda c: c <= F.col("_u"))).cast("long").alias("_n")
+    )
+    copies = counted.where("_n > 0").select("_doc", "_id", F.explode(F.sequence(F.lit(1).cast("long"), "_n")).alias("copy"))
+    names = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("_id", "copy")]
     key = F.md5(F.concat_ws("|", F.lit(f"shuffle {seed}"), *names).cast("binary"))
-    return out.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    out = copies.select("_doc.*", "copy", key.alias("shuffle_key"))
+    return out.repartition("shuffle_key").sortWithinPartitions("shuffle_key")

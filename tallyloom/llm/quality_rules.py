@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.batches import TEXT, map_texts
+from tallyloom.llm.batches import TEXT, map_texts, text_column
 from tallyloom.llm.sampling import labelled
 from tallyloom.llm.shapes import LINE, Shape, shape
 
@@ -182,24 +182,11 @@ def train(
     return fit(lines, [CONTENT if r.y else BOILERPLATE for r in rows])
 
 
-def quality_rules(
-    docs: DataFrame,
-    field: Field,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    least_words: int = 10,
-    most_repeats: int = 20,
-    least_content: float = 0.5,
-) -> DataFrame:
-    """Per row: the id, the base counts, ``base_failed``, ``content_share`` and ``kept``.
+COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+FIELDS = f"{COUNTS}, base_failed boolean, content_share double, kept boolean"
 
-    The base rule fails a text with fewer than ``least_words`` words, or with more than
-    ``most_repeats`` per cent of its words in repeated windows. Others are kept if at least
-    ``least_content`` of their words stand in lines labelled content. Null and empty texts have
-    no words, a content share of 0, and fail. Repeated rows and null ids each keep their row; an
-    empty table gives none; other columns are not looked at. A text is one task's work: memory
-    for one grows with its length, by some tens of bytes a word.
-    """
+
+def _judge(docs: DataFrame, field: Field, least_words: int, most_repeats: int, least_content: float):
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
     def start():
@@ -221,5 +208,38 @@ def quality_rules(
 
         return of
 
-    counts = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-    return map_texts(docs, id_col, text_col, f"{counts}, base_failed boolean, content_share double, kept boolean", start)
+    return start
+
+
+def quality_rules(
+    docs: DataFrame,
+    field: Field,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    least_words: int = 10,
+    most_repeats: int = 20,
+    least_content: float = 0.5,
+) -> DataFrame:
+    """Per row: the id, the base counts, ``base_failed``, ``content_share`` and ``kept``.
+
+    The base rule fails a text with fewer than ``least_words`` words, or with more than
+    ``most_repeats`` per cent of its words in repeated windows. Others are kept if at least
+    ``least_content`` of their words stand in lines labelled content. Null and empty texts have
+    no words, a content share of 0, and fail. Repeated rows and null ids each keep their row; an
+    empty table gives none; other columns are not looked at. A text is one task's work: memory
+    for one grows with its length, by some tens of bytes a word.
+    """
+    return map_texts(docs, id_col, text_col, FIELDS, _judge(docs, field, least_words, most_repeats, least_content))
+
+
+def keep_good(
+    docs: DataFrame,
+    field: Field,
+    text_col: str = "text",
+    least_words: int = 10,
+    most_repeats: int = 20,
+    least_content: float = 0.5,
+) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, with all their columns; each row is judged alone."""
+    judge = _judge(docs, field, least_words, most_repeats, least_content)
+    return docs.where(text_column(docs, text_col, FIELDS, judge)["kept"])

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.batches import ID, TEXT, map_texts, texts
+from tallyloom.llm.batches import ID, TEXT, map_texts, text_column, texts
 from tallyloom.llm.sampling import held_out, labelled
 from tallyloom.session import cut_lineage
 
@@ -269,22 +269,10 @@ def document_frequencies(docs: DataFrame, terms: list[str], id_col: str, text_co
     return np.array([found.get(i, 0) for i in range(len(terms))], float), found.get(-1, 0)
 
 
-def toxicity(
-    docs: DataFrame,
-    index: Index,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    threshold: float = 0.7,
-    fold: tuple[int, int] | None = (3, 1),
-    evidence: int = 3,
-) -> DataFrame:
-    """Per row: the id, ``held_out``, ``score`` (0 to 1), ``predicted`` and ``evidence``.
+FIELDS = "score double, evidence array<string>"
 
-    ``evidence`` has the ids (as strings) of the nearest examples. Null and empty texts are scored
-    as texts of one common term. Repeated rows and null ids each keep their row (a null id is not
-    held out); an empty table gives none; other columns are not looked at. Without labels of both
-    kinds the score follows the labels there are, and is 0.5 for none.
-    """
+
+def _scorer(docs: DataFrame, index: Index, evidence: int):
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def start():
@@ -309,7 +297,31 @@ def toxicity(
 
         return of
 
-    scored = map_texts(docs, id_col, text_col, "score double, evidence array<string>", start)
+    return start
+
+
+def toxicity(
+    docs: DataFrame,
+    index: Index,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    threshold: float = 0.7,
+    fold: tuple[int, int] | None = (3, 1),
+    evidence: int = 3,
+) -> DataFrame:
+    """Per row: the id, ``held_out``, ``score`` (0 to 1), ``predicted`` and ``evidence``.
+
+    ``evidence`` has the ids (as strings) of the nearest examples. Null and empty texts are scored
+    as texts of one common term. Repeated rows and null ids each keep their row (a null id is not
+    held out); an empty table gives none; other columns are not looked at. Without labels of both
+    kinds the score follows the labels there are, and is 0.5 for none.
+    """
+    scored = map_texts(docs, id_col, text_col, FIELDS, _scorer(docs, index, evidence))
     out = held_out(F.col(id_col), *fold) if fold else F.lit(False)
     predicted = (F.col("score") >= threshold).cast("int")
     return scored.select(id_col, out.alias("held_out"), "score", predicted.alias("predicted"), "evidence")
+
+
+def keep_harmless(docs: DataFrame, index: Index, text_col: str = "text", threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs`` scored below ``threshold``, with all their columns; each row is judged alone."""
+    return docs.where(text_column(docs, text_col, FIELDS, _scorer(docs, index, 0))["score"] < threshold)
