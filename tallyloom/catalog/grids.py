@@ -66,7 +66,7 @@ def tables_by_rows(t):
 
 @query("tables_by_rows_chunked", f"WITH {EVENT_ROWS_SQL}, {islands_sql('row', 'col <= 5')}")
 def tables_by_rows_chunked(t):
-    """The same on the path taken for sheets too large for one task."""
+    """The same with chunks far smaller than a sheet."""
     return g.tables_by_rows(event_rows(t), "A:F", chunk=128)
 
 
@@ -100,6 +100,15 @@ def tables_by_columns(t):
     return g.tables_by_columns(event_columns(t), "1:2")
 
 
+@query("tables_by_columns_chunked", f"WITH {EVENT_COLUMNS_SQL}, {islands_sql('col', 'row <= 1')}")
+def tables_by_columns_chunked(t):
+    """The same with chunks far smaller than a sheet; columns in the order of the input."""
+    tables = g.tables_by_columns(event_columns(t), "1:2", chunk=16)
+    if tables.columns != ["file", "sheet", "row", "col", "value", "table_no"]:
+        raise ValueError(f"columns in another order: {tables.columns}")
+    return tables
+
+
 @query(
     "drop_columns_at",
     f"""WITH {EVENT_COLUMNS_SQL}, q AS ({"WITH " + islands_sql('col', 'row <= 2').strip()}),
@@ -161,9 +170,18 @@ def table_at(t):
     return g.table_at(wide_grid(t), "B5")
 
 
-@query("table_at_chunked", TABLE_AT_SQL)
+def nameless(cells):
+    """The grid with sheets that have no name."""
+    return cells.withColumn("sheet", F.lit(None).cast("string"))
+
+
+def nameless_sql(sql):
+    return f"SELECT * REPLACE (CAST(NULL AS VARCHAR) AS sheet) FROM ({sql})"
+
+
+@query("table_at_chunked", nameless_sql(TABLE_AT_SQL))
 def table_at_chunked(t):
-    return g.table_at(wide_grid(t), "B5", chunk=16)
+    return g.table_at(nameless(wide_grid(t)), "B5")
 
 
 @query(
@@ -332,6 +350,23 @@ def block_spans(t):
     return spans.join(g.block_heads(grid, spans, {"head": (0, 2)}), [*g.SHEET, "block_no"])
 
 
+@query("tables_by_rows_nameless", nameless_sql(f"WITH {EVENT_ROWS_SQL}, {islands_sql('row', 'col <= 5')}"))
+def tables_by_rows_nameless(t):
+    """Null sheet names are names like any other."""
+    return g.tables_by_rows(nameless(event_rows(t)), "A:F", chunk=128)
+
+
+@query("tables_by_columns_nameless", nameless_sql(f"WITH {EVENT_COLUMNS_SQL}, {islands_sql('col', 'row <= 1')}"))
+def tables_by_columns_nameless(t):
+    return g.tables_by_columns(nameless(event_columns(t)), "1:2", chunk=16)
+
+
+@query("blocks_between_nameless", nameless_sql(BLOCK_ROWS_SQL))
+def blocks_between_nameless(t):
+    rows = g.blocks_between(nameless(event_blocks(t)), "PAY PERIOD", "TOTAL", skip_head=1, skip_tail=1, chunk=128)
+    return rows.where("col = 2").drop("col")
+
+
 STEP = 1_000_000_000
 
 
@@ -370,13 +405,13 @@ SELECT region, line_num, name, array_to_string(list_slice([a1, a2, a3, a4, a5, a
 @query("outline_path", OUTLINE_SQL)
 def outline_path(t):
     """Tree paths; blank and check rows are skipped, names trimmed."""
-    paths = outline_to_path(skip_rows(customer_outline(t)), ["region"], levels=6)
+    paths = outline_to_path(skip_rows(customer_outline(t)), ["region"])
     return paths.select("region", "line_num", "name", "tree")
 
 
 @query("outline_path_chunked", OUTLINE_SQL)
 def outline_path_chunked(t):
-    paths = outline_to_path(skip_rows(customer_outline(t)), ["region"], levels=6, chunk=STEP // 2)
+    paths = outline_to_path(skip_rows(customer_outline(t)), ["region"], chunk=STEP // 2)
     return paths.select("region", "line_num", "name", "tree")
 
 

@@ -13,7 +13,7 @@ from tallyloom.plans.panels import rule_counts
 @query(
     "group_to_json",
     """
-SELECT conv_id, 0 AS part, 1 AS parts,
+SELECT conv_id, 0 AS part,
   CAST(to_json(list({'turn': turn, 'role': nullif(role, 'assistant'), 'n_chars': length(text)} ORDER BY turn)) AS VARCHAR) AS json
 FROM conversations GROUP BY conv_id
 """,
@@ -150,7 +150,7 @@ def distinct_and_range(t):
 
 @query(
     "rule_counts",
-    "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority",
+    "SELECT o_orderpriority, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM orders GROUP BY o_orderpriority",
 )
 def counts_per_rule(t):
     return rule_counts(t.orders, "o_orderpriority")

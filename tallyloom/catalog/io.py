@@ -55,6 +55,19 @@ def csv_named(t):
     return csv.read_named(t.spark, write_csv(rows, t, "named"), layout, names)
 
 
+@query(
+    "csv_quoted_text",
+    "SELECT doc_id, nullif(text, '') AS text, lang FROM documents",
+)
+def csv_quoted_text(t):
+    """Texts with line breaks, quotes and commas come back whole."""
+    path = scratch_path(t.spark, "quoted")
+    rows = t.documents.select("doc_id", "text", "lang")
+    whole = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    rows.write.options(**whole).csv(path)
+    return csv.read_positional(t.spark, path, ordered("doc_id bigint, text string, lang string"), multiline=True)
+
+
 def write_preamble_files(t):
     """Five hundred parts per file below three lines of preamble and a header."""
     number = F.floor(F.col("p_partkey") / 500).alias("file_no")

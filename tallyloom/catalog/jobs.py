@@ -10,23 +10,15 @@ from tallyloom.operators.lookups import priority_union
 from tallyloom.plans import clinical, finance
 from tallyloom.plans.panels import panel_job
 from tallyloom.plans.persons import person_job
-from tallyloom.session import scratch_path
+from tallyloom.session import cut_lineage
 from tallyloom.sources import csv, layouts
 
 DAY = "1990-01-01"
 
 
-_WORKBOOKS: dict[tuple[str, str], str] = {}
-
-
-def stored(df, t, label):
-    """Cells kept as a table, as a workbook import leaves them; made once per process."""
-    key = (t.root, label)
-    if key not in _WORKBOOKS:
-        path = scratch_path(t.spark, label)
-        df.write.parquet(path)
-        _WORKBOOKS[key] = path
-    return t.spark.read.schema(df.schema).parquet(_WORKBOOKS[key])
+def stored(df):
+    """Cells kept as a table, as a workbook import leaves them; made anew for every query."""
+    return cut_lineage(df)
 
 
 def text_of(column):
@@ -76,10 +68,8 @@ p AS (SELECT CAST(c_custkey AS VARCHAR) AS person_id, 'M' || CAST(c_custkey // 2
   DATE '1990-01-01' + CAST(c_custkey * 7 % 9000 AS INTEGER) AS dob, CAST(c_nationkey AS VARCHAR) AS state, c_mktsegment AS pcp FROM customer),
 kept AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY person_id DESC) AS rn FROM p) WHERE rn = 1),
 o AS (SELECT *, 'M' || CAST(o_custkey // 2 AS VARCHAR) AS source_id FROM orders),
-al AS (SELECT source_id, CAST(to_json(list({'name': o_orderpriority, 'reaction': nullif(o_orderstatus, 'P'), 'type': 'food', 'severity': CAST(o_orderkey AS VARCHAR)}
-  ORDER BY o_orderkey)) AS VARCHAR) AS allergy FROM o WHERE o_orderpriority = '1-URGENT' GROUP BY source_id),
-pr AS (SELECT source_id, CAST(to_json(list({'diagnosis': o_orderpriority, 'icd': 'I' || CAST(o_orderkey % 100 AS VARCHAR), 'start_date': strftime(o_orderdate, '%Y%m%d')}
-  ORDER BY o_orderkey)) AS VARCHAR) AS problem_list FROM o WHERE o_orderkey % 3 = 0 GROUP BY source_id),
+al AS (SELECT source_id, count(*) AS allergy_count FROM o WHERE o_orderpriority = '1-URGENT' GROUP BY source_id),
+pr AS (SELECT source_id, count(*) AS problem_count FROM o WHERE o_orderkey % 3 = 0 GROUP BY source_id),
 ages AS (SELECT *, CAST(2001 - year(dob) - CASE WHEN month(dob) > 8 OR (month(dob) = 8 AND day(dob) > 1) THEN 1 ELSE 0 END AS INTEGER) AS age,
   CAST((2001 - year(dob)) * 12 + 8 - month(dob) - CASE WHEN 1 < day(dob) THEN 1 ELSE 0 END AS INTEGER) AS months FROM kept)
 """
@@ -87,12 +77,12 @@ ages AS (SELECT *, CAST(2001 - year(dob) - CASE WHEN month(dob) > 8 OR (month(do
 
 @query(
     "person_job",
-    f"""WITH {PERSON_SQL} SELECT person_id, 'F' AS sex, 'town' AS city, state, pcp, allergy, problem_list, age,
+    f"""WITH {PERSON_SQL} SELECT person_id, 'F' AS sex, 'town' AS city, state, pcp, coalesce(allergy_count, 0) AS allergy_count, coalesce(problem_count, 0) AS problem_count, age,
   CASE WHEN age <= 2 THEN months END AS age_in_mo_under_3 FROM ages LEFT JOIN al USING (source_id) LEFT JOIN pr USING (source_id)""",
 )
 def person_table(t):
-    """Person table without personal columns, with grouped lists and ages."""
-    return person_job(*person_inputs(t), as_of="2001-08-01 10:00:00")["person"]
+    """Person table without personal columns, with the sizes of lists and with ages."""
+    return person_job(*person_inputs(t), as_of="2001-08-01 10:00:00", order=["_line"])["person"]
 
 
 @query(
@@ -101,7 +91,7 @@ def person_table(t):
   'mail' AS email, 'town' AS city, state FROM kept""",
 )
 def person_details(t):
-    return shown(person_job(*person_inputs(t), as_of="2001-08-01")["id_details"], "dob")
+    return shown(person_job(*person_inputs(t), as_of="2001-08-01", order=["_line"])["id_details"], "dob")
 
 
 @query(
@@ -112,20 +102,28 @@ SELECT person_id, mychart_status, CASE WHEN k % 4 <> 0 THEN d END AS mychart_act
 )
 def person_portal(t):
     """First portal row per source id, for every person row with that id."""
-    return shown(person_job(*person_inputs(t), as_of="2001-08-01")["portal"], "mychart_activation_date")
+    return shown(person_job(*person_inputs(t), as_of="2001-08-01", order=["_line"])["portal"], "mychart_activation_date")
 
 
-@query(
-    "person_lists",
-    f"""WITH {PERSON_SQL}, r AS (SELECT source_id, o_orderkey, count(*) OVER (PARTITION BY source_id) AS n, (row_number() OVER (PARTITION BY source_id ORDER BY o_orderkey) - 1) // 4 AS part FROM o WHERE o_orderkey % 3 = 0),
-x AS (SELECT person_id, o_orderkey, part FROM r JOIN kept USING (source_id) WHERE n > 4)
-SELECT person_id, part, '[' || string_agg('"I' || CAST(o_orderkey % 100 AS VARCHAR) || '"', ',' ORDER BY o_orderkey) || ']' AS icds FROM x GROUP BY ALL""",
-)
-def person_long_lists(t):
-    """Lists longer than the limit per text stand whole, in parts, in a table of their own."""
-    lists = person_job(*person_inputs(t), as_of="2001-08-01", part_rows=4)["person_lists"]
-    codes = F.from_json("json", "array<struct<icd string>>")
-    return lists.where("list = 'problem_list'").select("person_id", "part", F.to_json(codes["icd"]).alias("icds"))
+PERSON_LISTS_SQL = f"""WITH {PERSON_SQL},
+r AS (SELECT source_id, o_orderkey, 'allergy' AS list, CAST(to_json({{'name': o_orderpriority, 'reaction': nullif(o_orderstatus, 'P'), 'type': 'food',
+    'severity': CAST(o_orderkey AS VARCHAR)}}) AS VARCHAR) AS record FROM o WHERE o_orderpriority = '1-URGENT'
+  UNION ALL SELECT source_id, o_orderkey, 'problem', CAST(to_json({{'diagnosis': o_orderpriority, 'icd': 'I' || CAST(o_orderkey % 100 AS VARCHAR),
+    'start_date': strftime(o_orderdate, '%Y%m%d')}}) AS VARCHAR) FROM o WHERE o_orderkey % 3 = 0),
+x AS (SELECT *, (row_number() OVER (PARTITION BY source_id, list ORDER BY o_orderkey) - 1) // SIZE AS part FROM r)
+SELECT person_id, list, part, '[' || string_agg(record, ',' ORDER BY o_orderkey) || ']' AS json FROM x JOIN kept USING (source_id) GROUP BY ALL"""
+
+
+@query("person_lists", PERSON_LISTS_SQL.replace("SIZE", "4"))
+def person_lists(t):
+    """Lists of all lengths in parts of four."""
+    return person_job(*person_inputs(t), as_of="2001-08-01", order=["_line"], part_rows=4)["person_lists"]
+
+
+@query("person_lists_whole", PERSON_LISTS_SQL.replace("SIZE", "100000"))
+def person_lists_whole(t):
+    """The same layout where every list is one part."""
+    return person_job(*person_inputs(t), as_of="2001-08-01", order=["_line"])["person_lists"]
 
 
 # ---------------------------------------------------------------- encounters
@@ -172,15 +170,16 @@ j AS (SELECT o.*, person_id, dob, year(day) - year(dob) - CASE WHEN month(day) <
   (year(day) - year(dob)) * 12 + month(day) - month(dob) - CASE WHEN day(day) < day(dob) THEN 1 ELSE 0 END AS months FROM o LEFT JOIN ids USING (source_id))
 SELECT person_id, 'clinic ' || CAST(o_orderkey % 4 AS VARCHAR) AS dept, strftime(day, '%Y-%m-%d') AS encounter_date,
   CASE WHEN o_orderkey % 6 <> 0 THEN lpad(CAST(o_orderkey * 3 % 2400 AS VARCHAR), 4, '0') END AS encounter_time,
+  CASE o_orderkey % 8 WHEN 0 THEN 'CC LAB' WHEN 1 THEN NULL WHEN 2 THEN 'CC PHYSICAL' ELSE 'OFFICE' END AS encounter_type,
+  ['DOE, A', 'ROE, B', 'LOW, C', 'OUT, X'][o_orderkey % 4 + 1] AS service_provider, CASE WHEN o_orderkey % 10 <> 0 THEN 'Completed' ELSE 'Canceled' END AS appt_status,
+  'text' AS diagnoses, CASE o_orderkey % 9 WHEN 0 THEN 'z00.1' WHEN 1 THEN 'J10' END AS diagnoses_icd,
+  'HC PR ' || lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') || ' visit' AS level_of_service_name, strftime(dob, '%Y-%m-%d') AS dob,
   CAST(o_orderkey % 2 AS BOOLEAN) AS with_pcp, CASE WHEN o_orderkey % 5 = 0 THEN '99999' ELSE lpad(CAST(o_orderkey % 100000 AS VARCHAR), 5, '0') END AS level_of_service,
   age AS encounter_age, CASE WHEN age <= 2 THEN months END AS encounter_age_in_mo_under_3 FROM j""",
 )
 def outpatient_visits(t):
     """Outpatient encounters with id, ages, padded times and recovered codes."""
-    out = clinical.outpatient(encounter_rows(t), id_map(t))
-    return shown(out, "encounter_date").select(
-        "person_id", "dept", "encounter_date", "encounter_time", "with_pcp", "level_of_service", "encounter_age", "encounter_age_in_mo_under_3"
-    )
+    return shown(clinical.outpatient(encounter_rows(t), id_map(t)), "encounter_date", "dob")
 
 
 def ed_rows(t):
@@ -235,17 +234,30 @@ SELECT pid AS person_id, dept, note_type, strftime(day, '%Y-%m-%d') AS service_d
 )
 def notes(t):
     """Notes cleaned, given ids and split; rows with neither department nor type are inpatient."""
+    out = clinical.notes_job(note_rows(t), id_map(t), SALT, ed_dept="W0")
+    both = out["ed_notes"].withColumn("side", F.lit("ed")).unionByName(out["inpatient_notes"].withColumn("side", F.lit("inpatient")))
+    return shown(both, "service_date")
+
+
+def note_rows(t):
     key = F.col("o_orderkey")
-    rows = t.orders.select(
+    return t.orders.select(
         source_of("o_custkey").alias("source_id"), F.concat(F.lit("N"), text_of("o_custkey")).alias("name"),
         F.when(key % 5 == 4, clinical.UNSPECIFIED).otherwise(F.concat(F.lit("W"), (key % 5).cast("string"))).alias("dept"),
         F.when(key % 3 == 0, "ED Notes").when(key % 3 == 1, clinical.UNSPECIFIED).otherwise("Progress").alias("note_type"),
         F.col("o_orderdate").alias("service_date"),
         F.date_add(F.lit(DAY).cast("date"), (F.col("o_custkey") % 4000).cast("int")).alias("dob"),
     )
-    out = clinical.notes_job(rows, id_map(t), SALT, ed_dept="W0")
-    both = out["ed_notes"].withColumn("side", F.lit("ed")).unionByName(out["inpatient_notes"].withColumn("side", F.lit("inpatient")))
-    return shown(both, "service_date")
+
+
+NEW_IDS_SQL = f"""WITH {IDS_SQL} SELECT DISTINCT 'M' || CAST(o_custkey AS VARCHAR) AS source_id, {{extra}}
+  CAST({FNV_SQL.format(f"'{SALT}#M' || CAST(o_custkey AS VARCHAR)")} AS VARCHAR) AS person_id FROM orders WHERE o_custkey % 5 = 0"""
+
+
+@query("notes_new_ids", NEW_IDS_SQL.format(extra="'N' || CAST(o_custkey AS VARCHAR) AS name,"))
+def notes_new_ids(t):
+    """Ids made for unknown persons, with a name for each."""
+    return clinical.notes_job(note_rows(t), id_map(t), SALT, ed_dept="W0")["new_ids"]
 
 
 CHARGES_SQL = f"""
@@ -255,16 +267,30 @@ fees AS (SELECT 'C' || CAST(p_partkey AS VARCHAR) AS hcpcs, CASE WHEN p_size <=
 """
 
 
+CHARGE_NULLS = ["encounter_csn", "posting_user", "modifiers", "procedure_desc", "rev_code", "rev_code_desc", "reversal_reason", "primary_payor_class", "dept", "location"]
+CHARGE_NULLS_SQL = ", ".join(f"CAST(NULL AS VARCHAR) AS {c}" for c in CHARGE_NULLS)
+
+
 @query(
     "charges_job",
     f"""WITH {CHARGES_SQL}
-SELECT o_orderkey AS id, coalesce(person_id, new_id) AS person_id, strftime(day, '%Y-%m-%d') AS service_date, 'C' || CAST(o_orderkey % 3000 AS VARCHAR) AS procedure_code,
+SELECT o_orderkey AS id, coalesce(person_id, new_id) AS person_id, strftime(day, '%Y-%m-%d') AS service_date, strftime(day, '%Y-%m-%d') AS post_date, 'C' || CAST(o_orderkey % 3000 AS VARCHAR) AS procedure_code,
   CASE WHEN o_orderkey % 4 = 0 THEN 5 ELSE 2 END AS quantity, rate * CASE WHEN o_orderkey % 4 = 0 THEN 5 ELSE 2 END AS trvu,
-  CASE o_orderkey % 3 WHEN 0 THEN 'Dr' END AS billing_provider FROM o LEFT JOIN ids USING (source_id) LEFT JOIN hashed USING (source_id) LEFT JOIN fees ON hcpcs = 'C' || CAST(o_orderkey % 3000 AS VARCHAR)
-UNION ALL SELECT -1 - s_suppkey, 'old', '1999-01-01', 'C1', 1, 1.5, NULL FROM supplier""",
+  CASE o_orderkey % 3 WHEN 0 THEN 'Dr' END AS billing_provider, CAST(o_orderkey % 1000 AS DOUBLE) / 4 AS wrvu, CAST(o_orderkey AS DOUBLE) AS charge_amount,
+  o_orderkey % 2 = 0 AS is_inactive, {CHARGE_NULLS_SQL} FROM o LEFT JOIN ids USING (source_id) LEFT JOIN hashed USING (source_id) LEFT JOIN fees ON hcpcs = 'C' || CAST(o_orderkey % 3000 AS VARCHAR)
+UNION ALL SELECT -1 - s_suppkey, 'old', '1999-01-01', NULL, 'C1', 1, 1.5, NULL, NULL, NULL, NULL, {", ".join(["NULL"] * len(CHARGE_NULLS))} FROM supplier""",
 )
 def charges(t):
-    """Two charge files written as CSV, read by header, cleaned, priced and merged."""
+    """Two charge files written as CSV, read by header, cleaned, priced and merged; all columns."""
+    return shown(charge_tables(t)["charges"], "service_date", "post_date")
+
+
+@query("charges_missing_ids", NEW_IDS_SQL.format(extra=""))
+def charges_missing_ids(t):
+    return charge_tables(t)["missing_ids"]
+
+
+def charge_tables(t):
     key = F.col("o_orderkey")
 
     def extract(df, quantity):
@@ -272,8 +298,9 @@ def charges(t):
         values = {
             "BillingTransactionKey": text_of("o_orderkey"), "PrimaryMRN": source_of("o_custkey"), "ServiceDateKey": day, "PostDateKey": day,
             "BillingProviderName": F.when(key % 3 == 0, "Dr").when(key % 3 == 1, clinical.UNSPECIFIED),
-            "BillingProcedureCode": F.concat(F.lit("C"), (key % 3000).cast("string")),
-            "BillingProcedureQuantity": F.lit(str(quantity)), "IsInactive": F.lit("False"),
+            "BillingProcedureCode": F.concat(F.lit("C"), (key % 3000).cast("string")), "RvuWork": (key % 1000 / 4).cast("string"),
+            "ChargeAmount": key.cast("double").cast("string"),
+            "BillingProcedureQuantity": F.lit(str(quantity)), "IsInactive": F.when(key % 2 == 0, "True").otherwise("False"),
         }
         blank = F.lit(None).cast("string")
         return df.select(*[values.get(f.name, blank).alias(f.name) for f in layouts.CHARGES])
@@ -288,13 +315,14 @@ def charges(t):
     extra = t.part.where("p_size between 25 and 40").select(code, F.col("p_size").cast("double").alias("facility_trvu"))
     fees = priority_union([main, extra], ["hcpcs"], ["facility_trvu"])
 
-    columns = ["id", "person_id", "service_date", "procedure_code", "quantity", "trvu", "billing_provider"]
-    stored = t.supplier.select(
-        (F.lit(-1) - F.col("s_suppkey")).alias("id"), F.lit("old").alias("person_id"), F.lit("1999-01-01").cast("date").alias("service_date"),
-        F.lit("C1").alias("procedure_code"), F.lit(1).cast("bigint").alias("quantity"), F.lit(1.5).alias("trvu"), F.lit(None).cast("string").alias("billing_provider"),
-    )
-    out = clinical.charges_job(rows, id_map(t), SALT, fees, stored, csv.FILE_ORDER)["charges"]
-    return shown(out.select(*columns), "service_date")
+    known = {
+        "id": F.lit(-1) - F.col("s_suppkey"), "person_id": F.lit("old"), "service_date": F.lit("1999-01-01").cast("date"),
+        "procedure_code": F.lit("C1"), "quantity": F.lit(1).cast("bigint"), "trvu": F.lit(1.5),
+    }
+    kinds = {"post_date": "date", "wrvu": "double", "charge_amount": "double", "is_inactive": "boolean"}
+    empty = {c: F.lit(None).cast(kinds.get(c, "string")) for c in ["post_date", "billing_provider", "wrvu", "charge_amount", "is_inactive", *CHARGE_NULLS]}
+    stored_rows = t.supplier.select(*[c.alias(n) for n, c in {**known, **empty}.items()])
+    return clinical.charges_job(rows, id_map(t), SALT, fees, stored_rows, csv.FILE_ORDER)
 
 
 @query(
@@ -426,29 +454,43 @@ def historical_volumes(t):
     odd = F.col("year") % 2 == 1
     top = place(heads.withColumn("row", F.lit(0)), {3: F.when(odd, text_of("year")), 4: F.when(~odd, text_of("year"))})
     second = place(heads.withColumn("row", F.lit(1)), {0: F.lit("id"), 1: F.lit("name"), 2: F.lit("unit"), **{n + 2: F.lit(f"month {n}") for n in range(1, 13)}})
-    return finance.historical_volumes(stored(grid.unionByName(top).unionByName(second), t, "volumes"))
+    return finance.historical_volumes(stored(grid.unionByName(top).unionByName(second)), "1:60")
 
 
-@query("current_volumes", VOLUME_SQL)
-def current_volumes(t):
-    """One workbook per year and fifty departments."""
+def volume_workbooks(t, month, per_file, factor=1):
+    """One workbook per year and ``per_file`` departments."""
+    amounts = [(F.col(f"m{n}").cast("bigint") * factor).cast("string").alias(f"m{n}") for n in range(1, 13)]
     rows = monthly(t).select(
-        F.concat(F.lit("(06) Jun "), text_of("year"), F.lit(" Dashboard "), F.floor(F.col("l_suppkey") / 50).cast("string")).alias("file"),
-        F.dense_rank().over(_by_file()).alias("row"),
+        F.concat(F.lit(f"({month:02d}) "), text_of("year"), F.lit(" Dashboard "), F.floor(F.col("l_suppkey") / per_file).cast("string")).alias("file"),
+        F.dense_rank().over(_by_file(per_file)).alias("row"),
         F.concat(F.lit("S"), text_of("l_suppkey")).alias("id"), F.concat(F.lit("Supplier "), text_of("l_suppkey")).alias("name"),
-        F.when(F.col("l_suppkey") % 3 == 0, "Days").when(F.col("l_suppkey") % 3 == 1, "Tests").alias("unit"), *[f"m{n}" for n in range(1, 13)],
+        F.when(F.col("l_suppkey") % 3 == 0, "Days").when(F.col("l_suppkey") % 3 == 1, "Tests").alias("unit"), *amounts,
     )
     heads = rows.select("file").distinct().withColumn("row", F.lit(0))
     titles = {0: F.lit("ID"), 1: F.lit("Name"), 2: F.lit("Unit"), **{n + 2: F.lit(f"month {n}") for n in range(1, 13)}}
     body = cells(rows, {0: F.col("id"), 1: F.col("name"), 2: F.col("unit"), **{n + 2: F.col(f"m{n}") for n in range(1, 13)}})
-    note = cells(heads.withColumn("row", F.lit(60)), {0: F.lit("a note below the table")})
-    return finance.current_volumes(stored(body.unionByName(cells(heads, titles)).unionByName(note), t, "current_volumes"))
+    last = rows.groupBy("file").agg((F.max("row") + 3).alias("row"))
+    note = cells(last, {0: F.lit("a note below the table")})
+    return body.unionByName(cells(heads, titles)).unionByName(note)
+
+
+@query("current_volumes", VOLUME_SQL)
+def current_volumes(t):
+    """One workbook per year and fifty departments."""
+    return finance.current_volumes(stored(volume_workbooks(t, 6, 50)))
 
 
-def _by_file():
+@query("newest_workbooks", VOLUME_SQL)
+def newest_workbooks(t):
+    """Two months' workbooks of each year: every month counts once, as in the newer one."""
+    both = volume_workbooks(t, 9, 1_000_000_000).unionByName(volume_workbooks(t, 2, 1_000_000_000, factor=7))
+    return finance.current_volumes(finance.newest_workbooks(stored(both)))
+
+
+def _by_file(per_file=50):
     from pyspark.sql import Window
 
-    return Window.partitionBy("year", F.floor(F.col("l_suppkey") / 50)).orderBy("l_suppkey")
+    return Window.partitionBy("year", F.floor(F.col("l_suppkey") / per_file)).orderBy("l_suppkey")
 
 
 @query(
@@ -474,7 +516,7 @@ def historical_budget(t):
     units = cells(rows.withColumn("row", F.col("row") - 4), {17: F.col("id"), 18: F.lit("m"), 19: F.when(F.col("p_partkey") % 4 != 1, text_of("p_partkey"))})
     sheets = {"Budget": budget.unionByName(below), "Goals": goals.unionByName(filler).unionByName(titles), "UOS": units}
     grid = [df.withColumn("sheet", F.lit(n)) for n, df in sheets.items()]
-    sheets = stored(grid[0].unionByName(grid[1]).unionByName(grid[2]), t, "historical_budget")
+    sheets = stored(grid[0].unionByName(grid[1]).unionByName(grid[2]))
     return finance.historical_budget(sheets, "Budget", "Goals", "UOS", 2024)
 
 
@@ -530,7 +572,7 @@ def contracted_hours(t):
     heads = cells(rows.select("file").distinct().withColumn("row", F.lit(1)), {i: F.lit(x) for i, x in enumerate(titles)})
     even = F.substring("file", 2, 20).cast("bigint") % 2 == 0
     sheets = grid.unionByName(heads).withColumn("sheet", F.when(even, "2024 DATA").otherwise("NOTES"))
-    return finance.contracted_hours(stored(sheets, t, "contracted"), *alias_tables(t))
+    return finance.contracted_hours(stored(sheets), *alias_tables(t))
 
 
 @query(
@@ -545,6 +587,20 @@ FROM (SELECT *, {dept_sql('o_custkey')} FROM orders)
 )
 def income_statement(t):
     """Anchor at a varying row; blanks, unknown centers and the month above the table."""
+    return finance.income_statement(income_grid(t), *alias_tables(t))
+
+
+@query(
+    "unknown_cost_centers",
+    f"""SELECT CASE WHEN o_orderkey % 7 = 0 THEN '(Blank)' ELSE 'Ward' END AS cost_center, count(*) AS rows
+FROM (SELECT *, {dept_sql('o_custkey')} FROM orders) WHERE o_orderkey % 7 = 0 OR dept_id IS NULL GROUP BY 1""",
+)
+def unknown_cost_centers(t):
+    """Report of the cost centers that no alias names."""
+    return finance.unknown_cost_centers(income_grid(t), *alias_tables(t))
+
+
+def income_grid(t):
     key = F.col("o_orderkey")
     number = F.floor(key / 500)
     top = (number % 3 + 1).cast("int")
@@ -563,7 +619,7 @@ def income_statement(t):
     title = cells(heads.withColumn("row", F.col("top")), {0: F.lit("Ledger Account"), 1: F.lit("Cost Center")})
     month = F.concat(F.lit("Month to Date: "), F.lpad((F.col("number") % 12 + 1).cast("string"), 2, "0"), F.lit("/2024"))
     above = cells(heads.withColumn("row", F.col("top") - 1), {4: month})
-    return finance.income_statement(stored(body.unionByName(title).unionByName(above), t, "income"), *alias_tables(t))
+    return stored(body.unionByName(title).unionByName(above))
 
 
 PERIOD_SQL = """CAST(DATE '2022-12-17' + CAST(14 * ceil(date_diff('day', DATE '2023-01-06', make_date({y}, 1, 1)) / 14.0) AS INTEGER) + CAST(14 * ({n} - 1) AS INTEGER) AS DATE)"""
@@ -611,7 +667,7 @@ def historical_hours(t):
         .unionByName(line(24, {1: F.lit("Lab"), 2: F.lit("9999")}))
         .unionByName(line(26, {1: F.lit("Total"), 2: F.lit("9999")}))
     )
-    return shown(finance.historical_hours(stored(grid, t, "hours"), 2023, *alias_tables(t)), "start_date")
+    return shown(finance.historical_hours(stored(grid), 2023, *alias_tables(t)), "start_date")
 
 
 CURRENT_HOURS_SQL = f"""
@@ -643,7 +699,7 @@ def current_hour_grid(t):
     moved = body.unionByName(top).unionByName(below).join(files, "file").withColumn("col", F.col("col") + F.col("shift")).drop("shift")
     lead = cells(files.where("shift = 1").withColumn("row", F.lit(3)), {0: F.lit("Period")})
     title = cells(files.withColumn("row", F.lit(0)), {0: F.lit("Payroll report")})
-    return stored(moved.unionByName(lead).unionByName(title), t, "current_hours")
+    return stored(moved.unionByName(lead).unionByName(title))
 
 
 @query("current_hours", f"WITH {CURRENT_HOURS_SQL} SELECT * EXCLUDE (st), strftime(st, '%Y-%m-%d') AS start_date FROM c")
@@ -658,15 +714,15 @@ def current_hours(t):
 f AS (SELECT *, least(14, day(last_day(st)) - day(st) + 1) AS n, st + 13 AS en FROM c WHERE st IS NOT NULL),
 x AS (SELECT *, st AS d, n AS days FROM f UNION ALL SELECT *, en, 14 - n FROM f WHERE month(st) <> month(en)),
 g AS (SELECT dept_id, dept_name, date_trunc('month', d) AS m, sum(CAST(reg_hrs AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS reg_hrs,
-  sum(CAST(overtime_hrs AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS overtime_hrs, sum(CAST(total_amt AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS total_amt,
+  sum(CAST(overtime_hrs AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS overtime_hrs, sum(CAST(prod_hrs AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS prod_hrs,
+  sum(CAST(nonprod_hrs AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS nonprod_hrs, sum(CAST(total_hrs AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS total_hrs, sum(CAST(total_amt AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS total_amt,
   sum(CAST(total_fte AS DECIMAL(24,8)) * CAST(days AS DECIMAL(2,0))) AS total_fte FROM x GROUP BY ALL)
 SELECT dept_id, dept_name, strftime(m, '%Y-%m') AS month, CAST(reg_hrs AS DOUBLE) / 14 AS reg_hrs, CAST(overtime_hrs AS DOUBLE) / 14 AS overtime_hrs,
-  CAST(total_amt AS DOUBLE) / 14 AS total_amt, CAST(total_fte AS DOUBLE) / day(last_day(m)) AS total_fte FROM g""",
+  CAST(prod_hrs AS DOUBLE) / 14 AS prod_hrs, CAST(nonprod_hrs AS DOUBLE) / 14 AS nonprod_hrs, CAST(total_hrs AS DOUBLE) / 14 AS total_hrs, CAST(total_amt AS DOUBLE) / 14 AS total_amt, CAST(total_fte AS DOUBLE) / day(last_day(m)) AS total_fte FROM g""",
 )
 def hours_job(t):
     """From workbooks by period to calendar months."""
-    out = finance.hours_by_month(finance.current_hours(current_hour_grid(t), *alias_tables(t)))
-    return out.drop("prod_hrs", "nonprod_hrs", "total_hrs")
+    return finance.hours_by_month(finance.current_hours(current_hour_grid(t), *alias_tables(t)))
 
 
 @query(
@@ -705,7 +761,7 @@ def balance_job(t):
         .unionByName(fixed(7, 0, {0: F.lit("Net Patient Accounts Receivable"), 1: F.lit("1")}))
         .unionByName(fixed(8, 2, {0: F.lit("First"), 1: F.lit("2")}))
     )
-    return finance.balance_sheet(stored(grid, t, "balance"), levels=4)
+    return finance.balance_sheet(stored(grid))
 
 
 @query(

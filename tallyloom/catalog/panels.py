@@ -72,7 +72,7 @@ def provider_panel_query(t):
 
 @query(
     "provider_panel_rule_counts",
-    PROVIDER_SQL + "SELECT cut, count(*) AS n FROM panel GROUP BY cut",
+    PROVIDER_SQL + "SELECT cut, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM panel GROUP BY cut",
 )
 def provider_panel_counts(t):
     return rule_counts(provider_panel(visits(t), AS_OF, list(PROVIDERS)), "cut")
@@ -111,3 +111,12 @@ def location_panel_query(t):
     """Ordered location rules with the exclusion of small children."""
     persons = t.customer.select(F.col("c_custkey").alias("person_id"), (F.col("c_custkey") % 6).alias("age"))
     return location_panel(persons, visits(t), AS_OF)
+
+
+@query(
+    "location_panel_rule_counts",
+    f"SELECT rule, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM ({LOCATION_SQL}) WHERE assigned GROUP BY rule",
+)
+def location_panel_counts(t):
+    persons = t.customer.select(F.col("c_custkey").alias("person_id"), (F.col("c_custkey") % 6).alias("age"))
+    return rule_counts(location_panel(persons, visits(t), AS_OF).where("assigned"), "rule")

@@ -1,10 +1,10 @@
 """Tables inside spreadsheets.
 
 The input is a cell grid ``(file, sheet, row, col, value, indent)``, 0-based, with blank cells
-absent or null. Every operator works on all sheets of all files in one job. Sheets of
-ordinary size are scanned with one window per sheet. If a sheet is too large for one task
-(``running.chunk_for``), runs of non-blank rows or columns are found by meeting each position
-with its predecessor in a grouped count, and numbered with chunked running sums.
+absent or null. Every operator works on all sheets of all files in one job, and in one way for
+sheets of every size: runs of non-blank rows or columns are found by meeting each position with
+its predecessor in a grouped count, and numbered with chunked running sums (``running``). Null
+file and sheet names are names like any other.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.functions.a1 import cell_address, column_index, in_columns, in_rows
-from tallyloom.operators.running import AUTO, chunk_for, running
+from tallyloom.operators.running import CHUNK, match, running
 
 SHEET = ["file", "sheet"]
 CELL = "file string, sheet string, row int, col int, value string, indent int"
@@ -100,41 +100,30 @@ def next_position(cells: DataFrame, axis: str, lines: str, start: int = 0, find_
         found = edges.where("ends").groupBy(*SHEET).agg(F.min(axis).alias("_at"))
     else:
         found = used.groupBy(*SHEET).agg(F.min(axis).alias("_at"))
-    return sheets.join(found, SHEET, "left").select(
+    return match(sheets, found, SHEET, "left").select(
         *SHEET,
         F.when(F.col("_at") < F.col("_size"), F.col("_at")).otherwise(F.lit(-1)).alias("position"),
     )
 
 
-def _islands(cells: DataFrame, axis: str, limit: int | None, chunk: int | None) -> DataFrame:
+def _islands(cells: DataFrame, axis: str, limit: int | None, chunk: int) -> DataFrame:
     """Number the runs of used positions along ``axis`` and keep the cells inside them."""
     data = filled(cells)
-    size = chunk_for(data, SHEET, chunk)
-    if size is None:
-        # A cell two or more behind the cell before it starts a run. The sum takes in all cells at
-        # its position, so it does not matter which of them is marked.
-        along = W.partitionBy(*SHEET).orderBy(axis)
-        gap = F.col(axis) - F.lag(axis).over(along)
-        so_far = along.rangeBetween(W.unboundedPreceding, W.currentRow)
-        numbered = data.withColumn("_start", F.when(gap <= 1, 0).otherwise(1)).withColumn(
-            "table_no", F.sum("_start").over(so_far)
-        ).drop("_start")
-        return numbered.where(F.col("table_no") <= limit) if limit else numbered
     used = data.select(*SHEET, axis).distinct()
     starts = run_edges(used, SHEET, axis).where("starts").select(*SHEET, axis, F.lit(1).alias("_start"))
     numbered = running(
-        used.join(starts, [*SHEET, axis], "left"),
+        match(used, starts, [*SHEET, axis], "left"),
         SHEET,
         axis,
         sums={"table_no": F.coalesce("_start", F.lit(0))},
-        chunk=size,
+        chunk=chunk,
     ).drop("_start")
     if limit:
         numbered = numbered.where(F.col("table_no") <= limit)
-    return data.join(numbered, [*SHEET, axis])
+    return match(data, numbered, [*SHEET, axis])
 
 
-def tables_by_columns(cells: DataFrame, rows: str, limit: int | None = None, chunk: int | None = AUTO) -> DataFrame:
+def tables_by_columns(cells: DataFrame, rows: str, limit: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """Split side-by-side tables at blank columns, looking at the given rows only.
 
     Adds ``table_no`` from 1, left to right.
@@ -143,7 +132,7 @@ def tables_by_columns(cells: DataFrame, rows: str, limit: int | None = None, chu
 
 
 def tables_by_rows(
-    cells: DataFrame, cols: str, start: int = 0, limit: int | None = None, chunk: int | None = AUTO
+    cells: DataFrame, cols: str, start: int = 0, limit: int | None = None, chunk: int = CHUNK
 ) -> DataFrame:
     """Split stacked tables at blank rows, looking at the given columns only.
 
@@ -153,25 +142,20 @@ def tables_by_rows(
     return _islands(part, "row", limit, chunk)
 
 
-def _in_leading_run(cells: DataFrame, at: str, start: int, size: int | None) -> DataFrame:
+def _in_leading_run(cells: DataFrame, at: str, start: int) -> DataFrame:
     """The cells whose position lies in the unbroken run that begins exactly at ``start``.
 
     Cells lie at or behind ``start``. The run may be empty.
     """
-    if size is None:
-        place = F.dense_rank().over(W.partitionBy(*SHEET).orderBy(at))
-        return cells.withColumn("_place", place).where(
-            F.col(at) == F.col("_place") + (start - 1)
-        ).drop("_place")
     edges = run_edges(cells.select(*SHEET, at).distinct(), SHEET, at)
     ends = edges.groupBy(*SHEET).agg(
         F.min(F.when(F.col("ends"), F.col(at))).alias("_end"),
         F.bool_or(F.col("starts") & (F.col(at) == start)).alias("_begins"),
     ).where("_begins").select(*SHEET, "_end")
-    return cells.join(ends, SHEET).where(F.col(at) < F.col("_end")).drop("_end")
+    return match(cells, ends, SHEET).where(F.col(at) < F.col("_end")).drop("_end")
 
 
-def table_at(cells: DataFrame, start: str, header: bool = True, chunk: int | None = AUTO) -> DataFrame:
+def table_at(cells: DataFrame, start: str, header: bool = True) -> DataFrame:
     """The table whose top left corner is ``start``.
 
     Its right edge is the first column blank in both the header and the first data row, its
@@ -180,11 +164,10 @@ def table_at(cells: DataFrame, start: str, header: bool = True, chunk: int | Non
     top, left = cell_address(start)
     first_data = top + 1 if header else top
     data = filled(cells).where((F.col("row") >= top) & (F.col("col") >= left))
-    size = chunk_for(data, SHEET, chunk)
-    heads = _in_leading_run(data.where(F.col("row").isin(top, first_data)), "col", left, size)
+    heads = _in_leading_run(data.where(F.col("row").isin(top, first_data)), "col", left)
     edge = heads.groupBy(*SHEET).agg(F.max("col").alias("_right"))
-    wide = data.join(edge, SHEET).where(F.col("col") <= F.col("_right")).drop("_right")
-    return _in_leading_run(wide, "row", top, size)
+    wide = match(data, edge, SHEET).where(F.col("col") <= F.col("_right")).drop("_right")
+    return _in_leading_run(wide, "row", top)
 
 
 def header_names(cells: DataFrame, by: list[str] = SHEET, header_row: int | None = None) -> DataFrame:
@@ -194,7 +177,7 @@ def header_names(cells: DataFrame, by: list[str] = SHEET, header_row: int | None
     """
     if header_row is None:
         top = cells.groupBy(*by).agg(F.min("row").alias("_top"))
-        heads = filled(cells).join(top, by).where(F.col("row") == F.col("_top"))
+        heads = match(filled(cells), top, by).where(F.col("row") == F.col("_top"))
     else:
         heads = filled(cells).where(F.col("row") == header_row)
     return heads.groupBy(*by, F.col("value").alias("name")).agg(F.min("col").alias("col"))
@@ -218,16 +201,16 @@ def promote_header(
         body, head = filled(cells).where(F.col("row") > header_row), header_names(cells, by, header_row)
     else:
         top = cells.groupBy(*by).agg(F.min("row").alias("_top"))
-        body, head = filled(cells).join(top, by).where(F.col("row") > F.col("_top")), header_names(cells, by)
-    named = body.join(head.where(F.col("name").isin(names)), [*by, "col"], "left")
+        body, head = match(filled(cells), top, by).where(F.col("row") > F.col("_top")), header_names(cells, by)
+    named = match(body, head.where(F.col("name").isin(names)), [*by, "col"], "left")
     return named.groupBy(*by, "row").agg(
         *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
     )
 
 
 def by_position(cells: DataFrame, names: Mapping[int, str], by: list[str] = SHEET) -> DataFrame:
-    """One output row per grid row, columns taken by 0-based index."""
-    return filled(cells).groupBy(*by, "row").agg(
+    """One output row per grid row, columns taken by 0-based index; other columns are not moved."""
+    return filled(cells).where(F.col("col").isin(list(names))).groupBy(*by, "row").agg(
         *[F.max(F.when(F.col("col") == i, F.col("value"))).alias(n) for i, n in names.items()]
     )
 
@@ -239,7 +222,7 @@ def merge_subheader(cells: DataFrame, anchor: str, positions: list[int], by: lis
     from the second header row. Returned with the anchor's row as ``top``.
     """
     at = find_cell(cells, anchor).select(*SHEET, F.col("row").alias("top"), F.col("col").alias("left"))
-    near = filled(cells).join(at, SHEET).where(
+    near = match(filled(cells), at, SHEET).where(
         (F.col("col") >= F.col("left")) & F.col("row").between(F.col("top"), F.col("top") + 1)
     )
     second = (F.col("col") - F.col("left")).isin(positions)
@@ -255,7 +238,7 @@ def drop_columns_at(cells: DataFrame, offsets: list[int], by: list[str] = SHEET)
     ``col`` comes back as the offset within the table.
     """
     left = cells.groupBy(*by).agg(F.min("col").alias("_left"))
-    moved = cells.join(left, by).withColumn("col", F.col("col") - F.col("_left")).drop("_left")
+    moved = match(cells, left, by).withColumn("col", F.col("col") - F.col("_left")).drop("_left")
     shift: Column = F.lit(0)
     for offset in offsets:
         shift = shift + (F.col("col") > offset).cast("int")
@@ -266,8 +249,7 @@ def first_and_last_column(cells: DataFrame, by: list[str] = SHEET) -> DataFrame:
     """``(by, row, first, last)``: the leftmost and rightmost columns of each table."""
     edge = cells.groupBy(*by).agg(F.min("col").alias("_left"), F.max("col").alias("_right"))
     return (
-        filled(cells)
-        .join(edge, by)
+        match(filled(cells), edge, by)
         .where((F.col("col") == F.col("_left")) | (F.col("col") == F.col("_right")))
         .groupBy(*by, "row")
         .agg(
@@ -278,7 +260,7 @@ def first_and_last_column(cells: DataFrame, by: list[str] = SHEET) -> DataFrame:
 
 
 def block_spans(
-    cells: DataFrame, start: str, end: str, start_from: str = "A", end_from: str = "B", chunk: int | None = AUTO
+    cells: DataFrame, start: str, end: str, start_from: str = "A", end_from: str = "B", chunk: int = CHUNK
 ) -> DataFrame:
     """Repeated blocks ``(sheet keys, block_no, first_row, end_row)`` between two marker texts.
 
@@ -297,14 +279,13 @@ def block_spans(
     ).where(F.col("kind").isNotNull())
     lead = hits.groupBy(*SHEET, "kind").agg(F.min("col").alias("col"))
     # On one row the start comes before the end.
-    marks = hits.join(lead, [*SHEET, "kind", "col"], "left_semi").withColumn(
+    marks = match(hits, lead, [*SHEET, "kind", "col"], "left_semi").withColumn(
         "at", F.col("row").cast("bigint") * 2 + (F.col("kind") == "e").cast("int")
     )
-    size = chunk_for(marks, SHEET, chunk)
-    after = running(marks, SHEET, "at", lasts={"prior": F.col("kind")}, chunk=size, inclusive=False)
+    after = running(marks, SHEET, "at", lasts={"prior": F.col("kind")}, chunk=chunk, inclusive=False)
     turns = after.where(F.col("kind") != F.coalesce("prior", F.lit("e")))
     numbered = running(
-        turns, SHEET, "at", sums={"block_no": (F.col("kind") == "s").cast("int")}, chunk=size
+        turns, SHEET, "at", sums={"block_no": (F.col("kind") == "s").cast("int")}, chunk=chunk
     )
     return numbered.groupBy(*SHEET, "block_no").agg(
         F.min(F.when(F.col("kind") == "s", F.col("row"))).alias("first_row"),
@@ -320,32 +301,28 @@ def blocks_between(
     skip_tail: int = 2,
     start_from: str = "A",
     end_from: str = "B",
-    chunk: int | None = AUTO,
+    chunk: int = CHUNK,
     spans: DataFrame | None = None,
 ) -> DataFrame:
     """Cells of the repeated blocks, without head rows and the last rows before the end marker.
 
     ``spans`` are the ``block_spans`` if they are known already.
 
-    Adds ``block_no``. Each row finds its block by carrying the last block's span downwards,
-    never by a range join.
+    Adds ``block_no``. Each row finds its block by carrying the last block's span down the rows of
+    the sheet, never by a range join; cells then meet their row.
     """
     data = filled(cells)
     found = block_spans(data, start, end, start_from, end_from, chunk) if spans is None else spans
     opens = found.select(
         *SHEET, F.col("first_row").alias("row"), F.struct("block_no", "first_row", "end_row").alias("_opens")
     )
-    placed = running(
-        data.join(opens, [*SHEET, "row"], "left"),
-        SHEET,
-        "row",
-        lasts={"_span": F.col("_opens")},
-        chunk=chunk_for(data, SHEET, chunk),
-    )
-    return placed.where(
+    lines = data.select(*SHEET, "row").distinct()
+    placed = running(match(lines, opens, [*SHEET, "row"], "left"), SHEET, "row", lasts={"_span": F.col("_opens")}, chunk=chunk)
+    inside = placed.where(
         (F.col("row") >= F.col("_span.first_row") + skip_head)
         & (F.col("row") < F.col("_span.end_row") - skip_tail)
-    ).select(*cells.columns, F.col("_span.block_no").alias("block_no"))
+    ).select(*SHEET, "row", F.col("_span.block_no").alias("block_no"))
+    return match(data, inside, [*SHEET, "row"]).select(*cells.columns, "block_no")
 
 
 def block_heads(cells: DataFrame, spans: DataFrame, values: Mapping[str, tuple[int, int]]) -> DataFrame:
@@ -355,7 +332,7 @@ def block_heads(cells: DataFrame, spans: DataFrame, values: Mapping[str, tuple[i
         at = filled(cells).where(F.col("col") == col).select(
             *SHEET, (F.col("row") - down).alias("first_row"), F.col("value").alias(name)
         )
-        part = spans.select(*SHEET, "block_no", "first_row").join(at, [*SHEET, "first_row"], "left")
+        part = match(spans.select(*SHEET, "block_no", "first_row"), at, [*SHEET, "first_row"], "left")
         part = part.select(*SHEET, "block_no", name)
-        heads = part if heads is None else heads.join(part, [*SHEET, "block_no"])
+        heads = part if heads is None else match(heads, part, [*SHEET, "block_no"])
     return heads

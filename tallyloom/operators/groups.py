@@ -11,8 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.operators.running import CHUNK, running
-from tallyloom.session import cut_lineage
+from tallyloom.operators.running import running
 
 
 def _columns(names: list[str | Column]) -> list[Column]:
@@ -50,39 +49,22 @@ def group_to_json(
     df: DataFrame,
     key: str,
     columns: list[str],
-    order: str,
+    order: str | list[str],
     out: str = "json",
     part_rows: int = 100_000,
 ) -> DataFrame:
-    """Rows per key as a JSON array of records, nulls written out, in ``order``.
+    """Rows per key as JSON arrays of records, nulls written out, in ``order``.
 
-    Returns ``(key, part, parts, out)``. A key of at most ``part_rows`` rows is one text, part 0
-    of 1. A larger one is split into consecutive parts of ``part_rows`` rows, so no task gathers
-    an unbounded group and no row is lost. The rows per key are counted first; without a large
-    key the plan is a single aggregate. ``order`` is numeric and unique per key.
+    Returns ``(key, part, out)``: consecutive parts of ``part_rows`` records, numbered from 0, so
+    that no task gathers an unbounded group. A short list is one part. ``order`` is a position as
+    in ``running``, unique per key.
     """
-    rows = df.where(F.col(key).isNotNull()).select(key, order, F.struct(*columns).alias("_record"))
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"))
-    whole = {"_part": F.lit(0).cast("bigint"), "_parts": F.lit(1).cast("bigint")}
-    if sizes.where(F.col("_n") > part_rows).isEmpty():
-        placed = rows.withColumns(whole)
-    else:
-        large = cut_lineage(sizes.where(F.col("_n") > part_rows))
-        ranked = running(
-            rows.join(large, key), [key], order, sums={"_rank": F.lit(1)}, chunk=CHUNK
-        ).withColumns(
-            {
-                "_part": F.floor((F.col("_rank") - 1) / part_rows),
-                "_parts": F.ceil(F.col("_n") / part_rows),
-            }
-        )
-        placed = (
-            rows.join(large, key, "left_anti").withColumns(whole)
-            .unionByName(ranked.drop("_rank", "_n"))
-        )
-    entry = F.struct(F.col(order).alias("_order"), "_record")
+    at = [order] if isinstance(order, str) else list(order)
+    rows = df.where(F.col(key).isNotNull()).select(key, *at, F.struct(*columns).alias("_record"))
+    ranked = running(rows, [key], at, sums={"_rank": F.lit(1)})
+    entry = F.struct(F.col("_rank"), "_record")
     packed = F.transform(F.array_sort(F.collect_list(entry)), lambda r: r["_record"])
-    return placed.groupBy(key, F.col("_part").alias("part"), F.col("_parts").alias("parts")).agg(
+    return ranked.groupBy(key, F.floor((F.col("_rank") - 1) / part_rows).alias("part")).agg(
         F.to_json(packed, {"ignoreNullFields": "false"}).alias(out)
     )
 

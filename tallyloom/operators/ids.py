@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import hash_id
 from tallyloom.session import cut_lineage
 
+#: Values of the 32-bit hash.
+ID_SPACE = 2**32
+
 
 def attempt_id(source_id: Column, salt: str, attempt: int) -> Column:
     """Candidate id of the n-th attempt; depends on the source id and the attempt only."""
@@ -33,20 +38,21 @@ def resolve_collisions(
     salt: str,
     source: str = "source_id",
     ident: str = "person_id",
-    max_attempts: int = 10,
     first: Column | None = None,
 ) -> DataFrame:
     """``(ident, source)`` with ids unique within the new ones and against ``existing``.
 
-    Every loser is hashed again with the attempt number until none is left. Each round is
-    kept as a table; running out of attempts raises rather than leave a duplicate.
-    ``first`` replaces the first-attempt id (tests force collisions with it).
+    Every loser is hashed again with the attempt number until none is left: losers get fewer every
+    round, as each id that is held has one holder. Each round is kept as a table. More ids than the
+    hash has values are refused before the first round. ``first`` replaces the first-attempt id (tests force collisions with it).
     """
     start = attempt_id(F.col(source), salt, 0) if first is None else first
     pending = cut_lineage(new.select(start.alias(ident), source))
     taken = existing.select(ident)
+    if pending.count() + taken.count() > ID_SPACE:
+        raise ValueError("more ids than the hash has values")
     settled = None
-    for attempt in range(1, max_attempts + 1):
+    for attempt in count(1):
         losers = cut_lineage(collision_losers(pending, taken, source, ident))
         kept = pending.join(losers.select(source), source, "left_anti").select(ident, source)
         settled = kept if settled is None else settled.unionByName(kept)
@@ -56,7 +62,6 @@ def resolve_collisions(
         pending = cut_lineage(
             losers.select(attempt_id(F.col(source), salt, attempt).alias(ident), source)
         )
-    raise ValueError(f"ids still collide after {max_attempts} attempts")
 
 
 def assign_ids(
@@ -65,7 +70,6 @@ def assign_ids(
     salt: str,
     source: str = "source_id",
     ident: str = "person_id",
-    max_attempts: int = 10,
 ) -> tuple[DataFrame, DataFrame]:
     """Join ids onto ``df``: known ones reused, new ones made. Returns (rows, new pairs).
 
@@ -75,5 +79,5 @@ def assign_ids(
     fresh = (
         df.select(source).where(F.col(source).isNotNull()).distinct().join(known, source, "left_anti")
     )
-    pairs = resolve_collisions(fresh, known, salt, source, ident, max_attempts)
+    pairs = resolve_collisions(fresh, known, salt, source, ident)
     return df.join(known.unionByName(pairs), source, "left"), pairs

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators.running import AUTO, chunk_for, running
+from tallyloom.operators.running import CHUNK, match, running
+from tallyloom.session import cut_lineage
 
 
 def heading_rows(
@@ -22,7 +23,7 @@ def heading_rows(
     row is indented. It sits at row + 0.5, once per key at most."""
     named = lines.where(F.col(name) == after).select(*keys, F.col(row).alias("_row"))
     below = lines.where(F.col(indent) > 0).select(*keys, (F.col(row) - 1).alias("_row"))
-    first = named.join(below, [*keys, "_row"], "left_semi").groupBy(*keys).agg(F.min("_row").alias("_row"))
+    first = match(named, below, [*keys, "_row"], "left_semi").groupBy(*keys).agg(F.min("_row").alias("_row"))
     return first.select(
         *keys,
         (F.col("_row") + 0.5).alias(row),
@@ -52,11 +53,9 @@ def skip_rows(df: DataFrame, name: str = "name", prefix: str = "Check -") -> Dat
     return df.withColumn(name, text).where((F.col(name) != "") & ~F.col(name).startswith(prefix))
 
 
-def line_numbers(
-    df: DataFrame, keys: list[str], row: str = "row", out: str = "line_num", chunk: int | None = AUTO
-) -> DataFrame:
+def line_numbers(df: DataFrame, keys: list[str], row: str = "row", out: str = "line_num", chunk: int = CHUNK) -> DataFrame:
     """1-based number over the kept rows of each key."""
-    return running(df, keys, row, sums={out: F.lit(1)}, chunk=chunk_for(df, keys, chunk))
+    return running(df, keys, row, sums={out: F.lit(1)}, chunk=chunk)
 
 
 def outline_to_path(
@@ -65,33 +64,22 @@ def outline_to_path(
     row: str = "row",
     indent: str = "indent",
     name: str = "name",
-    levels: int = 16,
     out: str = "tree",
-    chunk: int | None = AUTO,
+    chunk: int = CHUNK,
 ) -> DataFrame:
     """Indented list to ``a|b|c`` paths, with line numbers.
 
     A row's depth is its indent, but at most one below the row before it. As a closed form:
     least(n, n + 1 + running minimum of (indent - n)) with n the line number. Each ancestor is the
-    last earlier name at its depth. ``levels`` bounds the depth; a deeper row raises.
+    last earlier name at its depth. The greatest depth is read from the rows, which are kept as a
+    table once for that and for the names.
     """
-    size = chunk_for(df, keys, chunk)
-    numbered = line_numbers(df, keys, row, "line_num", size)
-    floor = running(
-        numbered,
-        keys,
-        row,
-        mins={"_low": F.col(indent) - F.col("line_num")},
-        chunk=size,
-    )
+    numbered = line_numbers(df, keys, row, "line_num", chunk)
+    floor = running(numbered, keys, row, mins={"_low": F.col(indent) - F.col("line_num")}, chunk=chunk)
     depth = F.least(F.col("line_num"), F.col("line_num") + 1 + F.col("_low"))
-    deep = floor.withColumn("_depth", depth).withColumn(
-        "_depth",
-        F.when(F.col("_depth") <= levels, F.col("_depth")).otherwise(
-            F.raise_error(F.lit(f"outline deeper than {levels} levels"))
-        ),
-    )
+    deep = cut_lineage(floor.select(*df.columns, "line_num", depth.cast("int").alias("_depth")))
+    levels = deep.agg(F.max("_depth")).first()[0] or 1
     names = {f"_a{k}": F.when(F.col("_depth") == k, F.col(name)) for k in range(1, levels + 1)}
-    filled = running(deep, keys, row, lasts=names, chunk=size)
-    steps = F.slice(F.array(*[F.col(f"_a{k}") for k in range(1, levels + 1)]), 1, F.col("_depth").cast("int"))
+    filled = running(deep, keys, row, lasts=names, chunk=chunk)
+    steps = F.slice(F.array(*[F.col(n) for n in names]), F.lit(1), F.col("_depth"))
     return filled.select(*df.columns, "line_num", F.concat_ws("|", steps).alias(out))

@@ -106,7 +106,8 @@ def notes_job(rows: DataFrame, id_map: DataFrame, salt: str, ed_dept: str) -> di
     aged = clean.withColumn("encounter_age", age_years(F.col("dob"), F.col("service_date")))
     known, pairs = assign_ids(aged, id_map, salt)
     ed, inpt = split_by(known, ed_note(F.col("dept"), F.col("note_type"), ed_dept))
-    names = rows.groupBy("source_id").agg(F.min("name").alias("name"))
+    # Names are looked for among the notes of new ids only.
+    names = rows.join(pairs, "source_id", "left_semi").groupBy("source_id").agg(F.min("name").alias("name"))
     return {
         "inpatient_notes": inpt.drop("source_id", "name", "dob"),
         "ed_notes": ed.drop("source_id", "name", "dob"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.a1 import cell_address, column_index
 from tallyloom.functions.dates import lenient_date, month_text, period_start
 from tallyloom.operators import grid
-from tallyloom.operators.checks import require_headers, require_none, resolved
+from tallyloom.operators.checks import require_headers, require_none, resolved, unresolved_report
 from tallyloom.operators.cleaning import (
     conform,
     drop_null_keys,
@@ -26,9 +26,10 @@ from tallyloom.operators.grid import SHEET, by_position, filled
 from tallyloom.operators.lookups import resolve_alias
 from tallyloom.operators.outline import heading_rows, outline_to_path, skip_rows
 from tallyloom.operators.periods import periods_to_months, unpivot_months
-from tallyloom.operators.running import chunk_for
+from tallyloom.operators.running import match
 from tallyloom.session import cut_lineage
 from tallyloom.sources import layouts
+from tallyloom.sources.files import latest_per_group
 
 MONTHS = [f"m{n}" for n in range(1, 13)]
 HOURS = ["reg_hrs", "overtime_hrs", "prod_hrs", "nonprod_hrs", "total_hrs", "total_amt"]
@@ -57,6 +58,8 @@ BUDGET_CURRENT = {
     0: "as_of_date", 1: "dept_id", 2: "dept_name", 3: "budget_fte", 7: "budget_contracted_hours",
     8: "budget_prod_hrs", 9: "budget_volume", 10: "budget_uos", 12: "hourly_rate",
 }
+WORKBOOK_YEAR = r"(\d{4})"
+WORKBOOK_MONTH = r"\((\d+)\)"
 INCOME_ANCHOR = "Ledger Account"
 INCOME_MONTH = r"^Month to Date: (\d{1,2})/(\d{4})$"
 INCOME_COLUMNS = {
@@ -106,13 +109,26 @@ def _units(table: DataFrame) -> DataFrame:
     return top_rows(rows, [*SHEET, "dept_id"], [F.col("row").desc()]).select(*SHEET, "dept_id", "unit")
 
 
-def historical_volumes(cells: DataFrame, rows: str = "1:70") -> DataFrame:
-    """Side-by-side tables, one per year; only the first has a unit column."""
+def newest_workbooks(cells: DataFrame, first_year: int = 0) -> DataFrame:
+    """Cells of the newest workbook of each year; year and month stand in the file name."""
+    names = cells.select(F.col("file").alias("path")).distinct()
+    newest = latest_per_group(names, WORKBOOK_YEAR, WORKBOOK_MONTH, first_year)
+    return cells.join(newest.select(F.col("path").alias("file")), "file", "left_semi")
+
+
+def historical_volumes(cells: DataFrame, rows: str) -> DataFrame:
+    """Side-by-side tables, one per year; only the first has a unit column.
+
+    ``rows`` are the sheet rows that hold them; a first column that goes on below raises.
+    """
     key = [*SHEET, "table_no"]
+    bottom = int(rows.partition(":")[2])
+    below = filled(cells).where((F.col("col") == 0) & (F.col("row") == bottom))
+    require_none(below.select(*SHEET, "value"), f"volumes go on below the rows {rows}")
     # Read for the left edges, the years, the units and the data: kept once.
     tables = cut_lineage(grid.tables_by_columns(cells, rows).drop("indent"))
     left = tables.groupBy(*key).agg(F.min("col").alias("_left"))
-    placed = tables.join(left, key).withColumn("col", F.col("col") - F.col("_left")).drop("_left")
+    placed = match(tables, left, key).withColumn("col", F.col("col") - F.col("_left")).drop("_left")
     units = _units(placed.where("table_no = 1"))
     first = F.col("table_no") == 1
     flat = placed.where(~(first & (F.col("col") == 2))).withColumn(
@@ -212,24 +228,32 @@ def contracted_hours(cells: DataFrame, aliases: DataFrame, canonical: DataFrame)
 
 
 def income_rows(cells: DataFrame) -> DataFrame:
-    """Ledger rows below the anchor cell, with the month named above the table."""
-    at = grid.find_cell(cells, INCOME_ANCHOR).select(*SHEET, F.col("row").alias("top"))
-    month_at = filled(cells).where(F.col("col") == column_index("E")).select(
-        *SHEET, (F.col("row") + 1).alias("top"), F.col("value").alias("caption")
-    )
+    """Ledger rows below the anchor cell, with the month named in the row above the table.
+
+    Anchors and captions are found in one scan: captions are filed under the row below theirs.
+    """
+    used = filled(cells)
+    anchor = F.lower("value") == INCOME_ANCHOR.lower()
+    caption = (F.col("col") == column_index("E")) & F.col("value").rlike(INCOME_MONTH)
+    marks = used.where(anchor | caption).groupBy(
+        *SHEET, (F.col("row") + F.when(anchor, 0).otherwise(1)).alias("top")
+    ).agg(F.min(F.when(anchor, F.col("col"))).alias("left"), F.max(F.when(caption, F.col("value"))).alias("caption"))
     part = F.regexp_extract
-    months = at.join(month_at, [*SHEET, "top"], "left").withColumn(
-        "month",
-        F.when(
-            F.col("caption").rlike(INCOME_MONTH),
-            F.concat(part("caption", INCOME_MONTH, 2), F.lit("-"), F.lpad(part("caption", INCOME_MONTH, 1), 2, "0")),
-        ),
+    month = F.concat(part("caption", INCOME_MONTH, 2), F.lit("-"), F.lpad(part("caption", INCOME_MONTH, 1), 2, "0"))
+    first = F.min(F.when(F.col("left").isNotNull(), F.struct("left", "top", month.alias("month"))))
+    months = marks.groupBy(*SHEET).agg(first.alias("_at")).where("_at IS NOT NULL").select(
+        *SHEET, "_at.top", resolved(F.col("_at.month"), "no month above the table").alias("month")
     )
-    months = months.withColumn("month", resolved(F.col("month"), "no month above the table"))
-    body = filled(cells).join(months.drop("caption"), SHEET).where(F.col("row") > F.col("top"))
+    body = match(used.where(F.col("col").isin(list(INCOME_COLUMNS))), months, SHEET).where(F.col("row") > F.col("top"))
     return by_position(body, INCOME_COLUMNS, [*SHEET, "month"])
 
 
+def unknown_cost_centers(cells: DataFrame, aliases: DataFrame, canonical: DataFrame) -> DataFrame:
+    """Rows of the income statement per cost center that no alias names."""
+    known = resolve_alias(income_rows(cells), "cost_center", aliases, canonical, "fail")
+    return unresolved_report(known, "dept_id", "cost_center")
+
+
 def income_statement(cells: DataFrame, aliases: DataFrame, canonical: DataFrame) -> DataFrame:
     """Income statement lines; an unknown cost center serves as its own id and name."""
     known = resolve_alias(income_rows(cells), "cost_center", aliases, canonical, "keep")
@@ -307,7 +331,7 @@ def balance_months(cells: DataFrame) -> DataFrame:
     return sheets.select(*SHEET, resolved(agreed, "file name and period cell differ").alias("month"))
 
 
-def balance_sheet(cells: DataFrame, levels: int = 16) -> DataFrame:
+def balance_sheet(cells: DataFrame) -> DataFrame:
     """Balance sheet lines with the path of headings they stand under."""
     months = balance_months(cells)
     body = cells.where(F.col("row") >= BALANCE_FIRST_ROW - 1).select(
@@ -326,10 +350,8 @@ def balance_sheet(cells: DataFrame, levels: int = 16) -> DataFrame:
             F.coalesce(F.max(F.when(F.col("col") == 0, F.col("indent"))), F.lit(0)).alias("indent"),
         )
     )
-    # A sheet has fewer rows than cells, so its cells tell whether one window will do.
-    size = chunk_for(body, SHEET)
-    paths = outline_to_path(skip_rows(rows, "ledger_acct"), SHEET, name="ledger_acct", levels=levels, chunk=size)
-    return conform(paths.join(months, SHEET), layouts.BALANCE)
+    paths = outline_to_path(skip_rows(rows, "ledger_acct"), SHEET, name="ledger_acct")
+    return conform(match(paths, months, SHEET), layouts.BALANCE)
 
 
 def aged_receivables(rows: DataFrame) -> DataFrame:

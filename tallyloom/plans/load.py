@@ -12,12 +12,14 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.operators.checks import input_report, require_inputs
 from tallyloom.plans import finance
 from tallyloom.plans.clinical import charges_job, fee_table, imaging_job, notes_job, visit_job
 from tallyloom.plans.panels import panel_job
-from tallyloom.plans.persons import person_job
+from tallyloom.plans.persons import LOCATION, SENSITIVE, person_job
+from tallyloom.session import cut_lineage, scratch
 from tallyloom.sources import csv, files, layouts, tables
 from tallyloom.sources.files import file_name
 
@@ -46,48 +48,59 @@ def load_persons(
     spark: SparkSession, source: str, target: str, id_target: str, as_of, floor: int = PERSON_FLOOR
 ) -> None:
     """Person tables to ``target``; ids and personal columns to ``id_target``."""
-    read = {
-        name: csv.read_positional(spark, f"{source}/{file}", layout, keep_order=True)
-        for name, (file, layout) in PERSON_FILES.items()
-    }
-    require_inputs(input_report(read, {name: floor for name in read}))
-    plain = [df.drop("_file", "_block") for df in read.values()]
-    out = person_job(*plain, as_of=as_of)
-    _replace({n: out[n] for n in ("id", "id_details")}, id_target)
-    _replace({n: out[n] for n in ("person", "portal", "person_lists")}, target)
+    with scratch(spark):
+        # Parsed once; the counts and all outputs are made from the kept rows.
+        read = {
+            name: cut_lineage(csv.read_positional(spark, f"{source}/{file}", layout, keep_order=True, multiline=True))
+            for name, (file, layout) in PERSON_FILES.items()
+        }
+        require_inputs(input_report(read, {name: floor for name in read}))
+        out = person_job(*read.values(), as_of=as_of)
+        _replace({n: out[n] for n in ("id", "id_details")}, id_target)
+        _replace({n: out[n] for n in ("person", "portal", "person_lists")}, target)
 
 
 def id_map(spark: SparkSession, id_target: str) -> DataFrame:
-    """Person id, source id and birth date, and nothing else of the personal table."""
-    return tables.read_table(spark, f"{id_target}/id_details", ["person_id", "source_id", "dob"])
+    """Person id, source id and birth date, and nothing else; no rows before the first run."""
+    return tables.read_or_empty(spark, f"{id_target}/id_details", _pick(["person_id", "source_id", "dob"]))
+
+
+def _pick(names: list[str]) -> T.StructType:
+    return T.StructType([layouts.PERSONS[n] for n in names])
 
 
 def load_encounters(spark: SparkSession, source: str, target: str, id_target: str) -> DataFrame:
     """Encounter tables; returns the ED rows per unknown source id."""
-    out = visit_job(
-        csv.read_positional(spark, f"{source}/{ENCOUNTERS_FILE}", layouts.ENCOUNTERS),
-        csv.read_named(spark, f"{source}/{ED_FILE}", layouts.ED_ENCOUNTERS, layouts.ED_NAMES),
-        csv.read_named(spark, f"{source}/{INPATIENT_FILE}", layouts.INPATIENT, layouts.INPATIENT_NAMES),
-        id_map(spark, id_target),
-    )
-    unknown = out.pop("unknown_ids")
-    out["outpatient"] = out["outpatient"].drop("dob")
-    _replace(out, target)
+    read = {"keep_order": False, "multiline": True}
+    ed = csv.read_named(spark, f"{source}/{ED_FILE}", layouts.ED_ENCOUNTERS, layouts.ED_NAMES, **read)
+    with scratch(spark):
+        out = visit_job(
+            csv.read_positional(spark, f"{source}/{ENCOUNTERS_FILE}", layouts.ENCOUNTERS, **read),
+            cut_lineage(ed),  # for the table and for the report
+            csv.read_named(spark, f"{source}/{INPATIENT_FILE}", layouts.INPATIENT, layouts.INPATIENT_NAMES, **read),
+            id_map(spark, id_target),
+        )
+        unknown = cut_lineage(out.pop("unknown_ids"), stay=True)
+        out["outpatient"] = out["outpatient"].drop("dob")
+        _replace(out, target)
     return unknown
 
 
 def load_notes(spark: SparkSession, source: str, target: str, id_target: str, salt: str, ed_dept: str) -> None:
     """Note tables; new ids are appended to the id map, once."""
-    rows = csv.read_named(spark, f"{source}/{NOTES_FILE}", layouts.NOTES, layouts.NOTES_NAMES)
-    out = notes_job(rows, id_map(spark, id_target), salt, ed_dept)
-    new = out.pop("new_ids")
-    _replace(out, target)
-    tables.append_new(new.select("person_id", "source_id"), f"{id_target}/id", "source_id")
-    details = tables.read_table(spark, f"{id_target}/id_details")
-    named = new.select(
-        *[F.col(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in details.schema]
-    )
-    tables.append_new(named, f"{id_target}/id_details", "source_id")
+    with scratch(spark):
+        rows = csv.read_named(spark, f"{source}/{NOTES_FILE}", layouts.NOTES, layouts.NOTES_NAMES, multiline=True)
+        # The map is read before it is written to; the notes are parsed once.
+        out = notes_job(cut_lineage(rows), cut_lineage(id_map(spark, id_target)), salt, ed_dept)
+        new = cut_lineage(out.pop("new_ids"))
+        _replace(out, target)
+        tables.append_new(new.select("person_id", "source_id"), f"{id_target}/id", "source_id")
+        details = f"{id_target}/id_details"
+        layout = spark.read.parquet(details).schema if tables.exists(spark, details) else _pick(["person_id", *SENSITIVE, *LOCATION])
+        named = new.select(
+            *[F.col(f.name) if f.name in new.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in layout]
+        )
+        tables.append_new(named, details, "source_id")
 
 
 def load_fees(spark: SparkSession, folder: str, supplement: str) -> DataFrame | None:
@@ -124,15 +137,17 @@ def load_charges(
     paths = [r["path"] for r in chosen.select("path").collect()]
     if not paths:
         raise ValueError(f"no charges files found in {source}")
-    rows = csv.read_named(spark, paths, layouts.CHARGES, layouts.CHARGES_NAMES, keep_order=True)
-    stored = tables.read_table(spark, current) if current else None
-    out = charges_job(rows, id_map(spark, id_target), salt, fees, stored, csv.FILE_ORDER)
-    tables.write_snapshot(out["charges"], target, out["charges"].schema)
-    return chosen, out["missing_ids"]
+    with scratch(spark):
+        rows = csv.read_named(spark, paths, layouts.CHARGES, layouts.CHARGES_NAMES, keep_order=True, multiline=True)
+        stored = tables.read_table(spark, current) if current else None
+        out = charges_job(cut_lineage(rows), id_map(spark, id_target), salt, fees, stored, csv.FILE_ORDER)
+        tables.write_snapshot(out["charges"], target, out["charges"].schema)
+        missing = cut_lineage(out["missing_ids"], stay=True)
+    return chosen, missing
 
 
 def load_imaging(spark: SparkSession, source: str, target: str) -> None:
-    rows = csv.read_named(spark, f"{source}/{IMAGING_FILE}", layouts.IMAGING, layouts.IMAGING_NAMES)
+    rows = csv.read_named(spark, f"{source}/{IMAGING_FILE}", layouts.IMAGING, layouts.IMAGING_NAMES, multiline=True)
     _replace({"imaging": imaging_job(rows)}, target)
 
 
@@ -182,43 +197,52 @@ def load_finance(
     historical_year: int,
     sheets: Mapping[str, str],
     hours_year: int,
-) -> None:
+    historical_rows: str,
+    first_year: int = 0,
+) -> DataFrame:
     """Finance tables from cell grids (``grids``: kind -> path) and two CSV files.
 
+    Of the workbooks of one year, from ``first_year`` on, the newest month counts.
+    ``historical_rows`` are the sheet rows of the historical volume tables. Returns the income
+    statement's rows per cost center without a known name.
+
     ``sheets`` names the workbook sheets: ``volumes, uos, budget, hours_per_volume`` and, of the
     historical workbook, ``historical_volumes, historical_uos``.
     """
     cells = {kind: cells_of(spark, path) for kind, path in grids.items()}
-    past, now = cells["historical_workbook"], cells["workbooks"]
+    past, now = cells["historical_workbook"], finance.newest_workbooks(cells["workbooks"], first_year)
 
     def on(df: DataFrame, sheet: str) -> DataFrame:
         return df.where(F.col("sheet") == sheets[sheet])
 
-    by_period = finance.historical_hours(cells["historical_hours"], hours_year, aliases, canonical).unionByName(
-        finance.current_hours(cells["hours"], aliases, canonical)
-    )
-    budget = finance.historical_budget(
-        past, sheets["budget"], sheets["hours_per_volume"], sheets["historical_uos"], historical_year
-    )
-    _replace(
-        {
-            "volumes": finance.historical_volumes(on(past, "historical_volumes")).unionByName(
-                finance.current_volumes(on(now, "volumes"))
-            ),
-            "uos": finance.historical_volumes(on(past, "historical_uos")).unionByName(
-                finance.current_volumes(on(now, "uos"))
-            ),
-            "budget": budget.unionByName(finance.current_budget(on(now, "budget"))),
-            "contracted_hours": finance.contracted_hours(cells["contracted_hours"], aliases, canonical),
-            "income_statement": finance.income_statement(cells["income_statements"], aliases, canonical),
-            "balance_sheet": finance.balance_sheet(cells["balance_sheets"]),
-            "hours_by_period": by_period,
-            "misc_volumes": csv.read_positional(spark, csv_files["misc_volumes"], layouts.MISC_VOLUMES),
-            "aged_receivables": finance.aged_receivables(
-                csv.read_positional(spark, csv_files["aged_receivables"], layouts.AGED_AR)
-            ),
-        },
-        target,
-    )
-    written = tables.read_table(spark, f"{target}/hours_by_period")
-    _replace({"hours": finance.hours_by_month(written)}, target)
+    with scratch(spark):
+        by_period = finance.historical_hours(cells["historical_hours"], hours_year, aliases, canonical).unionByName(
+            finance.current_hours(cells["hours"], aliases, canonical)
+        )
+        budget = finance.historical_budget(
+            past, sheets["budget"], sheets["hours_per_volume"], sheets["historical_uos"], historical_year
+        )
+        _replace(
+            {
+                "volumes": finance.historical_volumes(on(past, "historical_volumes"), historical_rows).unionByName(
+                    finance.current_volumes(on(now, "volumes"))
+                ),
+                "uos": finance.historical_volumes(on(past, "historical_uos"), historical_rows).unionByName(
+                    finance.current_volumes(on(now, "uos"))
+                ),
+                "budget": budget.unionByName(finance.current_budget(on(now, "budget"))),
+                "contracted_hours": finance.contracted_hours(cells["contracted_hours"], aliases, canonical),
+                "income_statement": finance.income_statement(cells["income_statements"], aliases, canonical),
+                "balance_sheet": finance.balance_sheet(cells["balance_sheets"]),
+                "hours_by_period": by_period,
+                "misc_volumes": csv.read_positional(spark, csv_files["misc_volumes"], layouts.MISC_VOLUMES),
+                "aged_receivables": finance.aged_receivables(
+                    csv.read_positional(spark, csv_files["aged_receivables"], layouts.AGED_AR)
+                ),
+            },
+            target,
+        )
+        written = tables.read_table(spark, f"{target}/hours_by_period")
+        _replace({"hours": finance.hours_by_month(written)}, target)
+        unknown = finance.unknown_cost_centers(cells["income_statements"], aliases, canonical)
+        return cut_lineage(unknown, stay=True)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.contracts import contract
@@ -222,5 +223,6 @@ def panel_job(
 
 
 def rule_counts(assigned: DataFrame, rule: str) -> DataFrame:
-    """Rows and share per rule."""
-    return assigned.groupBy(rule).agg(F.count("*").alias("n"))
+    """Rows per rule, and their share of all rows."""
+    counts = assigned.groupBy(rule).agg(F.count("*").alias("n"))
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy()))

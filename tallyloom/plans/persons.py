@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.dates import age_months, age_years, day_key, moment
 from tallyloom.operators.cleaning import filter_equals, split_columns
-from tallyloom.operators.groups import dedupe_first, group_to_json, max_row_per_key
+from tallyloom.operators.groups import count_by, dedupe_first, group_to_json, max_row_per_key
 from tallyloom.operators.lookups import attach, known_only
+from tallyloom.sources.csv import FILE_ORDER
 
 # Columns that identify a person, and those kept in both tables.
 SENSITIVE = ["source_id", "name", "dob", "address", "zip", "phone", "email"]
@@ -16,17 +17,13 @@ LOCATION = ["city", "state"]
 
 
 def person_lists(
-    rows: DataFrame, persons: DataFrame, columns: list[str], out: str, line: str, part_rows: int
+    rows: DataFrame, persons: DataFrame, columns: list[str], name: str, order: list[str], part_rows: int
 ) -> tuple[DataFrame, DataFrame]:
-    """(``source_id, out``) for lists that fit one text, and the parts of longer ones."""
-    texts = group_to_json(rows, "source_id", columns, line, out, part_rows)
-    single = texts.where("parts = 1").select("source_id", out)
-    long = (
-        texts.where("parts > 1")
-        .join(persons.select("source_id", "person_id"), "source_id")
-        .select("person_id", F.lit(out).alias("list"), "part", F.col(out).alias("json"))
-    )
-    return single, long
+    """(``source_id, {name}_count``) and the lists themselves, ``person_id, list, part, json``."""
+    counts = count_by(rows.where(F.col("source_id").isNotNull()), "source_id", out=f"{name}_count")
+    texts = group_to_json(rows, "source_id", columns, order, "json", part_rows)
+    named = texts.join(persons.select("person_id", "source_id"), "source_id")
+    return counts, named.select("person_id", F.lit(name).alias("list"), "part", "json")
 
 
 def person_job(
@@ -35,37 +32,38 @@ def person_job(
     problems: DataFrame,
     portal: DataFrame,
     as_of,
-    line: str = "_line",
+    order: list[str] = FILE_ORDER,
     part_rows: int = 100_000,
     numeric_ids: bool = False,
     portal_after_dedupe: bool = False,
 ) -> dict[str, DataFrame]:
     """Tables ``person, portal, id, id_details, person_lists``.
 
-    The inputs carry a ``line`` number. Of several rows with one source id the greatest person
-    id stays; as in the extract it compares as text unless ``numeric_ids``. Lists of more than
-    ``part_rows`` entries are left out of ``person`` and stand whole in ``person_lists``.
+    The inputs carry the columns ``order`` that sort them as in their files. Of several rows with
+    one source id the greatest person id stays; as in the extract it compares as text unless
+    ``numeric_ids``. ``person`` has the number of entries of each list, 0 for none; the lists
+    stand in ``person_lists``, in parts of ``part_rows`` entries.
     """
-    kept = max_row_per_key(persons, "source_id", "person_id", ties=[line], numeric=numeric_ids).drop(line)
+    kept = max_row_per_key(persons, "source_id", "person_id", ties=order, numeric=numeric_ids).drop(*order)
 
     known = kept if portal_after_dedupe else persons
     opened = dedupe_first(
         portal.withColumn("mychart_activation_date", day_key(F.col("mychart_activation_date"))),
         ["source_id"],
-        [line],
+        order,
     )
-    portal_out = known_only(opened.drop(line), known.select("source_id", "person_id"), "source_id")
+    portal_out = known_only(opened.drop(*order), known.select("source_id", "person_id"), "source_id")
 
-    allergy, long_allergy = person_lists(
-        allergies, kept, ["name", "reaction", "type", "severity"], "allergy", line, part_rows
+    allergies_of, allergy = person_lists(
+        allergies, kept, ["name", "reaction", "type", "severity"], "allergy", order, part_rows
     )
-    problem, long_problem = person_lists(
-        filter_equals(problems, "status", "Active"), kept, ["diagnosis", "icd", "start_date"],
-        "problem_list", line, part_rows,
+    problems_of, problem = person_lists(
+        filter_equals(problems, "status", "Active"), kept, ["diagnosis", "icd", "start_date"], "problem", order, part_rows
     )
     now = moment(as_of)
-    full = attach(kept, allergy, problem, on="source_id").withColumns(
+    full = attach(kept, allergies_of, problems_of, on="source_id").withColumns(
         {
+            **{c: F.coalesce(c, F.lit(0)) for c in ("allergy_count", "problem_count")},
             "age": age_years(F.col("dob"), now),
             "age_in_mo_under_3": age_months(F.col("dob"), now),
         }
@@ -76,5 +74,5 @@ def person_job(
         "portal": portal_out.drop("source_id"),
         "id": details.select("person_id", "source_id"),
         "id_details": details,
-        "person_lists": long_allergy.unionByName(long_problem),
+        "person_lists": allergy.unionByName(problem),
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,12 +68,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+#: Paths of the tables kept within each open ``scratch`` block.
+_open: list[list[str]] = []
+
+
+def cut_lineage(df: DataFrame, stay: bool = False) -> DataFrame:
     """Keep a frame as a table in the shared folder and go on from that.
 
-    It is computed once, outlives lost executors, and later plans start from a plain scan. The
-    folder's owner decides how long such tables stay.
+    It is computed once, outlives lost executors, and later plans start from a plain scan. Within a
+    ``scratch`` block it is removed at the block's end, unless it is to ``stay``; else the folder's
+    owner decides how long such tables stay.
     """
     path = scratch_path(df.sparkSession, "kept")
+    if _open and not stay:
+        _open[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables kept within the block at its end, when its outputs are written."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

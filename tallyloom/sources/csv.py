@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,8 +20,34 @@ MISSING = [
 FILE_ORDER = ["_file", "_block", "_line"]
 
 
+BAD = "_bad_record"
+
+
 def _options(reader, multiline: bool):
-    return reader.option("header", True).option("escape", '"').option("multiLine", multiline)
+    # Without column pruning every record is cut whole, so that short ones are noticed.
+    return (
+        reader.option("header", True)
+        .option("escape", '"')
+        .option("multiLine", multiline)
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", BAD)
+    )
+
+
+def _with_bad(layout: T.StructType) -> T.StructType:
+    return T.StructType([*layout, T.StructField(BAD, T.StringType())])
+
+
+def _whole(df: DataFrame, width: int) -> DataFrame:
+    """Raise where a record has fewer than ``width`` fields, which Spark would fill with nulls.
+
+    Spark marks records of another width than expected; of those, the fields are counted.
+    """
+    unquoted = F.regexp_replace(BAD, r'"(?:[^"]|"")*"', "")
+    fields = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    quoted = F.concat(F.lit("a record is too short: "), F.substring(BAD, 1, 200))
+    checked = F.when(F.col(BAD).isNotNull() & (fields < width), F.raise_error(quoted).cast("boolean"))
+    return df.where(F.coalesce(checked, F.lit(True))).drop(BAD)
 
 
 def _blank_to_null(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -51,10 +78,14 @@ def _finish(df: DataFrame, layout: T.StructType, keep_order: bool) -> DataFrame:
 def read_positional(
     spark: SparkSession, path, layout: T.StructType, keep_order: bool = False, multiline: bool = False
 ) -> DataFrame:
-    """Header line replaced by a positional layout; extra trailing fields are dropped."""
+    """Header line replaced by a positional layout; extra trailing fields are dropped.
+
+    A record with fewer fields than the layout raises. ``multiline`` reads line breaks inside
+    quotes; a file is then one split.
+    """
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in layout])
-    raw = _options(spark.read.schema(texts), multiline).option("enforceSchema", True).csv(path)
-    raw = with_file_order(raw) if keep_order else raw
+    raw = _options(spark.read.schema(_with_bad(texts)), multiline).option("enforceSchema", True).csv(path)
+    raw = _whole(with_file_order(raw) if keep_order else raw, len(layout))
     return _finish(_blank_to_null(raw, layout.fieldNames()), layout, keep_order)
 
 
@@ -68,11 +99,13 @@ def read_named(
 ) -> DataFrame:
     """Header-driven read: keep the layout's columns, cast, rename (``renames`` maps header to name).
 
-    All files of one call share a header; a file with another one raises.
+    All files of one call share a header; a file with another one, or a record with fewer fields
+    than the header, raises.
     """
-    reader = _options(spark.read, multiline).option("enforceSchema", False)
-    raw = require_columns(reader.csv(path), layout.fieldNames(), str(path))
-    raw = with_file_order(raw) if keep_order else raw
+    header = require_columns(_options(spark.read, multiline).csv(path), layout.fieldNames(), str(path)).schema
+    reader = _options(spark.read.schema(_with_bad(header)), multiline).option("enforceSchema", False)
+    raw = reader.csv(path)
+    raw = _whole(with_file_order(raw) if keep_order else raw, len(header))
     typed = _finish(_blank_to_null(raw, layout.fieldNames()), layout, keep_order)
     return typed.withColumnsRenamed(dict(renames))
 
@@ -88,21 +121,26 @@ def read_preamble(
 ) -> DataFrame:
     """Skip ``skip`` lines and the header after them, keep columns by 0-based ordinal.
 
-    The lines stay splittable: only the first ``skip + 1`` lines of each file's first split are
-    ranked, to learn where its data begins. ``width`` is the number of fields read per line;
-    quoted line breaks are not supported.
+    The lines stay splittable: they are counted per split, to learn where each file's data begins.
+    ``width`` is the number of fields read per line; quoted line breaks are not supported.
     """
     lines = with_file_order(spark.read.text(path))
-    heads = (
-        lines.where(F.col("_block") == 0)
-        .groupBy(F.col("_file").alias("_f"))
-        .agg(F.min("_line").alias("_first"), F.count("*").alias("_lines"))
+    splits = lines.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(
+        F.min("_line").alias("_first"), F.count("*").alias("_lines")
+    )
+    before = W.partitionBy("_f").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.withColumns(
+        {
+            "_before": F.coalesce(F.sum("_lines").over(before), F.lit(0)),
+            "_all": F.sum("_lines").over(W.partitionBy("_f")),
+        }
     )
-    # Ids are consecutive within a split, so the data begins a fixed number of ids later.
-    behind_header = F.when(F.col("_lines") > skip, F.col("_line") > F.col("_first") + skip).otherwise(
-        F.raise_error(F.lit("preamble longer than the file's first split"))
+    # Ids are consecutive within a split.
+    number = F.col("_before") + F.col("_line") - F.col("_first")
+    behind_header = F.when(F.col("_all") > skip, number > skip).otherwise(
+        F.raise_error(F.lit("preamble longer than the file")).cast("boolean")
     )
-    body = lines.join(heads, F.col("_file") == F.col("_f")).where((F.col("_block") > 0) | behind_header)
+    body = lines.join(splits, (F.col("_file") == F.col("_f")) & (F.col("_block") == F.col("_b"))).where(behind_header)
     fields = ", ".join(f"_c{i} string" for i in range(width))
     parsed = body.where(F.trim("value") != "").select(
         *FILE_ORDER, F.from_csv("value", fields, {"escape": '"'}).alias("_r")

@@ -26,6 +26,19 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None)
     return table.select(*columns) if columns else table
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written; on a first run it has not."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_or_empty(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame:
+    """The table's columns of a layout, or no rows before the first run."""
+    if exists(spark, path):
+        return read_table(spark, path, layout.fieldNames())
+    return spark.createDataFrame([], layout)
+
+
 def write_snapshot(df: DataFrame, path: str, layout: T.StructType) -> None:
     """Replace the table by these rows, in its contract."""
     conform(df, layout).write.mode("overwrite").parquet(path)
@@ -52,8 +65,9 @@ def new_rows(df: DataFrame, existing: DataFrame, key: str | list[str]) -> DataFr
 
 def append_new(df: DataFrame, path: str, key: str) -> None:
     """Append the rows whose key the table lacks; running it again adds nothing."""
-    existing = df.sparkSession.read.parquet(path).select(key)
-    new_rows(df, existing, key).write.mode("append").parquet(path)
+    if exists(df.sparkSession, path):
+        df = new_rows(df, df.sparkSession.read.parquet(path).select(key), key)
+    df.write.mode("append").parquet(path)
 
 
 def log_ingest(

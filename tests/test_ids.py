@@ -3,6 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyloom.functions.text import hash_id
+from tallyloom.operators import ids
 from tallyloom.operators.ids import assign_ids, attempt_id, resolve_collisions
 
 
@@ -38,10 +39,11 @@ def test_three_way_collision_and_taken_id(frame):
     assert found["b"] == second
 
 
-def test_gives_up_loudly(frame):
-    new = frame("source_id string", ("a",), ("b",))
-    with pytest.raises(ValueError, match="collide"):
-        resolve_collisions(new, frame("person_id string, source_id string"), "salt", max_attempts=1, first=F.lit("same"))
+def test_more_ids_than_values(frame, monkeypatch):
+    monkeypatch.setattr(ids, "ID_SPACE", 2)
+    new = frame("source_id string", ("a",), ("b",), ("c",))
+    with pytest.raises(ValueError, match="more ids"):
+        resolve_collisions(new, frame("person_id string, source_id string"), "salt")
 
 
 def test_result_does_not_depend_on_row_order(frame):

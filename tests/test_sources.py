@@ -75,6 +75,19 @@ def test_preamble(spark, tmp_path):
         csv.read_preamble(spark, str(tmp_path / "fees"), 30, 3, {0: "code"}, ordered("code string")).collect()
 
 
+def test_preamble_beyond_the_first_split(spark, tmp_path):
+    """A preamble of many lines crosses several small splits."""
+    body = [f"C{n},x,{n}.5" for n in range(50)]
+    put(tmp_path / "fees" / "one.csv", "\n".join([*["a line of the preamble"] * 40, "CODE,X,RATE", *body]) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    try:
+        got = csv.read_preamble(spark, str(tmp_path / "fees"), 40, 3, {0: "code", 2: "rate"}, ordered("code string, rate double"))
+        assert spark.read.text(str(tmp_path / "fees")).rdd.getNumPartitions() > 3
+        assert rows(got) == sorted((f"C{n}", n + 0.5) for n in range(50))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_file_choice(spark, tmp_path, frame):
     for name in ["b/(02) Feb 2023 Dashboard.csv", "b/(11) Nov 2023 Dashboard.csv", "a/(01) Jan 2024 Dashboard.csv", "a/~lock.csv", "a/.hidden.csv", "skip.csv"]:
         put(tmp_path / name, "x")
