@@ -38,8 +38,11 @@ def found(docs, items, width=10):
 
 
 @pytest.mark.parametrize("block_bytes", [decontamination.BLOCK_BYTES, 3000])
-def test_given_tables(table, monkeypatch, block_bytes):
+@pytest.mark.parametrize("shard_bytes", [decontamination.SHARD_BYTES, 20_000])
+def test_given_tables(table, monkeypatch, block_bytes, shard_bytes):
+    """Test texts in one block and in several, documents in one shard and in many."""
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", shard_bytes)
     docs, items = table("documents"), table("benchmark")
     pairs = [(r.doc_id, r.text) for r in docs.collect()]
     assert found(docs, items) == by_loops(pairs, [tuple(r) for r in items.collect()], 10)
