@@ -96,16 +96,18 @@ def visit_job(
     }
 
 
-def ed_note(dept: Column, note_type: Column, ed_dept: str) -> Column:
-    return (dept == ed_dept) | note_type.isin(ED_NOTE_TYPES)
+def ed_note(dept: Column, note_type: Column, ed_dept: str, ed_types: list[str] = ED_NOTE_TYPES) -> Column:
+    return (dept == ed_dept) | note_type.isin(ed_types)
 
 
-def notes_job(rows: DataFrame, id_map: DataFrame, salt: str, ed_dept: str) -> dict[str, DataFrame]:
+def notes_job(
+    rows: DataFrame, id_map: DataFrame, salt: str, ed_dept: str, ed_types: list[str] = ED_NOTE_TYPES
+) -> dict[str, DataFrame]:
     """Tables ``inpatient_notes, ed_notes`` and the new pairs ``new_ids(person_id, source_id, name)``."""
     clean = sentinel_to_null(rows, NOTE_TEXTS, [UNSPECIFIED])
     aged = clean.withColumn("encounter_age", age_years(F.col("dob"), F.col("service_date")))
     known, pairs = assign_ids(aged, id_map, salt)
-    ed, inpt = split_by(known, ed_note(F.col("dept"), F.col("note_type"), ed_dept))
+    ed, inpt = split_by(known, ed_note(F.col("dept"), F.col("note_type"), ed_dept, ed_types))
     # Names are looked for among the notes of new ids only.
     names = rows.join(pairs, "source_id", "left_semi").groupBy("source_id").agg(F.min("name").alias("name"))
     return {

@@ -86,12 +86,12 @@ def load_encounters(spark: SparkSession, source: str, target: str, id_target: st
     return unknown
 
 
-def load_notes(spark: SparkSession, source: str, target: str, id_target: str, salt: str, ed_dept: str) -> None:
-    """Note tables; new ids are appended to the id map, once."""
+def load_notes(spark: SparkSession, source: str, target: str, id_target: str, salt: str, ed_dept: str, **types: list[str]) -> None:
+    """Note tables; new ids are appended to the id map, once. ``types`` are options of ``notes_job``."""
     with scratch(spark):
         rows = csv.read_named(spark, f"{source}/{NOTES_FILE}", layouts.NOTES, layouts.NOTES_NAMES, multiline=True)
         # The map is read before it is written to; the notes are parsed once.
-        out = notes_job(cut_lineage(rows), cut_lineage(id_map(spark, id_target)), salt, ed_dept)
+        out = notes_job(cut_lineage(rows), cut_lineage(id_map(spark, id_target)), salt, ed_dept, **types)
         new = cut_lineage(out.pop("new_ids"))
         _replace(out, target)
         tables.append_new(new.select("person_id", "source_id"), f"{id_target}/id", "source_id")
@@ -159,12 +159,13 @@ def load_panels(
     clinics: list[str],
     provider_to_site: Mapping[str, str],
     peds_site: str,
+    **types: list[str],
 ) -> None:
-    """Panels from the person and outpatient tables."""
+    """Panels from the person and outpatient tables. ``types`` are options of ``panel_job``."""
     panel = panel_job(
         tables.read_table(spark, f"{target}/person", ["person_id", "age"]),
         tables.read_table(spark, f"{target}/outpatient"),
-        as_of, peds_clinics, clinics, provider_to_site, peds_site,
+        as_of, peds_clinics, clinics, provider_to_site, peds_site, **types,
     )
     _replace({"panel": panel}, target)
 

@@ -59,22 +59,27 @@ WELL_CODES = ["Z00.", "Z02."]
 PANEL = contract(string="person_id panel_location panel_provider assignment_details")
 
 
-def office_visits(encounters: DataFrame, clinics: list[str]) -> DataFrame:
+def office_visits(encounters: DataFrame, clinics: list[str], non_office: list[str] = NON_OFFICE_TYPES) -> DataFrame:
     """Completed office visits at the given clinics; a null type counts as an office visit."""
     return filter_all(
         encounters,
-        not_in={"encounter_type": NON_OFFICE_TYPES},
+        not_in={"encounter_type": non_office},
         equals={"appt_status": "Completed"},
         is_in={"dept": clinics},
     )
 
 
-def panel_visits(encounters: DataFrame, peds_clinics: list[str]) -> DataFrame:
+def panel_visits(
+    encounters: DataFrame,
+    peds_clinics: list[str],
+    well_types: list[str] = WELL_TYPES,
+    well_codes: list[str] = WELL_CODES,
+) -> DataFrame:
     """Encounters in the visit shape the rules read."""
     day = F.col("encounter_date").cast("timestamp_ntz")
     minutes = F.coalesce(F.col("encounter_time").try_cast("int"), F.lit(0))
-    well = is_true(F.col("encounter_type").isin(WELL_TYPES)) | starts_with_any(
-        F.col("diagnoses_icd"), WELL_CODES
+    well = is_true(F.col("encounter_type").isin(well_types)) | starts_with_any(
+        F.col("diagnoses_icd"), well_codes
     )
     return encounters.select(
         "person_id",
@@ -192,13 +197,18 @@ def panel_job(
     clinics: list[str],
     provider_to_site: Mapping[str, str],
     peds_site: str,
+    non_office: list[str] = NON_OFFICE_TYPES,
+    well_types: list[str] = WELL_TYPES,
+    well_codes: list[str] = WELL_CODES,
 ) -> DataFrame:
     """Panel of every person: location rules first, then provider cuts for the rest.
 
-    Persons who have a panel location or provider already keep it.
+    Persons who have a panel location or provider already keep it. ``non_office`` are the visit
+    types that are no office visit, ``well_types`` and ``well_codes`` those that are well visits.
     """
     people = ensure_columns(persons, PANEL)
-    visits = panel_visits(office_visits(encounters, [*peds_clinics, *clinics]), peds_clinics)
+    office = office_visits(encounters, [*peds_clinics, *clinics], non_office)
+    visits = panel_visits(office, peds_clinics, well_types, well_codes)
     open_people = people.where(F.col("panel_location").isNull() & F.col("panel_provider").isNull())
     placed = location_panel(open_people.select("person_id", "age"), visits, as_of).where("assigned")
     placed = placed.select("person_id", "rule")
