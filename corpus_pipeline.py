@@ -7,7 +7,6 @@ last return the columns of ``documents``, whatever else those may be named.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.llm import decontamination, mixing, quality_rules, simhash, toxicity
@@ -19,42 +18,51 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep; each row is judged alone."""
+    """Documents that the quality rules keep; each row is judged alone.
+
+    Null and empty texts have too few words and go. Null ids and repeated rows are judged like any
+    other; an empty table gives none. Without labels only the base rule decides.
+    """
     return quality_rules.keep_good(docs, quality_rules.train(docs, _table(spark, sf_dir, "labels")))
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic; each row is judged alone."""
+    """Documents that are not toxic; each row is judged alone.
+
+    Null and empty texts share no term with toxic examples and stay. Null ids and repeated rows are
+    judged like any other; an empty table gives none. Without labels of both kinds all stay, unless
+    every label there is says toxic.
+    """
     return toxicity.keep_harmless(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id.
 
-    Which id stays is settled on ids alone, with partial minima per group; texts are moved once,
-    when the ids that stay are joined back. Rows that repeat an id are one document if they are in
-    one group. If they are in several (one id for different texts), each text stays once.
+    A null id counts as larger than any other. Null and empty texts are one group. Rows that repeat
+    an id are told apart by their fingerprints; an empty table gives none.
     """
     configure(spark)
-    found = simhash.near_duplicates(docs)
-    stays = found.groupBy("component").agg(F.min("doc_id").alias("id")).groupBy("id").agg(F.count("*").alias("groups"))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs.doc_id.alias("own"))
-    kept = rows.join(stays, F.col("own").eqNullSafe(F.col("id")))
-    text = F.when(F.col("groups") > 1, F.col("row.text"))
-    order = [F.col("row")[c] for c in docs.columns]
-    first = F.row_number().over(W.partitionBy("own", text).orderBy(*order))
-    return kept.withColumn("place", first).where("place = 1").select("row.*")
+    return simhash.keep_one(docs, shingle=3, radius=3)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no window of a benchmark item occurs; rows of one id go or stay together."""
+    """Documents in which no window of a benchmark item occurs.
+
+    Rows of one id go or stay together, those of the null id too. Null and empty texts have no hits
+    and stay; an empty table gives none, and an empty benchmark lets all stay.
+    """
     found = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
     gone = found.where(F.size("items") > 0).select(F.col("doc_id").alias("id")).distinct()
     return docs.join(gone, docs.doc_id.eqNullSafe(gone.id), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The copies of documents that make up the mix, shuffled."""
+    """The copies of documents that make up the mix, shuffled.
+
+    A null source is a source of its own; rows that repeat an id are repeated alike; sources
+    without any text, and an empty table, give none.
+    """
     configure(spark)
     return mixing.mix(docs, temperature=0.5, seed=11)
 

@@ -16,9 +16,10 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyloom.llm.batches import map_texts
+from tallyloom.llm.batches import map_texts, text_column
 from tallyloom.llm.components import components
 from tallyloom.session import cut_lineage
 
@@ -53,13 +54,13 @@ def fingerprint(text: bytes | None, shingle: int) -> int:
     return int(packed.view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``(id, fp long)`` per row, over whole texts. Null and empty texts have fingerprint zero."""
+def _start(shingle: int):
+    return lambda: lambda batch: [pa.array([fingerprint(t, shingle) for t in batch], pa.int64())]
 
-    def start():
-        return lambda batch: [pa.array([fingerprint(t, shingle) for t in batch], pa.int64())]
 
-    return map_texts(docs, id_col, text_col, "fp long", start)
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """``(id, fp long)`` per row, over whole texts. Null and empty texts have fingerprint zero."""
+    return map_texts(docs, id_col, text_col, "fp long", _start(shingle))
 
 
 def _masks(radius: int) -> list[int]:
@@ -247,19 +248,44 @@ def near_duplicates(
     copies costs one row per task. Fingerprints, edges and labels are kept as tables in the shared
     folder; no list of them reaches the driver.
     """
-    of_rows = cut_lineage(fingerprints(docs, id_col, text_col, shingle))
-    id_name = of_rows.columns[0]
-    distinct = of_rows.groupBy("fp").agg(F.min(id_name).alias("smallest"))
+    return grouped(cut_lineage(fingerprints(docs, id_col, text_col, shingle)), id_col, radius)
+
+
+def grouped(of_rows: DataFrame, id_col: str, radius: int) -> DataFrame:
+    """The same from rows ``(id, fp)`` that are kept as a table."""
+    distinct = of_rows.groupBy("fp").agg(F.min(id_col).alias("smallest"))
     fps = cut_lineage(distinct)
     edges = _links(_pairs_of_parts(_filed(fps.select("fp"), radius)), radius)
     rooted = cut_lineage(components(edges).join(fps, F.col("node") == fps.fp).select("fp", "root", "smallest"))
     per_root = rooted.groupBy("root").agg(F.min("smallest").alias("component_id"))
-    grouped = rooted.select("fp", "root").join(per_root, "root")
+    roots = rooted.select("fp", "root").join(per_root, "root")
     labels = cut_lineage(
-        fps.join(grouped, "fp", "left").select(
+        fps.join(roots, "fp", "left").select(
             "fp",
             F.coalesce("root", "fp").alias("component"),
             F.when(F.col("root").isNull(), F.col("smallest")).otherwise(F.col("component_id")).alias("component_id"),
         )
     )
-    return of_rows.join(labels, "fp").select(id_name, "fp", "component", "component_id")
+    return of_rows.join(labels, "fp").select(id_col, "fp", "component", "component_id")
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3
+) -> DataFrame:
+    """One row of ``docs`` of each group of near copies, with all its columns: that of the smallest id.
+
+    Rows with their fingerprints are kept as a table once. Which of them stays is settled on ids
+    and fingerprints alone, with partial minima per group; the rows themselves are moved once, when
+    that choice is joined back. A null id counts as larger than any other. Of rows that share id
+    and fingerprint, the first in the order of their columns stays. Null and empty texts are one
+    group, fingerprint zero; an empty table gives none; column names do not matter.
+    """
+    fp = text_column(docs, text_col, "fp long", _start(shingle))["fp"]
+    rows = cut_lineage(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("id"), fp.alias("fp")))
+    found = grouped(rows.select("id", "fp"), "id", radius)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("first")
+    stays = found.groupBy("component").agg(first).select(F.col("first.id").alias("own"), F.col("first.fp").alias("print"))
+    kept = rows.join(stays, F.col("id").eqNullSafe(F.col("own")) & (F.col("fp") == F.col("print")))
+    order = [F.col("row")[c] for c in docs.columns]
+    place = F.row_number().over(W.partitionBy("id", "fp").orderBy(*order))
+    return kept.withColumn("place", place).where("place = 1").select("row.*")

@@ -41,11 +41,13 @@ def test_stages_against_their_operators(spark, sf, table, tmp_path):
 
 
 def test_one_id_for_several_texts(spark, sf, frame):
+    """Null ids and repeated ids are told apart by what their texts are."""
     far = " ".join(f"other{i}" for i in range(60))
     near = " ".join(f"word{i}" for i in range(60))
-    rows = [(1, near), (1, near), (1, far), (2, near), (3, far), (None, None), (None, ""), (4, "")]
+    alone = " ".join(f"alone{i}" for i in range(60))
+    rows = [(1, near), (1, near), (1, far), (2, near), (3, far), (None, None), (None, ""), (4, ""), (None, near), (None, alone), (None, alone)]
     out = corpus_pipeline.near_duplicates(spark, frame("doc_id long, text string", *rows), sf)
-    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, near), (1, far), (4, "")], key=repr)
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, near), (1, far), (4, ""), (None, alone)], key=repr)
 
 
 def test_odd_rows(spark, sf, odd, no_documents):
