@@ -12,6 +12,7 @@ import json
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
@@ -57,6 +58,11 @@ TEMPLATES = (
     ),
     ("mpl", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+#: Pairs of two such words say nothing about licences and are no grams.
+STOP_WORDS = (
+    "a an and any are as at be but by can do for from has have he in is it may no not of on or other that the this "
+    "to was which will with you"
+).split()
 NOT_WORD = r"[^a-z0-9\u0080-\uffff]+"
 
 
@@ -67,16 +73,20 @@ def table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
 
 
 def grams_of(paragraph: Column) -> Column:
-    """The distinct word pairs of a paragraph; a single word stands for itself."""
+    """The distinct word pairs of a paragraph, without those of two stop words."""
     words = F.filter(F.split(F.lower(paragraph), NOT_WORD), lambda w: w != "")
-    pairs = F.zip_with(words, F.slice(words, 2, 2**31 - 2), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(F.when(F.size(words) < 2, words).otherwise(F.array_compact(pairs)))
+
+    def pair(a: Column, b: Column) -> Column:
+        return F.when(~(a.isin(STOP_WORDS) & b.isin(STOP_WORDS)), F.concat(a, F.lit(" "), b))
+
+    return F.array_distinct(F.array_compact(F.zip_with(words, F.slice(words, 2, 2**31 - 2), pair)))
 
 
 def grams_of_text(text: str) -> list[str]:
     """The same for a template, on the driver."""
     words = [w for w in re.split(NOT_WORD, text.lower()) if w]
-    return list(dict.fromkeys(map(" ".join, zip(words, words[1:], strict=False)))) or words
+    pairs = zip(words, words[1:], strict=False)
+    return list(dict.fromkeys(f"{a} {b}" for a, b in pairs if not (a in STOP_WORDS and b in STOP_WORDS)))
 
 
 @dataclass
@@ -97,6 +107,22 @@ def untrained(templates: tuple[tuple[str, str], ...] = TEMPLATES) -> Licences:
     return Licences(families, made, grams, [[0.0] * (len(families) + 1)] * len(grams), [0.0] * (len(families) + 1))
 
 
+def any_gram(grams: list[str]) -> str:
+    """A pattern that finds whether a lower-cased paragraph holds any of some word pairs.
+
+    Pairs are grouped by their first letter and word, so that most words are passed over at once.
+    """
+    seconds: dict[str, list[str]] = {}
+    for gram in sorted(grams):
+        first, _, second = gram.partition(" ")
+        seconds.setdefault(first, []).append(second)
+    letters: dict[str, list[str]] = {}
+    for first, after in seconds.items():
+        letters.setdefault(first[0], []).append(f"{first[1:]}{NOT_WORD}(?:{'|'.join(after)})")
+    words = "|".join(f"{letter}(?:{'|'.join(rest)})" for letter, rest in letters.items())
+    return f"(?:^|{NOT_WORD[:-1]})(?:{words})(?![{NOT_WORD[2:-2]}])"
+
+
 def _hits(rows: DataFrame, model: Licences, delimiter: str, *extra: Column) -> DataFrame:
     """Per paragraph of ``rows (_row, _id, _text)`` that shares a gram with a template: sums by class and template.
 
@@ -120,7 +146,10 @@ def _hits(rows: DataFrame, model: Licences, delimiter: str, *extra: Column) -> D
         F.posexplode(F.coalesce(split, F.array(F.lit("")))).alias("_at", "_paragraph"),
     ).withColumn("_n", F.greatest("_n", F.lit(0)))
     first = F.when(F.col("_at") == 0, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
-    spread = paragraphs.select("_row", "_id", "_n", "_at", F.explode(F.concat(first, grams_of(F.col("_paragraph")))).alias("gram"))
+    # Only paragraphs with a gram of some template are cut into grams: the others share none.
+    shares = F.lower("_paragraph").rlike(any_gram(model.grams))
+    here = F.when(shares, grams_of(F.col("_paragraph"))).otherwise(F.array().cast("array<string>"))
+    spread = paragraphs.select("_row", "_id", "_n", "_at", F.explode(F.concat(first, here)).alias("gram"))
     return spread.join(F.broadcast(grams), "gram").groupBy("_row", "_id", "_n", "_at").agg(
         F.max("id").alias("last"),
         *extra,
@@ -130,36 +159,41 @@ def _hits(rows: DataFrame, model: Licences, delimiter: str, *extra: Column) -> D
 
 
 def _judged(hits: DataFrame, model: Licences, confirm: float) -> DataFrame:
-    """Adds class probabilities ``p``, the ``family`` predicted, and its ``similarity`` to templates."""
+    """Adds the ``family`` predicted, its probability ``p`` and ``similarity`` to templates, and ``confirmed``.
+
+    Plain columns per class, each level in a projection of its own, so that nothing is worked out twice.
+    """
     classes = [*model.families, UNKNOWN]
-    logits = F.array(*[F.col(f"w{k}") + F.lit(model.intercept[k]) for k in range(len(classes))])
-    scored = hits.withColumn("logits", F.when(F.col("last") >= 0, logits))
-    top = F.array_max("logits")
-    odds = F.transform("logits", lambda x: F.exp(x - top))
-    total = F.aggregate(odds, F.lit(0.0), lambda a, b: a + b)
-    scored = scored.withColumns({"p": F.transform(odds, lambda x: x / total)})
-    best = F.array_position("p", F.array_max("p")).cast("int")
-    # A paragraph that shares nothing with any template is unknown without a score.
-    family = F.coalesce(F.element_at(F.array(*map(F.lit, classes)), best), F.lit(UNKNOWN))
-    alike = [F.struct(F.lit(f).alias("f"), (F.col(f"t{i}") / len(g)).alias("s")) for i, (f, g) in enumerate(model.templates)]
-    scored = scored.withColumns({"alike": F.array(*alike), "family": family})
-    own = F.filter("alike", lambda a: a["f"] == F.col("family"))
-    similarity = F.coalesce(F.array_max(F.transform(own, lambda a: a["s"])), F.lit(0.0))
+    ids = range(len(classes))
+    scored = hits.withColumns({f"l{k}": F.col(f"w{k}") + F.lit(model.intercept[k]) for k in ids})
+    scored = scored.withColumn("top", F.greatest(*[F.col(f"l{k}") for k in ids]))
+    total = reduce(Column.__add__, [F.exp(F.col(f"l{k}") - F.col("top")) for k in ids])
+    # A paragraph that shares nothing with any template is unknown, and so is a tie with unknown.
+    best = F.lit(UNKNOWN)
+    for k in reversed(ids[:-1]):
+        best = F.when((F.col(f"l{k}") == F.col("top")) & (F.col(f"l{ids[-1]}") < F.col("top")), classes[k]).otherwise(best)
+    scored = scored.withColumns({"p": 1 / total, "family": F.when(F.col("last") >= 0, best).otherwise(F.lit(UNKNOWN))})
+    similarity = F.lit(0.0)
+    for family in model.families:
+        own = [F.col(f"t{i}") / len(g) for i, (f, g) in enumerate(model.templates) if f == family]
+        similarity = F.when(F.col("family") == family, F.greatest(*own, F.lit(0.0))).otherwise(similarity)
     scored = scored.withColumn("similarity", similarity)
     return scored.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= confirm))
 
 
 def train(
     docs: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
+    sample_docs: int = 4000,
     sample_rows: int = 4000,
     delimiter: str = "\n",
 ) -> Licences:
     """The classifier, trained on variants of the templates and a bounded sample of paragraphs.
 
-    The sample has at most ``sample_rows`` paragraphs that share a gram with a template, in hash
-    order over all documents. One that holds nine tenths of a template is an example of its
+    The sample is drawn from the whole texts of at most ``sample_docs`` ids in hash order: at most
+    ``sample_rows`` of their paragraphs that share a gram with a template. One that holds nine tenths of a template is an example of its
     family, one that holds less than half of any is unknown; others are left out. A quarter of the
     sample calibrates the unknown class: its intercept is moved until the expected number of
     unknown paragraphs is the true one.
@@ -167,7 +201,11 @@ def train(
     model = untrained(templates)
     spark, families = docs.sparkSession, model.families
     ids = F.array_sort(F.collect_list(F.when(F.col("id") >= 0, F.col("id")))).alias("ids")
-    hits = _hits(_numbered(docs, F.lit(None).cast("string"), text_col), model, delimiter, ids).where("last >= 0")
+    name = docs[id_col].alias("_own")
+    drawn = docs.select(name).dropna().orderBy(F.xxhash64("_own"), "_own").limit(sample_docs).distinct()
+    drawn_docs = docs.join(F.broadcast(drawn), docs[id_col] == drawn["_own"], "left_semi")
+    rows = _numbered(drawn_docs, F.lit(None).cast("string"), text_col)
+    hits = _hits(rows, model, delimiter, ids).where("last >= 0")
     alike = [F.struct((F.col(f"t{i}") / len(g)).alias("s"), F.lit(families.index(f)).alias("f")) for i, (f, g) in enumerate(model.templates)]
     sample = hits.select("ids", F.array_max(F.array(*alike)).alias("best"), F.xxhash64("_row", "_at", F.lit(5)).alias("h"))
     sample = cut_lineage(sample.orderBy("h", "ids").limit(sample_rows))
@@ -235,7 +273,7 @@ def scan_licences(
     row; an empty table gives none; other columns are not looked at.
     """
     judged = _judged(_hits(_numbered(docs, docs[id_col], text_col), model, delimiter), model, confirm)
-    finding = F.struct(F.col("_at").alias("paragraph"), "family", F.array_max("p").alias("p"), "similarity", "confirmed")
+    finding = F.struct(F.col("_at").alias("paragraph"), "family", "p", "similarity", "confirmed")
     return judged.groupBy("_row", "_id", "_n").agg(
         F.array_sort(F.collect_list(F.when(F.col("family") != UNKNOWN, finding))).alias("findings")
     ).select(F.col("_id").alias(id_col), F.col("_n").cast("long").alias("n_paragraphs"), "findings")

@@ -228,7 +228,7 @@ FROM captures c LEFT JOIN answers a ON c.page_id = a.page_id AND a.place = 1
 
 @query
 def op6_license_scan(t):
-    found = scan_licences(t.documents, fit_licences(t.documents, sample_rows=4000))
+    found = scan_licences(t.documents, fit_licences(t.documents, sample_docs=4000, sample_rows=4000))
     confirmed = F.filter("findings", lambda f: f["confirmed"])
     return found.select(
         "doc_id",

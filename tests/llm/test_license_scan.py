@@ -1,4 +1,7 @@
+import random
+
 import pytest
+from pyspark.sql import functions as F
 
 from tallyloom.llm import license_scan
 from tallyloom.llm.license_scan import TEMPLATES, scan_licences
@@ -44,6 +47,18 @@ def test_unknown_and_unconfirmed(frame, model):
     assert not any(c for some in findings(scan_licences(docs, model)).values() for _, _, c in some)
 
 
+def test_the_pattern_finds_every_gram(frame, model):
+    """Paragraphs are passed over only if they share no gram with any template."""
+    rnd = random.Random(3)
+    words = sorted({w for g in model.grams for w in g.split(" ")}) + ["other", "éa", "licenses", "x1"]
+    texts = ["".join(rnd.choice(words) + rnd.choice([" ", ", ", "-", "\t", "é", "_"]) for _ in range(rnd.randint(1, 6))) for _ in range(500)]
+    texts += [g.upper() for g in model.grams] + [f"({g})" for g in model.grams]
+    df = frame("t string", *[(t,) for t in texts])
+    found = F.lower("t").rlike(license_scan.any_gram(model.grams)).alias("found")
+    for r in df.select("t", found, license_scan.grams_of(df.t).alias("g")).collect():
+        assert r.found == bool(set(r.g) & set(model.grams)), r.t
+
+
 def test_the_grams_of_both_sides_agree(frame):
     texts = [t for _, t in TEMPLATES] + ["", "one", "Été à l'école", "a a a"]
     df = frame("t string", *[(t,) for t in texts])
