@@ -1,6 +1,6 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-``index_documents`` turns documents into shards, each a row with the documents of one Arrow batch
+``index_documents`` turns documents into shards, each a row with a run of documents
 and the postings of all their words: sorted positions per term. ``search_index`` asks every shard
 for every window of the test texts: it starts from the window's rarest term in that shard and
 intersects the lists of its other terms, moved by their offsets, from rare to frequent. What is
@@ -12,9 +12,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +32,9 @@ WORD_BYTES = bytes(
 )
 #: Test texts up to this size go to all tasks at once; more go in blocks, one after the other.
 #: Their windows take about a hundred times as much memory in a task.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
+#: A shard ends with the document that takes its texts to this size.
+SHARD_BYTES = 8 << 20
 #: Empty positions between two documents of a shard; no phrase or proximity reaches across.
 GAP = 64
 #: Candidate places worked on at once.
@@ -54,16 +58,21 @@ class Numbers(dict):
 def index_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Shards of a positional inverted index over whole texts; write it to search it again.
 
-    One row per Arrow batch, which Spark bounds by rows and bytes: ids and word counts of its
-    documents in order, its distinct terms, and per term (``starts``) the sorted ``positions``.
+    One row per shard, a run of documents of about ``SHARD_BYTES``: their ids and word counts in
+    order, the distinct terms, and per term (``starts``) the sorted ``positions``.
     """
     source = texts(docs, id_col, text_col)
     schema = SHARD.format(id=source.schema["_id"].dataType.simpleString())
 
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)))
+            cuts = np.searchsorted(size, np.arange(SHARD_BYTES, size[-1] if len(size) else 0, SHARD_BYTES)) + 1
+            for low, high in pairwise(np.unique([0, *cuts, len(size)]).tolist()):
+                yield batch.slice(low, high - low)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for k, batch in enumerate(batches):
-            if not batch.num_rows:
-                continue
+        for k, batch in enumerate(shards(batches)):
             numbers, runs = Numbers(), []
             for text in batch.column(1):
                 found = words(text.as_py())
