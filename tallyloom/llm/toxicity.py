@@ -148,7 +148,7 @@ def build(
     idf = np.append(np.log((1 + n_docs) / (1 + frequency)) + 1, 1.0)
     # Examples with the same strongest term stand together, which makes block maxima tell.
     rank = lambda e: max(e[2], key=lambda t: (e[2][t] * idf[t], t), default=len(terms))
-    examples = sorted(examples, key=lambda e: (rank(e), str(e[0]), e[1]))
+    examples = sorted(examples, key=lambda e: (rank(e), str(e[0]), e[1], sorted(e[2].items()), e[3]))
     n, n_blocks = len(examples), max(1, -(-len(examples) // BLOCK))
     shape = (len(terms) + 1, n_blocks)
     empty = np.zeros(0, np.int64)
