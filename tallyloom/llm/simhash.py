@@ -281,11 +281,14 @@ def keep_one(
     group, fingerprint zero; an empty table gives none; column names do not matter.
     """
     fp = text_column(docs, text_col, "fp long", _start(shingle))["fp"]
-    rows = cut_lineage(docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("id"), fp.alias("fp")))
+    whole = F.struct(*[docs[c] for c in docs.columns]).alias("row")
+    rows = cut_lineage(docs.select(whole, docs[id_col].alias("id"), fp.alias("fp")))
     found = grouped(rows.select("id", "fp"), "id", radius)
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "fp")).alias("first")
-    stays = found.groupBy("component").agg(first).select(F.col("first.id").alias("own"), F.col("first.fp").alias("print"))
-    kept = rows.join(stays, F.col("id").eqNullSafe(F.col("own")) & (F.col("fp") == F.col("print")))
+    # A struct makes null ids equal, and one exchange serves both the join and the window.
+    own = F.struct("id").alias("own")
+    stays = found.groupBy("component").agg(first).select("first.id", "first.fp").select(own, "fp")
+    kept = rows.select("row", own, "fp").join(stays, ["own", "fp"])
     order = [F.col("row")[c] for c in docs.columns]
-    place = F.row_number().over(W.partitionBy("id", "fp").orderBy(*order))
+    place = F.row_number().over(W.partitionBy("own", "fp").orderBy(*order))
     return kept.withColumn("place", place).where("place = 1").select("row.*")
