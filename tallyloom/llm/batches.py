@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ID, TEXT = "_id", "_text"
+#: Texts sent to a task's Python side at once; a longer text is a batch of its own.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches of this session by bytes, whatever the length of its rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def texts(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the id and the text, as UTF-8 bytes. Other columns, whatever their names, stay behind."""
+    small_batches(df.sparkSession)
     return df.select(df[id_col].alias(ID), df[text_col].cast("string").cast("binary").alias(TEXT))
 
 
@@ -51,6 +59,7 @@ def text_column(
 
     The other columns of a row wait in the JVM, so nothing is joined back and no id is needed.
     """
+    small_batches(df.sparkSession)
     schema = df.sparkSession.createDataFrame([], fields).schema
     names = [f.name for f in schema]
 
