@@ -81,7 +81,7 @@ def op10_quality_rules(t):
 
 @query
 def op7_toxicity(t):
-    index = fit_examples(t.documents, t.labels, fit_rows=6000, least_z=4.0, k=21)
+    index = fit_examples(t.documents, t.labels, fit_rows=6000, k=21)
     return toxicity(t.documents, index, threshold=0.7).drop("evidence")
 
 

@@ -1,8 +1,9 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact cosine of weighted TF-IDF over a block-max inverted index.
 
-Terms are words and the beginnings of words. Those that stand out in toxic examples get a place of
-their own in the vectors; all other words of a text count as one common term, so that a single
-such word weighs less in a long text. Document frequencies are counted over all documents. The
+Terms are words and the beginnings of words. Every one that occurs in a labelled example, of either
+label, has a place of its own in the vectors; the number of words of a text counts as one common
+term, so that length tells. Document frequencies are counted over all documents; a term that speaks
+for one label by more than one standard deviation weighs as many times its TF-IDF. The
 examples' postings are cut into blocks with the largest weight of each term per block; a block
 is scored only if its bound reaches the k-th best cosine found so far, so the neighbours are exact.
 """
@@ -46,7 +47,7 @@ def terms_of(word: bytes) -> list[str]:
 
 
 class Vocabulary(dict):
-    """Numbers of the chosen terms of a word, remembered up to ``KEEP`` words."""
+    """Numbers of the known terms of a word, remembered up to ``KEEP`` words."""
 
     def __init__(self, terms: list[str]):
         super().__init__()
@@ -60,7 +61,7 @@ class Vocabulary(dict):
         return found
 
     def counts(self, text: bytes | None) -> tuple[dict[int, int], int]:
-        """Occurrences of the chosen terms, and the number of words."""
+        """Occurrences of the known terms, and the number of words."""
         found: dict[int, int] = {}
         n = 0
         for word, times in words(text).items():
@@ -74,18 +75,20 @@ class Vocabulary(dict):
 class Index:
     """Examples as postings in blocks of ``BLOCK``, with block maxima, and the calibration.
 
-    Term ``len(terms)`` is the common one.
+    Term ``len(terms)`` is the common one. Only the (term, block) cells that have postings are kept,
+    ordered by term: their number grows with the postings, not with terms times blocks.
     """
 
     terms: list[str]
     idf: np.ndarray
     names: list
     labels: np.ndarray
-    block_start: np.ndarray  # (term, block): where its postings begin
-    block_count: np.ndarray
+    cells: np.ndarray  # where the cells of each term begin
+    block: np.ndarray  # of each cell
+    start: np.ndarray  # of each cell: where its postings begin
+    top: np.ndarray  # of each cell: the largest weight
     example: np.ndarray
     weight: np.ndarray
-    top: np.ndarray  # (term, block): the largest weight
     k: int
     slope: float = 1.0
     offset: float = 0.0
@@ -102,7 +105,9 @@ class Index:
         k = min(self.k, len(self.labels) - (but >= 0))
         if k < 1:
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = weights @ self.top[terms] + 1e-9  # above any sum in another order
+        at, by = self._cells(terms, weights)
+        n_blocks = -(-len(self.labels) // BLOCK)
+        bound = np.bincount(self.block[at], by * self.top[at], n_blocks) + 1e-9  # above any sum in another order
         order = np.argsort(-bound, kind="stable")
         enough = -(-(k + 1) // BLOCK) + 1
         found, cosine = self._score(terms, weights, order[:enough], but)
@@ -115,17 +120,24 @@ class Index:
         best = np.lexsort((found, -cosine))[:k]
         return found[best], cosine[best]
 
+    def _cells(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cells of some terms, with the weights of those."""
+        starts, counts = self.cells[terms], self.cells[terms + 1] - self.cells[terms]
+        at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        return at, np.repeat(weights, counts)
+
     def _score(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray, but: int):
         """Cosines of all examples of some blocks, from their postings."""
-        starts = self.block_start[np.ix_(terms, blocks)].ravel()
-        counts = self.block_count[np.ix_(terms, blocks)].ravel()
-        at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        by = np.repeat(np.repeat(weights, len(blocks)), counts)
-        place = np.full(self.top.shape[1], -1)
+        place = np.full(-(-len(self.labels) // BLOCK), -1)
         place[blocks] = np.arange(len(blocks))
+        cell, by = self._cells(terms, weights)
+        here = place[self.block[cell]] >= 0
+        cell, by = cell[here], by[here]
+        starts, counts = self.start[cell], self.start[cell + 1] - self.start[cell]
+        at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
         example = self.example[at]
         slot = place[example // BLOCK] * BLOCK + example % BLOCK
-        cosine = np.bincount(slot, by * self.weight[at], len(blocks) * BLOCK)
+        cosine = np.bincount(slot, np.repeat(by, counts) * self.weight[at], len(blocks) * BLOCK)
         example = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         real = (example < len(self.labels)) & (example != but)
         # Rounded, so that equal vectors tie whatever the order of their sums.
@@ -145,16 +157,18 @@ def build(
     terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[tuple[object, int, dict[int, int], int]], k: int
 ) -> Index:
     """The index of ``(name, label, counts, words)``, calibrated by leaving each example out once."""
-    idf = np.append(np.log((1 + n_docs) / (1 + frequency)) + 1, 1.0)
-    # Examples with the same strongest term stand together, which makes block maxima tell.
-    rank = lambda e: max(e[2], key=lambda t: (e[2][t] * idf[t], t), default=len(terms))
+    idf = np.append((np.log((1 + n_docs) / (1 + frequency)) + 1) * np.maximum(1, np.abs(_telling(len(terms), examples))), 1.0)
+    # Examples that share their commonest telling terms (so, a language) stand together, which makes
+    # block maxima tell.
+    spread = Counter(t for e in examples for t in e[2])
+    telling = [t for t, times in spread.items() if 2 * times < len(examples)]
+    place = {t: i for i, t in enumerate(sorted(telling, key=lambda t: (-spread[t], t)))}
+    rank = lambda e: sorted(place[t] for t in e[2] if t in place)[:4]
     examples = sorted(examples, key=lambda e: (rank(e), str(e[0]), e[1], sorted(e[2].items()), e[3]))
-    n, n_blocks = len(examples), max(1, -(-len(examples) // BLOCK))
-    shape = (len(terms) + 1, n_blocks)
-    empty = np.zeros(0, np.int64)
+    n, empty = len(examples), np.zeros(0, np.int64)
     index = Index(
         terms, idf, [e[0] for e in examples], np.array([e[1] for e in examples], float),
-        np.zeros(shape, np.int64), np.zeros(shape, np.int64), empty, empty.astype(float), np.zeros(shape), k,
+        np.zeros(len(terms) + 2, np.int64), empty, empty, empty.astype(float), empty, empty.astype(float), k,
     )
     vectors = [index.vector(counts, size) for _, _, counts, size in examples]
     if not n:
@@ -164,16 +178,29 @@ def build(
     example = np.repeat(np.arange(n), [len(t) for t, _ in vectors])
     order = np.lexsort((example, term))
     term, index.example, index.weight = term[order], example[order], weight[order]
-    cell = term * n_blocks + index.example // BLOCK
-    index.block_count = np.bincount(cell, minlength=shape[0] * n_blocks).reshape(shape)
-    index.block_start = (np.cumsum(index.block_count) - index.block_count.ravel()).reshape(shape)
-    np.maximum.at(index.top.reshape(-1), cell, index.weight)
+    n_blocks = -(-n // BLOCK)
+    cell, first = np.unique(term * n_blocks + index.example // BLOCK, return_index=True)
+    index.block, index.start = cell % n_blocks, np.append(first, len(term))
+    index.top = np.maximum.reduceat(index.weight, first)
+    index.cells = np.searchsorted(cell, np.arange(len(terms) + 2) * n_blocks)
     if len(set(index.labels.tolist())) == 2:
         raw = np.array([index.vote(*index.nearest(t, w, but=i)) for i, (t, w) in enumerate(vectors)])
         index.slope, index.offset = _calibrate(raw, index.labels)
     return index
 
 
+def _telling(n_terms: int, examples: list) -> np.ndarray:
+    """By how many standard deviations each term is commoner in examples labelled one than its share of all lets expect."""
+    seen, ones = np.zeros(n_terms), np.zeros(n_terms)
+    for _, label, counts, _ in examples:
+        some = np.fromiter(counts, np.int64, len(counts))
+        seen[some] += 1
+        ones[some] += label
+    share = sum(e[1] for e in examples) / max(1, len(examples))
+    variance = seen * share * (1 - share) * (1 - seen / max(1, len(examples)))
+    return (ones - seen * share) / np.sqrt(variance + 0.25)
+
+
 def _calibrate(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Logistic calibration with smoothed targets and a weak pull to the votes themselves."""
     ones = labels.sum()
@@ -195,17 +222,14 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     fit_rows: int = 6000,
-    max_terms: int = 4096,
-    least_z: float = 4.0,
     k: int = 21,
     fold: tuple[int, int] | None = (3, 1),
 ) -> Index:
     """The index over at most ``fit_rows`` labelled rows outside the held-out ``fold``.
 
-    A term is chosen if its count among toxic examples is ``least_z`` standard deviations above
-    what its share of all examples lets expect, at most ``max_terms`` of the clearest. The counts
-    are made by Spark; the chosen terms, their document frequencies over all of ``docs``, and the
-    examples' counts of them are all that reaches the driver.
+    Every word of these examples, of either label, and its beginnings are terms. These terms, their
+    document frequencies over all of ``docs``, and the examples' counts of them are all that reaches
+    the driver; the examples bound them.
     """
     sample = labelled(docs, labels, label_col, fit_rows, fold, id_col, text_col)
     order = [F.xxhash64(F.col(ID).cast("string")), F.col(ID), F.xxhash64(TEXT), F.col("_label")]
@@ -213,21 +237,10 @@ def train(
 
     def spread(batches):
         for batch in batches:
-            for text, label in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                found = sorted({t for w in words(text) for t in terms_of(w)})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found, pa.string()), pa.array([label] * len(found), pa.int32())], ["term", "label"]
-                )
-
-    n, ones = sample.agg(F.count("*"), F.coalesce(F.sum("_label"), F.lit(0))).first()
-    per_term = sample.mapInArrow(spread, "term string, label int").groupBy("term")
-    seen = per_term.agg(F.count("*").alias("n"), F.sum("label").alias("ones"))
-    p = ones / n if n else 0.0
-    expected = F.col("n") * p
-    variance = expected * (1 - p) * (1 - F.col("n") / max(1, n)) + 0.25
-    z = (F.col("ones") - expected) / F.sqrt(variance)
-    chosen = seen.select("term", z.alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "term").limit(max_terms)
-    terms = [r.term for r in chosen.collect()]
+            found = {t for text in batch.column(1).to_pylist() for w in words(text) for t in terms_of(w)}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["term"])
+
+    terms = sorted(sample.mapInArrow(spread, "term string").distinct().toArrow().column(0).to_pylist())
     frequency, n_docs = document_frequencies(docs, terms, id_col, text_col)
 
     def counted(batches):
@@ -260,13 +273,16 @@ def document_frequencies(docs: DataFrame, terms: list[str], id_col: str, text_co
                 n += 1
                 found, _ = vocabulary.counts(text)
                 total[list(found)] += 1
+        some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([*range(len(terms)), -1], pa.int32()), pa.array([*total, n], pa.int64())], ["term", "n"]
+            [pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(total[some], n), pa.int64())], ["term", "n"]
         )
 
     sums = texts(docs, id_col, text_col).mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    found = {r.term: r.n for r in sums.collect()}
-    return np.array([found.get(i, 0) for i in range(len(terms))], float), found.get(-1, 0)
+    term, n = (c.to_numpy() for c in sums.toArrow().columns)
+    total = np.zeros(len(terms) + 1)
+    total[term] = n  # the last place is that of -1, the number of documents
+    return total[:-1], int(total[-1])
 
 
 FIELDS = "score double, evidence array<string>"

@@ -71,3 +71,17 @@ def test_odd_rows(odd, no_documents, labels):
     none = toxicity.train(no_documents, labels)
     assert toxicity.toxicity(no_documents, none).count() == 0
     assert {r.score for r in toxicity.toxicity(odd, none).collect()} == {0.5}
+
+
+def test_rare_words_of_examples_tell(spark):
+    """Copies of examples whose words no other example has get the verdict of that example."""
+    clean = [(i, f"plain{i} common word here and there{i % 7}", 0) for i in range(300)]
+    bad = [(1000 + i, " ".join(f"rare{chr(97 + i)}{c}" for c in "qwertzuiop"), 1) for i in range(3)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in clean + bad], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in clean + bad], "doc_id long, toxic int")
+    index = toxicity.train(docs, labels, k=1, fold=None)
+    copies = spark.createDataFrame([(n, t) for n, (_, t, _) in enumerate(bad + clean[:3])], "doc_id long, text string")
+    rows = sorted(toxicity.toxicity(copies, index, fold=None).collect())
+    assert [r.evidence[0] for r in rows[:3]] == [str(i) for i, _, _ in bad]
+    assert min(r.score for r in rows[:3]) > max(r.score for r in rows[3:])
+    assert {"plain", "rareaq", "rar~"} <= set(index.terms)
