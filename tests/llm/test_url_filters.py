@@ -91,3 +91,14 @@ def test_empty_tables(frame):
     assert filter_urls(captures, entries).first().verdict == "block"
     assert filter_urls(captures, entries.where("false")).first().verdict == "allow"
     assert filter_urls(captures.where("false"), entries).count() == 0
+
+
+def judged(frame, patterns, urls):
+    captures = frame("page_id long, url string, fetch_time timestamp", *[(n, u, dt.datetime(2021, 3, 1)) for n, u in enumerate(urls)])
+    entries = frame("pattern string, list string, action string, day date", *[(p, "l", "block", on(0)) for p in patterns])
+    return [r.pattern for r in sorted(filter_urls(captures, entries).collect())]
+
+
+def test_paths_keep_their_case(frame):
+    urls = ["http://A.org/Foo", "http://a.org/foo", "http://a.org/Foo/Bar", "http://b.org/x"]
+    assert judged(frame, ["A.Org/Foo", "B.ORG"], urls) == ["a.org/Foo", None, "a.org/Foo", "b.org"]
