@@ -178,7 +178,7 @@ def op5_url_filters(t):
         F.element_at(F.array(*map(F.lit, ("block", "allow", "remove"))), (number("action") % 3 + 1).cast("int")).alias("action"),
         F.date_from_unix_date((F.lit(start // 86_400) + number("day") % days).cast("int")).alias("day"),
     )
-    found = filter_urls(captures, entries, depth=3, bucket_days=64)
+    found = filter_urls(captures, entries, bucket_days=64)
     return found.withColumn("lists", F.array_join("lists", ","))
 
 

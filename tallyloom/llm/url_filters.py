@@ -36,7 +36,7 @@ def patterns_of(host: Column, segments: Column, depth: int) -> Column:
         lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
     )
     heads = F.when(
-        F.size(segments) > 0,
+        (F.size(segments) > 0) & F.lit(depth > 0),
         F.transform(
             F.sequence(F.lit(1), F.least(F.size(segments), F.lit(depth))),
             lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(segments, F.lit(1), n), "/")),
@@ -78,13 +78,12 @@ def filter_urls(
     id_col: str = "page_id",
     url_col: str = "url",
     time_col: str = "fetch_time",
-    depth: int = 3,
     bucket_days: int = 64,
 ) -> DataFrame:
     """Per capture: its id, URL, fetch time, ``host``, ``verdict``, ``pattern``, ``lists`` and ``since``.
 
     ``entries`` has ``(pattern, list, action, day)``; a pattern is a domain, which covers its
-    subdomains, or a host with up to ``depth`` beginning segments of a path. ``lists`` are those
+    subdomains, or a host with any number of beginning segments of a path. ``lists`` are those
     that give the verdict, ``since`` the latest day from which one of them does. Without an active
     entry the verdict is "allow" and the other three are null or empty.
 
@@ -106,6 +105,8 @@ def filter_urls(
     day = F.floor(F.unix_timestamp("_time") / DAY).cast("int")
     judged = pages.select("_url", "_time").distinct().where("_url is not null and _time is not null")
     judged = judged.select("_url", "_time", day.alias("_day"), F.floor(day / bucket_days).cast("int").alias("_bucket"))
+    # Captures get keys as deep as the deepest entry.
+    depth = entries.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
     keyed = judged.withColumn("_pattern", F.explode(patterns_of(host_of(F.col("_url")), path_of(F.col("_url")), depth)))
 
     last = judged.agg(F.max("_day")).first()[0] or 0

@@ -102,3 +102,10 @@ def judged(frame, patterns, urls):
 def test_paths_keep_their_case(frame):
     urls = ["http://A.org/Foo", "http://a.org/foo", "http://a.org/Foo/Bar", "http://b.org/x"]
     assert judged(frame, ["A.Org/Foo", "B.ORG"], urls) == ["a.org/Foo", None, "a.org/Foo", "b.org"]
+
+
+def test_entries_of_any_depth(frame):
+    deep = "a.org/" + "/".join(f"s{n}" for n in range(12))
+    urls = [f"http://{deep}", f"http://{deep}/more?q", "http://a.org/s0/s1/s2/s3/s4", "http://a.org/s0/s1/s2/s3x"]
+    assert judged(frame, [deep, "a.org/s0/s1/s2/s3"], urls) == [deep, deep, "a.org/s0/s1/s2/s3", None]
+    assert judged(frame, ["a.org"], urls) == ["a.org"] * 4
