@@ -2,14 +2,15 @@
 
 ``index_documents`` turns documents into shards, each a row with a run of documents
 and the postings of all their words: sorted positions per term. ``search_index`` asks every shard
-for every window of the test texts: it starts from the window's rarest term in that shard and
-intersects the lists of its other terms, moved by their offsets, from rare to frequent. What is
+for every window of the test texts: it starts from the window's rarest term, by frequencies over
+all documents, and intersects the lists of its other terms, moved by their offsets, from rare to frequent. What is
 left are exact phrases; the same lists give proximity matches. Postings never leave their shard,
 so nothing is shuffled, and no word, however frequent, gathers in one task.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 from itertools import pairwise
@@ -125,6 +126,13 @@ class Windows:
         self.owner = np.array([rank[i] for some in owners.values() for i in sorted(some)], np.int64)
         self.owned = np.concatenate(([0], np.cumsum([len(some) for some in owners.values()]))).astype(np.int64)
 
+    def rank(self, frequency: np.ndarray) -> None:
+        """Put the terms of each window in order, from rare to frequent; those that occur nowhere last."""
+        times = np.where(frequency > 0, frequency, np.iinfo(np.int64).max)[self.term]
+        order = np.argsort(times, axis=1, kind="stable")
+        self.term = np.take_along_axis(self.term, order, axis=1)
+        self.offset = np.take_along_axis(self.offset, order, axis=1)
+
 
 def _steps(counts: np.ndarray) -> np.ndarray:
     """0, 1, ... up to each count, one after the other."""
@@ -159,12 +167,15 @@ class Shard:
         return (high > low) & (place + slop >= 0)
 
     def search(self, w: Windows, slop: int, near_terms: int):
-        """Windows and where they begin, and windows near which their rarest word stands."""
+        """Windows and where they begin, and windows near which their rarest word stands.
+
+        Proximity needs the first ``near_terms`` terms of the ranked windows only, a phrase all.
+        """
         width = w.term.shape[1]
-        possible = np.flatnonzero((self.count[w.term] > 0).all(axis=1)) if len(w.term) else np.zeros(0, np.int64)
-        rare = np.argsort(self.count[w.term[possible]], axis=1, kind="stable")
-        term = np.take_along_axis(w.term[possible], rare, axis=1)
-        offset = np.take_along_axis(w.offset[possible], rare, axis=1)
+        here = self.count[w.term] > 0 if len(w.term) else np.zeros(w.term.shape, bool)
+        possible = np.flatnonzero(here[:, : max(2, near_terms)].all(axis=1))
+        whole = here[possible].all(axis=1)
+        term, offset = w.term[possible], w.offset[possible]
         exact, near = [], []
         # Windows that overlap mostly share their two rarest terms: meet those lists once.
         pair = np.stack([term[:, 0], term[:, 1], offset[:, 1] - offset[:, 0]], axis=1)
@@ -191,6 +202,7 @@ class Shard:
                 left = self.near(term[rows, k], begins + offset[rows, k], slop)
                 rows, begins = rows[left], begins[left]
             near.append((possible[rows], begins + offset[rows, 0]))
+            row, begin = row[whole[row]], begin[whole[row]]
             for k in range(1, width):
                 left = self.has(term[row, k], begin + offset[row, k])
                 row, begin = row[left], begin[left]
@@ -207,14 +219,51 @@ def _lists(key: np.ndarray, value: np.ndarray, rows: int, values: pa.Array) -> p
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values.take(pa.array(pairs[:, 1])))
 
 
-def _search_block(index: DataFrame, items: list, width: int, slop: int, near_terms: int) -> DataFrame:
+def _in_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[Counter]:
+    for batch in batches:
+        found = Counter()
+        for text in batch.column(1):
+            found.update(words(text.as_py()))
+        yield found
+
+
+def _in_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[bytes, int]]:
+    for batch in batches:
+        for terms, starts in zip(batch.column("terms"), batch.column("starts"), strict=True):
+            counts = np.diff(np.frombuffer(starts.as_py(), np.int64))
+            yield dict(zip(terms.as_py(), counts.tolist(), strict=True))
+
+
+def frequencies(rows: DataFrame, count, items: list) -> np.ndarray:
+    """How often each word of the test texts, numbered as in ``Windows``, occurs in all documents."""
+    numbers = Numbers()
+    for _, text in items:
+        for word in words(text):
+            numbers[word]
+    asked = rows.sparkSession.sparkContext.broadcast(list(numbers))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(asked.value), np.int64)
+        for found in count(batches):
+            total += np.fromiter((found.get(w, 0) for w in asked.value), np.int64, len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some])], ["term", "n"])
+
+    out = np.zeros(len(numbers), np.int64)
+    for r in rows.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        out[r.term] = r.n
+    return out
+
+
+def _search_block(index: DataFrame, items: list, frequency: np.ndarray, width: int, slop: int, near_terms: int) -> DataFrame:
     """Per document of the index: its words, hit positions as spans, and item ids."""
-    asked = index.sparkSession.sparkContext.broadcast(items)
+    asked = index.sparkSession.sparkContext.broadcast((items, frequency))
     id_type = index.schema["ids"].dataType.elementType.simpleString()
     schema = f"shard string, shard_row int, id {id_type}, n_words int, spans array<struct<a:int,b:int>>, items array<string>, near array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = Windows(asked.value, width)
+        w = Windows(asked.value[0], width)
+        w.rank(asked.value[1])
         names = pa.array(w.items, pa.string())
         for batch in batches:
             for i in range(batch.num_rows):
@@ -283,6 +332,8 @@ def decontaminate(
     document word inside an occurrence of a window is hit; ``items`` are the ids (as strings,
     sorted) of items with occurring windows. ``near`` lists items of which some window has its
     ``near_terms`` rarest words within ``slop`` words of their places: evidence, not a verdict.
+    Rarest are those with the fewest occurrences in all of ``docs``, of equals the first; a word
+    that occurs nowhere is passed over.
 
     Null and empty texts have no words and no hits, and items without words have no windows. A
     null item id is listed as "null"; items that share an id count once. Repeated rows and null
@@ -301,15 +352,15 @@ def decontaminate(
     index = index_documents(docs, id_col, text_col)
     size = tests.agg(F.sum(F.length("text"))).first()[0] or 0
     if size <= BLOCK_BYTES:
-        found = _search_block(index, tests.collect(), width, slop, near_terms)
+        items = tests.collect()
+        often = frequencies(texts(docs, id_col, text_col), _in_texts, items)
+        found = _search_block(index, items, often, width, slop, near_terms)
     else:
         n = -(-size // BLOCK_BYTES)
         index = cut_lineage(index)
         tests = cut_lineage(tests.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))))
-        hits = [
-            _search_block(index, tests.where(tests.block == k).drop("block").collect(), width, slop, near_terms)
-            for k in range(n)
-        ]
+        blocks = [tests.where(tests.block == k).drop("block").collect() for k in range(n)]
+        hits = [_search_block(index, items, frequencies(index, _in_shards, items), width, slop, near_terms) for items in blocks]
         every = lambda c: F.array_sort(F.flatten(F.collect_list(c)))  # noqa: E731  as many lists as blocks
         found = reduce(DataFrame.union, hits).groupBy("shard", "shard_row").agg(
             F.first("id").alias("id"),

@@ -1,4 +1,6 @@
+import random
 import re
+from collections import Counter
 
 import pytest
 
@@ -86,3 +88,44 @@ def test_odd_rows(odd, no_documents, frame):
     assert {r.n_words for r in rows if r.doc_id in (1, 2, 3)} == {0}
     assert decontaminate(no_documents, items).count() == 0
     assert not any(r["items"] for r in decontaminate(odd, items.where("false")).collect())
+
+
+def near_by_loops(docs, items, width, slop, near_terms):
+    cut = lambda text: (text or "").lower().split()
+    often = Counter(w for _, text in docs for w in cut(text))
+    out = {}
+    for i, text in docs:
+        at = {}
+        for k, word in enumerate(cut(text)):
+            at.setdefault(word, []).append(k)
+        for item, passage in items:
+            words = cut(passage)
+            for b in range(max(1, len(words) - width + 1)):
+                window = list(enumerate(words[b : b + width]))
+                rare = sorted((p for p in window if often[p[1]]), key=lambda p: often[p[1]])[:near_terms]
+                if len(rare) < near_terms:
+                    continue
+                (o, first), *rest = rare
+                if any(all(any(abs(p + q - o - x) <= slop for x in at.get(v, [])) for q, v in rest) for p in at.get(first, [])):
+                    out.setdefault(i, set()).add(str(item))
+    return {i: sorted(out.get(i, [])) for i, _ in docs}
+
+
+@pytest.mark.parametrize("block_bytes", [decontamination.BLOCK_BYTES, 300])
+@pytest.mark.parametrize("shard_bytes", [decontamination.SHARD_BYTES, 400, 1])
+def test_near_in_any_shards(frame, monkeypatch, block_bytes, shard_bytes):
+    """Passages with a word replaced are near whether or not their shard holds that word."""
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontamination, "SHARD_BYTES", shard_bytes)
+    rnd = random.Random(6)
+    vocabulary = [f"w{min(n, rnd.randint(0, 60))}" for n in range(120)]
+    items = [(n, " ".join(rnd.choices(vocabulary, k=12))) for n in range(8)]
+    docs = [(n, " ".join(rnd.choices(vocabulary, k=rnd.randint(0, 30)))) for n in range(40)]
+    for n, passage in items:
+        changed = passage.split()
+        changed[rnd.randrange(12)] = "other"
+        docs.append((100 + n, " ".join(["x", *changed, "y"])))
+    got = decontaminate(
+        frame("doc_id long, text string", *docs).repartition(3), frame("item_id long, text string", *items), width=6, slop=1
+    )
+    assert {r.doc_id: list(r.near) for r in got.collect()} == near_by_loops(docs, items, 6, 1, 3)
