@@ -49,12 +49,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs.
 
-    Rows of one id go or stay together, those of the null id too. Null and empty texts have no hits
-    and stay; an empty table gives none, and an empty benchmark lets all stay.
+    Each row is judged by its own text, whatever its id: rows are named by a digest of the text.
+    Null and empty texts have no hits and stay; an empty table gives none, and an empty benchmark
+    lets all stay.
     """
-    found = decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    gone = found.where(F.size("items") > 0).select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(gone, docs.doc_id.eqNullSafe(gone.id), "left_anti")
+    digest = F.sha2(docs.text.cast("string").cast("binary"), 256)
+    named = docs.select(digest.alias("digest"), docs.text.alias("text"))
+    found = decontamination.decontaminate(named, _table(spark, sf_dir, "benchmark"), id_col="digest")
+    gone = found.where(F.size("items") > 0).select(F.col("digest").alias("gone")).distinct()
+    return docs.join(gone, digest == gone["gone"], "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,6 +50,15 @@ def test_one_id_for_several_texts(spark, sf, frame):
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, near), (1, far), (4, ""), (None, alone)], key=repr)
 
 
+def test_a_hit_takes_no_clean_row_with_it(spark, sf, frame, table):
+    """Of rows that share an id, or have none, only those with a hit in their own text go."""
+    hit = table("benchmark").where(F.length("text") > 100).first().text
+    rows = [(None, hit), (None, "clean"), (None, None), (1, hit), (1, "clean one"), (1, ""), (2, f"x {hit}"), (3, "clean")]
+    out = corpus_pipeline.decontaminated(spark, frame("doc_id long, text string, gone int, digest int", *[(*r, 1, 2) for r in rows]), sf)
+    kept = [(*r, 1, 2) for r in rows if hit not in (r[1] or "")]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted(kept, key=repr)
+
+
 def test_odd_rows(spark, sf, odd, no_documents):
     for name, stage in STAGES:
         out = stage(spark, odd, sf)
