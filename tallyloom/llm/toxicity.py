@@ -71,6 +71,14 @@ class Vocabulary(dict):
         return found, n
 
 
+def sorted_counts(counts) -> tuple[np.ndarray, np.ndarray]:
+    """Terms in order and how often each occurs, of a dict or of two such arrays."""
+    if not isinstance(counts, dict):
+        return counts
+    terms = np.array(sorted(counts), np.int32)
+    return terms, np.array([counts[t] for t in terms.tolist()], np.int64)
+
+
 @dataclass
 class Index:
     """Examples as postings in blocks of ``BLOCK``, with block maxima, and the calibration.
@@ -93,10 +101,10 @@ class Index:
     slope: float = 1.0
     offset: float = 0.0
 
-    def vector(self, counts: dict[int, int], n: int) -> tuple[np.ndarray, np.ndarray]:
+    def vector(self, counts, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text, of length one."""
-        terms = np.array([*sorted(counts), len(self.terms)], np.int64)
-        times = np.array([*[counts[t] for t in terms[:-1].tolist()], max(1, n)], float)
+        terms, times = sorted_counts(counts)
+        terms, times = np.append(terms, len(self.terms)).astype(np.int32), np.append(times, max(1, n))
         weights = (1 + np.log(times)) * self.idf[terms]
         return terms, weights / math.sqrt(float(weights @ weights))
 
@@ -154,17 +162,22 @@ class Index:
 
 
 def build(
-    terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[tuple[object, int, dict[int, int], int]], k: int
+    terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[tuple[object, int, object, int]], k: int
 ) -> Index:
-    """The index of ``(name, label, counts, words)``, calibrated by leaving each example out once."""
+    """The index of ``(name, label, counts, words)``, calibrated by leaving each example out once.
+
+    Counts are as ``sorted_counts`` takes them.
+    """
+    examples = [(name, label, sorted_counts(counts), n) for name, label, counts, n in examples]
     idf = np.append((np.log((1 + n_docs) / (1 + frequency)) + 1) * np.maximum(1, np.abs(_telling(len(terms), examples))), 1.0)
     # Examples that share their commonest telling terms (so, a language) stand together, which makes
     # block maxima tell.
-    spread = Counter(t for e in examples for t in e[2])
-    telling = [t for t, times in spread.items() if 2 * times < len(examples)]
-    place = {t: i for i, t in enumerate(sorted(telling, key=lambda t: (-spread[t], t)))}
-    rank = lambda e: sorted(place[t] for t in e[2] if t in place)[:4]
-    examples = sorted(examples, key=lambda e: (rank(e), str(e[0]), e[1], sorted(e[2].items()), e[3]))
+    spread = sum((np.bincount(e[2][0], minlength=len(terms)) for e in examples), np.zeros(len(terms), np.int64))
+    spread[2 * spread >= len(examples)] = 0
+    place = np.empty(len(terms), np.int64)
+    place[np.argsort(-spread, kind="stable")] = np.arange(len(terms))
+    rank = lambda e: np.sort(place[e[2][0][spread[e[2][0]] > 0]])[:4].tolist()
+    examples = sorted(examples, key=lambda e: (rank(e), str(e[0]), e[1], *(a.tobytes() for a in e[2]), e[3]))
     n, empty = len(examples), np.zeros(0, np.int64)
     index = Index(
         terms, idf, [e[0] for e in examples], np.array([e[1] for e in examples], float),
@@ -175,14 +188,15 @@ def build(
         return index
     term = np.concatenate([t for t, _ in vectors])
     weight = np.concatenate([w for _, w in vectors])
-    example = np.repeat(np.arange(n), [len(t) for t, _ in vectors])
+    example = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in vectors])
     order = np.lexsort((example, term))
     term, index.example, index.weight = term[order], example[order], weight[order]
     n_blocks = -(-n // BLOCK)
-    cell, first = np.unique(term * n_blocks + index.example // BLOCK, return_index=True)
-    index.block, index.start = cell % n_blocks, np.append(first, len(term))
+    cell, first = np.unique(term.astype(np.int64) * n_blocks + index.example // BLOCK, return_index=True)
+    index.block, index.start = (cell % n_blocks).astype(np.int32), np.append(first, len(term))
     index.top = np.maximum.reduceat(index.weight, first)
     index.cells = np.searchsorted(cell, np.arange(len(terms) + 2) * n_blocks)
+    del term, weight, example, order, cell, first
     if len(set(index.labels.tolist())) == 2:
         raw = np.array([index.vote(*index.nearest(t, w, but=i)) for i, (t, w) in enumerate(vectors)])
         index.slope, index.offset = _calibrate(raw, index.labels)
@@ -193,9 +207,8 @@ def _telling(n_terms: int, examples: list) -> np.ndarray:
     """By how many standard deviations each term is commoner in examples labelled one than its share of all lets expect."""
     seen, ones = np.zeros(n_terms), np.zeros(n_terms)
     for _, label, counts, _ in examples:
-        some = np.fromiter(counts, np.int64, len(counts))
-        seen[some] += 1
-        ones[some] += label
+        seen[counts[0]] += 1
+        ones[counts[0]] += label
     share = sum(e[1] for e in examples) / max(1, len(examples))
     variance = seen * share * (1 - share) * (1 - seen / max(1, len(examples)))
     return (ones - seen * share) / np.sqrt(variance + 0.25)
@@ -247,19 +260,24 @@ def train(
         vocabulary = Vocabulary(terms)
         for batch in batches:
             found = [vocabulary.counts(t) for t in batch.column(1).to_pylist()]
+            pairs = [sorted_counts(c) for c, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.string()),
                     batch.column(2),
-                    pa.array([list(c) for c, _ in found], pa.list_(pa.int32())),
-                    pa.array([list(c.values()) for c, _ in found], pa.list_(pa.int64())),
+                    pa.array([t for t, _ in pairs], pa.list_(pa.int32())),
+                    pa.array([c for _, c in pairs], pa.list_(pa.int64())),
                     pa.array([n for _, n in found], pa.int64()),
                 ],
                 ["name", "label", "terms", "times", "n"],
             )
 
-    rows = sample.mapInArrow(counted, "name string, label int, terms array<int>, times array<long>, n long").collect()
-    examples = [(r.name, r.label, dict(zip(r.terms, r.times, strict=True)), r.n) for r in rows]
+    # As arrays: a dict per example would take the driver ten times the memory.
+    rows = sample.mapInArrow(counted, "name string, label int, terms array<int>, times array<long>, n long").toArrow()
+    examples = [
+        (name.as_py(), label.as_py(), (some.values.to_numpy(), times.values.to_numpy()), n.as_py())
+        for name, label, some, times, n in zip(*rows.columns, strict=True)
+    ]
     return build(terms, frequency, n_docs, examples, k)
 
 
