@@ -11,6 +11,7 @@ is scored only if its bound reaches the k-th best cosine found so far, so the ne
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -79,6 +80,12 @@ def sorted_counts(counts) -> tuple[np.ndarray, np.ndarray]:
     return terms, np.array([counts[t] for t in terms.tolist()], np.int64)
 
 
+def with_common(counts, n: int, common: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same with the common term, which occurs as often as there are words."""
+    terms, times = sorted_counts(counts)
+    return np.append(terms, common).astype(np.int32), np.append(times, max(1, n))
+
+
 @dataclass
 class Index:
     """Examples as postings in blocks of ``BLOCK``, with block maxima, and the calibration.
@@ -91,20 +98,42 @@ class Index:
     idf: np.ndarray
     names: list
     labels: np.ndarray
-    cells: np.ndarray  # where the cells of each term begin
-    block: np.ndarray  # of each cell
-    start: np.ndarray  # of each cell: where its postings begin
-    top: np.ndarray  # of each cell: the largest weight
-    example: np.ndarray
-    weight: np.ndarray
+    count: np.ndarray  # postings of each term
+    example: np.ndarray  # of each posting, ordered by term, then example
+    times: np.ndarray  # of each posting: how often the term occurs
+    length: np.ndarray  # of each example's vector before it is made one
     k: int
     slope: float = 1.0
     offset: float = 0.0
 
+    def __post_init__(self):
+        """Weights of the postings, and their cells, which are made anew where an index arrives."""
+        term = np.repeat(np.arange(len(self.count), dtype=np.int32), self.count)
+        self.weight = (1 + np.log(self.times)) * self.idf[term] / self.length[self.example]
+        n_blocks = max(1, -(-len(self.labels) // BLOCK))
+        at = term.astype(np.int64) * n_blocks + self.example // BLOCK
+        first = np.flatnonzero(np.diff(at, prepend=-1))
+        cell = at[first]
+        self.block, self.start = (cell % n_blocks).astype(np.int32), np.append(first, len(at))
+        self.top = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        #: Where the cells of each term begin.
+        self.cells = np.searchsorted(cell, np.arange(len(self.count) + 1) * n_blocks)
+
+    def __getstate__(self):
+        """Only what cannot be made anew, packed: a broadcast lies on the disk of every executor."""
+        packed = [zlib.compress(a.astype(np.int32).tobytes(), 1) for a in (self.count, np.diff(self.example, prepend=0), self.times)]
+        words = zlib.compress("\n".join(self.terms).encode(), 1)
+        return words, self.idf, self.names, self.labels, packed, self.length, self.k, self.slope, self.offset
+
+    def __setstate__(self, state):
+        words, idf, names, labels, packed, length, *rest = state
+        count, step, times = (np.frombuffer(zlib.decompress(a), np.int32) for a in packed)
+        terms = zlib.decompress(words).decode().split("\n") if len(count) > 1 else []
+        self.__init__(terms, idf, names, labels, count, np.cumsum(step, dtype=np.int32), times, length, *rest)
+
     def vector(self, counts, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Terms and weights of a text, of length one."""
-        terms, times = sorted_counts(counts)
-        terms, times = np.append(terms, len(self.terms)).astype(np.int32), np.append(times, max(1, n))
+        terms, times = with_common(counts, n, len(self.terms))
         weights = (1 + np.log(times)) * self.idf[terms]
         return terms, weights / math.sqrt(float(weights @ weights))
 
@@ -178,26 +207,19 @@ def build(
     place[np.argsort(-spread, kind="stable")] = np.arange(len(terms))
     rank = lambda e: np.sort(place[e[2][0][spread[e[2][0]] > 0]])[:4].tolist()
     examples = sorted(examples, key=lambda e: (rank(e), str(e[0]), e[1], *(a.tobytes() for a in e[2]), e[3]))
-    n, empty = len(examples), np.zeros(0, np.int64)
-    index = Index(
-        terms, idf, [e[0] for e in examples], np.array([e[1] for e in examples], float),
-        np.zeros(len(terms) + 2, np.int64), empty, empty, empty.astype(float), empty, empty.astype(float), k,
-    )
-    vectors = [index.vector(counts, size) for _, _, counts, size in examples]
-    if not n:
-        return index
-    term = np.concatenate([t for t, _ in vectors])
-    weight = np.concatenate([w for _, w in vectors])
-    example = np.repeat(np.arange(n, dtype=np.int32), [len(t) for t, _ in vectors])
-    order = np.lexsort((example, term))
-    term, index.example, index.weight = term[order], example[order], weight[order]
-    n_blocks = -(-n // BLOCK)
-    cell, first = np.unique(term.astype(np.int64) * n_blocks + index.example // BLOCK, return_index=True)
-    index.block, index.start = (cell % n_blocks).astype(np.int32), np.append(first, len(term))
-    index.top = np.maximum.reduceat(index.weight, first)
-    index.cells = np.searchsorted(cell, np.arange(len(terms) + 2) * n_blocks)
-    del term, weight, example, order, cell, first
+    filed = [with_common(counts, size, len(terms)) for _, _, counts, size in examples]
+    length = np.array([math.sqrt(float(np.square((1 + np.log(c)) * idf[t]).sum())) for t, c in filed])
+    nothing = np.zeros(0, np.int32)
+    term = np.concatenate([nothing, *[t for t, _ in filed]])
+    times = np.concatenate([nothing, *[c for _, c in filed]]).astype(np.int32)
+    example = np.repeat(np.arange(len(filed), dtype=np.int32), [len(t) for t, _ in filed])
+    order = np.argsort(term, kind="stable")
+    names, labels = [e[0] for e in examples], np.array([e[1] for e in examples], float)
+    count = np.bincount(term, minlength=len(terms) + 1)
+    index = Index(terms, idf, names, labels, count, example[order], times[order], length, k)
+    del filed, term, times, example, order
     if len(set(index.labels.tolist())) == 2:
+        vectors = (index.vector(counts, size) for _, _, counts, size in examples)
         raw = np.array([index.vote(*index.nearest(t, w, but=i)) for i, (t, w) in enumerate(vectors)])
         index.slope, index.offset = _calibrate(raw, index.labels)
     return index

@@ -1,3 +1,5 @@
+import pickle
+
 import numpy as np
 import pytest
 
@@ -85,3 +87,13 @@ def test_rare_words_of_examples_tell(spark):
     assert [r.evidence[0] for r in rows[:3]] == [str(i) for i, _, _ in bad]
     assert min(r.score for r in rows[:3]) > max(r.score for r in rows[3:])
     assert {"plain", "rareaq", "rar~"} <= set(index.terms)
+
+
+@pytest.mark.parametrize("n", [0, 1, 200])
+def test_an_index_arrives_whole(n):
+    examples = [(i, i % 2, {i % 7: 1 + i % 3, 7: 2}, i) for i in range(n)]
+    index = toxicity.build([f"t{i}" for i in range(8)], np.arange(8.0), 100, examples, 5)
+    other = pickle.loads(pickle.dumps(index))
+    assert other.terms == index.terms and other.names == index.names
+    for mine, theirs in zip(index.nearest(*index.vector({3: 2}, 4)), other.nearest(*other.vector({3: 2}, 4)), strict=True):
+        assert mine.tolist() == theirs.tolist()
