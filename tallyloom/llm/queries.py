@@ -8,10 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.llm.centroid_clusters import cluster
 from tallyloom.llm.chat_format import format_chats, learned_text, text_parts, turn_texts
+from tallyloom.llm.collocations import collocations
 from tallyloom.llm.decontamination import decontaminate, n_hit
 from tallyloom.llm.license_scan import scan_licences
 from tallyloom.llm.license_scan import train as fit_licences
+from tallyloom.llm.line_dedup import drop_common_lines
 from tallyloom.llm.mixing import mix
 from tallyloom.llm.quality_classifier import quality_scores, train
 from tallyloom.llm.quality_rules import quality_rules
@@ -238,3 +241,123 @@ def op6_license_scan(t):
         F.array_join(F.array_sort(F.array_distinct(confirmed["family"])), ",").alias("families"),
         F.transform(confirmed, lambda f: f["paragraph"]).cast("string").alias("paragraphs"),
     )
+
+
+@query
+def op11_phrase_collocations(t):
+    return collocations(t.documents, least=100, longest=5, top=2000)
+
+
+def _grams(longest: int) -> str:
+    """Every run of 1 to ``longest`` words of each piece."""
+    return " UNION ALL ".join(
+        f"SELECT lang, {k} AS size, array_to_string(list_slice(words, i, i + {k - 1}), ' ') AS phrase "
+        f"FROM pieces, LATERAL (SELECT unnest(range(1, len(words) - {k - 2})) AS i) x WHERE len(words) >= {k}"
+        for k in range(1, longest + 1)
+    )
+
+
+SQL["op11_phrase_collocations"] = rf"""
+WITH pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') AS words
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')) AS piece
+    FROM documents)),
+grams AS ({_grams(5)}),
+counts AS MATERIALIZED (
+  SELECT lang, phrase, any_value(size) AS size, count(*) AS f FROM grams GROUP BY lang, phrase HAVING count(*) >= 100),
+sizes AS (SELECT lang, sum(len(words)) AS n FROM pieces GROUP BY lang),
+parts AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE size >= 2),
+covered AS (
+  SELECT DISTINCT s.lang, s.phrase FROM parts s JOIN (
+    SELECT lang, f, unnest([array_to_string(w[1:size - 1], ' '), array_to_string(w[2:size], ' ')]) AS phrase
+    FROM parts WHERE size > 2) b
+  ON s.lang = b.lang AND s.phrase = b.phrase AND 100 * b.f >= 100 * s.f),
+cuts AS (
+  SELECT lang, phrase, f AS a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:size], ' ') AS tail
+  FROM parts, LATERAL (SELECT unnest(range(1, size)) AS k) x
+  WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM covered)),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.a, h.f AS l, t.f AS r, s.n,
+    (1000::HUGEINT * c.a * s.n) // (h.f::HUGEINT * t.f) AS score
+  FROM cuts c JOIN counts h ON c.lang = h.lang AND c.head = h.phrase JOIN counts t ON c.lang = t.lang AND c.tail = t.phrase
+    JOIN sizes s ON c.lang = s.lang),
+best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+  n::BIGINT AS n, score::BIGINT AS score
+FROM best QUALIFY rank <= 2000
+"""
+
+
+@query
+def op12_line_dedup(t):
+    found = drop_common_lines(t.documents, min_docs=10, min_chars=1)
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return found.select("doc_id", "n_lines", "n_dropped", digest)
+
+
+SQL["op12_line_dedup"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+keyed AS (
+  SELECT row, place, lines[place] AS line,
+    trim(translate(lines[place], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(32)) AS key
+  FROM docs, LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS place) p),
+common AS (SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT row) >= 10),
+marked AS (SELECT k.*, c.key IS NOT NULL AS gone FROM keyed k LEFT JOIN common c ON k.key = c.key),
+texts AS (
+  SELECT row, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '') AS kept
+  FROM marked GROUP BY row)
+SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM texts JOIN docs USING (row)
+"""
+
+
+@query
+def op13_centroid_clusters(t):
+    found = cluster(t.embeddings, size=64, k=8, rounds=10, scale=1024, seed=3)
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
+def _rounds(n: int) -> str:
+    """Per round the nearest centroid of each vector, then the moved centroids."""
+    steps = []
+    for k in range(n + 1):
+        steps.append(f"""
+far{k} AS (
+  SELECT v.row, c.number, sum((v.x - c.x) * (v.x - c.x)) AS distance
+  FROM parts v JOIN centroids{k} c ON v.dim = c.dim GROUP BY v.row, c.number),
+near{k} AS MATERIALIZED (
+  SELECT row, number, distance FROM far{k} QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, number) = 1)""")
+        if k < n:
+            steps.append(f"""
+sums{k} AS (
+  SELECT n.number, v.dim, sum(v.x) AS s, count(*) AS n FROM parts v JOIN near{k} n ON v.row = n.row GROUP BY ALL),
+centroids{k + 1} AS MATERIALIZED (
+  SELECT c.number, c.dim, coalesce(((s - ((s % n) + n) % n) // n)::BIGINT, c.x) AS x
+  FROM centroids{k} c LEFT JOIN sums{k} m ON c.number = m.number AND c.dim = m.dim)""")
+    return ",".join(steps)
+
+
+SQL["op13_centroid_clusters"] = rf"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS MATERIALIZED (SELECT row, unnest(range(1, 65)) AS dim, unnest(v) AS x FROM kept),
+first AS (
+  SELECT v, row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR) NULLS LAST, v) - 1 AS number FROM kept
+  QUALIFY number < 8),
+centroids0 AS MATERIALIZED (SELECT number, unnest(range(1, 65)) AS dim, unnest(v) AS x FROM first),{_rounds(10)},
+digests AS (SELECT number, sha256(string_agg(x::VARCHAR, ',' ORDER BY dim)) AS centroid_sha256 FROM centroids10 GROUP BY number)
+SELECT k.vec_id, n.number::INTEGER AS cluster, n.distance::BIGINT AS distance,
+  (sum(n.distance) OVER (PARTITION BY n.number))::BIGINT AS cluster_inertia, (sum(n.distance) OVER ())::BIGINT AS inertia,
+  d.centroid_sha256
+FROM near10 n JOIN kept k ON n.row = k.row JOIN digests d ON n.number = d.number
+"""
