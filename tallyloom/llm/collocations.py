@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -35,12 +36,10 @@ FILTER_BITS, FILTER_PART = 1 << 23, 1 << 15
 KEEP = 200_000
 
 
-def _filter(rows: DataFrame) -> np.ndarray:
-    """The bits of the ``(lang, words)`` in ``rows``. Made in Spark; at most 1 MB reaches the driver."""
-    key = F.concat(F.col("lang").cast("binary"), F.lit("\t").cast("binary"), F.col("words").cast("binary"))
-    at = F.pmod(F.crc32(key), F.lit(FILTER_BITS))
+def _filter(places: DataFrame) -> np.ndarray:
+    """The bits ``at`` of ``places``. Made in Spark; at most 1 MB reaches the driver."""
     # The built-in functions count positions from one within a part.
-    parts = rows.select((at + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
+    parts = places.select((F.col("at") + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")
     )
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
@@ -50,11 +49,21 @@ def _filter(rows: DataFrame) -> np.ndarray:
     return bits
 
 
+def _let_through(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    at = at % FILTER_BITS
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def frequent_words(single: DataFrame) -> np.ndarray:
+    """The filter of the words in ``single (lang, words)``."""
+    key = F.concat(F.col("lang").cast("binary"), F.lit("\t").cast("binary"), F.col("words").cast("binary"))
+    return _filter(single.select(F.pmod(F.crc32(key), F.lit(FILTER_BITS)).alias("at")))
+
+
 def _passing(bits: np.ndarray, lang: str, words: Iterable[bytes]) -> np.ndarray:
-    """Whether the filter lets each of some words, or pairs of words, through."""
+    """Whether the filter of words lets each of some words through."""
     start = zlib.crc32(lang.encode() + b"\t")
-    at = np.fromiter((zlib.crc32(w, start) for w in words), np.int64) % FILTER_BITS
-    return (bits[at >> 3] >> (at & 7) & 1).astype(bool)
+    return _let_through(bits, np.fromiter((zlib.crc32(w, start) for w in words), np.int64))
 
 
 class Numbers(dict):
@@ -114,48 +123,51 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return _added(rows.mapInArrow(run, COUNTED))
 
 
-def _runs(lang: str, ids: np.ndarray, words: list[bytes], frequent: np.ndarray) -> np.ndarray:
+def _usable(lang: str, ids: np.ndarray, words: list[bytes], frequent: np.ndarray) -> np.ndarray:
     """Whether each position is a word that may be frequent."""
     good = _passing(frequent, lang, (w + b" " for w in words))
     good[:2] = False
     return good[ids]
 
 
-def _pairs(ids: np.ndarray, usable: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions at which a pair of usable words begins, the distinct pairs, and which one it is."""
+def _pairs(lang: str, ids: np.ndarray, words: list[bytes], usable: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions at which a pair of usable words begins, hashes of the distinct pairs, and which one it is."""
     at = np.flatnonzero(usable[:-1] & usable[1:])
     pairs, which = np.unique(ids[at].astype(np.int64) << 32 | ids[at + 1], return_inverse=True)
-    return at, pairs, which
+    seed = zlib.crc32(lang.encode())
+    of_word = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
+    first, second = of_word[pairs >> 32], of_word[pairs & 0xFFFFFFFF]
+    hashed = (first ^ first >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + second
+    hashed = (hashed ^ hashed >> np.uint64(32)) * np.uint64(0xBF58476D1CE4E5B9)
+    return at, (hashed ^ hashed >> np.uint64(31)).view(np.int64), which
 
 
-def _joined(words: list[bytes], pair: int) -> bytes:
-    return words[pair >> 32] + b" " + words[pair & 0xFFFFFFFF] + b" "
+def frequent_pairs(rows: DataFrame, frequent: np.ndarray, least: int) -> np.ndarray:
+    """The filter of pairs of neighbouring words, each let through, that occur ``least`` times.
 
+    Pairs are counted by a hash of 64 bits; equal hashes of different pairs add up and at worst let a
+    rare pair through, as the filter does.
+    """
 
-def pair_counts(rows: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """``(lang, words, n)`` of the pairs of neighbours that pass the filter of frequent words."""
     def run(batches):
         for lang, ids, words in _by_language(batches):
-            _, pairs, which = _pairs(ids, _runs(lang, ids, words, frequent))
-            if len(pairs):
-                names = [_joined(words, p) for p in pairs.tolist()]
-                yield _counted([lang] * len(names), names, np.bincount(which))
+            _, hashed, which = _pairs(lang, ids, words, _usable(lang, ids, words, frequent))
+            if len(hashed):
+                yield pa.RecordBatch.from_arrays([pa.array(hashed), pa.array(np.bincount(which))], ["pair", "n"])
 
-    return _added(rows.mapInArrow(run, COUNTED))
+    counts = rows.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    return _filter(counts.where(F.col("n") >= least).select(F.pmod("pair", F.lit(FILTER_BITS)).alias("at")))
 
 
-def leaf_counts(rows: DataFrame, frequent: np.ndarray, frequent_pairs: np.ndarray, longest: int) -> DataFrame:
-    """``(lang, words, n)``: suffixes of 3 to ``longest`` words, cut before the first pair that is
+def leaf_counts(rows: DataFrame, frequent: np.ndarray, pairs: np.ndarray, longest: int) -> DataFrame:
+    """``(lang, words, n)``: suffixes of 2 to ``longest`` words, cut before the first pair that is
     not frequent, with their totals."""
     def run(batches):
         for lang, ids, words in _by_language(batches):
-            at, pairs, which = _pairs(ids, _runs(lang, ids, words, frequent))
-            if not len(pairs):
-                continue
-            known = _passing(frequent_pairs, lang, (_joined(words, p) for p in pairs.tolist()))
+            at, hashed, which = _pairs(lang, ids, words, _usable(lang, ids, words, frequent))
             linked = np.zeros(len(ids) + longest, bool)  # to the next word, by a frequent pair
-            linked[at] = known[which]
-            start = np.flatnonzero(linked[:-1] & linked[1:])
+            linked[at] = _let_through(pairs, hashed)[which]
+            start = np.flatnonzero(linked)
             # A suffix as a row of word numbers; 0 stands behind its end.
             more = np.ones(len(start), bool)
             columns = [ids[start]]
@@ -215,7 +227,7 @@ def grouped(leaves: DataFrame, budget: int, longest: int) -> DataFrame:
 
 
 def walk(rows, least: int) -> Iterator[tuple[str, str, int]]:
-    """``(lang, words, total)`` of the nodes of three and more words, from sorted ``(lang, words, n, cut)``.
+    """``(lang, words, total)`` of the nodes of two and more words, from sorted ``(lang, words, n, cut)``.
 
     Nodes of the current path wait on a stack; a node is closed when a leaf outside it comes, and its
     total goes to the node above. A node no shorter than its cut lies in this group alone, so
@@ -228,7 +240,7 @@ def walk(rows, least: int) -> Iterator[tuple[str, str, int]]:
     def close(depth):
         while len(path) > depth:
             total = totals.pop()
-            if len(path) >= 3 and (total >= least or len(path) < cut):
+            if len(path) >= 2 and (total >= least or len(path) < cut):
                 yield lang, " ".join(path) + " ", total
             path.pop()
             if totals:
@@ -249,7 +261,7 @@ def walk(rows, least: int) -> Iterator[tuple[str, str, int]]:
 
 
 def subtree_counts(leaves: DataFrame, least: int, budget: int, longest: int) -> DataFrame:
-    """``(lang, words, n)`` of the phrases of three and more words that occur ``least`` times."""
+    """``(lang, words, n)`` of the phrases of two and more words that occur ``least`` times."""
 
     def run(batches):
         def rows():
@@ -284,12 +296,10 @@ def phrase_counts(
     words = cut_lineage(word_counts(rows))
     sizes = words.groupBy("lang").agg(F.sum("n").alias("n"))
     single = words.where(F.col("n") >= least)
-    frequent = _filter(single)
-    pairs = cut_lineage(pair_counts(rows, frequent).where(F.col("n") >= least))
-    # The word filter may let rare words through; a pair that is frequent has frequent words.
-    leaves = cut_lineage(leaf_counts(rows, frequent, _filter(pairs), longest))
-    longer = subtree_counts(leaves, least, budget, longest)
-    return cut_lineage(single.union(pairs).union(longer)), cut_lineage(sizes)
+    frequent = frequent_words(single)
+    pairs = frequent_pairs(rows, frequent, least)
+    leaves = cut_lineage(leaf_counts(rows, frequent, pairs, longest))
+    return cut_lineage(single.union(subtree_counts(leaves, least, budget, longest))), sizes
 
 
 def collocations(
