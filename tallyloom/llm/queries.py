@@ -84,8 +84,9 @@ def op10_quality_rules(t):
 
 @query
 def op7_toxicity(t):
-    index = fit_examples(t.documents, t.labels, fit_rows=6000, k=21)
-    return toxicity(t.documents, index, threshold=0.7).drop("evidence")
+    index = fit_examples(t.documents, t.labels, fit_rows=6000, k=101)
+    found = toxicity(t.documents, index, threshold=0.7)
+    return found.withColumn("evidence", F.array_join("evidence", ","))
 
 
 @query

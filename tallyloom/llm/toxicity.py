@@ -1,19 +1,19 @@
-"""Toxicity by nearest labelled examples: exact cosine of weighted TF-IDF over a block-max inverted index.
-
-Terms are words and the beginnings of words. Every one that occurs in a labelled example, of either
-label, has a place of its own in the vectors; the number of words of a text counts as one common
-term, so that length tells. Document frequencies are counted over all documents; a term that speaks
-for one label by more than one standard deviation weighs as many times its TF-IDF. The
-examples' postings are cut into blocks with the largest weight of each term per block; a block
-is scored only if its bound reaches the k-th best cosine found so far, so the neighbours are exact.
+"""Toxicity by nearest labelled examples: exact cosine of TF-IDF over a block-max inverted index.
+
+Terms are words cut to their first ``STEM`` code points; every one that occurs in a labelled example, of
+either label, is a term. Document frequencies are counted over all documents, and no label has a part
+in any weight. The examples' postings are cut into blocks with the largest weight of each term per
+block; a block is scored only if its bound reaches the k-th best cosine found so far, so the neighbours
+are exact. They vote by distance, each class against its own size, and the votes are calibrated
+on the examples themselves, each left out of its own neighbours.
 """
 
 from __future__ import annotations
 
-import math
 import zlib
 from collections import Counter
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,76 +22,59 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import ID, TEXT, map_texts, text_column, texts
 from tallyloom.llm.sampling import held_out, labelled
-from tallyloom.session import cut_lineage
 
 #: Bytes of words after lower-casing: a to z and whatever is not ASCII.
 WORD_BYTES = bytes(b if b >= 0x80 or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
-#: Beginnings of words that are terms, in code points; the sign keeps them apart from words.
-PREFIXES, PREFIX_SIGN = (3, 4, 5, 6), "~"
+#: Code points of a word that make its term.
+STEM = 4
 BLOCK = 64
-#: Words whose terms a task remembers.
-KEEP = 200_000
-
-
-def words(text: bytes | None) -> Counter:
-    """How often each lower-cased word occurs in a whole text."""
+#: Terms in a twentieth of the examples and more are multiplied as a matrix, at most so many.
+DENSE_SHARE, DENSE_TERMS = 0.05, 1024
+#: Texts scored at once.
+SLICE = 256
+#: Distance weights to choose from: the inverse of the distance, the cosine, its square.
+WEIGHTS = {
+    "inverse": lambda cosine: 1 / (1.02 - np.minimum(cosine, 1.0)),
+    "cosine": lambda cosine: cosine,
+    "square": np.square,
+}
+
+
+def stems(text: bytes | None) -> Counter:
+    """How often each term occurs in a whole text."""
     if not text:
         return Counter()
     if not text.isascii():
         text = text.decode("utf-8", "replace").lower().encode()
-    return Counter(text.lower().translate(WORD_BYTES).split())
-
-
-def terms_of(word: bytes) -> list[str]:
-    plain = word.decode("utf-8", "replace")
-    return [plain, *[plain[:k] + PREFIX_SIGN for k in PREFIXES if len(plain) > k]]
+    found = Counter([word[:STEM] for word in text.lower().translate(WORD_BYTES).decode().split(" ")])
+    found.pop("", None)
+    return found
 
 
 class Vocabulary(dict):
-    """Numbers of the known terms of a word, remembered up to ``KEEP`` words."""
+    """Numbers of the known terms."""
 
     def __init__(self, terms: list[str]):
-        super().__init__()
-        self.number = {t: i for i, t in enumerate(terms)}
+        super().__init__(zip(terms, range(len(terms)), strict=True))
 
-    def __missing__(self, word: bytes) -> tuple[int, ...]:
-        if len(self) >= KEEP:
-            self.clear()
-        found = tuple(self.number[t] for t in terms_of(word) if t in self.number)
-        self[word] = found
-        return found
+    def counts(self, text: bytes | None) -> dict[int, int]:
+        """Occurrences of the known terms."""
+        return {self[t]: n for t, n in stems(text).items() if t in self}
 
-    def counts(self, text: bytes | None) -> tuple[dict[int, int], int]:
-        """Occurrences of the known terms, and the number of words."""
-        found: dict[int, int] = {}
-        n = 0
-        for word, times in words(text).items():
-            n += times
-            for t in self[word]:
-                found[t] = found.get(t, 0) + times
-        return found, n
 
-
-def sorted_counts(counts) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in order and how often each occurs, of a dict or of two such arrays."""
-    if not isinstance(counts, dict):
-        return counts
-    terms = np.array(sorted(counts), np.int32)
-    return terms, np.array([counts[t] for t in terms.tolist()], np.int64)
-
-
-def with_common(counts, n: int, common: int) -> tuple[np.ndarray, np.ndarray]:
-    """The same with the common term, which occurs as often as there are words."""
-    terms, times = sorted_counts(counts)
-    return np.append(terms, common).astype(np.int32), np.append(times, max(1, n))
+def _spread(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of some ranges one after the other, and which range each is of."""
+    counts = ends - starts
+    which = np.repeat(np.arange(len(starts)), counts)
+    return np.arange(counts.sum()) + np.repeat(starts - (np.cumsum(counts) - counts), counts), which
 
 
 @dataclass
 class Index:
     """Examples as postings in blocks of ``BLOCK``, with block maxima, and the calibration.
 
-    Term ``len(terms)`` is the common one. Only the (term, block) cells that have postings are kept,
-    ordered by term: their number grows with the postings, not with terms times blocks.
+    Terms in many examples are kept as matrices, one per block. Of the others only the (term, block)
+    cells that have postings are kept, so their number grows with the postings.
     """
 
     terms: list[str]
@@ -101,139 +84,185 @@ class Index:
     count: np.ndarray  # postings of each term
     example: np.ndarray  # of each posting, ordered by term, then example
     times: np.ndarray  # of each posting: how often the term occurs
-    length: np.ndarray  # of each example's vector before it is made one
     k: int
+    weigh: str = "inverse"
     slope: float = 1.0
     offset: float = 0.0
 
     def __post_init__(self):
-        """Weights of the postings, and their cells, which are made anew where an index arrives."""
-        term = np.repeat(np.arange(len(self.count), dtype=np.int32), self.count)
-        self.weight = (1 + np.log(self.times)) * self.idf[term] / self.length[self.example]
-        n_blocks = max(1, -(-len(self.labels) // BLOCK))
-        at = term.astype(np.int64) * n_blocks + self.example // BLOCK
+        """Weights of the postings, and their blocks, which are made anew where an index arrives."""
+        n = len(self.labels)
+        term = np.repeat(np.arange(len(self.count)), self.count)
+        weight = (1 + np.log(self.times)) * self.idf[term]
+        length = np.sqrt(np.bincount(self.example, np.square(weight), n))
+        weight /= np.where(length > 0, length, 1)[self.example]
+        self.n_blocks = max(1, -(-n // BLOCK))
+        often = np.argsort(-self.count, kind="stable")[:DENSE_TERMS]
+        often = np.sort(often[self.count[often] >= max(2, DENSE_SHARE * n)])
+        self.column = np.full(len(self.count), -1)
+        self.column[often] = np.arange(len(often))
+        dense = np.zeros((len(often), self.n_blocks * BLOCK))
+        here = self.column[term] >= 0
+        dense[self.column[term[here]], self.example[here]] = weight[here]
+        self.matrices = np.ascontiguousarray(dense.reshape(len(often), self.n_blocks, BLOCK).swapaxes(0, 1))
+        self.tops = self.matrices.max(axis=2).T if len(often) else np.zeros((0, self.n_blocks))
+        term, self.posting, self.weight = term[~here], self.example[~here], weight[~here]
+        at = term * self.n_blocks + self.posting // BLOCK
         first = np.flatnonzero(np.diff(at, prepend=-1))
         cell = at[first]
-        self.block, self.start = (cell % n_blocks).astype(np.int32), np.append(first, len(at))
+        self.block, self.start = cell % self.n_blocks, np.append(first, len(at))
         self.top = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         #: Where the cells of each term begin.
-        self.cells = np.searchsorted(cell, np.arange(len(self.count) + 1) * n_blocks)
+        self.cells = np.searchsorted(cell, np.arange(len(self.count) + 1) * self.n_blocks)
 
     def __getstate__(self):
         """Only what cannot be made anew, packed: a broadcast lies on the disk of every executor."""
         packed = [zlib.compress(a.astype(np.int32).tobytes(), 1) for a in (self.count, np.diff(self.example, prepend=0), self.times)]
         words = zlib.compress("\n".join(self.terms).encode(), 1)
-        return words, self.idf, self.names, self.labels, packed, self.length, self.k, self.slope, self.offset
+        return words, self.idf, self.names, self.labels, packed, self.k, self.weigh, self.slope, self.offset
 
     def __setstate__(self, state):
-        words, idf, names, labels, packed, length, *rest = state
+        words, idf, names, labels, packed, *rest = state
         count, step, times = (np.frombuffer(zlib.decompress(a), np.int32) for a in packed)
-        terms = zlib.decompress(words).decode().split("\n") if len(count) > 1 else []
-        self.__init__(terms, idf, names, labels, count, np.cumsum(step, dtype=np.int32), times, length, *rest)
-
-    def vector(self, counts, n: int) -> tuple[np.ndarray, np.ndarray]:
-        """Terms and weights of a text, of length one."""
-        terms, times = with_common(counts, n, len(self.terms))
-        weights = (1 + np.log(times)) * self.idf[terms]
-        return terms, weights / math.sqrt(float(weights @ weights))
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The ``k`` examples of largest cosine, exact; of equals those that stand first."""
-        k = min(self.k, len(self.labels) - (but >= 0))
-        if k < 1:
-            return np.zeros(0, np.int64), np.zeros(0)
-        at, by = self._cells(terms, weights)
-        n_blocks = -(-len(self.labels) // BLOCK)
-        bound = np.bincount(self.block[at], by * self.top[at], n_blocks) + 1e-9  # above any sum in another order
-        order = np.argsort(-bound, kind="stable")
-        enough = -(-(k + 1) // BLOCK) + 1
-        found, cosine = self._score(terms, weights, order[:enough], but)
-        if len(order) > enough:
-            kth = np.partition(cosine, -k)[-k] if len(cosine) >= k else -1.0
-            more = order[enough:][bound[order[enough:]] >= kth]
-            if len(more):
-                rest = self._score(terms, weights, more, but)
-                found, cosine = np.concatenate((found, rest[0])), np.concatenate((cosine, rest[1]))
-        best = np.lexsort((found, -cosine))[:k]
-        return found[best], cosine[best]
-
-    def _cells(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The cells of some terms, with the weights of those."""
-        starts, counts = self.cells[terms], self.cells[terms + 1] - self.cells[terms]
-        at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        return at, np.repeat(weights, counts)
-
-    def _score(self, terms: np.ndarray, weights: np.ndarray, blocks: np.ndarray, but: int):
-        """Cosines of all examples of some blocks, from their postings."""
-        place = np.full(-(-len(self.labels) // BLOCK), -1)
-        place[blocks] = np.arange(len(blocks))
-        cell, by = self._cells(terms, weights)
-        here = place[self.block[cell]] >= 0
-        cell, by = cell[here], by[here]
-        starts, counts = self.start[cell], self.start[cell + 1] - self.start[cell]
-        at = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
-        example = self.example[at]
-        slot = place[example // BLOCK] * BLOCK + example % BLOCK
-        cosine = np.bincount(slot, np.repeat(by, counts) * self.weight[at], len(blocks) * BLOCK)
-        example = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-        real = (example < len(self.labels)) & (example != but)
-        # Rounded, so that equal vectors tie whatever the order of their sums.
-        return example[real], np.round(cosine[real], 12)
-
-    def vote(self, examples: np.ndarray, cosine: np.ndarray) -> float:
-        """Log odds of the toxic share, each neighbour weighed by the inverse of its distance."""
-        weight = 1 / (1.02 - np.minimum(cosine, 1.0))
-        share = float(weight @ self.labels[examples]) / float(weight.sum()) if len(examples) else 0.5
-        return math.log((share + 0.02) / (1.02 - share))
-
-    def score(self, raw: float) -> float:
-        return 1 / (1 + math.exp(-min(500.0, max(-500.0, self.slope * raw + self.offset))))
-
-
-def build(
-    terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[tuple[object, int, object, int]], k: int
-) -> Index:
-    """The index of ``(name, label, counts, words)``, calibrated by leaving each example out once.
-
-    Counts are as ``sorted_counts`` takes them.
+        terms = zlib.decompress(words).decode().split("\n") if len(count) else []
+        self.__init__(terms, idf, names, labels, count, np.cumsum(step, dtype=np.int32), times, *rest)
+
+    def vectors(self, counts: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, term and weight of some texts, each of length one unless it has no weight at all."""
+        sizes = [len(c) for c in counts]
+        row = np.repeat(np.arange(len(counts)), sizes)
+        term = np.fromiter(chain.from_iterable(counts), np.int64, sum(sizes))
+        times = np.fromiter(chain.from_iterable(c.values() for c in counts), np.float64, sum(sizes))
+        weight = (1 + np.log(times)) * self.idf[term]
+        length = np.sqrt(np.bincount(row, np.square(weight), len(counts)))
+        return row, term, weight / np.where(length > 0, length, 1)[row]
+
+    def nearest(self, vectors, n: int, but: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Row, example and cosine of the ``k`` examples of largest cosine for each of ``n`` texts, exact.
+
+        Of equals those that stand first; rows in order, best first. ``but`` leaves out an example per text.
+        """
+        k = min(self.k, len(self.labels) - (but is not None))
+        if k < 1 or not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        row, term, weight = vectors
+        column = self.column[term]
+        often = column >= 0
+        dense = np.zeros((n, self.matrices.shape[1]))
+        dense[row[often], column[often]] = weight[often]
+        row, term, weight = row[~often], term[~often], weight[~often]
+        cell, which = _spread(self.cells[term], self.cells[term + 1])
+        row, weight = row[which], weight[which]  # of each cell from here on
+        place = row * self.n_blocks + self.block[cell]
+        rest = np.bincount(place, weight * self.top[cell], n * self.n_blocks).reshape(n, -1)
+        bound = dense @ self.tops + rest + 1e-9  # above any sum in another order
+        cosine = np.full((n, self.n_blocks * BLOCK), -1.0)
+
+        def score(wanted: np.ndarray) -> None:
+            """Cosines of all examples of the wanted blocks, from matrices and postings."""
+            here = wanted.ravel()[place]
+            some, of = _spread(self.start[cell[here]], self.start[cell[here] + 1])
+            flat = row[here][of] * cosine.shape[1] + self.posting[some]
+            rare = np.bincount(flat, weight[here][of] * self.weight[some], cosine.size).reshape(cosine.shape)
+            for b in np.flatnonzero(wanted.any(axis=0)):
+                rows = np.flatnonzero(wanted[:, b])
+                span = slice(b * BLOCK, (b + 1) * BLOCK)
+                if 2 * len(rows) < n:
+                    cosine[rows, span] = dense[rows] @ self.matrices[b] + rare[rows, span]
+                else:
+                    np.copyto(cosine[:, span], dense @ self.matrices[b] + rare[:, span], where=wanted[:, b, None])
+            # Rounded, so that equal vectors tie whatever the order of their sums.
+            np.round(cosine, 12, out=cosine)
+            cosine[:, len(self.labels) :] = -2
+            if but is not None:
+                cosine[np.arange(n), but] = -2
+
+        enough = min(self.n_blocks, -(-(k + 1) // BLOCK) + 1)
+        first = np.zeros((n, self.n_blocks), bool)
+        np.put_along_axis(first, np.argpartition(-bound, enough - 1, axis=1)[:, :enough], True, axis=1)
+        score(first)
+        kth = np.partition(cosine, -k, axis=1)[:, -k]
+        more = ~first & (bound >= kth[:, None])
+        if more.any():
+            score(more)
+            kth = np.partition(cosine, -k, axis=1)[:, -k]
+        row, example = np.nonzero(cosine >= kth[:, None])
+        found = cosine[row, example]
+        order = np.lexsort((example, -found, row))
+        row, example, found = row[order], example[order], found[order]
+        best = np.arange(len(row)) - np.searchsorted(row, np.arange(n))[row] < k
+        return row[best], example[best], found[best]
+
+    def votes(self, near, n: int, own: np.ndarray | None = None, k: int | None = None, weigh: str | None = None) -> np.ndarray:
+        """Log odds of each of ``n`` texts: the votes of each class over the class's size.
+
+        ``own`` are the labels of the texts if they are examples themselves: these count in no size.
+        A text that shares no term with any neighbour has the odds of one to one.
+        """
+        row, example, cosine = near
+        if k is not None:
+            few = np.arange(len(row)) - np.searchsorted(row, np.arange(n))[row] < k
+            row, example, cosine = row[few], example[few], cosine[few]
+        weight = np.where(cosine > 0, WEIGHTS[weigh or self.weigh](cosine), 0.0)
+        label = self.labels[example]
+        ones, zeros = self.labels.sum(), (1 - self.labels).sum()
+        toxic, clean = np.bincount(row, weight * label, n), np.bincount(row, weight * (1 - label), n)
+        least = 1e-3 * (toxic + clean) / max(1, len(self.labels)) + 1e-12
+        ones, zeros = (ones, zeros) if own is None else (ones - own, zeros - (1 - own))
+        return np.log(toxic / np.maximum(1, ones) + least) - np.log(clean / np.maximum(1, zeros) + least)
+
+    def scores(self, raw: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * raw + self.offset, -500, 500)))
+
+
+def build(terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[tuple[object, int, dict[int, int]]], k: int) -> Index:
+    """The index of ``(name, label, counts)``, calibrated by leaving each example out once.
+
+    The number of neighbours, up to ``k``, and the distance weight are those of the smallest log loss of
+    these left-out votes: chosen among the examples alone.
     """
-    examples = [(name, label, sorted_counts(counts), n) for name, label, counts, n in examples]
-    idf = np.append((np.log((1 + n_docs) / (1 + frequency)) + 1) * np.maximum(1, np.abs(_telling(len(terms), examples))), 1.0)
+    idf = np.log((1 + n_docs) / (1 + frequency))
     # Examples that share their commonest telling terms (so, a language) stand together, which makes
     # block maxima tell.
-    spread = sum((np.bincount(e[2][0], minlength=len(terms)) for e in examples), np.zeros(len(terms), np.int64))
+    spread = np.bincount(np.concatenate([np.zeros(0, np.int64), *[list(c) for _, _, c in examples]]).astype(int), minlength=len(terms))
     spread[2 * spread >= len(examples)] = 0
     place = np.empty(len(terms), np.int64)
     place[np.argsort(-spread, kind="stable")] = np.arange(len(terms))
-    rank = lambda e: np.sort(place[e[2][0][spread[e[2][0]] > 0]])[:4].tolist()
-    examples = sorted(examples, key=lambda e: (rank(e), str(e[0]), e[1], *(a.tobytes() for a in e[2]), e[3]))
-    filed = [with_common(counts, size, len(terms)) for _, _, counts, size in examples]
-    length = np.array([math.sqrt(float(np.square((1 + np.log(c)) * idf[t]).sum())) for t, c in filed])
-    nothing = np.zeros(0, np.int32)
-    term = np.concatenate([nothing, *[t for t, _ in filed]])
-    times = np.concatenate([nothing, *[c for _, c in filed]]).astype(np.int32)
-    example = np.repeat(np.arange(len(filed), dtype=np.int32), [len(t) for t, _ in filed])
+    rank = lambda counts: sorted(place[t] for t in counts if spread[t] > 0)[:4]
+    examples = sorted(examples, key=lambda e: (rank(e[2]), str(e[0]), e[1], sorted(e[2].items())))
+    term = np.array([t for _, _, counts in examples for t in counts], np.int64)
+    times = np.array([n for _, _, counts in examples for n in counts.values()], np.int32)
+    example = np.repeat(np.arange(len(examples), dtype=np.int32), [len(c) for _, _, c in examples])
     order = np.argsort(term, kind="stable")
     names, labels = [e[0] for e in examples], np.array([e[1] for e in examples], float)
-    count = np.bincount(term, minlength=len(terms) + 1)
-    index = Index(terms, idf, names, labels, count, example[order], times[order], length, k)
-    del filed, term, times, example, order
-    if len(set(index.labels.tolist())) == 2:
-        vectors = (index.vector(counts, size) for _, _, counts, size in examples)
-        raw = np.array([index.vote(*index.nearest(t, w, but=i)) for i, (t, w) in enumerate(vectors)])
-        index.slope, index.offset = _calibrate(raw, index.labels)
+    count = np.bincount(term, minlength=len(terms))
+    index = Index(terms, idf, names, labels, count, example[order], times[order], k)
+    if len(set(labels.tolist())) == 2:
+        near = left_out(index, [c for _, _, c in examples])
+        tried = []
+        for fewer in sorted({max(1, k // 9), max(1, k // 5), max(1, k // 2), k}):
+            for weigh in WEIGHTS:
+                raw = index.votes(near, len(labels), labels, fewer, weigh)
+                slope, offset = _calibrate(raw, labels)
+                tried.append((_log_loss(slope * raw + offset, labels), fewer, weigh, slope, offset))
+        _, index.k, index.weigh, index.slope, index.offset = min(tried)
+    elif len(labels):
+        index.slope, index.offset = 0.0, float(np.log((labels.sum() + 1) / (len(labels) - labels.sum() + 1)))
     return index
 
 
-def _telling(n_terms: int, examples: list) -> np.ndarray:
-    """By how many standard deviations each term is commoner in examples labelled one than its share of all lets expect."""
-    seen, ones = np.zeros(n_terms), np.zeros(n_terms)
-    for _, label, counts, _ in examples:
-        seen[counts[0]] += 1
-        ones[counts[0]] += label
-    share = sum(e[1] for e in examples) / max(1, len(examples))
-    variance = seen * share * (1 - share) * (1 - seen / max(1, len(examples)))
-    return (ones - seen * share) / np.sqrt(variance + 0.25)
+def left_out(index: Index, counts: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbours of the examples, in the index's order, each without itself."""
+    parts = []
+    for start in range(0, len(counts), SLICE):
+        some = counts[start : start + SLICE]
+        row, example, cosine = index.nearest(index.vectors(some), len(some), start + np.arange(len(some)))
+        parts.append((row + start, example, cosine))
+    return tuple(map(np.concatenate, zip(*parts, strict=True)))
+
+
+def _log_loss(odds: np.ndarray, labels: np.ndarray) -> float:
+    return round(float(np.logaddexp(0, np.where(labels == 1, -odds, odds)).mean()), 9)
 
 
 def _calibrate(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -257,49 +286,51 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     fit_rows: int = 6000,
-    k: int = 21,
+    fit_bytes: int = 32 << 20,
+    k: int = 101,
     fold: tuple[int, int] | None = (3, 1),
 ) -> Index:
-    """The index over at most ``fit_rows`` labelled rows outside the held-out ``fold``.
+    """The index over labelled rows outside the held-out ``fold``, in hash order.
 
-    Every word of these examples, of either label, and its beginnings are terms. These terms, their
-    document frequencies over all of ``docs``, and the examples' counts of them are all that reaches
-    the driver; the examples bound them.
+    These are at most ``fit_rows`` rows with ``fit_bytes`` bytes of text together; a text that does not fit
+    into what is left of that is passed over, and equal rows count once. What reaches the driver is
+    the examples' terms and how often each occurs, so it is bounded like them, and the terms'
+    document frequencies over all of ``docs``.
     """
-    sample = labelled(docs, labels, label_col, fit_rows, fold, id_col, text_col)
-    order = [F.xxhash64(F.col(ID).cast("string")), F.col(ID), F.xxhash64(TEXT), F.col("_label")]
-    sample = cut_lineage(sample.orderBy(*order).limit(fit_rows))
-
-    def spread(batches):
-        for batch in batches:
-            found = {t for text in batch.column(1).to_pylist() for w in words(text) for t in terms_of(w)}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], ["term"])
-
-    terms = sorted(sample.mapInArrow(spread, "term string").distinct().toArrow().column(0).to_pylist())
-    frequency, n_docs = document_frequencies(docs, terms, id_col, text_col)
+    spark = docs.sparkSession
+    key = [F.xxhash64(F.col(ID).cast("string")).alias("_a"), F.xxhash64(TEXT).alias("_b"), F.col("_label").alias("_c")]
+    sample = labelled(docs, labels, label_col, fit_rows, fold, id_col, text_col).select("*", *key)
+    size = F.coalesce(F.octet_length(TEXT), F.lit(0)).cast("long")
+    chosen, room = [], fit_bytes
+    for a, b, c, n in sample.select("_a", "_b", "_c", size).distinct().orderBy("_a", "_b", "_c").limit(fit_rows).collect():
+        if n <= room:
+            chosen.append((a, b, c))
+            room -= n
+    wanted = F.broadcast(spark.createDataFrame(chosen, "_a long, _b long, _c int"))
+    sample = sample.join(wanted, ["_a", "_b", "_c"], "left_semi").dropDuplicates(["_a", "_b", "_c"])
 
     def counted(batches):
-        vocabulary = Vocabulary(terms)
         for batch in batches:
-            found = [vocabulary.counts(t) for t in batch.column(1).to_pylist()]
-            pairs = [sorted_counts(c) for c, _ in found]
+            found = [stems(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).cast(pa.string()),
                     batch.column(2),
-                    pa.array([t for t, _ in pairs], pa.list_(pa.int32())),
-                    pa.array([c for _, c in pairs], pa.list_(pa.int64())),
-                    pa.array([n for _, n in found], pa.int64()),
+                    pa.array([list(c) for c in found], pa.list_(pa.string())),
+                    pa.array([list(c.values()) for c in found], pa.list_(pa.int32())),
                 ],
-                ["name", "label", "terms", "times", "n"],
+                ["name", "label", "terms", "times"],
             )
 
-    # As arrays: a dict per example would take the driver ten times the memory.
-    rows = sample.mapInArrow(counted, "name string, label int, terms array<int>, times array<long>, n long").toArrow()
+    rows = sample.select(ID, TEXT, "_label").mapInArrow(counted, "name string, label int, terms array<string>, times array<int>")
+    names, given, some, times = rows.toArrow().combine_chunks().columns
+    terms = sorted(set(some.combine_chunks().flatten().unique().to_pylist()))
+    number = {t: i for i, t in enumerate(terms)}
     examples = [
-        (name.as_py(), label.as_py(), (some.values.to_numpy(), times.values.to_numpy()), n.as_py())
-        for name, label, some, times, n in zip(*rows.columns, strict=True)
+        (name, label, {number[t]: n for t, n in zip(ts, ns, strict=True)})
+        for name, label, ts, ns in zip(*(c.to_pylist() for c in (names, given, some, times)), strict=True)
     ]
+    frequency, n_docs = document_frequencies(docs, terms, id_col, text_col)
     return build(terms, frequency, n_docs, examples, k)
 
 
@@ -311,8 +342,7 @@ def document_frequencies(docs: DataFrame, terms: list[str], id_col: str, text_co
         for batch in batches:
             for text in batch.column(1).to_pylist():
                 n += 1
-                found, _ = vocabulary.counts(text)
-                total[list(found)] += 1
+                total[list(vocabulary.counts(text))] += 1
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(some, -1), pa.int32()), pa.array(np.append(total[some], n), pa.int64())], ["term", "n"]
@@ -334,22 +364,21 @@ def _scorer(docs: DataFrame, index: Index, evidence: int):
     def start():
         index = shared.value
         vocabulary = Vocabulary(index.terms)
-        plain = None
-
-        def row(text):
-            nonlocal plain
-            counts, n = vocabulary.counts(text)
-            if not counts and plain:  # texts of the common term alone have one vector
-                return plain
-            examples, cosine = index.nearest(*index.vector(counts, n))
-            found = index.score(index.vote(examples, cosine)), [index.names[i] for i in examples[:evidence]]
-            if not counts:
-                plain = found
-            return found
 
         def of(batch):
-            scores, near = zip(*map(row, batch), strict=True)
-            return [pa.array(scores, pa.float64()), pa.array(near, pa.list_(pa.string()))]
+            scores, named = [np.zeros(0)], []
+            at = {text: i for i, text in enumerate(dict.fromkeys(batch))}  # equal texts are scored once
+            alone = list(at)
+            for begin in range(0, len(alone), SLICE):
+                some = [vocabulary.counts(t) for t in alone[begin : begin + SLICE]]
+                near = index.nearest(index.vectors(some), len(some))
+                scores.append(index.scores(index.votes(near, len(some))))
+                row, example, cosine = near
+                ends = np.searchsorted(row, np.arange(len(some) + 1))
+                for a, b in zip(ends, ends[1:], strict=False):
+                    named.append([index.names[e] for e in example[a : min(b, a + evidence)]])
+            place = [at[text] for text in batch]
+            return [pa.array(np.concatenate(scores)[place]), pa.array([named[i] for i in place], pa.list_(pa.string()))]
 
         return of
 
@@ -367,8 +396,8 @@ def toxicity(
 ) -> DataFrame:
     """Per row: the id, ``held_out``, ``score`` (0 to 1), ``predicted`` and ``evidence``.
 
-    ``evidence`` has the ids (as strings) of the nearest examples. Null and empty texts are scored
-    as texts of one common term. Repeated rows and null ids each keep their row (a null id is not
+    ``evidence`` has the ids (as strings) of the nearest examples. Null and empty texts, and those that
+    share no term with any example, have even votes. Repeated rows and null ids each keep their row (a null id is not
     held out); an empty table gives none; other columns are not looked at. Without labels of both
     kinds the score follows the labels there are, and is 0.5 for none.
     """
