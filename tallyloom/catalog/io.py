@@ -92,6 +92,47 @@ def csv_preamble(t):
     return csv.read_preamble(t.spark, write_preamble_files(t), 3, 4, {0: "code", 3: "rate"}, layout)
 
 
+@query(
+    "csv_preamble_quoted",
+    """
+SELECT doc_id, nullif(text, '') AS text, lang FROM documents WHERE doc_id IS NOT NULL
+""",
+)
+def csv_preamble_quoted(t):
+    """Texts with line breaks below a preamble that holds a quote of its own."""
+    quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    body = t.documents.where("doc_id IS NOT NULL").select(
+        (F.col("doc_id") % 4).alias("file_no"), F.col("doc_id").alias("line_no"),
+        F.concat_ws(",", F.col("doc_id").cast("string"), quoted("lang"), F.lit("unused"), quoted("text")).alias("value"),
+    )
+    head = body.select("file_no").distinct().select(
+        "file_no", F.posexplode(F.array(*[F.lit(x) for x in ['a 5" pipe', "", "ID,LANG,X,TEXT"]]))
+    ).select("file_no", (F.col("pos") - 10).cast("bigint").alias("line_no"), F.col("col").alias("value"))
+    path = scratch_path(t.spark, "preamble-quoted")
+    placed = body.unionByName(head).repartition("file_no").sortWithinPartitions("file_no", "line_no")
+    placed.select("file_no", "value").write.partitionBy("file_no").text(path)
+    layout = ordered("doc_id bigint, lang string, text string")
+    return csv.read_preamble(t.spark, path, 2, 4, {0: "doc_id", 1: "lang", 3: "text"}, layout, multiline=True)
+
+
+@query(
+    "csv_mixed_headers",
+    """
+SELECT o_orderkey AS id, o_totalprice AS amount, o_orderstatus AS note FROM orders
+""",
+)
+def csv_mixed_headers(t):
+    """Files whose columns stand in another order, one with a column more, read by their own headers."""
+    root = scratch_path(t.spark, "mixed")
+    key, amount = F.col("o_orderkey").alias("Key"), F.col("o_totalprice").alias("Amount")
+    note = F.col("o_orderstatus").alias("Note")
+    for rest, columns in enumerate([(key, amount, note), (note, key, amount), (F.lit("x, y").alias("More"), amount, note, key)]):
+        part = t.orders.where(F.col("o_orderkey") % 3 == rest).select(*columns)
+        part.write.options(header=True, escape='"').csv(f"{root}/part={rest}")
+    layout = ordered("Key bigint, Amount double, Note string")
+    return csv.read_by_header(t.spark, root, layout, {"Key": "id", "Amount": "amount", "Note": "note"})
+
+
 @query(
     "csv_file_order",
     "SELECT event_id // 2000 AS file_no, user_id, min(event_id) AS event_id FROM events GROUP BY ALL",

@@ -138,7 +138,7 @@ def load_charges(
     if not paths:
         raise ValueError(f"no charges files found in {source}")
     with scratch(spark):
-        rows = csv.read_named(spark, paths, layouts.CHARGES, layouts.CHARGES_NAMES, keep_order=True, multiline=True)
+        rows = csv.read_by_header(spark, paths, layouts.CHARGES, layouts.CHARGES_NAMES, keep_order=True)
         stored = tables.read_table(spark, current) if current else None
         out = charges_job(cut_lineage(rows), id_map(spark, id_target), salt, fees, stored, csv.FILE_ORDER)
         tables.write_snapshot(out["charges"], target, out["charges"].schema)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.operators.checks import require_columns
+from tallyloom.operators.running import CHUNK, match
+from tallyloom.sources.records import fields as record_fields
+from tallyloom.sources.records import n_fields, records
 
 # Cell texts that mean "missing" in the extracts.
 MISSING = [
@@ -81,8 +84,13 @@ def read_positional(
     """Header line replaced by a positional layout; extra trailing fields are dropped.
 
     A record with fewer fields than the layout raises. ``multiline`` reads line breaks inside
-    quotes; a file is then one split.
+    quotes, in any number of splits (``records``).
     """
+    if multiline:
+        body = records(spark, path).where(F.col("_number") > 0)
+        values = _long_enough(body, F.lit(len(layout)), len(layout))
+        named = values.select(*_places(), *[F.col("_values")[i].alias(f.name) for i, f in enumerate(layout)])
+        return _finish(_blank_to_null(named, layout.fieldNames()), layout, keep_order)
     texts = T.StructType([T.StructField(f.name, T.StringType()) for f in layout])
     raw = _options(spark.read.schema(_with_bad(texts)), multiline).option("enforceSchema", True).csv(path)
     raw = _whole(with_file_order(raw) if keep_order else raw, len(layout))
@@ -100,8 +108,11 @@ def read_named(
     """Header-driven read: keep the layout's columns, cast, rename (``renames`` maps header to name).
 
     All files of one call share a header; a file with another one, or a record with fewer fields
-    than the header, raises.
+    than the header, raises. With ``multiline`` each file is read by its own header instead
+    (``read_by_header``).
     """
+    if multiline:
+        return read_by_header(spark, path, layout, renames, keep_order)
     header = require_columns(_options(spark.read, multiline).csv(path), layout.fieldNames(), str(path)).schema
     reader = _options(spark.read.schema(_with_bad(header)), multiline).option("enforceSchema", False)
     raw = reader.csv(path)
@@ -110,6 +121,59 @@ def read_named(
     return typed.withColumnsRenamed(dict(renames))
 
 
+def _places() -> list:
+    """The file order of a record: its file and its first line."""
+    return [F.col("_file"), F.lit(0).cast("bigint").alias("_block"), F.col("_number").alias("_line")]
+
+
+def _long_enough(body: DataFrame, needed, width: int) -> DataFrame:
+    """The records with their first ``width`` fields as ``_values``; one of fewer than ``needed`` raises."""
+    quoted = F.concat(F.lit("a record is too short: "), F.substring("record", 1, 200))
+    # Not a filter, which Spark would apply to headers as well, before these are left out.
+    short = F.when(n_fields(F.col("record")) < needed, F.raise_error(quoted).cast("array<string>"))
+    return body.withColumn("_values", short.otherwise(record_fields(F.col("record"), width)))
+
+
+def read_by_header(
+    spark: SparkSession,
+    path,
+    layout: T.StructType,
+    renames: Mapping[str, str] = {},
+    keep_order: bool = False,
+    chunk: int = CHUNK,
+) -> DataFrame:
+    """Read files of different headers in one go, each by its own: columns may move, more may be there.
+
+    The layout's columns are kept, cast and renamed (``renames`` maps header to name); of a header that
+    repeats a name the first counts. A file that lacks one of the layout's columns raises, and
+    names itself; so does a record with fewer fields than its header. Line breaks inside quotes are kept,
+    and a file is cut into as many splits as any other (``records``). The widest header is looked up
+    when the frame is made, everything else when it is used.
+    """
+    found = records(spark, path, chunk=chunk)
+    body = found.where(F.col("_number") > 0)
+    headers = found.where(F.col("_number") == 0).select("_file", F.col("record").alias("header"))
+    sized = headers.withColumn("_width", n_fields(F.col("header")))
+    width = sized.agg(F.max("_width")).first()[0] or 1
+    titles = sized.select("_file", "_width", record_fields(F.col("header"), width).alias("_titles"))
+    place = lambda name: F.array_position("_titles", F.lit(name)).cast("int")
+    missing = F.filter(F.array(*[F.lit(n) for n in layout.fieldNames()]), lambda n: F.array_position("_titles", n) == 0)
+    complaint = F.concat(F.lit("required columns not found in "), F.col("_file"), F.lit(": "), F.array_join(missing, ", "))
+    places = F.when(F.size(missing) > 0, F.raise_error(complaint).cast("array<int>")).otherwise(
+        F.array(*[place(n) for n in layout.fieldNames()])
+    )
+    dictionary = titles.select("_file", "_width", places.alias("_places"))
+    values = _long_enough(match(body, dictionary, ["_file"], "left"), F.col("_width"), width)
+    headless = F.raise_error(F.concat(F.lit("the first line is blank in "), F.col("_file"))).cast("array<int>")
+    values = values.withColumn("_places", F.coalesce("_places", headless))
+    named = values.select(
+        *_places(),
+        *[F.element_at("_values", F.col("_places")[i]).alias(f.name) for i, f in enumerate(layout)],
+    )
+    typed = _finish(_blank_to_null(named, layout.fieldNames()), layout, keep_order)
+    return typed.withColumnsRenamed(dict(renames))
+
+
 def read_preamble(
     spark: SparkSession,
     path,
@@ -118,12 +182,19 @@ def read_preamble(
     columns: Mapping[int, str],
     layout: T.StructType,
     keep_order: bool = False,
+    multiline: bool = False,
 ) -> DataFrame:
     """Skip ``skip`` lines and the header after them, keep columns by 0-based ordinal.
 
     The lines stay splittable: they are counted per split, to learn where each file's data begins.
-    ``width`` is the number of fields read per line; quoted line breaks are not supported.
+    ``width`` is the number of fields read per record. ``multiline`` reads line breaks inside quotes
+    below the preamble, whatever quotes that holds.
     """
+    if multiline:
+        found = records(spark, path, skip).where(F.col("_number") > skip)
+        values = found.withColumn("_values", record_fields(F.col("record"), width))
+        named = values.select(*_places(), *[F.col("_values")[i].alias(n) for i, n in columns.items()])
+        return _finish(_blank_to_null(named, list(columns.values())), layout, keep_order)
     lines = with_file_order(spark.read.text(path))
     splits = lines.groupBy(F.col("_file").alias("_f"), F.col("_block").alias("_b")).agg(
         F.min("_line").alias("_first"), F.count("*").alias("_lines")

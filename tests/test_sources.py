@@ -1,4 +1,7 @@
+import csv as pycsv
 import datetime as dt
+import io
+import random
 
 import pytest
 from conftest import rows
@@ -6,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.contracts import ordered
 from tallyloom.operators.groups import dedupe_first
-from tallyloom.sources import csv, files, tables
+from tallyloom.sources import csv, files, records, tables
 
 
 def put(path, text):
@@ -88,6 +91,93 @@ def test_preamble_beyond_the_first_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+@pytest.fixture
+def small_splits(spark):
+    def cut(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+
+    yield cut
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def random_records(seed, n):
+    rnd = random.Random(seed)
+    pieces = ['"', '""', "\n", "\n\n", "\r\n", ",", "a", "bc", " ", "é"]
+    return [[str(i), "".join(rnd.choices(pieces, k=rnd.randrange(9))), rnd.choice(["x", "y z", ""])] for i in range(n)]
+
+
+def csv_text(records):
+    out = io.StringIO(newline="")
+    pycsv.writer(out, lineterminator="\n").writerows(records)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("size,chunk", [(40, 3), (97, 50), (100_000, 7), (100_000, 100_000)])
+def test_records_cross_splits_and_chunks(spark, tmp_path, small_splits, size, chunk):
+    """Records with line breaks, quotes and carriage returns are whole, however the files are cut."""
+    small_splits(size)
+    wanted = {}
+    for name in "ab":
+        some = [["k", "text", "tail"], *random_records(name, 60)]
+        path = put(tmp_path / "in" / f"{name}.csv", "")
+        with open(path, "w", newline="") as file:
+            file.write(csv_text(some))
+        wanted[name] = some
+    found = records.records(spark, str(tmp_path / "in"), chunk=chunk)
+    if size == 40:
+        assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 16
+    for name, some in wanted.items():
+        mine = found.where(F.col("_file").endswith(f"{name}.csv")).orderBy("_number").collect()
+        assert [next(pycsv.reader(io.StringIO(r.record, newline=""))) for r in mine] == some
+        assert [r._number for r in mine] == [csv_text(some[:k]).count("\n") for k in range(len(some))]
+    read = csv.read_by_header(spark, str(tmp_path / "in"), ordered("k int, text string"), chunk=chunk)
+    missing = set(csv.MISSING)
+    kept = lambda t: None if t.strip(" ") == "" or t in missing else t
+    got = rows(read)
+    assert sorted(k for k, _ in got) == sorted(int(r[0]) for some in wanted.values() for r in some[1:])
+    texts = sorted((int(r[0]), kept(r[1])) for some in wanted.values() for r in some[1:] if "\r" not in r[1] and r[1] == r[1].strip(" ") and kept(r[1]))
+    assert set(texts) <= set(got)
+
+
+def test_an_unclosed_quote_raises(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'a,b\n1,"open\n' + "2,x\n" * 5000)
+    with pytest.raises(Exception, match="never closed"):
+        records.records(spark, path, chunk=1000).collect()
+
+
+def test_preamble_with_quotes_and_line_breaks_below(spark, tmp_path, small_splits):
+    head = 'a 5" pipe\n"open\nCODE,X,RATE\n'
+    put(tmp_path / "fees" / "one.csv", head + 'A1,"x\n, ""y""",1.5,extra\nA2,,\n')
+    put(tmp_path / "fees" / "two.csv", head + '"B\n1",x,2.5\r\n')
+    for size in (10, 100_000):
+        small_splits(size)
+        got = csv.read_preamble(
+            spark, str(tmp_path / "fees"), 2, 3, {0: "code", 2: "rate", 1: "x"}, ordered("code string, rate double, x string"), multiline=True
+        )
+        assert rows(got) == [("A1", 1.5, 'x\n, "y"'), ("A2", None, None), ("B\n1", 2.5, "x")]
+    with pytest.raises(Exception, match="preamble"):
+        csv.read_preamble(spark, str(tmp_path / "fees"), 30, 3, {0: "code"}, ordered("code string"), multiline=True).collect()
+
+
+def test_each_file_by_its_own_header(spark, tmp_path):
+    root = tmp_path / "in"
+    put(root / "a.csv", 'A,B\n1,"2\n2"\n')
+    put(root / "b.csv", "B,Extra,A\n3,x,4\n")
+    put(root / "c.csv", "B,A,A\r\nN/A,5,6\r\n")
+    layout = ordered("A int, B string")
+    assert rows(csv.read_by_header(spark, str(root), layout, {"A": "a"})) == [(1, "2\n2"), (4, "3"), (5, None)]
+    kept = csv.read_by_header(spark, str(root), layout, keep_order=True)
+    assert [r["A"] for r in kept.orderBy(*csv.FILE_ORDER).collect()] == [1, 4, 5]
+    put(root / "d.csv", "B,C\n1,2\n")
+    with pytest.raises(Exception, match=r"not found in \S*d.csv: A"):
+        csv.read_by_header(spark, str(root), layout).collect()
+    put(root / "d.csv", "B,C,A\n1,2\n")
+    with pytest.raises(Exception, match="too short: 1,2"):
+        csv.read_by_header(spark, str(root), layout).collect()
+
+
 def test_file_choice(spark, tmp_path, frame):
     for name in ["b/(02) Feb 2023 Dashboard.csv", "b/(11) Nov 2023 Dashboard.csv", "a/(01) Jan 2024 Dashboard.csv", "a/~lock.csv", "a/.hidden.csv", "skip.csv"]:
         put(tmp_path / name, "x")
