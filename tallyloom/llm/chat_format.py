@@ -46,11 +46,30 @@ def placeholder(kind: Column) -> Column:
     return F.concat(F.lit("<|"), kind, F.lit("|>"))
 
 
-def _visit(part: Column) -> Column:
-    """What a part becomes in the text."""
-    shown = placeholder(F.when(part["type"].isin(*ATTACHMENTS), part["type"]).otherwise(F.lit("unknown")))
-    is_text = F.coalesce(part["type"], F.lit("text")) == "text"
-    return F.when(is_text, escaped(F.coalesce(part["text"], F.lit("")))).otherwise(shown)
+def _is_text(part: Column) -> Column:
+    return F.coalesce(part["type"], F.lit("text")) == "text"
+
+
+def _visited(rows: DataFrame) -> DataFrame:
+    """Add ``_cuts``, the numbers of the parts that are no texts, and ``_pieces``, what the parts become:
+    a run of texts and a placeholder in turns, beginning and ending with a run, which may be empty.
+
+    Neighbouring texts are joined before they are escaped, so no control string forms where they meet.
+    """
+    texts = F.transform("_parts", lambda p: F.when(_is_text(p), F.coalesce(p["text"], F.lit(""))).otherwise(""))
+    cuts = F.filter(F.transform("_parts", lambda p, i: F.when(~_is_text(p), i)), F.isnotnull)
+    rows = rows.withColumns({"_texts": texts, "_cuts": cuts})
+    behind = F.concat(F.array(F.lit(-1)), "_cuts")
+    rows = rows.withColumns({"_behind": behind, "_ends": F.concat("_cuts", F.array(F.size("_parts")))})
+
+    def pieces(end: Column, run: Column) -> Column:
+        start = F.get("_behind", run)
+        text = escaped(F.concat_ws("", F.slice("_texts", start + 2, end - start - 1)))
+        kind = F.get("_parts", end)["type"]
+        shown = placeholder(F.when(kind.isin(*ATTACHMENTS), kind).otherwise(F.lit("unknown")))
+        return F.when(end < F.size("_parts"), F.array(text, shown)).otherwise(F.array(text))
+
+    return rows.withColumn("_pieces", F.flatten(F.transform("_ends", pieces))).drop("_texts", "_behind", "_ends")
 
 
 def format_chats(
@@ -80,7 +99,7 @@ def format_chats(
         F.coalesce(turns[role_col].cast("string"), F.lit("")).alias("_role"),
         F.coalesce(parts.cast(PARTS), F.array().cast(PARTS)).alias("_parts"),
     )
-    pieces = rows.withColumn("_pieces", F.transform("_parts", _visit))
+    pieces = _visited(rows)
     head = F.concat(F.lit(TURN), escaped(F.col("_role")), F.lit(BODY))
     body = F.concat_ws("", "_pieces")
     pieces = pieces.withColumns({"_head": F.length(head), "_body": F.length(body), "_text": F.concat(head, body, F.lit(END))})
@@ -94,18 +113,19 @@ def format_chats(
     )
     body_start = F.col("_start") + F.col("_head")
     lengths = F.transform("_pieces", lambda p: F.length(p))
+    # The placeholder of the n-th cut stands behind n + 1 runs and n placeholders.
     marks = F.transform(
-        "_parts",
-        lambda p, i: F.struct(
+        "_cuts",
+        lambda i, n: F.struct(
             F.col("_at").alias("turn"),
             (i + 1).alias("part"),
-            p["type"].alias("type"),
-            p["ref"].alias("ref"),
-            (body_start + F.aggregate(F.slice(lengths, F.lit(1), i), F.lit(0), lambda n, x: n + x)).alias("start"),
-            F.greatest(F.coalesce(p["n_tokens"], F.lit(0)), F.lit(0)).alias("n_tokens"),
+            F.get("_parts", i)["type"].alias("type"),
+            F.get("_parts", i)["ref"].alias("ref"),
+            (body_start + F.aggregate(F.slice(lengths, F.lit(1), 2 * n + 1), F.lit(0), lambda n, x: n + x)).alias("start"),
+            F.greatest(F.coalesce(F.get("_parts", i)["n_tokens"], F.lit(0)), F.lit(0)).alias("n_tokens"),
         ),
     )
-    pieces = pieces.withColumn("_marks", F.filter(marks, lambda m: F.coalesce(m["type"], F.lit("text")) != "text"))
+    pieces = pieces.withColumn("_marks", marks)
     turn = F.struct(
         F.col("_at").alias("turn"),
         F.col("_start").alias("start"),

@@ -22,6 +22,9 @@ from tallyloom.llm.batches import map_texts
 #: Fixed value: the word pattern of the tokenizer file, for ASCII texts.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+"
 
+#: Longer runs and words are counted anew each time, so what is remembered is bounded in bytes too.
+LONGEST = 64
+
 
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in the merge list."""
@@ -77,7 +80,7 @@ class Merges:
 
 
 class Pieces(dict):
-    """Tokens of a word, in ASCII or byte signs; remembered up to ``keep`` words."""
+    """Tokens of a word, in ASCII or byte signs; up to ``keep`` words of ``LONGEST`` signs are remembered."""
 
     def __init__(self, model: dict, keep: int):
         super().__init__()
@@ -90,16 +93,18 @@ class Pieces(dict):
         self.last = {c: vocabulary[s + end] for c, s in signs.items()}
 
     def __missing__(self, piece: str) -> int:
-        if len(self) >= self.keep:
-            self.clear()
         symbols = [*map(self.inner.__getitem__, piece)]
         symbols[-1] = self.last[piece[-1]]
-        self[piece] = count = self.merges(symbols)
+        count = self.merges(symbols)
+        if len(piece) <= LONGEST:
+            if len(self) >= self.keep:
+                self.clear()
+            self[piece] = count
         return count
 
 
 class Counter(dict):
-    """Tokens of a white-space-free run of bytes, remembered up to ``keep`` runs.
+    """Tokens of a white-space-free run of bytes, up to ``keep`` runs of ``LONGEST`` bytes are remembered.
 
     White space never joins a word, and no normalisation reaches across it, so runs count alone.
     ASCII runs are lower-cased and cut here; others go through the file's own normaliser and
@@ -123,15 +128,16 @@ class Counter(dict):
         return sum(self.piece(piece) for piece, _ in self.cut(self.normal(text)))
 
     def __missing__(self, run: bytes) -> int:
-        if len(self) >= self.keep:
-            self.clear()
         text = run.decode("utf-8", "replace")
         if any(token in text for token in self.added):
             parts = self.split(text)
             total = sum(map(self.plain, parts)) + len(parts) - 1
         else:
             total = self.plain(text)
-        self[run] = total
+        if len(run) <= LONGEST:
+            if len(self) >= self.keep:
+                self.clear()
+            self[run] = total
         return total
 
 
@@ -154,7 +160,7 @@ def token_counts(
     Null and empty texts have 0 bytes and 0 tokens. Repeated rows and null ids each keep their
     row; an empty table gives none. Columns besides the two named ones are not looked at. The file
     is read on the driver and goes to the tasks with the code; its size does not depend on the
-    data. ``keep`` bounds the memory for remembered words, not the texts.
+    data. ``keep`` words of at most ``LONGEST`` bytes are remembered per worker.
     """
     with open(tokenizer_file, encoding="utf-8") as file:
         spec = docs.sparkSession.sparkContext.broadcast(file.read())

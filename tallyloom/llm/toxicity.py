@@ -229,7 +229,8 @@ def build(terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[t
     place = np.empty(len(terms), np.int64)
     place[np.argsort(-spread, kind="stable")] = np.arange(len(terms))
     rank = lambda counts: sorted(place[t] for t in counts if spread[t] > 0)[:4]
-    examples = sorted(examples, key=lambda e: (rank(e[2]), str(e[0]), e[1], sorted(e[2].items())))
+    digest = lambda counts: zlib.crc32(repr(sorted(counts.items())).encode())
+    examples = sorted(examples, key=lambda e: (rank(e[2]), str(e[0]), e[1], digest(e[2])))
     term = np.array([t for _, _, counts in examples for t in counts], np.int64)
     times = np.array([n for _, _, counts in examples for n in counts.values()], np.int32)
     example = np.repeat(np.arange(len(examples), dtype=np.int32), [len(c) for _, _, c in examples])
@@ -324,11 +325,17 @@ def train(
 
     rows = sample.select(ID, TEXT, "_label").mapInArrow(counted, "name string, label int, terms array<string>, times array<int>")
     names, given, some, times = rows.toArrow().combine_chunks().columns
-    terms = sorted(set(some.combine_chunks().flatten().unique().to_pylist()))
-    number = {t: i for i, t in enumerate(terms)}
+    # By numbers: a million strings as objects would take the driver ten times the memory.
+    some, times = some.combine_chunks(), times.combine_chunks()
+    coded = some.flatten().dictionary_encode()
+    found = coded.dictionary.to_pylist()
+    terms = sorted(found)
+    place = np.argsort(np.argsort(np.array(found, object))) if found else np.zeros(0, int)
+    numbers, counts = place[coded.indices.to_numpy()], times.flatten().to_numpy()
+    ends = np.cumsum([0, *some.value_lengths().to_pylist()])
     examples = [
-        (name, label, {number[t]: n for t, n in zip(ts, ns, strict=True)})
-        for name, label, ts, ns in zip(*(c.to_pylist() for c in (names, given, some, times)), strict=True)
+        (name, label, dict(zip(numbers[a:b].tolist(), counts[a:b].tolist(), strict=True)))
+        for name, label, a, b in zip(names.to_pylist(), given.to_pylist(), ends, ends[1:], strict=False)
     ]
     frequency, n_docs = document_frequencies(docs, terms, id_col, text_col)
     return build(terms, frequency, n_docs, examples, k)

@@ -53,8 +53,9 @@ def validity(entries: DataFrame) -> DataFrame:
     ``until`` is the day from which the next entry holds, null for the last; removals only end.
     """
     strength = F.array_position(F.array(*map(F.lit, ACTIONS)), F.lower("action"))
-    # Hosts have no case, paths have.
-    pattern = F.concat(F.lower(F.substring_index("pattern", "/", 1)), F.regexp_extract("pattern", r"(?s)/.*", 0))
+    # Hosts have no case, paths have. Empty segments, so a final slash too, count no more than in a URL.
+    segments = F.filter(F.split("pattern", "/"), lambda s, i: (i > 0) & (s != ""))
+    pattern = F.array_join(F.concat(F.array(F.lower(F.substring_index("pattern", "/", 1))), segments), "/")
     ranked = entries.select(pattern.alias("pattern"), "list", "day", strength.alias("strength"))
     ranked = ranked.where("strength > 0 and pattern is not null and day is not null")
     daily = ranked.groupBy("pattern", "list", "day").agg(F.max("strength").alias("strength"))

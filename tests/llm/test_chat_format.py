@@ -30,6 +30,45 @@ def test_round_trip_of_random_chats(frame):
         assert r.l == "".join(x[3] for x in own if x[2] == "assistant")
 
 
+def test_round_trip_of_random_parts(spark):
+    """Texts cut inside control strings, side by side and between attachments, read back exactly."""
+    rnd = random.Random(3)
+    marks = ["<|turn|>", "<|body|>", "<|end|>", "<|image|>", "</s>", "<s>", "[INST]", "[/INST]", "a\\\\", "\\", "é😀\n"]
+
+    def parts():
+        text = "".join(rnd.choices(marks, k=rnd.randint(0, 5)))
+        cuts = sorted(rnd.randint(0, len(text)) for _ in range(rnd.randint(0, 4)))
+        texts = [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True)]
+        files = ("image", "audio", "document")
+        return [("text", t, None, None) if rnd.random() < 0.8 else (rnd.choice(files), None, t, len(t)) for t in texts]
+
+    rows = [(c, t, rnd.choice(["user", "assistant", "<|e"]), parts()) for c in range(500) for t in range(rnd.randint(1, 3))]
+    turns = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {PARTS}")
+    chats = format_chats(turns, turns.parts)
+    got = chats.select("*", read_turns("formatted").alias("back"), learned_text(F.col("formatted"), F.col("turns")).alias("l"))
+    seen = got.collect()
+    assert len(seen) == 500
+    for r in seen:
+        own = sorted((x for x in rows if x[0] == r.conv_id), key=lambda x: x[1])
+        wanted, shown = [], ""
+        for _, _, role, some in own:
+            runs = [""]
+            for kind, text, _, _ in some:
+                runs[-1:] = [runs[-1] + text] if kind == "text" else [runs[-1], (kind,), ""]
+            wanted.append((role, [x for x in runs if x]))
+            shown += "".join(x if isinstance(x, str) else f"<|{x[0]}|>" for x in runs) if role == "assistant" else ""
+        back = []
+        for turn in r.back:
+            runs = [""]
+            for p in turn.parts:
+                runs[-1:] = [runs[-1] + p.text] if p.type == "text" else [runs[-1], (p.type,), ""]
+            back.append((turn.role, [x for x in runs if x]))
+        assert back == wanted and r.l == shown
+        files = [(t + 1, i + 1, p[0], p[2], p[3]) for t, x in enumerate(own) for i, p in enumerate(x[3]) if p[0] != "text"]
+        assert [(m.turn, m.part, m.type, m.ref, m.n_tokens) for m in r.attachments] == files
+        assert all(r.formatted[m.start :].startswith(f"<|{m.type}|>") for m in r.attachments)
+
+
 def test_parts_become_placeholders_in_order(spark):
     rows = [
         (1, 0, "user", [("text", "look: <|image|>", None, None), ("image", None, "s://1.png", 85), ("text", " and ", None, None),

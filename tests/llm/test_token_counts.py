@@ -45,6 +45,18 @@ def test_one_very_long_word(both):
     assert mine == wanted
 
 
+def test_what_is_remembered_is_bounded_in_bytes():
+    with open(FILE, encoding="utf-8") as file:
+        counter = Counter(file.read(), 50)
+    for n in range(300):
+        counter[f"{n}".encode() * 40 + b"x" * 5000]
+        counter[f"word{n}".encode()]
+        counter["中".encode() * (n + 1)]
+    assert 0 < len(counter) <= 50 and max(map(len, counter)) <= 64
+    pieces = counter.piece.__self__
+    assert 0 < len(pieces) <= 50 and max(map(len, pieces)) <= 64
+
+
 def test_given_documents(spark, table):
     docs = table("documents")
     library = Tokenizer.from_file(FILE)

@@ -40,6 +40,21 @@ def test_validity(frame):
     assert got == {("a.org", "l", "block", on(0), on(9)), ("a.org", "l", "allow", on(9), on(20)), ("a.org", "m", "block", on(3), None)}
 
 
+def test_entries_are_normalised_like_captures(frame):
+    """Final and doubled slashes of an entry count no more than those of a URL."""
+    written = ["b.org/", "A.org/Foo/", "c.org//x///y", "d.org", "/e.org"]
+    entries = [(p, "l", "block", on(0)) for p in written]
+    got = validity(frame("pattern string, list string, action string, day date", *entries)).collect()
+    assert {r.pattern for r in got} == {"b.org", "a.org/Foo", "c.org/x/y", "d.org", "/e.org"}
+    urls = ["http://b.org", "http://www.b.org/x", "http://a.org/Foo/bar", "http://a.org/foo", "http://c.org/x//y/", "http://e.org/"]
+    captures = [(n, u, dt.datetime(2021, 5, 1)) for n, u in enumerate(urls)]
+    found = filter_urls(
+        frame("page_id long, url string, fetch_time timestamp", *captures),
+        frame("pattern string, list string, action string, day date", *entries),
+    )
+    assert {r.page_id: r.verdict for r in found.collect()} == {0: "block", 1: "block", 2: "block", 3: "allow", 4: "block", 5: "allow"}
+
+
 def by_loops(captures, entries):
     rank = {"remove": 0, "allow": 1, "block": 2}
     out = []
