@@ -101,10 +101,9 @@ class Index:
         often = np.sort(often[self.count[often] >= max(2, DENSE_SHARE * n)])
         self.column = np.full(len(self.count), -1)
         self.column[often] = np.arange(len(often))
-        dense = np.zeros((len(often), self.n_blocks * BLOCK))
         here = self.column[term] >= 0
-        dense[self.column[term[here]], self.example[here]] = weight[here]
-        self.matrices = np.ascontiguousarray(dense.reshape(len(often), self.n_blocks, BLOCK).swapaxes(0, 1))
+        self.matrices = np.zeros((self.n_blocks, len(often), BLOCK))
+        self.matrices[self.example[here] // BLOCK, self.column[term[here]], self.example[here] % BLOCK] = weight[here]
         self.tops = self.matrices.max(axis=2).T if len(often) else np.zeros((0, self.n_blocks))
         term, self.posting, self.weight = term[~here], self.example[~here], weight[~here]
         at = term * self.n_blocks + self.posting // BLOCK
@@ -224,15 +223,15 @@ def build(terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[t
     idf = np.log((1 + n_docs) / (1 + frequency))
     # Examples that share their commonest telling terms (so, a language) stand together, which makes
     # block maxima tell.
-    spread = np.bincount(np.concatenate([np.zeros(0, np.int64), *[list(c) for _, _, c in examples]]).astype(int), minlength=len(terms))
+    spread = np.bincount(np.fromiter(chain.from_iterable(c for _, _, c in examples), np.int64), minlength=len(terms))
     spread[2 * spread >= len(examples)] = 0
     place = np.empty(len(terms), np.int64)
     place[np.argsort(-spread, kind="stable")] = np.arange(len(terms))
     rank = lambda counts: sorted(place[t] for t in counts if spread[t] > 0)[:4]
     digest = lambda counts: zlib.crc32(repr(sorted(counts.items())).encode())
     examples = sorted(examples, key=lambda e: (rank(e[2]), str(e[0]), e[1], digest(e[2])))
-    term = np.array([t for _, _, counts in examples for t in counts], np.int64)
-    times = np.array([n for _, _, counts in examples for n in counts.values()], np.int32)
+    term = np.fromiter(chain.from_iterable(counts for _, _, counts in examples), np.int64)
+    times = np.fromiter(chain.from_iterable(counts.values() for _, _, counts in examples), np.int32)
     example = np.repeat(np.arange(len(examples), dtype=np.int32), [len(c) for _, _, c in examples])
     order = np.argsort(term, kind="stable")
     names, labels = [e[0] for e in examples], np.array([e[1] for e in examples], float)
@@ -255,8 +254,8 @@ def build(terms: list[str], frequency: np.ndarray, n_docs: int, examples: list[t
 def left_out(index: Index, counts: list[dict[int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Neighbours of the examples, in the index's order, each without itself."""
     parts = []
-    for start in range(0, len(counts), SLICE):
-        some = counts[start : start + SLICE]
+    for start in range(0, len(counts), SLICE // 4):
+        some = counts[start : start + SLICE // 4]
         row, example, cosine = index.nearest(index.vectors(some), len(some), start + np.arange(len(some)))
         parts.append((row + start, example, cosine))
     return tuple(map(np.concatenate, zip(*parts, strict=True)))
