@@ -4,6 +4,9 @@ Paragraphs are compared with the word pairs of licence templates. A multinomial
 over these pairs names the licence family or "unknown", and a prediction counts as confirmed if
 the paragraph also resembles a template of that family. Pairs that no template has carry no
 weight, so scoring is a join of a paragraph's pairs with a small table and a sum.
+
+A paragraph is a line, or the lines of a hard-wrapped block of text, comment marks included: a
+notice is found whether it stands on one line or is wrapped at any width from 40 code points on.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from __future__ import annotations
 import json
 import math
 import re
+import warnings
 from dataclasses import dataclass
 from functools import reduce
 
@@ -50,6 +54,19 @@ TEMPLATES = (
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version.",
     ),
+    ("isc", "Licensed under the ISC License."),
+    (
+        "isc",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+        "hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    ),
+    ("lgpl", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    (
+        "lgpl",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation; either version 2.1 of the License, or "
+        "(at your option) any later version.",
+    ),
     ("mit", "Released under the MIT License."),
     (
         "mit",
@@ -64,6 +81,13 @@ STOP_WORDS = (
     "to was which will with you"
 ).split()
 NOT_WORD = r"[^a-z0-9\u0080-\uffff]+"
+#: Lines of so many code points may go on in the next one; shorter and longer ones are not wrapped.
+WRAPPED = (40, 200)
+#: How a line ends that goes on: in a word, closing marks after it, or an initial, not in a full stop.
+GOES_ON = r"""(?:[\p{L}\p{N}][\s,;:)\]"'*/#-]*|(?<![\p{L}\p{N}])\p{L}\.)$"""
+HAS_WORD = r"[\p{L}\p{N}]"
+#: Comment marks that are words, before the text of a line.
+COMMENT = r"^\s*(?:dnl|DNL|rem|REM)\s"
 
 
 def table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
@@ -72,6 +96,22 @@ def table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
     return spark.range(1).select(F.inline(parsed))
 
 
+def paragraphs_of(text: Column) -> Column:
+    """The paragraphs of a text: its lines, those of hard-wrapped blocks joined by a blank.
+
+    A line is joined with the one before if that one has a ``WRAPPED`` length and ends as
+    ``GOES_ON`` says, and this one has a word: blank lines and lines of marks alone part paragraphs.
+    """
+
+    def with_break(line: Column, after: Column) -> Column:
+        end = F.rtrim(line)
+        wrapped = F.length(line).between(*WRAPPED) & F.substring(end, -16, 16).rlike(GOES_ON) & after.rlike(HAS_WORD)
+        return F.concat(F.regexp_replace(line, COMMENT, ""), F.when(wrapped, " ").when(after.isNotNull(), "\n").otherwise(""))
+
+    lines = F.split(text, "\n")
+    return F.split(F.array_join(F.zip_with(lines, F.slice(lines, 2, 2**31 - 2), with_break), ""), "\n")
+
+
 def grams_of(paragraph: Column) -> Column:
     """The distinct word pairs of a paragraph, without those of two stop words."""
     words = F.filter(F.split(F.lower(paragraph), NOT_WORD), lambda w: w != "")
@@ -91,13 +131,17 @@ def grams_of_text(text: str) -> list[str]:
 
 @dataclass
 class Licences:
-    """Families, template n-grams, and the weights of every n-gram by class (the last is unknown)."""
+    """Families, template n-grams, and the weights of every n-gram by class (the last is unknown).
+
+    ``calibrated`` says whether the calibrating quarter of the sample had rows of both kinds.
+    """
 
     families: list[str]
     templates: list[tuple[str, list[str]]]
     grams: list[str]
     weights: list[list[float]]
     intercept: list[float]
+    calibrated: bool = False
 
 
 def untrained(templates: tuple[tuple[str, str], ...] = TEMPLATES) -> Licences:
@@ -123,7 +167,7 @@ def any_gram(grams: list[str]) -> str:
     return f"(?:^|{NOT_WORD[:-1]})(?:{words})(?![{NOT_WORD[2:-2]}])"
 
 
-def _hits(rows: DataFrame, model: Licences, delimiter: str, *extra: Column) -> DataFrame:
+def _hits(rows: DataFrame, model: Licences, *extra: Column) -> DataFrame:
     """Per paragraph of ``rows (_row, _id, _text)`` that shares a gram with a template: sums by class and template.
 
     One pass: paragraphs are exploded into grams, which meet the table of template grams (a
@@ -138,7 +182,7 @@ def _hits(rows: DataFrame, model: Licences, delimiter: str, *extra: Column) -> D
     known = [{"gram": "", "id": -1, "w": [0.0 for _ in classes], "t": []}]
     known += [{"gram": g, "id": i, "w": w, "t": of_gram[g]} for i, (g, w) in enumerate(zip(model.grams, model.weights, strict=True))]
     grams = table(rows.sparkSession, known, "gram:string,id:int,w:array<double>,t:array<int>")
-    split = F.split("_text", delimiter)
+    split = paragraphs_of(F.col("_text"))
     paragraphs = rows.select(
         "_row",
         "_id",
@@ -188,7 +232,6 @@ def train(
     templates: tuple[tuple[str, str], ...] = TEMPLATES,
     sample_docs: int = 4000,
     sample_rows: int = 4000,
-    delimiter: str = "\n",
 ) -> Licences:
     """The classifier, trained on variants of the templates and a bounded sample of paragraphs.
 
@@ -196,7 +239,8 @@ def train(
     ``sample_rows`` of their paragraphs that share a gram with a template. One that holds nine tenths of a template is an example of its
     family, one that holds less than half of any is unknown; others are left out. A quarter of the
     sample calibrates the unknown class: its intercept is moved until the expected number of
-    unknown paragraphs is the true one.
+    unknown paragraphs is the true one. Where that quarter has one kind only, or no row, there is
+    nothing to calibrate by: the intercept stays, a warning says so and ``calibrated`` is false.
     """
     model = untrained(templates)
     spark, families = docs.sparkSession, model.families
@@ -205,7 +249,7 @@ def train(
     drawn = docs.select(name).dropna().orderBy(F.xxhash64("_own"), "_own").limit(sample_docs).distinct()
     drawn_docs = docs.join(F.broadcast(drawn), docs[id_col] == drawn["_own"], "left_semi")
     rows = _numbered(drawn_docs, F.lit(None).cast("string"), text_col)
-    hits = _hits(rows, model, delimiter, ids).where("last >= 0")
+    hits = _hits(rows, model, ids).where("last >= 0")
     alike = [F.struct((F.col(f"t{i}") / len(g)).alias("s"), F.lit(families.index(f)).alias("f")) for i, (f, g) in enumerate(model.templates)]
     sample = hits.select("ids", F.array_max(F.array(*alike)).alias("best"), F.xxhash64("_row", "_at", F.lit(5)).alias("h"))
     sample = cut_lineage(sample.orderBy("h", "ids").limit(sample_rows))
@@ -231,7 +275,12 @@ def train(
     model.weights = [[round(float(weights[k, g]), 6) for k in range(size)] for g in range(len(model.grams))]
     model.intercept = [round(float(x), 6) for x in fitted.interceptVector.toArray()]
     held = [(r.label, r.ids) for r in examples.where("held").select("label", "ids").limit(sample_rows).collect()]
-    model.intercept[-1] += _shift(model, held)
+    unknown = sum(label == len(families) for label, _ in held)
+    model.calibrated = 0 < unknown < len(held)
+    if model.calibrated:
+        model.intercept[-1] += _shift(model, held)
+    else:
+        warnings.warn(f"licences not calibrated: {unknown} of {len(held)} held paragraphs are unknown", stacklevel=2)
     return model
 
 
@@ -249,8 +298,6 @@ def _shift(model: Licences, held: list) -> float:
         return total
 
     low, high = -5.0, 5.0
-    if not held or not 0 < true < len(held):
-        return 0.0
     for _ in range(40):
         middle = (low + high) / 2
         low, high = (middle, high) if expected(middle) < true else (low, middle)
@@ -262,17 +309,18 @@ def scan_licences(
     model: Licences,
     id_col: str = "doc_id",
     text_col: str = "text",
-    delimiter: str = "\n",
     confirm: float = 0.7,
 ) -> DataFrame:
     """Per row: the id, ``n_paragraphs``, and ``findings`` of whole texts.
 
-    ``findings`` are the paragraphs predicted to be of a licence family, in order: ``paragraph``
-    (its number), ``family``, ``p``, ``similarity`` and ``confirmed``. A null text has no
+    ``findings`` are the paragraphs (``paragraphs_of``) predicted to be of a licence family, in
+    order: ``paragraph`` (its number), ``family``, ``p``, ``similarity`` and ``confirmed``. Of
+    families with the same score the first in order of names is taken, and a tie with unknown is
+    unknown. A null text has no
     paragraphs, an empty one has one that is empty. Repeated rows and null ids each keep their
     row; an empty table gives none; other columns are not looked at.
     """
-    judged = _judged(_hits(_numbered(docs, docs[id_col], text_col), model, delimiter), model, confirm)
+    judged = _judged(_hits(_numbered(docs, docs[id_col], text_col), model), model, confirm)
     finding = F.struct(F.col("_at").alias("paragraph"), "family", "p", "similarity", "confirmed")
     return judged.groupBy("_row", "_id", "_n").agg(
         F.array_sort(F.collect_list(F.when(F.col("family") != UNKNOWN, finding))).alias("findings")
