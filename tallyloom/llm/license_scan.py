@@ -225,6 +225,24 @@ def _judged(hits: DataFrame, model: Licences, confirm: float) -> DataFrame:
     return scored.withColumn("confirmed", (F.col("family") != UNKNOWN) & (F.col("similarity") >= confirm))
 
 
+def template_runs(model: Licences, templates: tuple[tuple[str, str], ...]) -> list[dict]:
+    """Beginnings and ends of the templates as examples; every fourth one is held for calibration.
+
+    They are labelled as sampled paragraphs are: by the largest share of a template they hold.
+    """
+    number = {g: i for i, g in enumerate(model.grams)}
+    out = []
+    for _, text in templates:
+        words = text.split()
+        for run in [part for k in range(1, len(words)) for part in (words[:k], words[k:])]:
+            here = {g for g in grams_of_text(" ".join(run)) if g in number}
+            share, family = max((len(here & set(g)) / len(g), f) for f, g in model.templates)
+            if not 0.5 <= share < 0.9:
+                label = float(model.families.index(family) if share >= 0.9 else len(model.families))
+                out.append({"ids": sorted(number[g] for g in here), "label": label, "held": len(out) % 4 == 0})
+    return out
+
+
 def train(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -233,12 +251,12 @@ def train(
     sample_docs: int = 4000,
     sample_rows: int = 4000,
 ) -> Licences:
-    """The classifier, trained on variants of the templates and a bounded sample of paragraphs.
+    """The classifier, trained on variants and parts of the templates and a bounded sample of paragraphs.
 
     The sample is drawn from the whole texts of at most ``sample_docs`` ids in hash order: at most
     ``sample_rows`` of their paragraphs that share a gram with a template. One that holds nine tenths of a template is an example of its
     family, one that holds less than half of any is unknown; others are left out. A quarter of the
-    sample calibrates the unknown class: its intercept is moved until the expected number of
+    sample and of the parts calibrates the unknown class: its intercept is moved until the expected number of
     unknown paragraphs is the true one. Where that quarter has one kind only, or no row, there is
     nothing to calibrate by: the intercept stays, a warning says so and ``calibrated`` is false.
     """
@@ -265,6 +283,7 @@ def train(
             {"ids": sorted(number[g] for g in grams_of_text(v) if g in number), "label": float(families.index(family)), "held": False}
             for v in variants
         ]
+    made += template_runs(model, templates)
     examples = found.union(table(spark, made, "ids:array<int>,label:double,held:boolean"))
     flags = F.transform(F.sequence(F.lit(0), F.lit(len(model.grams) - 1)), lambda i: F.array_contains("ids", i).cast("double"))
     examples = cut_lineage(examples).withColumn("features", array_to_vector(flags))
@@ -274,7 +293,7 @@ def train(
     size = len(families) + 1
     model.weights = [[round(float(weights[k, g]), 6) for k in range(size)] for g in range(len(model.grams))]
     model.intercept = [round(float(x), 6) for x in fitted.interceptVector.toArray()]
-    held = [(r.label, r.ids) for r in examples.where("held").select("label", "ids").limit(sample_rows).collect()]
+    held = [(r.label, r.ids) for r in examples.where("held").select("label", "ids").collect()]
     unknown = sum(label == len(families) for label, _ in held)
     model.calibrated = 0 < unknown < len(held)
     if model.calibrated:

@@ -168,5 +168,13 @@ def test_against_loops(frame, table, model):
 def test_calibration_that_cannot_be_made_is_said(frame, model):
     assert model.calibrated
     with pytest.warns(UserWarning, match="not calibrated"):
-        none = license_scan.train(frame("doc_id long, text string", (1, "no notice here")))
+        none = license_scan.train(frame("doc_id long, text string", (1, "no notice here")), templates=(("mini", "Mini License"),))
     assert not none.calibrated
+
+
+def test_parts_of_templates(frame, model):
+    """Both kinds are among the parts held for calibration, and a small part is no licence."""
+    parts = license_scan.template_runs(model, TEMPLATES)
+    assert {p["label"] == len(model.families) for p in parts if p["held"]} == {True, False}
+    docs = frame("doc_id long, text string", (1, "Permission is hereby granted, free of charge"), (2, "This program is free software."))
+    assert findings(scan_licences(docs, model)) == {1: [], 2: []}
