@@ -182,13 +182,10 @@ def _hits(rows: DataFrame, model: Licences, *extra: Column) -> DataFrame:
     known = [{"gram": "", "id": -1, "w": [0.0 for _ in classes], "t": []}]
     known += [{"gram": g, "id": i, "w": w, "t": of_gram[g]} for i, (g, w) in enumerate(zip(model.grams, model.weights, strict=True))]
     grams = table(rows.sparkSession, known, "gram:string,id:int,w:array<double>,t:array<int>")
-    split = paragraphs_of(F.col("_text"))
-    paragraphs = rows.select(
-        "_row",
-        "_id",
-        F.coalesce(F.size(split), F.lit(0)).alias("_n"),
-        F.posexplode(F.coalesce(split, F.array(F.lit("")))).alias("_at", "_paragraph"),
-    ).withColumn("_n", F.greatest("_n", F.lit(0)))
+    # Cut and counted before they are exploded: what stands beside a generator is worked out for every row it makes.
+    cut = rows.select("_row", "_id", paragraphs_of(F.col("_text")).alias("_cut"))
+    counted = cut.select("_row", "_id", F.coalesce(F.size("_cut"), F.lit(0)).alias("_n"), F.coalesce("_cut", F.array(F.lit(""))).alias("_cut"))
+    paragraphs = counted.select("_row", "_id", F.greatest("_n", F.lit(0)).alias("_n"), F.posexplode("_cut").alias("_at", "_paragraph"))
     first = F.when(F.col("_at") == 0, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
     # Only paragraphs with a gram of some template are cut into grams: the others share none.
     shares = F.lower("_paragraph").rlike(any_gram(model.grams))
