@@ -18,7 +18,7 @@ from itertools import pairwise
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -252,12 +252,15 @@ def frequencies(rows: DataFrame, count, items: list) -> np.ndarray:
     out = np.zeros(len(numbers), np.int64)
     for r in rows.mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
         out[r.term] = r.n
+    asked.destroy()
     return out
 
 
-def _search_block(index: DataFrame, items: list, frequency: np.ndarray, width: int, slop: int, near_terms: int) -> DataFrame:
-    """Per document of the index: its words, hit positions as spans, and item ids."""
-    asked = index.sparkSession.sparkContext.broadcast((items, frequency))
+def _search_block(index: DataFrame, asked: Broadcast, width: int, slop: int, near_terms: int) -> DataFrame:
+    """Per document of the index: its words, hit positions as spans, and item ids.
+
+    ``asked`` has the items and the frequencies of their words.
+    """
     id_type = index.schema["ids"].dataType.elementType.simpleString()
     schema = f"shard string, shard_row int, id {id_type}, n_words int, spans array<struct<a:int,b:int>>, items array<string>, near array<string>"
 
@@ -295,6 +298,34 @@ def _search_block(index: DataFrame, items: list, frequency: np.ndarray, width: i
     return index.mapInArrow(run, schema)
 
 
+def _search_blocks(index: DataFrame, tests: DataFrame, width: int, slop: int, near_terms: int) -> DataFrame:
+    """The same for test texts of any size, one block after the other.
+
+    The driver holds the texts of one block at a time. A block's hits, of documents that have any,
+    are a table before the next block is fetched, so that its broadcast can go.
+    """
+    context = index.sparkSession.sparkContext
+    size = tests.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = max(1, -(-size // BLOCK_BYTES))
+    block, hits = F.pmod(F.xxhash64("item", "text"), F.lit(n)), []
+    for k in range(n):
+        items = tests.where(block == k).collect()
+        asked = context.broadcast((items, frequencies(index, _in_shards, items)))
+        found = _search_block(index, asked, width, slop, near_terms).where("size(items) > 0 OR size(near) > 0")
+        hits.append(cut_lineage(found.select("shard", "shard_row", "spans", "items", "near")))
+        asked.destroy()
+    every = lambda c: F.array_sort(F.flatten(F.collect_list(c)))  # noqa: E731  as many lists as blocks
+    of_row = reduce(DataFrame.union, hits).groupBy("shard", "shard_row").agg(
+        merged(every("spans")).alias("spans"),
+        *[F.array_distinct(every(c)).alias(c) for c in ("items", "near")],
+    )
+    rows = index.select("shard", F.posexplode(F.arrays_zip("ids", "n_words")).alias("shard_row", "row"))
+    rows = rows.select("shard", "shard_row", F.col("row.ids").alias("id"), F.col("row.n_words").alias("n_words"))
+    none = {"spans": "array<struct<a:int,b:int>>", "items": "array<string>", "near": "array<string>"}
+    empty = {c: F.coalesce(c, F.array().cast(kind)) for c, kind in none.items()}
+    return rows.join(of_row, ["shard", "shard_row"], "left").withColumns(empty)
+
+
 def _owners(w: Windows, row: np.ndarray, owned: np.ndarray) -> np.ndarray:
     return w.owner[np.repeat(w.owned[row], owned) + _steps(owned)]
 
@@ -341,7 +372,7 @@ def decontaminate(
 
     The size of the test texts is checked: up to ``BLOCK_BYTES`` they go to the tasks in one
     broadcast; beyond that in blocks of that size (one item at least) against the index, which is
-    then kept as a table.
+    then kept as a table. The driver holds one block at a time.
     """
     tests = benchmark.select(
         F.coalesce(benchmark[item_col].cast("string"), F.lit("null")).alias("item"),
@@ -354,20 +385,11 @@ def decontaminate(
     if size <= BLOCK_BYTES:
         items = tests.collect()
         often = frequencies(texts(docs, id_col, text_col), _in_texts, items)
-        found = _search_block(index, items, often, width, slop, near_terms)
+        asked = docs.sparkSession.sparkContext.broadcast((items, often))
+        found = _search_block(index, asked, width, slop, near_terms)
     else:
-        n = -(-size // BLOCK_BYTES)
         index = cut_lineage(index)
-        tests = cut_lineage(tests.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))))
-        blocks = [tests.where(tests.block == k).drop("block").collect() for k in range(n)]
-        hits = [_search_block(index, items, frequencies(index, _in_shards, items), width, slop, near_terms) for items in blocks]
-        every = lambda c: F.array_sort(F.flatten(F.collect_list(c)))  # noqa: E731  as many lists as blocks
-        found = reduce(DataFrame.union, hits).groupBy("shard", "shard_row").agg(
-            F.first("id").alias("id"),
-            F.first("n_words").alias("n_words"),
-            merged(every("spans")).alias("spans"),
-            *[F.array_distinct(every(c)).alias(c) for c in ("items", "near")],
-        )
+        found = _search_blocks(index, cut_lineage(tests.distinct()), width, slop, near_terms)
     return found.select(F.col("id").alias(id_col), "n_words", "spans", "items", "near")
 
 
