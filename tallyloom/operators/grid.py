@@ -2,9 +2,9 @@
 
 The input is a cell grid ``(file, sheet, row, col, value, indent)``, 0-based, with blank cells
 absent or null. Every operator works on all sheets of all files in one job, and in one way for
-sheets of every size: runs of non-blank rows or columns are found by meeting each position with
-its predecessor in a grouped count, and numbered with chunked running sums (``running``). Null
-file and sheet names are names like any other.
+sheets of every size: positions are cut into chunks, what a chunk does to a run or block is found in a
+sorted array of its positions, and only these small results are carried along a sheet; cells then
+take up the run or block of their own chunk. Null file and sheet names are names like any other.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyloom.functions.a1 import cell_address, column_index, in_columns, in_rows
-from tallyloom.operators.running import CHUNK, match, running
+from tallyloom.operators.running import CHUNK, match
 
 SHEET = ["file", "sheet"]
 CELL = "file string, sheet string, row int, col int, value string, indent int"
@@ -107,20 +107,45 @@ def next_position(cells: DataFrame, axis: str, lines: str, start: int = 0, find_
 
 
 def _islands(cells: DataFrame, axis: str, limit: int | None, chunk: int) -> DataFrame:
-    """Number the runs of used positions along ``axis`` and keep the cells inside them."""
+    """Number the runs of used positions along ``axis`` and keep the cells inside them.
+
+    The used positions of a chunk are one sorted array of at most ``chunk`` entries. Chunk by chunk of
+    a sheet it is carried on whether the first run joins the run before it and how many runs there were.
+    """
     data = filled(cells)
-    used = data.select(*SHEET, axis).distinct()
-    starts = run_edges(used, SHEET, axis).where("starts").select(*SHEET, axis, F.lit(1).alias("_start"))
-    numbered = running(
-        match(used, starts, [*SHEET, axis], "left"),
-        SHEET,
-        axis,
-        sums={"table_no": F.coalesce("_start", F.lit(0))},
-        chunk=chunk,
-    ).drop("_start")
-    if limit:
-        numbered = numbered.where(F.col("table_no") <= limit)
-    return match(data, numbered, [*SHEET, axis])
+    used = data.groupBy(*SHEET, F.floor(F.col(axis) / chunk).alias("_chunk")).agg(
+        F.array_sort(F.collect_set(axis)).alias("_used")
+    )
+    # A chunk's first position always counts here; whether it goes on with a run is seen below.
+    starts = F.filter("_used", lambda p, i: F.coalesce(F.get("_used", i - 1) < p - 1, F.lit(True)))
+    along = W.partitionBy(*SHEET).orderBy("_chunk")
+    opened = F.col("_starts") - F.col("_joins")
+    carry = used.select(
+        *SHEET,
+        "_chunk",
+        F.size(starts).alias("_starts"),
+        F.get("_used", F.lit(0)).alias("_first"),
+        F.element_at("_used", -1).alias("_last"),
+    ).withColumn("_joins", F.coalesce(F.lag("_last").over(along) == F.col("_first") - 1, F.lit(False)).cast("int"))
+    carry = carry.select(*SHEET, "_chunk", (F.sum(opened).over(along) - F.col("_starts")).alias("_before"))
+    numbered = F.transform(starts, lambda p, i: F.struct(p.cast("bigint").alias("_at"), (F.col("_before") + i + 1).alias("table_no")))
+    runs = match(used, carry, [*SHEET, "_chunk"]).select(*SHEET, "_chunk", F.explode(numbered).alias("_run"))
+    placed = _under(data, runs.select(*SHEET, "_chunk", "_run.*"), axis, "table_no", chunk)
+    return placed.where(F.col("table_no") <= limit) if limit else placed
+
+
+def _under(cells: DataFrame, announced: DataFrame, axis: str, value: str, chunk: int) -> DataFrame:
+    """The cells with the last ``value`` announced at or before their position, within their chunk.
+
+    ``announced`` has the sheet keys, ``_chunk``, a bigint ``_at`` along ``axis`` and ``value``. Cells are moved
+    once, by sheet and chunk.
+    """
+    placed = cells.withColumns({"_chunk": F.floor(F.col(axis) / chunk), "_at": F.col(axis).cast("bigint"), "_cell": F.lit(True)})
+    both = placed.unionByName(announced, allowMissingColumns=True)
+    # At equal positions what is announced, which is no cell, comes first.
+    along = W.partitionBy(*SHEET, "_chunk").orderBy("_at", F.col("_cell").asc_nulls_first())
+    last = F.last(value, ignorenulls=True).over(along.rowsBetween(W.unboundedPreceding, 0))
+    return both.withColumn(value, last).where("_cell").select(*cells.columns, value)
 
 
 def tables_by_columns(cells: DataFrame, rows: str, limit: int | None = None, chunk: int = CHUNK) -> DataFrame:
@@ -267,29 +292,59 @@ def block_spans(
     A start marker opens a block when none is open, the next end marker on the same row or
     below closes it. Per sheet a marker is read in the leftmost column holding it, at or right
     of its ``*_from`` column. ``end_row`` is null for a block that is never closed.
+
+    Marker rows of a chunk are one sorted array of at most ``chunk`` entries. Its effect is a map from
+    the state before it (open or closed) to the state behind it and a number of opened blocks; these maps
+    are composed along the chunks of a sheet, after which each chunk knows its own openings and ends.
+    Openings and ends alternate, so the nth end closes the nth block.
     """
+    at = lambda text, first: F.min(
+        F.when((F.lower("value") == text.lower()) & (F.col("col") >= column_index(first)), F.col("col"))
+    )
+    wanted = filled(cells).where(F.lower("value").isin(start.lower(), end.lower()))
+    hits = wanted.groupBy(*SHEET, "row").agg(at(start, start_from).alias("_s"), at(end, end_from).alias("_e"))
+    lead = hits.groupBy(*SHEET).agg(F.min("_s").alias("_lead_s"), F.min("_e").alias("_lead_e"))
+    starts, ends = (F.coalesce(F.col(f"_{k}") == F.col(f"_lead_{k}"), F.lit(False)) for k in "se")
+    marks = match(hits, lead, SHEET).select(*SHEET, "row", starts.alias("s"), ends.alias("e")).where("s or e")
+    # On one row the start comes before the end, so a row with an end leaves all closed.
+    mark = F.struct("row", "s", "e", (~F.col("e")).alias("open"))
+    parts = marks.groupBy(*SHEET, F.floor(F.col("row") / chunk).alias("_chunk")).agg(
+        F.array_sort(F.collect_list(mark)).alias("_marks")
+    )
+
+    def before(i: Column, carried: Column) -> Column:
+        return F.coalesce(F.get("_marks", i - 1)["open"], carried)
+
+    def opened(carried: Column) -> Column:
+        return F.filter("_marks", lambda m, i: m["s"] & ~before(i, carried))
 
-    hits = filled(cells).select(
+    def closed(carried: Column) -> Column:
+        return F.filter("_marks", lambda m, i: m["e"] & (before(i, carried) | m["s"]))
+
+    maps = parts.select(
         *SHEET,
-        "row",
-        "col",
-        F.when((F.lower("value") == start.lower()) & (F.col("col") >= column_index(start_from)), "s")
-        .when((F.lower("value") == end.lower()) & (F.col("col") >= column_index(end_from)), "e")
-        .alias("kind"),
-    ).where(F.col("kind").isNotNull())
-    lead = hits.groupBy(*SHEET, "kind").agg(F.min("col").alias("col"))
-    # On one row the start comes before the end.
-    marks = match(hits, lead, [*SHEET, "kind", "col"], "left_semi").withColumn(
-        "at", F.col("row").cast("bigint") * 2 + (F.col("kind") == "e").cast("int")
+        "_chunk",
+        F.element_at("_marks", -1)["open"].alias("_open"),
+        F.size(opened(F.lit(False))).alias("_if_closed"),
+        F.size(opened(F.lit(True))).alias("_if_open"),
+    )
+    along = W.partitionBy(*SHEET).orderBy("_chunk")
+    found = F.when(F.col("_is_open"), F.col("_if_open")).otherwise(F.col("_if_closed"))
+    carry = maps.withColumn("_is_open", F.coalesce(F.lag("_open").over(along), F.lit(False))).select(
+        *SHEET, "_chunk", "_is_open", (F.sum(found).over(along) - found).alias("_before")
     )
-    after = running(marks, SHEET, "at", lasts={"prior": F.col("kind")}, chunk=chunk, inclusive=False)
-    turns = after.where(F.col("kind") != F.coalesce("prior", F.lit("e")))
-    numbered = running(
-        turns, SHEET, "at", sums={"block_no": (F.col("kind") == "s").cast("int")}, chunk=chunk
+    known = match(parts, carry, [*SHEET, "_chunk"])
+    still_open = F.col("_is_open").cast("int")
+    turns = F.concat(
+        F.transform(opened(F.col("_is_open")), lambda m, i: F.struct(
+            (F.col("_before") + i + 1).alias("block_no"), m["row"].alias("first_row"), F.lit(None).cast("int").alias("end_row")
+        )),
+        F.transform(closed(F.col("_is_open")), lambda m, i: F.struct(
+            (F.col("_before") - still_open + i + 1).alias("block_no"), F.lit(None).cast("int").alias("first_row"), m["row"].alias("end_row")
+        )),
     )
-    return numbered.groupBy(*SHEET, "block_no").agg(
-        F.min(F.when(F.col("kind") == "s", F.col("row"))).alias("first_row"),
-        F.min(F.when(F.col("kind") == "e", F.col("row"))).alias("end_row"),
+    return known.select(*SHEET, F.explode(turns).alias("_t")).groupBy(*SHEET, F.col("_t.block_no").alias("block_no")).agg(
+        F.min("_t.first_row").alias("first_row"), F.min("_t.end_row").alias("end_row")
     )
 
 
@@ -308,21 +363,23 @@ def blocks_between(
 
     ``spans`` are the ``block_spans`` if they are known already.
 
-    Adds ``block_no``. Each row finds its block by carrying the last block's span down the rows of
-    the sheet, never by a range join; cells then meet their row.
+    Adds ``block_no``. A span is announced in every chunk of rows it reaches into, so each cell finds its
+    block by one running value over its own chunk: cells are moved once, without a range join.
     """
     data = filled(cells)
     found = block_spans(data, start, end, start_from, end_from, chunk) if spans is None else spans
-    opens = found.select(
-        *SHEET, F.col("first_row").alias("row"), F.struct("block_no", "first_row", "end_row").alias("_opens")
+    body = found.select(
+        *SHEET, "block_no", (F.col("first_row") + skip_head).alias("_top"), (F.col("end_row") - skip_tail).alias("_end")
+    ).where(F.col("_top") < F.col("_end"))
+    chunks = F.sequence(F.floor(F.col("_top") / chunk), F.floor((F.col("_end") - 1) / chunk))
+    announced = body.withColumn("_chunk", F.explode(chunks)).select(
+        *SHEET,
+        "_chunk",
+        F.greatest("_top", F.col("_chunk") * chunk).alias("_at"),
+        F.struct("block_no", "_end").alias("_span"),
     )
-    lines = data.select(*SHEET, "row").distinct()
-    placed = running(match(lines, opens, [*SHEET, "row"], "left"), SHEET, "row", lasts={"_span": F.col("_opens")}, chunk=chunk)
-    inside = placed.where(
-        (F.col("row") >= F.col("_span.first_row") + skip_head)
-        & (F.col("row") < F.col("_span.end_row") - skip_tail)
-    ).select(*SHEET, "row", F.col("_span.block_no").alias("block_no"))
-    return match(data, inside, [*SHEET, "row"]).select(*cells.columns, "block_no")
+    inside = _under(data, announced, "row", "_span", chunk).where(F.col("row") < F.col("_span._end"))
+    return inside.select(*cells.columns, F.col("_span.block_no").alias("block_no"))
 
 
 def block_heads(cells: DataFrame, spans: DataFrame, values: Mapping[str, tuple[int, int]]) -> DataFrame:

@@ -1,4 +1,6 @@
 import random
+import re
+from functools import reduce
 
 import pytest
 from conftest import rows
@@ -130,6 +132,64 @@ def test_block_without_end(grid, chunk):
     assert g.blocks_between(grid(["PAY PERIOD"], ["1"]), "PAY PERIOD", "TOTAL", 0, 0, chunk=chunk).count() == 0
 
 
+def loop_blocks(marks):
+    """Spans by a state machine over (starts, ends) of each row."""
+    spans, is_open = [], False
+    for row, (starts, ends) in enumerate(marks):
+        if starts and not is_open:
+            spans.append([len(spans) + 1, row, None])
+            is_open = True
+        if ends and is_open:
+            spans[-1][2] = row
+            is_open = False
+    return [tuple(s) for s in spans]
+
+
+def loop_islands(used):
+    table, numbers = 0, {}
+    for row, here in enumerate(used):
+        if here:
+            table += not (row and used[row - 1])
+            numbers[row] = table
+    return numbers
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+def test_random_sheets_match_loops(grid, chunk):
+    """Blocks and islands of random sheets, whose runs and spans cross chunks."""
+    rng = random.Random(chunk)
+    sheets = {f"s{n}": [(rng.random() < 0.3, rng.random() < 0.3, rng.random() < 0.6) for _ in range(rng.randint(1, 40))] for n in range(6)}
+    frames = [
+        grid(*[["S" if s else None, "E" if e else None, f"v{i}" if v else None] for i, (s, e, v) in enumerate(lines)], sheet=name)
+        for name, lines in sheets.items()
+    ]
+    cells = reduce(lambda a, b: a.unionByName(b), frames)
+    spans = g.block_spans(cells, "s", "e", chunk=chunk)
+    body = g.blocks_between(cells, "s", "e", 1, 0, chunk=chunk).where("col = 2")
+    islands = g.tables_by_rows(cells, "C:C", chunk=chunk)
+    wanted, inside, tables = [], [], []
+    for name, lines in sheets.items():
+        found = loop_blocks([line[:2] for line in lines])
+        wanted += [(name, *span) for span in found]
+        inside += [(name, no, r, f"v{r}") for no, first, end in found if end is not None for r in range(first + 1, end) if lines[r][2]]
+        tables += [(name, r, no) for r, no in loop_islands([line[2] for line in lines]).items()]
+    assert rows(spans, "sheet", "block_no", "first_row", "end_row") == sorted(wanted, key=repr)
+    assert rows(body, "sheet", "block_no", "row", "value") == sorted(inside, key=repr)
+    assert rows(islands, "sheet", "row", "table_no") == sorted(tables, key=repr)
+
+
+def test_block_plan_reads_its_input_twice(spark, grid, tmp_path):
+    """Once for the markers and once for the cells."""
+    grid(["S", "x"], ["1"], ["2"], [None, "E"]).write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    got = g.blocks_between(cells, "S", "E", 1, 0)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    scanned = set(re.findall(r"FileScan parquet \[[^\]]*\]", final))
+    assert len(scanned) == 2, final
+
+
 def test_sheets_do_not_mix(grid):
     both = grid("a.b", file="f1").unionByName(grid("abc", file="f2"))
     got = g.tables_by_columns(both, "1:1")
