@@ -252,22 +252,37 @@ def sample(t):
     return sample_first(t.customer.select("c_custkey", "c_acctbal"), [F.col("c_acctbal").desc(), "c_custkey"], 5)
 
 
-@query(
-    "upsert_latest",
-    """
+UPSERT_SQL = """
 SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN o_totalprice + 2 WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM orders
 UNION ALL SELECT o_orderkey + 1000000000, o_totalprice FROM orders WHERE o_orderkey % 50 = 0
-""",
-)
-def upsert_latest(t):
-    """A batch with changes, a second change of some keys, and new keys."""
+"""
+
+
+def price_changes(t):
+    """The prices, and a batch with changes, a second change of some keys, and new keys."""
     price = F.col("o_totalprice")
     key = F.col("o_orderkey")
     target = t.orders.select("o_orderkey", price.alias("price"))
     changed = t.orders.where(key % 3 == 0).select("o_orderkey", (price + 1).alias("price"), F.lit(1).alias("file_no"))
     again = t.orders.where(key % 6 == 0).select("o_orderkey", (price + 2).alias("price"), F.lit(2).alias("file_no"))
     added = t.orders.where(key % 50 == 0).select((key + 1_000_000_000).alias("o_orderkey"), price.alias("price"), F.lit(1).alias("file_no"))
-    return tables.upsert(target, changed.unionByName(again).unionByName(added), "o_orderkey", ["file_no"])
+    return target, changed.unionByName(again).unionByName(added)
+
+
+@query("upsert_latest", UPSERT_SQL)
+def upsert_latest(t):
+    return tables.upsert(*price_changes(t), "o_orderkey", ["file_no"])
+
+
+@query("upsert_buckets", UPSERT_SQL)
+def upsert_buckets(t):
+    """The same merge in place, run twice; the second run changes nothing."""
+    path = scratch_path(t.spark, "buckets")
+    target, updates = price_changes(t)
+    tables.write_buckets(target, path, "o_orderkey", 16)
+    for _ in range(2):
+        tables.upsert_buckets(updates, path, "o_orderkey", ["file_no"], 16)
+    return tables.read_buckets(t.spark, path)
 
 
 @query("append_new", "SELECT o_orderkey, o_custkey FROM orders")

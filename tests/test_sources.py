@@ -228,3 +228,54 @@ def test_ingest_log(spark, frame):
     meta, sources = tables.log_ingest(meta, sources, "daily", listed.withColumn("modified", F.lit("2024-02-01").cast("timestamp_ntz")), when)
     assert rows(meta) == [("daily", when)] and rows(sources) == [("/a", dt.datetime(2024, 2, 1))]
     assert tables.log_ingest(meta, sources, "weekly", None, when)[0].count() == 2
+
+
+def bucket_files(path):
+    return {p.parent.name: {f.name for f in p.parent.glob("*.parquet")} for p in path.glob("key_bucket=*/*.parquet")}
+
+
+def test_upsert_rewrites_touched_buckets_only(spark, frame, tmp_path):
+    path = tmp_path / "t"
+    tables.write_buckets(frame("k int, v string", *[(i, "old") for i in range(200)], (None, "none")), str(path), "k", 8)
+    before = bucket_files(path)
+    updates = frame("v string, k int, n int", ("new", 7, 1), ("newer", 7, 2), ("added", None, 1))
+    tables.upsert_buckets(updates, str(path), "k", ["n"], 8)
+    after = bucket_files(path)
+    touched = {r[0] for r in spark.read.parquet(str(path)).where("k = 7 or k is null").select("key_bucket").distinct().collect()}
+    assert {name for name in before if before[name] != after[name]} == {f"key_bucket={b}" for b in touched}
+    assert len(touched) < len(before)
+    wanted = [(i, "newer" if i == 7 else "old") for i in range(200)] + [(None, "added")]
+    assert rows(tables.read_buckets(spark, str(path)), "k", "v") == sorted(wanted, key=repr)
+    tables.upsert_buckets(updates.where("false"), str(path), "k", ["n"], 8)
+    assert bucket_files(path) == after
+
+
+@pytest.mark.parametrize("stop", ["staging", "switch", "removal"])
+def test_upsert_can_be_run_again_after_a_stop(spark, frame, tmp_path, monkeypatch, stop):
+    """Stopped while staging, before or amid the switch, or before the staged folders go."""
+    path, staged = tmp_path / "t", tmp_path / "t.staged"
+    tables.write_buckets(frame("k int, v string", *[(i, "old") for i in range(40)]), str(path), "k", 4)
+    updates = frame("k int, v string, n int", *[(i, "new", 1) for i in range(0, 60, 3)])
+    wanted = sorted([(i, "new" if i % 3 == 0 else "old") for i in range(40)] + [(i, "new") for i in range(42, 60, 3)], key=repr)
+    real, removed = tables.finish_upsert, tables._remove
+
+    def stopped(*args):
+        if staged.exists():
+            raise InterruptedError
+        real(*args)
+
+    with monkeypatch.context() as m:
+        if stop == "removal":
+            m.setattr(tables, "_remove", lambda spark, p: stopped() if staged.exists() else None)
+        else:
+            m.setattr(tables, "finish_upsert", stopped)
+        with pytest.raises(InterruptedError):
+            tables.upsert_buckets(updates, str(path), "k", ["n"], 4)
+    if stop == "staging":
+        (staged / "_SUCCESS").unlink()
+    if stop == "switch":
+        removed(spark, str(next(path.glob("key_bucket=*"))))
+    spark.catalog.refreshByPath(str(path))
+    tables.upsert_buckets(updates, str(path), "k", ["n"], 4)
+    assert rows(tables.read_buckets(spark, str(path)), "k", "v") == wanted
+    assert not staged.exists()
