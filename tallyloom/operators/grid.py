@@ -208,6 +208,16 @@ def header_names(cells: DataFrame, by: list[str] = SHEET, header_row: int | None
     return heads.groupBy(*by, F.col("value").alias("name")).agg(F.min("col").alias("col"))
 
 
+def by_row(cells: DataFrame, keys: list[str], values: Mapping[str, Column]) -> DataFrame:
+    """One output row per key with the greatest text of each value.
+
+    Spark sorts what it takes a greatest text of, in parts before the shuffle too. There a part is an
+    input split, and a few megabytes of a compressed file hold any number of cells. So cells are moved first
+    and sorted once, in shuffled parts, whose number grows with the cells.
+    """
+    return cells.repartition(*keys).groupBy(*keys).agg(*[F.max(v).alias(n) for n, v in values.items()])
+
+
 def promote_header(
     cells: DataFrame,
     names: list[str],
@@ -228,16 +238,13 @@ def promote_header(
         top = cells.groupBy(*by).agg(F.min("row").alias("_top"))
         body, head = match(filled(cells), top, by).where(F.col("row") > F.col("_top")), header_names(cells, by)
     named = match(body, head.where(F.col("name").isin(names)), [*by, "col"], "left")
-    return named.groupBy(*by, "row").agg(
-        *[F.max(F.when(F.col("name") == n, F.col("value"))).alias(n) for n in names]
-    )
+    return by_row(named, [*by, "row"], {n: F.when(F.col("name") == n, F.col("value")) for n in names})
 
 
 def by_position(cells: DataFrame, names: Mapping[int, str], by: list[str] = SHEET) -> DataFrame:
     """One output row per grid row, columns taken by 0-based index; other columns are not moved."""
-    return filled(cells).where(F.col("col").isin(list(names))).groupBy(*by, "row").agg(
-        *[F.max(F.when(F.col("col") == i, F.col("value"))).alias(n) for i, n in names.items()]
-    )
+    wanted = filled(cells).where(F.col("col").isin(list(names)))
+    return by_row(wanted, [*by, "row"], {n: F.when(F.col("col") == i, F.col("value")) for i, n in names.items()})
 
 
 def merge_subheader(cells: DataFrame, anchor: str, positions: list[int], by: list[str] = SHEET) -> DataFrame:
@@ -273,15 +280,9 @@ def drop_columns_at(cells: DataFrame, offsets: list[int], by: list[str] = SHEET)
 def first_and_last_column(cells: DataFrame, by: list[str] = SHEET) -> DataFrame:
     """``(by, row, first, last)``: the leftmost and rightmost columns of each table."""
     edge = cells.groupBy(*by).agg(F.min("col").alias("_left"), F.max("col").alias("_right"))
-    return (
-        match(filled(cells), edge, by)
-        .where((F.col("col") == F.col("_left")) | (F.col("col") == F.col("_right")))
-        .groupBy(*by, "row")
-        .agg(
-            F.max(F.when(F.col("col") == F.col("_left"), F.col("value"))).alias("first"),
-            F.max(F.when(F.col("col") == F.col("_right"), F.col("value"))).alias("last"),
-        )
-    )
+    outer = match(filled(cells), edge, by).where((F.col("col") == F.col("_left")) | (F.col("col") == F.col("_right")))
+    ends = {"first": "_left", "last": "_right"}
+    return by_row(outer, [*by, "row"], {n: F.when(F.col("col") == F.col(e), F.col("value")) for n, e in ends.items()})
 
 
 def block_spans(

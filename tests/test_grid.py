@@ -209,3 +209,23 @@ def test_nameless_sheets(grid):
         a, b = of(named), of(nameless)
         assert a.columns == b.columns == [*named.columns, *[x for x in a.columns if x not in named.columns]]
         assert rows(a.drop("file", "sheet")) == rows(b.drop("file", "sheet")) != []
+
+
+def test_cells_are_moved_before_they_are_sorted(grid):
+    """The sort behind a greatest text holds a shuffled part, never an input split of any number of cells."""
+    cells = grid("ab", "12", ".3", "4.")
+    header = g.header_names(cells, header_row=0)
+    made = {
+        "promoted": g.promote_header(cells, ["a", "b"], header_row=0),
+        "below": g.promote_header(cells.where("row > 0"), ["a", "b"], header=header),
+        "placed": g.by_position(cells, {0: "a", 1: "b"}),
+        "edges": g.first_and_last_column(cells),
+    }
+    for name, df in made.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        above, moved, below = plan.partition("Exchange hashpartitioning(file")
+        assert "SortAggregate" in above and moved and "SortAggregate" not in below, name
+    assert rows(made["promoted"], "row", "a", "b") == [(1, "1", "2"), (2, None, "3"), (3, "4", None)]
+    assert rows(made["below"], "row", "a", "b") == rows(made["promoted"], "row", "a", "b")
+    assert rows(made["placed"], "row", "a", "b") == [(0, "a", "b"), *rows(made["promoted"], "row", "a", "b")]
+    assert rows(made["edges"], "row", "first", "last") == rows(made["placed"], "row", "a", "b")
