@@ -339,17 +339,13 @@ def balance_sheet(cells: DataFrame) -> DataFrame:
     )
     accounts = body.where(F.col("col") == 0)
     heading = heading_rows(accounts, BALANCE_AFTER, BALANCE_HEADING, SHEET, name="value")
-    rows = (
-        body.unionByName(heading.withColumn("col", F.lit(0)))
-        .groupBy(*SHEET, "row")
-        .agg(
-            *[
-                F.max(F.when(F.col("col") == c, F.col("value"))).alias(n)
-                for c, n in {0: "ledger_acct", 1: "actual", 2: "actual_prev_month", 4: "actual_prev_year"}.items()
-            ],
-            F.coalesce(F.max(F.when(F.col("col") == 0, F.col("indent"))), F.lit(0)).alias("indent"),
-        )
-    )
+    texts = {0: "ledger_acct", 1: "actual", 2: "actual_prev_month", 4: "actual_prev_year"}
+    values = {n: F.when(F.col("col") == c, F.col("value")) for c, n in texts.items()}
+    rows = grid.by_row(
+        body.unionByName(heading.withColumn("col", F.lit(0))),
+        [*SHEET, "row"],
+        {**values, "indent": F.when(F.col("col") == 0, F.col("indent"))},
+    ).withColumn("indent", F.coalesce("indent", F.lit(0)))
     paths = outline_to_path(skip_rows(rows, "ledger_acct"), SHEET, name="ledger_acct")
     return conform(match(paths, months, SHEET), layouts.BALANCE)
 

@@ -272,3 +272,16 @@ def test_budgets(grid):
 def test_aged_receivables(frame):
     df = make(frame, layouts.AGED_AR, {"date": "2024-01-31 00:00:00", "aged_days": "0-30", "total": 1.0, "num_accts": 2})
     assert rows(finance.aged_receivables(df), "date") == [("2024-01-31",)]
+
+
+def test_hours_sort_no_input_split(grid, names):
+    """What is sorted for the texts of a row has been moved, and so has a bounded size."""
+    first = ["Department Number", "Department Name", "x", None, None, "y", None, "Total Productive Hours", "Total Non-Productive Hours", "Total Productive/Non-Productive Hours", "Total Dollars", "Total FTE"]
+    second = [None, None, "Regular Hours", "CALLBK - CALLBACK", "DBLTME - DOUBLETIME", "z", "OT_1.5 - OVERTIME"]
+    body = ["1", "icu", "80", "1", "2", "3", "4", "70", "10", "80", "1400", "1.4"]
+    cells = grid(["title"], first, second, body, body, file="PP#3 2024 Payroll.xlsx")
+    got = finance.hours_by_month(finance.current_hours(cells, *names))
+    lines = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    partial = [i for i, line in enumerate(lines) if "SortAggregate(key=[file" in line and "partial_max(CASE" in line]
+    assert partial and all("SortAggregate" in lines[i - 1] for i in partial)
+    assert rows(got, "dept_id", "month", "reg_hrs") == [("D1", "2024-01", 160.0)]
