@@ -13,6 +13,10 @@ from tallyloom.session import scratch_path
 from tallyloom.sources import csv, files, tables
 
 
+#: Text of a written file that one task has to write.
+FILE_BYTES = 32 << 20
+
+
 def write_csv(df, t, label, *by):
     """CSV below the shared folder, quotes doubled as spreadsheets write them."""
     path = scratch_path(t.spark, label)
@@ -102,14 +106,19 @@ def csv_preamble_quoted(t):
     """Texts with line breaks below a preamble that holds a quote of its own."""
     quoted = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
     body = t.documents.where("doc_id IS NOT NULL").select(
-        (F.col("doc_id") % 4).alias("file_no"), F.col("doc_id").alias("line_no"),
+        F.col("doc_id").alias("line_no"),
         F.concat_ws(",", F.col("doc_id").cast("string"), quoted("lang"), F.lit("unused"), quoted("text")).alias("value"),
     )
-    head = body.select("file_no").distinct().select(
-        "file_no", F.posexplode(F.array(*[F.lit(x) for x in ['a 5" pipe', "", "ID,LANG,X,TEXT"]]))
+    # A preamble stands in front of a whole file, which one task writes; so there are more files of more text.
+    size = body.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    count = max(4, -(-size // FILE_BYTES))
+    # Dealt out row by row, whatever the ids are.
+    body = body.withColumn("file_no", (F.monotonically_increasing_id() % count).cast("int"))
+    head = t.spark.range(count).select(
+        F.col("id").cast("int").alias("file_no"), F.posexplode(F.array(*[F.lit(x) for x in ['a 5" pipe', "", "ID,LANG,X,TEXT"]]))
     ).select("file_no", (F.col("pos") - 10).cast("bigint").alias("line_no"), F.col("col").alias("value"))
     path = scratch_path(t.spark, "preamble-quoted")
-    placed = body.unionByName(head).repartition("file_no").sortWithinPartitions("file_no", "line_no")
+    placed = body.unionByName(head).repartitionById(count, "file_no").sortWithinPartitions("file_no", "line_no")
     placed.select("file_no", "value").write.partitionBy("file_no").text(path)
     layout = ordered("doc_id bigint, lang string, text string")
     return csv.read_preamble(t.spark, path, 2, 4, {0: "doc_id", 1: "lang", 3: "text"}, layout, multiline=True)

@@ -1,12 +1,15 @@
 import csv as pycsv
 import datetime as dt
 import io
+import os
 import random
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tallyloom.catalog import QUERIES
+from tallyloom.catalog import io as io_queries
 from tallyloom.contracts import ordered
 from tallyloom.operators.groups import dedupe_first
 from tallyloom.sources import csv, files, records, tables
@@ -279,3 +282,14 @@ def test_upsert_can_be_run_again_after_a_stop(spark, frame, tmp_path, monkeypatc
     tables.upsert_buckets(updates, str(path), "k", ["n"], 4)
     assert rows(tables.read_buckets(spark, str(path)), "k", "v") == wanted
     assert not staged.exists()
+
+
+def test_preamble_files_grow_in_number_not_in_size(spark, frame, tmp_path, monkeypatch):
+    """More text makes more files, even where all ids are the same or leave the same remainder."""
+    monkeypatch.setattr(io_queries, "FILE_BYTES", 1000, raising=False)
+    made = [(8 * (n % 2), f'line "{n}",\nand {"x" * 80}', "en") for n in range(100)]
+    frame("doc_id bigint, text string, lang string", *made, (None, "no id", "en")).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["csv_preamble_quoted"](spark, str(tmp_path))
+    assert rows(got, "doc_id", "text", "lang") == sorted(made, key=repr)
+    sizes = [os.path.getsize(f.removeprefix("file://")) for f in got.inputFiles()]
+    assert len(sizes) >= 10 and max(sizes) < 2000
